@@ -138,9 +138,10 @@ FIXTURE_REPLAY = ReplayConfig(
     increment_days=(730, 731),
     late_store_id=7,
     late_store_days=365,
-    correction_store_id=0,
-    correction_product_ids=(0, 1, 2, 3, 4),
-    correction_day_offsets=(31, 59, 90),
+    # keys and months present at every driver scale
+    correction_store_id=5,
+    correction_product_ids=(1, 37, 2, 3, 4),
+    correction_day_offsets=(59, 90, 120),
 )
 FIXTURE_INGESTED_AT = "2024-06-01 00:00:00+00:00"
 FIXTURE_CLIMATE_ZONES = ("coastal", "continental", "tropical", "arid", "temperate")

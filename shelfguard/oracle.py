@@ -397,7 +397,7 @@ def _slice_validation_sql() -> str:
     stores = "(SELECT count(*) FROM store_master)"
     rows = [
         ("raw_row_count", f"{stores} * {cfg.product_count} * {cfg.day_count}", "count(*)", "feed"),
-        ("raw_missing_columns", "0", "0", "feed"),
+        ("raw_missing_columns", "0", "min(0)", "feed"),
         ("raw_negative_sale_amount", "0", "count_if(NOT COALESCE(sale_amount >= 0, FALSE))", "feed"),
         ("raw_stockout_hours_out_of_range", "0",
          "count_if(NOT COALESCE(stock_hour6_22_cnt BETWEEN 0 AND 17, FALSE))", "feed"),
@@ -408,9 +408,9 @@ def _slice_validation_sql() -> str:
         ("raw_product_cardinality", str(cfg.product_count), "count(DISTINCT product_id)", "feed"),
         ("raw_date_cardinality", str(cfg.day_count), "count(DISTINCT dt)", "feed"),
         ("store_row_count", stores, "count(*)", "store_master"),
-        ("store_missing_columns", "0", "0", "store_master"),
+        ("store_missing_columns", "0", "min(0)", "store_master"),
         ("product_row_count", str(cfg.product_count), "count(*)", "products"),
-        ("product_missing_columns", "0", "0", "products"),
+        ("product_missing_columns", "0", "min(0)", "products"),
         ("product_nonpositive_price", "0", "count_if(NOT COALESCE(base_unit_price > 0, FALSE))", "products"),
     ]
     selects = [

@@ -20,6 +20,7 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Lets the mart's joins on (store, product, date) reuse one hash
     # partitioning on (store, date): each fact is shuffled exactly once.

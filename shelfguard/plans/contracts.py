@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from shelfguard.contracts import Contract
 
@@ -32,6 +33,14 @@ def _accepts(contract_type: str, actual: str) -> bool:
     return actual in _COMPATIBLE.get(contract_type, {contract_type})
 
 
+def _resolves(df: DataFrame, expression: str) -> bool:
+    try:
+        df.select(F.expr(expression)).schema  # analysis only, no job
+        return True
+    except AnalysisException:
+        return False
+
+
 def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
     """(table_name, check_name, failures, passed) for every data check."""
     present = set(df.columns)
@@ -40,7 +49,11 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
         if name in present:
             metrics.append((f"required:{name}", F.count_if(F.col(name).isNull())))
     for i, check in enumerate(contract.checks, start=1):
-        metrics.append((f"check_{i}:{check}", F.count_if(~F.coalesce(F.expr(check), F.lit(False)))))
+        if _resolves(df, check):
+            failing = F.count_if(~F.coalesce(F.expr(check), F.lit(False)))
+        else:  # the check names a column the table lacks: every row fails it
+            failing = F.count(F.lit(1))
+        metrics.append((f"check_{i}:{check}", failing))
     aliases = [f"m{i}" for i in range(len(metrics))]
     names = F.create_map(*[x for (label, _), alias in zip(metrics, aliases) for x in (F.lit(alias), F.lit(label))])
     wide = df.agg(*[expr.alias(alias) for (_, expr), alias in zip(metrics, aliases)])

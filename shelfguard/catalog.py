@@ -291,7 +291,7 @@ def q_clustered_scan(spark, sf_dir):
     """Write the mart with its clustering layout, then scan one year of it."""
     t = _tables(spark, sf_dir)
     path = scratch_path(t.spark, "clustered-mart")
-    write_clustered(compared(t.mart), path, ("date_key", "region", "category"))
+    write_clustered(compared(t.mart), path, ("date_key", "region", "category"), split_by=("store_key", "product_key"))
     lo, hi = CLUSTERED_RANGE
     return t.spark.read.parquet(path).where((F.col("date_key") >= F.lit(lo)) & (F.col("date_key") < F.lit(hi)))
 

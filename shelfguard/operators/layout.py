@@ -12,9 +12,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def clustered(df: DataFrame, cluster_by: Sequence[str], files: int | None = None) -> DataFrame:
+def clustered(
+    df: DataFrame, cluster_by: Sequence[str], files: int | None = None, split_by: Sequence[str] = ()
+) -> DataFrame:
+    """Range-partition on ``cluster_by`` then ``split_by`` and sort within files.
+
+    ``split_by`` (e.g. the rest of a unique key) only refines the range
+    boundaries, so one clustering value holding a large share of the rows is
+    still cut into many evenly sized files instead of one huge task.
+    """
     n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+    return df.repartitionByRange(n, *cluster_by, *split_by).sortWithinPartitions(*cluster_by, *split_by)
 
 
 def write_clustered(
@@ -23,5 +31,6 @@ def write_clustered(
     cluster_by: Sequence[str],
     files: int | None = None,
     mode: str = "overwrite",
+    split_by: Sequence[str] = (),
 ) -> None:
-    clustered(df, cluster_by, files).write.mode(mode).parquet(path)
+    clustered(df, cluster_by, files, split_by).write.mode(mode).parquet(path)

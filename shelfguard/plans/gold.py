@@ -1,9 +1,12 @@
 """Gold: the daily store-product stock-out mart.
 
-Plan shape: the two dimensions are measured and broadcast (map-side joins);
-the four facts are each hash-partitioned once on (store_key, date_key), a
-subset of every join key, so the three 3-key left joins and the 2-key join
-to the external signal all run co-partitioned with no further exchange.
+Plan shape: the two dimensions are measured and broadcast (map-side joins).
+The external signal is joined first, on (store_key, date_key); with
+``spark.sql.requireAllClusterKeysForCoPartition=false`` that hash partitioning
+(a subset of every later join key) is reused by the two 3-key left joins, so
+each fact is shuffled exactly once and the wide joined rows never move again.
+The shuffles are planner-made (ENSURE_REQUIREMENTS), so AQE can still split
+a skewed (store, date) partition of the sales side.
 """
 
 from __future__ import annotations
@@ -27,10 +30,6 @@ MART_COLUMNS = (
 )
 
 
-def _co_partitioned(df: DataFrame) -> DataFrame:
-    return df.repartition(*STORE_DATE)
-
-
 def stockout_mart(
     sales: DataFrame,
     inventory: DataFrame,
@@ -51,12 +50,12 @@ def stockout_mart(
         *STORE_DATE, F.col("is_holiday").alias("_ext_holiday"), F.col("demand_signal_bucket").alias("_ext_bucket")
     )
     joined = (
-        _co_partitioned(sales.select(*GRAIN, "observed_units", "estimated_revenue"))
+        sales.select(*GRAIN, "observed_units", "estimated_revenue")
         .join(store_attrs, "store_key", "inner")
         .join(product_attrs, "product_key", "inner")
-        .join(_co_partitioned(ext), STORE_DATE, "left")
-        .join(_co_partitioned(inv), GRAIN, "left")
-        .join(_co_partitioned(promo), GRAIN, "left")
+        .join(ext, STORE_DATE, "left")
+        .join(inv, GRAIN, "left")
+        .join(promo, GRAIN, "left")
     )
     hours = F.coalesce(F.col("_inv_hours"), F.lit(0))
     rate = F.coalesce(F.col("_promo_rate"), F.lit(0.0))

@@ -61,7 +61,7 @@ def refresh_gold(spark: SparkSession, layout: Layout) -> None:
         read("dim_product"),
     )
     table = "gold_store_product_stockout_daily"
-    write_clustered(mart, layout.path(table), CLUSTER_BY[table])
+    write_clustered(mart, layout.path(table), CLUSTER_BY[table], split_by=("store_key", "product_key"))
 
 
 def refresh_all(

@@ -34,7 +34,9 @@ def refresh_silver(spark: SparkSession, layout: Layout, tiebreak: Sequence[str]
     present = [c for c in tiebreak if c in bronze_daily.columns]
 
     staged_path = layout.path(LATEST_STAGE)
-    _write(silver.latest_observations(bronze_daily, present), staged_path)
+    # Hourly arrays stay in bronze: no silver or gold table reads them.
+    latest = silver.latest_observations(bronze_daily, present).drop("hours_sale", "hours_stock_status")
+    _write(latest, staged_path)
     latest = spark.read.parquet(staged_path)
 
     _write(silver.dim_store(store_master), layout.path("dim_store"), CLUSTER_BY["dim_store"])

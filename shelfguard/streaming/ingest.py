@@ -30,12 +30,15 @@ class BronzeFeed:
     schema: StructType
     parse: Callable[[DataFrame], DataFrame]
     rules: Sequence[Rule]
+    partition_by: tuple[str, ...] = ()
 
 
 def feeds(raw_schema: StructType = schemas.RAW_DAILY) -> tuple[BronzeFeed, ...]:
     return (
+        # Partitioned by business date: an incremental refresh reads only the
+        # dates a delivery touched.
         BronzeFeed(landing.RAW_DAILY, "bronze_raw_freshretailnet_daily", raw_schema, bronze.parse_raw_daily,
-                   X.BRONZE_RAW_DAILY),
+                   X.BRONZE_RAW_DAILY, ("dt",)),
         BronzeFeed(landing.STORE_MASTER, "bronze_northmart_store_master", schemas.STORE_MASTER,
                    bronze.parse_store_master, X.BRONZE_STORE_MASTER),
         BronzeFeed(landing.PRODUCT_MASTER, "bronze_northmart_product_master", schemas.PRODUCT_MASTER,
@@ -56,9 +59,11 @@ def ingest(spark: SparkSession, layout: Layout, feed: BronzeFeed) -> IngestResul
     parsed = feed.parse(stream)
     metric_name = f"rules_{feed.table}"
     observed = parsed.observe(metric_name, F.count(F.lit(1)).alias("rows_seen"), *failure_columns(feed.rules))
+    writer = keep_valid(observed, feed.rules).writeStream
+    if feed.partition_by:
+        writer = writer.partitionBy(*feed.partition_by)
     query = (
-        keep_valid(observed, feed.rules)
-        .writeStream.format("parquet")
+        writer.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", layout.checkpoint(feed.table))
         .trigger(availableNow=True)

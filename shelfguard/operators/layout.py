@@ -21,8 +21,10 @@ def clustered(
     boundaries, so one clustering value holding a large share of the rows is
     still cut into many evenly sized files instead of one huge task.
     """
-    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return df.repartitionByRange(n, *cluster_by, *split_by).sortWithinPartitions(*cluster_by, *split_by)
+    keys = (*cluster_by, *split_by)
+    # Without a fixed count AQE coalesces the range partitions to its target size.
+    ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys)
 
 
 def write_clustered(

@@ -37,14 +37,11 @@ GOLD_TABLE = "gold_store_product_stockout_daily"
 MAX_INCREMENTAL_DATES = 10_000
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def _write_by_date(
     df: DataFrame, path: str, date_col: str, rest: Sequence[str], incremental: bool
 ) -> None:
-    aligned = df.repartitionByRange(_partitions(df), date_col, *rest).sortWithinPartitions(date_col, *rest)
+    # No fixed count: AQE sizes (coalesces) the range partitions at run time.
+    aligned = df.repartitionByRange(date_col, *rest).sortWithinPartitions(date_col, *rest)
     (
         aligned.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if incremental else "static")

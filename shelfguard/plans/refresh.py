@@ -38,10 +38,16 @@ MAX_INCREMENTAL_DATES = 10_000
 
 
 def _write_by_date(
-    df: DataFrame, path: str, date_col: str, rest: Sequence[str], incremental: bool
+    df: DataFrame, path: str, date_col: str, rest: Sequence[str], incremental: bool, align: bool = True
 ) -> None:
+    """Write partitioned by date; ``align`` range-shuffles first so each task holds few dates.
+
+    Without ``align`` the input must already be date-aligned (a scan of a
+    date-partitioned table): each task then still writes only a few dates.
+    """
     # No fixed count: AQE sizes (coalesces) the range partitions at run time.
-    aligned = df.repartitionByRange(date_col, *rest).sortWithinPartitions(date_col, *rest)
+    ranged = df.repartitionByRange(date_col, *rest) if align else df
+    aligned = ranged.sortWithinPartitions(date_col, *rest)
     (
         aligned.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if incremental else "static")
@@ -80,13 +86,16 @@ def refresh_silver(
     # One row per date over the whole staged table (two columns read).
     _write_small(silver.dim_date(staged_all), layout.path("dim_date"), CLUSTER_BY["dim_date"])
     keyed = silver.keyed_observations(staged, store_master, product_master)
-    for name, build, rest in (
-        ("fact_sales", silver.fact_sales, ("store_key", "product_key")),
-        ("fact_inventory_status", silver.fact_inventory_status, ("store_key", "product_key")),
-        ("fact_promotion", silver.fact_promotion, ("store_key", "product_key")),
-        ("fact_external_signal", silver.fact_external_signal, ("store_key",)),
+    # The 1:1 facts are map-only projections of the date-aligned staged scan
+    # (broadcast lookups only), so they need no shuffle before the write; the
+    # external signal comes out of a hash aggregation and is re-aligned.
+    for name, build, rest, align in (
+        ("fact_sales", silver.fact_sales, ("store_key", "product_key"), False),
+        ("fact_inventory_status", silver.fact_inventory_status, ("store_key", "product_key"), False),
+        ("fact_promotion", silver.fact_promotion, ("store_key", "product_key"), False),
+        ("fact_external_signal", silver.fact_external_signal, ("store_key",), True),
     ):
-        _write_by_date(build(keyed), layout.path(name), "date_key", rest, incremental)
+        _write_by_date(build(keyed), layout.path(name), "date_key", rest, incremental, align)
 
 
 def refresh_gold(spark: SparkSession, layout: Layout, dates: Sequence[date] | None = None) -> None:

@@ -35,10 +35,11 @@ class BronzeFeed:
 
 def feeds(raw_schema: StructType = schemas.RAW_DAILY) -> tuple[BronzeFeed, ...]:
     return (
-        # Partitioned by business date: an incremental refresh reads only the
-        # dates a delivery touched.
+        # Not partitioned: a backfill delivery spans many dates and would write
+        # one file per (task, date). Deliveries land date-ordered, so parquet
+        # min/max statistics on dt prune an incremental refresh's date filter.
         BronzeFeed(landing.RAW_DAILY, "bronze_raw_freshretailnet_daily", raw_schema, bronze.parse_raw_daily,
-                   X.BRONZE_RAW_DAILY, ("dt",)),
+                   X.BRONZE_RAW_DAILY),
         BronzeFeed(landing.STORE_MASTER, "bronze_northmart_store_master", schemas.STORE_MASTER,
                    bronze.parse_store_master, X.BRONZE_STORE_MASTER),
         BronzeFeed(landing.PRODUCT_MASTER, "bronze_northmart_product_master", schemas.PRODUCT_MASTER,
@@ -85,10 +86,12 @@ def ingest_all(spark: SparkSession, layout: Layout, raw_schema: StructType = sch
     return [ingest(spark, layout, feed) for feed in feeds(raw_schema)]
 
 
-def land(df: DataFrame, layout: Layout, dataset: str, delivery: str, schema: StructType | None = None) -> str:
-    """Write one delivery of a feed as CSV into its landing folder (never overwrites)."""
+def land(
+    df: DataFrame, layout: Layout, dataset: str, delivery: str, schema: StructType | None = None, files: int = 1
+) -> str:
+    """Write one delivery of a feed as CSV files into its landing folder (never overwrites)."""
     path = f"{landing.dataset_path(layout.landing, dataset)}/{delivery}"
     if schema is not None:
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    landing.write_csv(df, path)
+    landing.write_csv(df, path, files=files)
     return path

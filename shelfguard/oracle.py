@@ -482,10 +482,10 @@ def _masters_sql() -> tuple[str, str]:
         [FEED, "ids AS (SELECT DISTINCT store_id FROM feed WHERE store_id IS NOT NULL)",
          "num AS (SELECT store_id, CAST(row_number() OVER (ORDER BY store_id) AS INTEGER) AS seq FROM ids)"],
         f"""SELECT printf('{C.STORE_KEY_FORMAT}', seq) AS northmart_store_id, store_id AS source_store_id,
-       printf('NorthMart %s-%02d', {pick([s[1] for s in states])}, seq) AS store_name,
+       printf('{C.STORE_NAME_FORMAT}', {pick([s[1] for s in states])}, seq) AS store_name,
        {pick([s[2] for s in states])} AS region,
        {pick([s[0] for s in states])} AS state,
-       printf('%s Market %d', {pick([s[0] for s in states])}, seq) AS city,
+       printf('{C.CITY_NAME_FORMAT}', {pick([s[0] for s in states])}, seq) AS city,
        {pick(C.STORE_FORMATS)} AS store_format,
        {pick([s[3] for s in states])} AS climate_zone,
        make_date(CAST({C.OPENED_YEAR_BASE} + seq % 7 AS BIGINT), CAST((seq - 1) % 12 + 1 AS BIGINT), 1) AS opened_date,
@@ -496,9 +496,9 @@ FROM num""",
         [FEED, "ids AS (SELECT DISTINCT product_id FROM feed WHERE product_id IS NOT NULL)",
          "num AS (SELECT product_id, CAST(row_number() OVER (ORDER BY product_id) AS INTEGER) AS seq FROM ids)"],
         f"""SELECT printf('{C.PRODUCT_KEY_FORMAT}', seq) AS northmart_product_id, product_id AS source_product_id,
-       printf('%s Product %03d', {pick(C.PRODUCT_CATEGORIES)}, seq) AS product_name,
+       printf('{C.PRODUCT_NAME_FORMAT}', {pick(C.PRODUCT_CATEGORIES)}, seq) AS product_name,
        {pick(C.PRODUCT_CATEGORIES)} AS category,
-       {pick(C.PRODUCT_CATEGORIES)} || ' Core' AS subcategory,
+       {pick(C.PRODUCT_CATEGORIES)} || {S(C.SUBCATEGORY_SUFFIX)} AS subcategory,
        {pick(C.BRANDS)} AS brand,
        {pick(C.REPLENISHMENT_CLASSES)} AS replenishment_class,
        {R(f"{D(C.BASE_PRICE)} + CAST(seq % {C.PRICE_CYCLE} AS DOUBLE) * {D(C.PRICE_STEP)}", 2)} AS base_unit_price,

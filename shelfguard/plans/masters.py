@@ -22,10 +22,10 @@ def assign_store_keys(raw: DataFrame, batch_id: str, ingested_at: str) -> DataFr
     return numbered.select(
         store_key(seq).alias("northmart_store_id"),
         F.col("store_id").alias("source_store_id"),
-        F.format_string("NorthMart %s-%02d", code, seq).alias("store_name"),
+        F.format_string(C.STORE_NAME_FORMAT, code, seq).alias("store_name"),
         cyclic(tuple(s[2] for s in C.STATES), seq).alias("region"),
         state.alias("state"),
-        F.format_string("%s Market %d", state, seq).alias("city"),
+        F.format_string(C.CITY_NAME_FORMAT, state, seq).alias("city"),
         cyclic(C.STORE_FORMATS, seq).alias("store_format"),
         cyclic(tuple(s[3] for s in C.STATES), seq).alias("climate_zone"),
         F.make_date(F.lit(C.OPENED_YEAR_BASE) + seq % 7, (seq - 1) % 12 + 1, F.lit(1)).alias("opened_date"),
@@ -41,9 +41,9 @@ def assign_product_keys(raw: DataFrame, batch_id: str, ingested_at: str) -> Data
     return numbered.select(
         product_key(seq).alias("northmart_product_id"),
         F.col("product_id").alias("source_product_id"),
-        F.format_string("%s Product %03d", category, seq).alias("product_name"),
+        F.format_string(C.PRODUCT_NAME_FORMAT, category, seq).alias("product_name"),
         category.alias("category"),
-        F.concat(category, F.lit(" Core")).alias("subcategory"),
+        F.concat(category, F.lit(C.SUBCATEGORY_SUFFIX)).alias("subcategory"),
         cyclic(C.BRANDS, seq).alias("brand"),
         cyclic(C.REPLENISHMENT_CLASSES, seq).alias("replenishment_class"),
         F.round(F.lit(C.BASE_PRICE) + (seq % C.PRICE_CYCLE) * F.lit(C.PRICE_STEP), 2).alias("base_unit_price"),

@@ -50,7 +50,7 @@ def grid_feed(spark):
         F.lit(50.25).alias("avg_temperature"),
         F.lit(40.5).alias("avg_humidity"),
         (i % 9).cast("double").alias("avg_wind_level"),
-        F.lit("FreshRetailNet-50K").alias("source_dataset"),
+        F.lit("retail-daily-source").alias("source_dataset"),
         F.lit("train").alias("source_split"),
         F.lit("static-001").alias("batch_id"),
         F.lit(1).cast("long").alias("batch_seq"),
@@ -63,7 +63,7 @@ def grid_feed(spark):
 @pytest.fixture(scope="module")
 def landed(spark):
     base = grid_feed(spark)
-    return base, replay.replay_batches(base, CFG, "FreshRetailNet-50K", "train")
+    return base, replay.replay_batches(base, CFG, "retail-daily-source", "train")
 
 
 def test_manifest_counts(spark, landed):

@@ -33,6 +33,7 @@ LATEST_STAGE = "_latest_observations"
 RAW_TABLE = "bronze_raw_freshretailnet_daily"
 MASTER_TABLES = ("bronze_northmart_store_master", "bronze_northmart_product_master")
 GOLD_TABLE = "gold_store_product_stockout_daily"
+STATE_TABLE = "_refresh_state"
 # Above this many touched dates an incremental refresh is a full one.
 MAX_INCREMENTAL_DATES = 10_000
 
@@ -125,8 +126,10 @@ def refresh_all(
     tiebreak: Sequence[str] = (),
 ) -> list[IngestResult]:
     results = ingest_all(spark, layout, raw_schema)
+    reflected = _newest_load(spark, layout)
     refresh_silver(spark, layout, tiebreak)
     refresh_gold(spark, layout)
+    _save_watermark(spark, layout, reflected)
     return results
 
 
@@ -138,6 +141,28 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _newest_load(spark: SparkSession, layout: Layout) -> str | None:
+    """Newest bronze load time, as text in the session clock (a scalar)."""
+    row = layout.read(spark, RAW_TABLE).agg(
+        F.date_format(F.max("_loaded_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("w")
+    ).first()
+    return row["w"] if row else None
+
+
+def _save_watermark(spark: SparkSession, layout: Layout, watermark: str | None) -> None:
+    """Record, after gold is written, the newest load time gold reflects."""
+    spark.range(1).select(F.lit(watermark).cast("string").alias("watermark")).write.mode("overwrite").parquet(
+        layout.path(STATE_TABLE)
+    )
+
+
+def _load_watermark(spark: SparkSession, layout: Layout) -> str | None:
+    if not _exists(spark, layout.path(STATE_TABLE)):
+        return None
+    row = layout.read(spark, STATE_TABLE).first()
+    return row["watermark"] if row else None
+
+
 def refresh_incremental(
     spark: SparkSession,
     layout: Layout,
@@ -146,21 +171,18 @@ def refresh_incremental(
 ) -> dict:
     """Ingest new files, then recompute only the dates they touched.
 
-    Returns {"mode": "full" | "incremental" | "none", "dates": n, "ingest": [...]}.
+    The watermark (newest load time reflected in gold) is saved only after
+    gold is written, so a run that fails part-way is redone in full by the
+    next run. Returns {"mode": "full" | "incremental" | "none", "dates": n, "ingest": [...]}.
     """
-    watermark = None
-    if _exists(spark, layout.path(RAW_TABLE)) and _exists(spark, layout.path(GOLD_TABLE)):
-        # Newest load time already reflected downstream (as text in the session clock).
-        watermark = (
-            layout.read(spark, RAW_TABLE)
-            .agg(F.date_format(F.max("_loaded_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("w"))
-            .first()["w"]
-        )
+    watermark = _load_watermark(spark, layout)
     results = ingest_all(spark, layout, raw_schema)
     masters_changed = any(r.rows_read for r in results if r.table in MASTER_TABLES)
+    reflected = _newest_load(spark, layout)
     if watermark is None or masters_changed:
         refresh_silver(spark, layout, tiebreak)
         refresh_gold(spark, layout)
+        _save_watermark(spark, layout, reflected)
         return {"mode": "full", "dates": None, "ingest": results}
     new_rows = layout.read(spark, RAW_TABLE).where(F.col("_loaded_at") > F.to_timestamp(F.lit(watermark)))
     # Touched dates: at most one value per calendar day, and capped below.
@@ -171,7 +193,9 @@ def refresh_incremental(
     if len(dates) > MAX_INCREMENTAL_DATES:
         refresh_silver(spark, layout, tiebreak)
         refresh_gold(spark, layout)
+        _save_watermark(spark, layout, reflected)
         return {"mode": "full", "dates": len(dates), "ingest": results}
     refresh_silver(spark, layout, tiebreak, dates)
     refresh_gold(spark, layout, dates)
+    _save_watermark(spark, layout, reflected)
     return {"mode": "incremental", "dates": len(dates), "ingest": results}

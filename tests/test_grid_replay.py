@@ -20,7 +20,7 @@ from shelfguard.layout import Layout
 from shelfguard.plans import masters, replay, reports
 from shelfguard.plans.refresh import refresh_all, refresh_incremental
 from shelfguard.session import scratch_path
-from shelfguard.streaming.ingest import land
+from shelfguard.streaming.ingest import ingest_all, land
 
 CFG = ReplayConfig()
 
@@ -118,6 +118,10 @@ def test_four_stage_replay(spark, landed, mode, full_gold_rows):
         if mode == "full":
             refresh_all(spark, layout, schemas.RAW_DAILY_WITH_LINEAGE, schemas.LINEAGE_COLUMNS)
         else:
+            if batch_id == CFG.batches[-1][0]:
+                # A run that dies after ingesting, before silver and gold: the
+                # next run must still carry those rows through.
+                ingest_all(spark, layout, schemas.RAW_DAILY_WITH_LINEAGE)
             run = refresh_incremental(spark, layout, schemas.RAW_DAILY_WITH_LINEAGE, schemas.LINEAGE_COLUMNS)
             expected_mode = "full" if batch_id == CFG.batches[0][0] else "incremental"
             assert run["mode"] == expected_mode

@@ -1,12 +1,14 @@
 """Gold: the daily store-product stock-out mart.
 
 Plan shape: the two dimensions are measured and broadcast (map-side joins).
-The external signal is joined first, on (store_key, date_key); with
-``spark.sql.requireAllClusterKeysForCoPartition=false`` that hash partitioning
-(a subset of every later join key) is reused by the two 3-key left joins, so
-each fact is shuffled exactly once and the wide joined rows never move again.
-The shuffles are planner-made (ENSURE_REQUIREMENTS), so AQE can still split
-a skewed (store, date) partition of the sales side.
+The three facts are left-joined on the full grain (store, product, date), so
+their shuffles hash on all three keys: after latest-wins a grain holds one
+row, and a hot store or store-date still spreads over its products. The
+external signal (one row per store and date) is broadcast when its measured
+size allows, which an incremental refresh of a few dates always does;
+otherwise it is joined last, on its own, as one shuffle join whose two sides
+are both shuffle stages, so AQE can split a hot (store, date) partition and
+replicate the single matching signal row.
 """
 
 from __future__ import annotations
@@ -46,16 +48,20 @@ def stockout_mart(
     promo = promotion.select(
         *GRAIN, F.col("promotion_flag").alias("_promo_flag"), F.col("discount_rate").alias("_promo_rate")
     )
-    ext = external.select(
-        *STORE_DATE, F.col("is_holiday").alias("_ext_holiday"), F.col("demand_signal_bucket").alias("_ext_bucket")
+    ext = broadcast_if_small(
+        external.select(
+            *STORE_DATE,
+            F.col("is_holiday").alias("_ext_holiday"),
+            F.col("demand_signal_bucket").alias("_ext_bucket"),
+        )
     )
     joined = (
         sales.select(*GRAIN, "observed_units", "estimated_revenue")
         .join(store_attrs, "store_key", "inner")
         .join(product_attrs, "product_key", "inner")
-        .join(ext, STORE_DATE, "left")
         .join(inv, GRAIN, "left")
         .join(promo, GRAIN, "left")
+        .join(ext, STORE_DATE, "left")
     )
     hours = F.coalesce(F.col("_inv_hours"), F.lit(0))
     rate = F.coalesce(F.col("_promo_rate"), F.lit(0.0))

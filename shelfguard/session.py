@@ -22,15 +22,16 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Lets the mart's joins on (store, product, date) reuse one hash
-    # partitioning on (store, date): each fact is shuffled exactly once.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # A join reuses an existing hash partitioning only when it covers all of
+    # the join keys: a partitioning on a few of them (say one store) could
+    # pile a hot key's rows into one task.
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
 }
 
 # Settings that only change plans, never results; safe to apply to a session
 # handed to us by someone else.
 PLAN_CONF = {
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
     "spark.sql.adaptive.enabled": "true",
 }
 

@@ -14,6 +14,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from shelfguard.session import scratch_path
+
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 _FIXED_WIDTH = {BooleanType: 1, IntegerType: 4, DateType: 4, LongType: 8, DoubleType: 8, TimestampType: 8}
 
@@ -48,13 +50,30 @@ def broadcast_limit(df: DataFrame) -> int:
     return -1 if auto_bytes < 0 else max(auto_bytes, DEFAULT_BROADCAST_BYTES)
 
 
+def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:
+    limit = broadcast_limit(df) if limit_bytes is None else limit_bytes
+    return limit >= 0 and measured_bytes(df) <= limit
+
+
 def broadcast_if_small(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:
     """Hint a broadcast when the measured size is within the limit.
 
     Above the limit the side is returned unhinted, so the planner uses a
     shuffle join (and AQE may still switch to broadcast from runtime sizes).
     """
-    limit = broadcast_limit(df) if limit_bytes is None else limit_bytes
-    if limit < 0:
-        return df
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    return F.broadcast(df) if fits_broadcast(df, limit_bytes) else df
+
+
+def broadcast_or_stage(df: DataFrame, name: str) -> DataFrame:
+    """A lookup side: broadcast when measured small, else a written table.
+
+    A side computed by a window or aggregation sits between the join and its
+    shuffle, which keeps AQE from splitting a hot key of the other side.
+    Written to the shared scratch folder and read back, it is a plain scan,
+    so both sides of the shuffle join are shuffle stages AQE can split.
+    """
+    if fits_broadcast(df):
+        return F.broadcast(df)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import date, timedelta
 from contextlib import contextmanager
 
 from pyspark.sql import functions as F
@@ -146,3 +147,33 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = physical(spark.read.parquet(path).where(F.col("k") == 3).select("id"))
     assert "PushedFilters: [IsNotNull(k), EqualTo(k,3)]" in plan
     assert "ReadSchema: struct<id:bigint,k:bigint>" in plan
+
+
+def test_keyed_join_splits_a_hot_product_when_lookups_are_not_broadcast(spark):
+    # One product holds most rows (3000 store-dates); 196 other products are thin.
+    hot = [
+        {"store_id": 10000 + s % 8, "dt": (date(2024, 1, 1) + timedelta(days=s // 8)).isoformat(), "line_number": s}
+        for s in range(3000)
+    ]
+    cold = [{"product_id": 50001 + p, "line_number": 100000 + p} for p in range(196)]
+    settings = {
+        "shelfguard.broadcast.maxBytes": "0",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    with _conf(spark, settings):
+        prepare(spark)
+        raw = bronze.bronze_raw_daily(raw_rows(spark, hot + cold))
+        stores, products = _masters(spark, 8, 197)
+        path = scratch_path(spark, "plan-hot-product")
+        silver.latest_observations(raw).drop("hours_sale", "hours_stock_status").write.parquet(path)
+        keyed = silver.keyed_observations(spark.read.parquet(path), stores, products)
+        assert keyed.count() == 3000 + 196
+        keyed.collect()
+        final = physical(keyed)
+    assert "BroadcastHashJoin" not in final, final
+    assert "SortMergeJoin(skew=true) [product_id" in final, final

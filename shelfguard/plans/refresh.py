@@ -133,6 +133,15 @@ def refresh_all(
     return results
 
 
+def mark_refreshed(spark: SparkSession, layout: Layout) -> None:
+    """Record that gold reflects every bronze row loaded so far.
+
+    For callers that run ``ingest_all``, ``refresh_silver`` and
+    ``refresh_gold`` (all dates) themselves, with no ingest in between.
+    """
+    _save_watermark(spark, layout, _newest_load(spark, layout))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema  # noqa: B018 - listing only

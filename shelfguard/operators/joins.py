@@ -64,16 +64,17 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int | None = None) -> DataFra
     return F.broadcast(df) if fits_broadcast(df, limit_bytes) else df
 
 
-def broadcast_or_stage(df: DataFrame, name: str) -> DataFrame:
+def broadcast_or_stage(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
     """A lookup side: broadcast when measured small, else a written table.
 
     A side computed by a window or aggregation sits between the join and its
     shuffle, which keeps AQE from splitting a hot key of the other side.
     Written to the shared scratch folder and read back, it is a plain scan,
     so both sides of the shuffle join are shuffle stages AQE can split.
+    Returns the side and whether it is broadcast.
     """
     if fits_broadcast(df):
-        return F.broadcast(df)
+        return F.broadcast(df), True
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path), False

@@ -86,14 +86,19 @@ def refresh_silver(
     _write_small(silver.dim_product(product_master), layout.path("dim_product"), CLUSTER_BY["dim_product"])
     # One row per date over the whole staged table (two columns read).
     _write_small(silver.dim_date(staged_all), layout.path("dim_date"), CLUSTER_BY["dim_date"])
-    keyed = silver.keyed_observations(staged, store_master, product_master)
-    # The 1:1 facts are map-only projections of the date-aligned staged scan
-    # (broadcast lookups only), so they need no shuffle before the write; the
-    # external signal comes out of a hash aggregation and is re-aligned.
+    lookups = silver.master_lookups(store_master, product_master)
+    keyed = silver.keyed_observations(staged, store_master, product_master, lookups)
+    # With broadcast lookups the 1:1 facts are map-only projections of the
+    # date-aligned staged scan, so they need no shuffle before the write. A
+    # lookup too big to broadcast is a shuffle join (rows hashed by store or
+    # product), so those facts are range-aligned again, or every task would
+    # write a file per date. The external signal comes out of a hash
+    # aggregation and is always re-aligned.
+    aligned_scan = lookups[2]
     for name, build, rest, align in (
-        ("fact_sales", silver.fact_sales, ("store_key", "product_key"), False),
-        ("fact_inventory_status", silver.fact_inventory_status, ("store_key", "product_key"), False),
-        ("fact_promotion", silver.fact_promotion, ("store_key", "product_key"), False),
+        ("fact_sales", silver.fact_sales, ("store_key", "product_key"), not aligned_scan),
+        ("fact_inventory_status", silver.fact_inventory_status, ("store_key", "product_key"), not aligned_scan),
+        ("fact_promotion", silver.fact_promotion, ("store_key", "product_key"), not aligned_scan),
         ("fact_external_signal", silver.fact_external_signal, ("store_key",), True),
     ):
         _write_by_date(build(keyed), layout.path(name), "date_key", rest, incremental, align)

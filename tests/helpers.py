@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,3 +88,27 @@ def product_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
 
 def d(s: str) -> date:
     return date.fromisoformat(s)
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Set session settings for a block, then restore the previous values."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+# No broadcast anywhere: measured lookups are staged, joins shuffle.
+NO_BROADCAST = {
+    "shelfguard.broadcast.maxBytes": "0",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import re
 from datetime import date, timedelta
-from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
-from helpers import product_rows, raw_rows, store_rows
+from helpers import product_rows, raw_rows, session_conf, store_rows
 from shelfguard.plans import bronze, gold, silver
 from shelfguard.session import prepare, scratch_path
 
@@ -72,21 +71,6 @@ def _static_plan(spark, df) -> str:
         spark.conf.set("spark.sql.adaptive.enabled", with_aqe)
 
 
-@contextmanager
-def _conf(spark, settings):
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
 def _exchanges(plan):
     store_date = re.findall(r"hashpartitioning\(store_key#\d+, (?:date_key|dt)#\d+, \d+\)", plan)
     grain = re.findall(r"hashpartitioning\(store_key#\d+, product_key#\d+, date_key#\d+", plan)
@@ -97,7 +81,7 @@ def test_mart_shuffles_facts_on_the_full_grain(spark):
     # The planner's own size-based broadcast is off (the tiny facts would
     # qualify); the measured broadcast of dimensions and signal stays on.
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "shelfguard.broadcast.maxBytes": str(64 << 20)}
-    with _conf(spark, settings):
+    with session_conf(spark, settings):
         plan = _static_plan(spark, _mart(spark))
     store_date, grain = _exchanges(plan)
     # sales, inventory, promotion hash on (store, product, date); the small
@@ -127,7 +111,7 @@ def test_mart_splits_a_hot_store_date_when_nothing_is_broadcast(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
-    with _conf(spark, settings):
+    with session_conf(spark, settings):
         mart = _mart(spark, hot + cold, n_stores=8, n_products=3000, tag="plan-skew")
         static = _static_plan(spark, mart)
         assert mart.count() == 3000 + 7 * 28
@@ -165,7 +149,7 @@ def test_keyed_join_splits_a_hot_product_when_lookups_are_not_broadcast(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
-    with _conf(spark, settings):
+    with session_conf(spark, settings):
         prepare(spark)
         raw = bronze.bronze_raw_daily(raw_rows(spark, hot + cold))
         stores, products = _masters(spark, 8, 197)

@@ -131,7 +131,7 @@ def refresh_all(
     tiebreak: Sequence[str] = (),
 ) -> list[IngestResult]:
     results = ingest_all(spark, layout, raw_schema)
-    reflected = _newest_load(spark, layout)
+    reflected = _newest_load(spark, layout, _load_watermark(spark, layout))
     refresh_silver(spark, layout, tiebreak)
     refresh_gold(spark, layout)
     _save_watermark(spark, layout, reflected)
@@ -144,7 +144,7 @@ def mark_refreshed(spark: SparkSession, layout: Layout) -> None:
     For callers that run ``ingest_all``, ``refresh_silver`` and
     ``refresh_gold`` (all dates) themselves, with no ingest in between.
     """
-    _save_watermark(spark, layout, _newest_load(spark, layout))
+    _save_watermark(spark, layout, _newest_load(spark, layout, _load_watermark(spark, layout)))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -155,12 +155,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def _newest_load(spark: SparkSession, layout: Layout) -> str | None:
-    """Newest bronze load time, as text in the session clock (a scalar)."""
-    row = layout.read(spark, RAW_TABLE).agg(
-        F.date_format(F.max("_loaded_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("w")
-    ).first()
-    return row["w"] if row else None
+def _loaded_after(spark: SparkSession, layout: Layout, watermark: str) -> DataFrame:
+    # Bronze is append-only: row-group min/max statistics skip older files.
+    return layout.read(spark, RAW_TABLE).where(F.col("_loaded_at") > F.to_timestamp(F.lit(watermark)))
+
+
+def _newest_load(spark: SparkSession, layout: Layout, since: str | None = None) -> str | None:
+    """Newest bronze load time, as text in the session clock (a scalar).
+
+    With ``since`` only rows loaded after it are read (a newer maximum can
+    only come from them); with none of those the answer is ``since``.
+    """
+    rows = layout.read(spark, RAW_TABLE) if since is None else _loaded_after(spark, layout, since)
+    row = rows.agg(F.date_format(F.max("_loaded_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("w")).first()
+    newest = row["w"] if row else None
+    return since if newest is None else newest
 
 
 def _save_watermark(spark: SparkSession, layout: Layout, watermark: str | None) -> None:
@@ -192,13 +201,13 @@ def refresh_incremental(
     watermark = _load_watermark(spark, layout)
     results = ingest_all(spark, layout, raw_schema)
     masters_changed = any(r.rows_read for r in results if r.table in MASTER_TABLES)
-    reflected = _newest_load(spark, layout)
+    reflected = _newest_load(spark, layout, watermark)
     if watermark is None or masters_changed:
         refresh_silver(spark, layout, tiebreak)
         refresh_gold(spark, layout)
         _save_watermark(spark, layout, reflected)
         return {"mode": "full", "dates": None, "ingest": results}
-    new_rows = layout.read(spark, RAW_TABLE).where(F.col("_loaded_at") > F.to_timestamp(F.lit(watermark)))
+    new_rows = _loaded_after(spark, layout, watermark)
     # Touched dates: at most one value per calendar day, and capped below.
     touched = new_rows.select("dt").distinct().limit(MAX_INCREMENTAL_DATES + 1).collect()
     dates = sorted(r.dt for r in touched)

@@ -161,3 +161,20 @@ def test_keyed_join_splits_a_hot_product_when_lookups_are_not_broadcast(spark):
         final = physical(keyed)
     assert "BroadcastHashJoin" not in final, final
     assert "SortMergeJoin(skew=true) [product_id" in final, final
+
+
+def test_watermark_reads_prune_older_bronze_files(spark):
+    from shelfguard.layout import Layout
+    from shelfguard.plans import refresh
+
+    layout = Layout(scratch_path(spark, "plan-watermark"))
+    for day in (1, 2, 3):  # three appends, one file each, increasing load times
+        spark.range(5).select(
+            F.col("id"), F.to_timestamp(F.lit(f"2024-06-0{day} 12:00:00")).alias("_loaded_at")
+        ).coalesce(1).write.mode("append").parquet(layout.path(refresh.RAW_TABLE))
+    newer = refresh._loaded_after(spark, layout, "2024-06-02 00:00:00.000000")
+    assert "GreaterThan(_loaded_at," in physical(newer)
+    assert newer.count() == 10
+    assert refresh._newest_load(spark, layout, "2024-06-02 00:00:00.000000") == "2024-06-03 12:00:00.000000"
+    # Nothing newer: the watermark stays where it was.
+    assert refresh._newest_load(spark, layout, "2024-06-04 00:00:00.000000") == "2024-06-04 00:00:00.000000"

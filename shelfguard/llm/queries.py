@@ -7,15 +7,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfguard.llm import line_dedup, url_filters
+from shelfguard.llm import decontaminate, line_dedup, pieces, quality, url_filters
 from shelfguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": lambda s, d: pieces.op1_sentencepiece(table(s, d, "documents")),
     "op2_line_dedup": lambda s, d: line_dedup.op2_line_dedup(table(s, d, "documents")),
     "op3_url_filters": lambda s, d: url_filters.op3_url_filters(table(s, d, "pages")),
+    "op5_quality": lambda s, d: quality.op5_quality(table(s, d, "documents"), table(s, d, "labels")),
+    "op9_decontaminate": lambda s, d: decontaminate.op9_decontaminate(table(s, d, "documents"), table(s, d, "benchmark")),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.SQL,
     "op3_url_filters": url_filters.SQL,
+    "op9_decontaminate": decontaminate.SQL,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfguard.llm import decontaminate, line_dedup, pieces, quality, url_filters
+from shelfguard.llm import decontaminate, html_text, line_dedup, pieces, quality, url_filters, warc
 from shelfguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -15,7 +15,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": lambda s, d: line_dedup.op2_line_dedup(table(s, d, "documents")),
     "op3_url_filters": lambda s, d: url_filters.op3_url_filters(table(s, d, "pages")),
     "op5_quality": lambda s, d: quality.op5_quality(table(s, d, "documents"), table(s, d, "labels")),
+    "op8_warc": lambda s, d: warc.op8_warc(table(s, d, "pages")),
     "op9_decontaminate": lambda s, d: decontaminate.op9_decontaminate(table(s, d, "documents"), table(s, d, "benchmark")),
+    "op10_html_text": lambda s, d: html_text.op10_html_text(table(s, d, "pages")),
 }
 
 ORACLE_SQL: dict[str, str] = {

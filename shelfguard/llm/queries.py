@@ -7,13 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfguard.llm import decontaminate, html_text, line_dedup, pieces, quality, url_filters, warc
+from shelfguard.llm import decontaminate, html_text, line_dedup, near_dedup, pieces, quality, url_filters, warc
 from shelfguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": lambda s, d: pieces.op1_sentencepiece(table(s, d, "documents")),
     "op2_line_dedup": lambda s, d: line_dedup.op2_line_dedup(table(s, d, "documents")),
     "op3_url_filters": lambda s, d: url_filters.op3_url_filters(table(s, d, "pages")),
+    "op4_near_dedup": lambda s, d: near_dedup.op4_near_dedup(table(s, d, "documents")),
     "op5_quality": lambda s, d: quality.op5_quality(table(s, d, "documents"), table(s, d, "labels")),
     "op8_warc": lambda s, d: warc.op8_warc(table(s, d, "pages")),
     "op9_decontaminate": lambda s, d: decontaminate.op9_decontaminate(table(s, d, "documents"), table(s, d, "benchmark")),

@@ -344,10 +344,13 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
 
 
 def keep_one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose document stands for its component."""
-    judged = near_duplicates(docs, k, percent).where("kept").select("doc_id", "text_id").distinct()
-    same = F.col("d.doc_id").eqNullSafe(F.col("j.doc_id")) & (F.xxhash64("d.text") == F.col("j.text_id"))
-    return docs.alias("d").join(judged.alias("j"), same, "left_semi")
+    """One row for each component of ``docs``: its smallest doc_id's. Rows without doc_id stay."""
+    key = ["doc_id", "_text_id"]
+    judged = near_duplicates(docs, k, percent).where("kept and doc_id is not null").select("doc_id", F.col("text_id").alias("_text_id"))
+    rows = docs.withColumn("_text_id", F.xxhash64("text"))
+    # The join already deals the rows by the key that repeats are dropped on.
+    one = rows.where("doc_id is not null").join(judged.distinct(), key, "left_semi").dropDuplicates(key)
+    return one.unionByName(rows.where("doc_id is null")).select(*docs.columns)
 
 
 def op4_near_dedup(docs: DataFrame) -> DataFrame:

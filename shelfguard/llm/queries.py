@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfguard.llm import decontaminate, html_text, line_dedup, near_dedup, pieces, quality, url_filters, vector_dedup, warc
+from shelfguard.llm import decontaminate, html_text, line_dedup, near_dedup, pieces, quality, token_shards, url_filters, vector_dedup, warc
 from shelfguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_dedup": lambda s, d: near_dedup.op4_near_dedup(table(s, d, "documents")),
     "op5_quality": lambda s, d: quality.op5_quality(table(s, d, "documents"), table(s, d, "labels")),
     "op6_vector_dedup": lambda s, d: vector_dedup.op6_vector_dedup(table(s, d, "embeddings")),
+    "op7_token_shards": lambda s, d: token_shards.op7_token_shards(table(s, d, "documents")),
     "op8_warc": lambda s, d: warc.op8_warc(table(s, d, "pages")),
     "op9_decontaminate": lambda s, d: decontaminate.op9_decontaminate(table(s, d, "documents"), table(s, d, "benchmark")),
     "op10_html_text": lambda s, d: html_text.op10_html_text(table(s, d, "pages")),

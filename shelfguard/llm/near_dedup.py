@@ -335,7 +335,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     more = crowd_links(blocks, texts, parts, k, percent)
     parts = connected_components(parts.toDF("a", "b").unionByName(more))
     groups = stage(reps.select("set_id", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component_id")), "near-groups")
-    component = F.coalesce("component_id", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     found = found.select("doc_id", "text_id", "n_shingles", "set_id").join(groups, "set_id", "left")
     return found.select(
         "doc_id", "text_id", "n_shingles", component.alias("component_id"),

@@ -26,5 +26,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.SQL,
     "op3_url_filters": url_filters.SQL,
+    "op4_near_dedup": near_dedup.SQL,
+    "op6_vector_dedup": vector_dedup.SQL,
+    "op8_warc": warc.SQL,
     "op9_decontaminate": decontaminate.SQL,
 }

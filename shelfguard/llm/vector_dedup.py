@@ -305,3 +305,19 @@ def _search(spark, reps: DataFrame, index: Index, threshold: float) -> DataFrame
 
 def op6_vector_dedup(embeddings: DataFrame) -> DataFrame:
     return near_vectors(embeddings)
+
+
+SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+l AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+  WHERE list_cosine_similarity(p.x, q.x) >= CAST(0.95 AS DOUBLE)),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a),
+reach(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT x, b FROM reach JOIN l ON a = y),
+comp AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM comp LEFT JOIN n USING (vec_id)
+"""

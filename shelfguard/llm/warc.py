@@ -177,3 +177,18 @@ def op8_warc(pages: DataFrame) -> DataFrame:
     write_archive(pages.select("page_id", "url", "html"), path)
     out = read_records(spark, path, bytes_too=False)
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: Base32 by groups of five hex digits (20 bits, four characters).
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(h, {5 * g + 1}, 5) AS INTEGER) >> {shift}) & 31) + 1, 1)"
+    for g in range(8) for shift in (15, 10, 5, 0)
+)
+SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+o AS (SELECT payload, min(page_id) AS owner FROM p GROUP BY payload)
+SELECT page_id, strlen(payload) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> owner THEN owner END AS refers_to
+FROM p JOIN o USING (payload)
+"""

@@ -1,6 +1,8 @@
 """Every registered query, run on feeds derived from the driver tables.
 
-Each entry is ``fn(spark, sf_dir) -> DataFrame`` over whole tables. Volatile
+Each entry is ``fn(spark, sf_dir) -> DataFrame`` over whole tables. Silver and
+gold tables are written once per session and scale factor, in the order that a
+refresh writes them, and every query reads what it needs of them. Volatile
 audit columns (load and refresh times, source file) and the JSON-array text
 columns are left out of returned frames; arrays are checked exploded.
 """
@@ -8,8 +10,7 @@ columns are left out of returned frames; arrays are checked exploded.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
-from datetime import date, timedelta
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,77 +21,51 @@ from shelfguard import contracts as K
 from shelfguard import expectations as X
 from shelfguard import schemas
 from shelfguard.functions import hourly
-from shelfguard.layout import Layout
+from shelfguard.layout import CLUSTER_BY, Layout
 from shelfguard.operators.layout import write_clustered
 from shelfguard.operators.rules import rule_failures
 from shelfguard.operators.sampling import sample_first_keys
-from shelfguard.plans import bronze, gold, masters, replay, reports, serving, silver, validation
+from shelfguard.plans import bronze, gold, masters, refresh, replay, reports, serving, silver, validation
 from shelfguard.plans.contracts import contract_report
-from shelfguard.plans.refresh import refresh_incremental
 from shelfguard.session import prepare, scratch_path
 from shelfguard.sources import fixture as fx
 from shelfguard.streaming.ingest import ingest_all, land
 
 VOLATILE = ("_source_file", "_loaded_at", "processed_at", "refreshed_at")
-ARRAY_TEXT = ("hours_sale", "hours_stock_status")
 LINEAGE = schemas.LINEAGE_COLUMNS
 
 # Parameters of the registered serving and sampling queries.
-FILTERED_REGIONS = ("AMERICA", "ASIA")
-FILTERED_TIERS = ("critical", "high")
+FILTERED = serving.MartFilters(regions=("AMERICA", "ASIA"), categories=("STANDARD", "PROMO", "ECONOMY"), tiers=("critical", "high"))
 CLUSTERED_RANGE = (date(1998, 1, 1), date(1999, 1, 1))
 SAMPLE_WINDOW = (date(1996, 1, 1), date(1997, 12, 31))
-SAMPLE_STORES = 8
-SAMPLE_PRODUCTS = 40
-
-
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    """Write once to a parquet table in the shared scratch folder and read it back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+SAMPLE_STORES = 20
+SAMPLE_PRODUCTS = 400
+SAMPLE_TARGET = 500
 
 
 def compared(df: DataFrame) -> DataFrame:
-    return df.drop(*VOLATILE, *ARRAY_TEXT)
-
-
-class FixtureTables:
-    """The whole medallion chain over one scale factor, built lazily."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = prepare(spark)
-        self.sf_dir = sf_dir
+    return df.drop(*VOLATILE, *silver.ARRAYS)
 
-    @cached_property
-    def landed_raw(self) -> DataFrame:
-        return fx.with_batch_provenance(fx.raw_daily_feed(self.spark, self.sf_dir), "fixture:lineitem")
 
-    @cached_property
-    def parsed_raw(self) -> DataFrame:
-        return bronze.parse_raw_daily(self.landed_raw)
+class Medallion:
+    """Silver and gold over one bronze log; each table is written when first asked for."""
 
-    @cached_property
-    def bronze_daily(self) -> DataFrame:
-        return bronze.bronze_raw_daily(self.landed_raw)
+    def __init__(self, name: str, bronze_daily: DataFrame, store_master: DataFrame, product_master: DataFrame):
+        self.bronze_daily, self.store_master, self.product_master = bronze_daily, store_master, product_master
+        self.spark = bronze_daily.sparkSession
+        self.layout = Layout(scratch_path(self.spark, name))
 
-    @cached_property
-    def store_master(self) -> DataFrame:
-        return bronze.bronze_store_master(
-            fx.with_batch_provenance(fx.store_master_feed(self.spark, self.sf_dir), "fixture:supplier")
-        )
+    def _by_date(self, table: str, rows: DataFrame, date_col: str = "date_key") -> DataFrame:
+        refresh.write_by_date(rows, self.layout.path(table), date_col, CLUSTER_BY.get(table, ("", "store_id"))[1:])
+        return self.layout.read(self.spark, table)
 
-    @cached_property
-    def product_master(self) -> DataFrame:
-        return bronze.bronze_product_master(
-            fx.with_batch_provenance(fx.product_master_feed(self.spark, self.sf_dir), "fixture:part")
-        )
+    def _small(self, table: str, rows: DataFrame) -> DataFrame:
+        refresh.write_small(rows, self.layout.path(table), CLUSTER_BY[table])
+        return self.layout.read(self.spark, table)
 
     @cached_property
     def latest(self) -> DataFrame:
-        # Every fact and the date dimension read this; cut the lineage once in
-        # the shared checkpoint folder so the latest-wins shuffle runs once.
-        return _staged(silver.latest_observations(self.bronze_daily).drop(*ARRAY_TEXT), "latest")
+        return self._by_date(refresh.LATEST_STAGE, silver.latest_observations(self.bronze_daily.drop(*silver.ARRAYS)), "dt")
 
     @cached_property
     def keyed(self) -> DataFrame:
@@ -98,73 +73,117 @@ class FixtureTables:
 
     @cached_property
     def dim_store(self) -> DataFrame:
-        return silver.dim_store(self.store_master)
+        return self._small("dim_store", silver.dim_store(self.store_master))
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return silver.dim_product(self.product_master)
+        return self._small("dim_product", silver.dim_product(self.product_master))
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return silver.dim_date(self.latest)
+        return self._small("dim_date", silver.dim_date(self.latest))
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        return silver.fact_sales(self.keyed)
+        return self._by_date("fact_sales", silver.fact_sales(self.keyed))
 
     @cached_property
     def fact_inventory_status(self) -> DataFrame:
-        return silver.fact_inventory_status(self.keyed)
+        return self._by_date("fact_inventory_status", silver.fact_inventory_status(self.keyed))
 
     @cached_property
     def fact_promotion(self) -> DataFrame:
-        return silver.fact_promotion(self.keyed)
+        return self._by_date("fact_promotion", silver.fact_promotion(self.keyed))
 
     @cached_property
     def fact_external_signal(self) -> DataFrame:
-        return silver.fact_external_signal(self.keyed)
+        return self._by_date("fact_external_signal", silver.fact_external_signal(self.keyed))
+
+    @property
+    def mart_inputs(self) -> tuple[DataFrame, ...]:
+        return (
+            self.fact_sales, self.fact_inventory_status, self.fact_promotion, self.fact_external_signal,
+            self.dim_store, self.dim_product,
+        )
 
     @cached_property
     def mart(self) -> DataFrame:
-        return gold.stockout_mart(
-            self.fact_sales, self.fact_inventory_status, self.fact_promotion,
-            self.fact_external_signal, self.dim_store, self.dim_product,
-        )
+        return self._by_date(refresh.GOLD_TABLE, gold.stockout_mart(*self.mart_inputs))
 
     @cached_property
     def dataset(self) -> DataFrame:
         return serving.mart_projection(self.mart)
 
-    # -- replay ---------------------------------------------------------------
+
+class FixtureTables:
+    """The feeds of one scale factor, and the medallions over them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = prepare(spark)
+        self.sf_dir = sf_dir
+
+    def feed(self, restated: bool = True) -> DataFrame:
+        return fx.raw_daily_feed(self.spark, self.sf_dir, restated)
+
+    @cached_property
+    def landed_raw(self) -> DataFrame:
+        return fx.with_batch_provenance(self.feed(), "fixture:lineitem")
+
+    @cached_property
+    def landed_stores(self) -> DataFrame:
+        return fx.with_batch_provenance(fx.store_master_feed(self.spark, self.sf_dir), "fixture:supplier")
+
+    @cached_property
+    def landed_products(self) -> DataFrame:
+        return fx.with_batch_provenance(fx.product_master_feed(self.spark, self.sf_dir), "fixture:part")
+
+    @cached_property
+    def parsed_raw(self) -> DataFrame:
+        return bronze.parse_raw_daily(self.landed_raw)
+
+    @cached_property
+    def store_master(self) -> DataFrame:
+        return bronze.bronze_store_master(self.landed_stores)
+
+    @cached_property
+    def product_master(self) -> DataFrame:
+        return bronze.bronze_product_master(self.landed_products)
+
+    @cached_property
+    def main(self) -> Medallion:
+        return Medallion("medallion", bronze.bronze_raw_daily(self.landed_raw), self.store_master, self.product_master)
+
     @cached_property
     def replay_landed(self) -> DataFrame:
         return replay.replay_batches(
-            fx.raw_daily_feed(self.spark, self.sf_dir), C.FIXTURE_REPLAY,
-            C.FIXTURE_SLICE.source_dataset, C.FIXTURE_SLICE.source_split,
+            self.feed(restated=False), C.FIXTURE_REPLAY, C.FIXTURE.days, C.FIXTURE.source_dataset, C.FIXTURE.source_split
         )
 
     @cached_property
-    def replay_bronze(self) -> DataFrame:
+    def replayed(self) -> Medallion:
         landed = fx.with_batch_provenance(self.replay_landed.drop("is_corrected", "is_late"), "fixture:replay")
-        return bronze.bronze_raw_daily(landed)
+        return Medallion("replayed", bronze.bronze_raw_daily(landed), self.store_master, self.product_master)
 
-    @cached_property
-    def replay_mart(self) -> DataFrame:
-        latest = _staged(silver.latest_observations(self.replay_bronze).drop(*ARRAY_TEXT), "replay-latest")
-        keyed = silver.keyed_observations(latest, self.store_master, self.product_master)
-        return gold.stockout_mart(
-            silver.fact_sales(keyed), silver.fact_inventory_status(keyed), silver.fact_promotion(keyed),
-            silver.fact_external_signal(keyed), self.dim_store, self.dim_product,
-        )
+
+_TABLES: dict[tuple[str, str], FixtureTables] = {}
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> FixtureTables:
-    return FixtureTables(spark, sf_dir)
+    """The tables of this session and scale factor: written once, read by every query."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    found = _TABLES.get(key)
+    if found is None or found.spark._jsparkSession != spark._jsparkSession:
+        found = _TABLES[key] = FixtureTables(spark, sf_dir)
+    return found
+
+
+def _main(spark: SparkSession, sf_dir: str) -> Medallion:
+    return _tables(spark, sf_dir).main
 
 
 # -- bronze ---------------------------------------------------------------------
 def q_bronze_daily(spark, sf_dir):
-    return compared(_tables(spark, sf_dir).bronze_daily)
+    return compared(_main(spark, sf_dir).bronze_daily)
 
 
 def q_bronze_store_master(spark, sf_dir):
@@ -176,133 +195,89 @@ def q_bronze_product_master(spark, sf_dir):
 
 
 def q_bronze_hourly_arrays(spark, sf_dir):
-    b = _tables(spark, sf_dir).bronze_daily
     return hourly.explode_hours(
-        b, ["store_id", "product_id", "dt", *LINEAGE],
+        _main(spark, sf_dir).bronze_daily, ["store_id", "product_id", "dt", *LINEAGE, "batch_seq"],
         {"hours_sale": F.col("hours_sale"), "hours_stock_status": F.col("hours_stock_status")},
     )
 
 
 def q_dq_rule_counts(spark, sf_dir):
-    return rule_failures(_tables(spark, sf_dir).parsed_raw, X.BRONZE_RAW_DAILY, "bronze_raw_daily")
+    """Rows seen, kept and failing each rule, for every table that has rules."""
+    t, m = _tables(spark, sf_dir), _main(spark, sf_dir)
+    before = {
+        "bronze_raw_daily": t.parsed_raw,
+        "bronze_store_master": bronze.parse_store_master(t.landed_stores),
+        "bronze_product_master": bronze.parse_product_master(t.landed_products),
+        "dim_store": silver.dim_store_rows(m.store_master),
+        "dim_product": silver.dim_product_rows(m.product_master),
+        "dim_date": silver.dim_date_rows(m.latest),
+        "fact_sales": silver.fact_sales_rows(m.keyed),
+        "fact_inventory_status": silver.fact_inventory_status_rows(m.keyed),
+        "fact_promotion": silver.fact_promotion_rows(m.keyed),
+        "fact_external_signal": silver.fact_external_signal_rows(m.keyed),
+        "gold_stockout_daily": gold.stockout_mart_rows(*m.mart_inputs),
+    }
+    out = None
+    for table, rows in before.items():
+        part = rule_failures(rows, X.BY_TABLE[table], table)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # -- streaming ------------------------------------------------------------------
-def _landed_fixture(t: FixtureTables) -> DataFrame:
-    return fx.raw_daily_feed(t.spark, t.sf_dir)
+def _land_masters(t: FixtureTables, layout: Layout) -> None:
+    land(fx.store_master_feed(t.spark, t.sf_dir), layout, "store_master", "master-001", schemas.STORE_MASTER)
+    land(fx.product_master_feed(t.spark, t.sf_dir), layout, "product_master", "master-001", schemas.PRODUCT_MASTER)
+
+
+def _land_daily(t: FixtureTables, layout: Layout, rows: DataFrame, delivery: str) -> None:
+    # As many files as the cluster has cores: no delivery goes through one task.
+    land(rows, layout, "daily_observations", delivery, schemas.RAW_DAILY_WITH_LINEAGE, t.spark.sparkContext.defaultParallelism)
 
 
 def q_incremental_ingest(spark, sf_dir):
-    """Land the feed as four deliveries, run the stream after each and once more."""
+    """Land the feed as five deliveries, run the stream after each and once more."""
     t = _tables(spark, sf_dir)
     layout = Layout(scratch_path(t.spark, "incremental-ingest"))
-    feed = _landed_fixture(t)
-    land(fx.store_master_feed(t.spark, sf_dir), layout, "northmart_store_master", "master-001", schemas.STORE_MASTER)
-    land(fx.product_master_feed(t.spark, sf_dir), layout, "northmart_product_master", "master-001", schemas.PRODUCT_MASTER)
-    for seq in (1, 2, 3, 4):
-        land(feed.where(F.col("batch_seq") == seq), layout, "raw_freshretailnet_daily", f"delivery-{seq:03d}",
-             schemas.RAW_DAILY_WITH_LINEAGE)
+    _land_masters(t, layout)
+    for seq in range(1, 6):
+        _land_daily(t, layout, t.feed().where(F.col("batch_seq") == seq), f"delivery-{seq:03d}")
         ingest_all(t.spark, layout, schemas.RAW_DAILY_WITH_LINEAGE)
     rerun = ingest_all(t.spark, layout, schemas.RAW_DAILY_WITH_LINEAGE)
     if any(r.rows_read for r in rerun):
         raise RuntimeError("a re-run of the incremental source read files twice")
-    return compared(layout.read(t.spark, "bronze_raw_freshretailnet_daily"))
+    return compared(layout.read(t.spark, refresh.RAW_TABLE))
 
 
 # -- silver ---------------------------------------------------------------------
-def q_latest_version(spark, sf_dir):
-    return compared(_tables(spark, sf_dir).latest)
-
-
-def q_keyed_observations(spark, sf_dir):
-    return compared(_tables(spark, sf_dir).keyed)
-
-
-def q_dim_store(spark, sf_dir):
-    return compared(_tables(spark, sf_dir).dim_store)
-
-
-def q_dim_product(spark, sf_dir):
-    return compared(_tables(spark, sf_dir).dim_product)
-
-
-def q_dim_date(spark, sf_dir):
-    return compared(_tables(spark, sf_dir).dim_date)
-
-
-def q_fact_sales(spark, sf_dir):
-    return compared(_tables(spark, sf_dir).fact_sales)
-
-
-def q_fact_inventory_status(spark, sf_dir):
-    return compared(_tables(spark, sf_dir).fact_inventory_status)
-
-
-def q_fact_promotion(spark, sf_dir):
-    return compared(_tables(spark, sf_dir).fact_promotion)
-
-
-def q_fact_external_signal(spark, sf_dir):
-    return compared(_tables(spark, sf_dir).fact_external_signal)
+def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: compared(getattr(_main(spark, sf_dir), name))
 
 
 # -- gold and serving -------------------------------------------------------------
-def q_stockout_mart(spark, sf_dir):
-    return compared(_tables(spark, sf_dir).mart)
-
-
-def q_mart_projection(spark, sf_dir):
-    return _tables(spark, sf_dir).dataset
-
-
 def q_mart_filtered(spark, sf_dir):
-    filters = serving.MartFilters(regions=FILTERED_REGIONS, tiers=FILTERED_TIERS)
-    return serving.mart_filtered(_tables(spark, sf_dir).mart, filters)
-
+    return serving.mart_filtered(_main(spark, sf_dir).mart, FILTERED)
 
-def q_kpi_lost_sales(spark, sf_dir):
-    return serving.kpi_lost_sales(_tables(spark, sf_dir).dataset)
 
+def _widget(build: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: build(_main(spark, sf_dir).dataset)
 
-def q_kpi_stockout_rate(spark, sf_dir):
-    return serving.kpi_stockout_rate(_tables(spark, sf_dir).dataset)
 
-
-def q_kpi_critical_rows(spark, sf_dir):
-    return serving.kpi_critical_rows(_tables(spark, sf_dir).dataset)
-
-
-def q_lost_sales_by_region(spark, sf_dir):
-    return serving.lost_sales_by(_tables(spark, sf_dir).dataset, "region")
-
-
-def q_lost_sales_by_category(spark, sf_dir):
-    return serving.lost_sales_by(_tables(spark, sf_dir).dataset, "category")
-
-
-def q_lost_sales_trend(spark, sf_dir):
-    return serving.lost_sales_trend(_tables(spark, sf_dir).dataset)
-
-
-def q_priority_mix(spark, sf_dir):
-    return serving.priority_mix(_tables(spark, sf_dir).dataset)
-
-
-def q_filter_options(spark, sf_dir):
-    return serving.filter_options(_tables(spark, sf_dir).dataset)
+def q_stockout_mart(spark, sf_dir):
+    return compared(_main(spark, sf_dir).mart)
 
 
 def q_top_offenders(spark, sf_dir):
-    return serving.top_offenders(_tables(spark, sf_dir).mart, 50)
+    return serving.top_offenders(_main(spark, sf_dir).mart, 50)
 
 
 def q_clustered_scan(spark, sf_dir):
     """Write the mart with its clustering layout, then scan one year of it."""
-    t = _tables(spark, sf_dir)
-    path = scratch_path(t.spark, "clustered-mart")
-    write_clustered(compared(t.mart), path, ("date_key", "region", "category"), split_by=("store_key", "product_key"))
+    m = _main(spark, sf_dir)
+    path = scratch_path(m.spark, "clustered-mart")
+    write_clustered(compared(m.mart), path, CLUSTER_BY[refresh.GOLD_TABLE], split_by=("store_key", "product_key"))
     lo, hi = CLUSTERED_RANGE
-    return t.spark.read.parquet(path).where((F.col("date_key") >= F.lit(lo)) & (F.col("date_key") < F.lit(hi)))
+    return m.spark.read.parquet(path).where((F.col("date_key") >= F.lit(lo)) & (F.col("date_key") < F.lit(hi)))
 
 
 # -- replay and reports -------------------------------------------------------------
@@ -311,81 +286,68 @@ def q_replay_batches(spark, sf_dir):
 
 
 def q_replay_corrections(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    corrected = replay.replay_corrections(fx.raw_daily_feed(t.spark, sf_dir), C.FIXTURE_REPLAY)
+    corrected = replay.replay_corrections(_tables(spark, sf_dir).feed(restated=False), C.FIXTURE_REPLAY)
     # Batch stamps are assigned when the corrections land (replay_batches).
     return compared(corrected).drop("batch_id", "batch_seq", "ingested_at")
 
 
 def q_replay_manifest(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    return replay.replay_manifest(t.replay_landed, fx.raw_daily_feed(t.spark, sf_dir), C.FIXTURE_REPLAY)
+    return replay.replay_manifest(t.replay_landed, t.feed(restated=False))
 
 
 def q_batch_provenance(spark, sf_dir):
-    return reports.batch_provenance(_tables(spark, sf_dir).replay_bronze)
+    return reports.batch_provenance(_tables(spark, sf_dir).replayed.bronze_daily)
 
 
 def q_late_arrivals_check(spark, sf_dir):
     cfg = C.FIXTURE_REPLAY
-    before = cfg.start_date + timedelta(days=cfg.late_store_days)
-    key = C.STORE_KEY_FORMAT % cfg.late_store_id
-    return reports.late_arrivals_check(_tables(spark, sf_dir).replay_mart, key, before)
+    return reports.late_arrivals_check(
+        _tables(spark, sf_dir).replayed.mart, C.STORE_KEY_FORMAT % cfg.late_store, cfg.day(cfg.late_days)
+    )
 
 
 def q_restatement_check(spark, sf_dir):
     cfg = C.FIXTURE_REPLAY
-    dates = [cfg.start_date + timedelta(days=d) for d in cfg.correction_day_offsets]
     return reports.restatement_check(
-        _tables(spark, sf_dir).replay_mart,
-        C.STORE_KEY_FORMAT % cfg.correction_store_id,
-        C.PRODUCT_KEY_FORMAT % cfg.correction_product_ids[0],
-        dates,
+        _tables(spark, sf_dir).replayed.mart, C.STORE_KEY_FORMAT % cfg.corrected_store,
+        C.PRODUCT_KEY_FORMAT % cfg.corrected_products[0], [cfg.day(d) for d in cfg.corrected_days],
     )
 
 
 def q_progress_counts(spark, sf_dir):
-    """Four-stage replay through the streaming bronze and full silver/gold refreshes."""
+    """Four-stage replay through the streaming bronze and incremental refreshes."""
     t = _tables(spark, sf_dir)
-    cfg = C.FIXTURE_REPLAY
     layout = Layout(scratch_path(t.spark, "replay"))
     progress_path = f"{layout.base}/_progress"
-    land(fx.store_master_feed(t.spark, sf_dir), layout, "northmart_store_master", "master-001", schemas.STORE_MASTER)
-    land(fx.product_master_feed(t.spark, sf_dir), layout, "northmart_product_master", "master-001", schemas.PRODUCT_MASTER)
+    _land_masters(t, layout)
     batches = t.replay_landed.drop("is_corrected", "is_late")
-    for stage, (batch_id, _) in enumerate(cfg.batches, start=1):
-        land(batches.where(F.col("batch_id") == batch_id), layout, "raw_freshretailnet_daily", batch_id,
-             schemas.RAW_DAILY_WITH_LINEAGE)
+    for stage, delivery in enumerate(C.FIXTURE_REPLAY.deliveries, start=1):
+        _land_daily(t, layout, batches.where(F.col("batch_id") == delivery.batch_id), delivery.batch_id)
         # First run is a full refresh; later stages recompute only touched dates.
-        refresh_incremental(t.spark, layout, schemas.RAW_DAILY_WITH_LINEAGE, LINEAGE)
-        counts = reports.progress_counts(
-            layout.read(t.spark, "bronze_raw_freshretailnet_daily"),
-            layout.read(t.spark, "fact_sales"),
-            layout.read(t.spark, "gold_store_product_stockout_daily"),
-        )
+        refresh.refresh_incremental(t.spark, layout, schemas.RAW_DAILY_WITH_LINEAGE, LINEAGE)
+        counts = reports.progress_counts(*[layout.read(t.spark, x) for x in (refresh.RAW_TABLE, "fact_sales", refresh.GOLD_TABLE)])
         counts.select(F.lit(stage).alias("stage"), "k", "v").write.mode("append").parquet(progress_path)
     return t.spark.read.parquet(progress_path)
 
 
 def q_grain_integrity(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    return reports.grain_integrity(t.bronze_daily, C.RAW_GRAIN, "bronze_raw_daily").unionByName(
-        reports.grain_integrity(t.fact_sales, C.FACT_GRAIN, "fact_sales")
+    m = _main(spark, sf_dir)
+    return reports.grain_integrity(m.bronze_daily, C.RAW_GRAIN, "bronze_raw_daily").unionByName(
+        reports.grain_integrity(m.fact_sales, C.FACT_GRAIN, "fact_sales")
     )
 
 
 # -- validation and contracts ---------------------------------------------------------
 def q_slice_validation(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    stores = t.store_master
-    cfg = replace(C.FIXTURE_SLICE, store_count=stores.count())
-    return validation.slice_validation(t.parsed_raw, stores, t.product_master, cfg)
+    return validation.slice_validation(t.parsed_raw, t.store_master, t.product_master, C.FIXTURE)
 
 
 CONTRACT_TABLES = (
-    ("bronze_raw_freshretailnet_daily", "bronze_daily"),
-    ("bronze_northmart_store_master", "store_master"),
-    ("bronze_northmart_product_master", "product_master"),
+    ("bronze_daily_observations", "bronze_daily"),
+    ("bronze_store_master", "store_master"),
+    ("bronze_product_master", "product_master"),
     ("dim_store", "dim_store"),
     ("dim_product", "dim_product"),
     ("dim_date", "dim_date"),
@@ -393,98 +355,84 @@ CONTRACT_TABLES = (
     ("fact_inventory_status", "fact_inventory_status"),
     ("fact_promotion", "fact_promotion"),
     ("fact_external_signal", "fact_external_signal"),
-    ("gold_store_product_stockout_daily", "mart"),
+    ("gold_stockout_daily", "mart"),
 )
 
 
 def q_contract_report(spark, sf_dir):
-    t = _tables(spark, sf_dir)
+    m = _main(spark, sf_dir)
     out = None
     for table, attr in CONTRACT_TABLES:
-        part = contract_report(getattr(t, attr), K.BY_TABLE[table])
+        part = contract_report(getattr(m, attr), K.BY_TABLE[table])
         out = part if out is None else out.unionByName(part)
     return out
 
 
 # -- preparation ----------------------------------------------------------------------
 def q_assign_store_keys(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    return masters.assign_store_keys(t.parsed_raw, C.FIXTURE_SLICE.batch_id, C.FIXTURE_INGESTED_AT)
+    return masters.assign_store_keys(_tables(spark, sf_dir).parsed_raw, C.FIXTURE.batch_id, C.FIXTURE_INGESTED_AT)
 
 
 def q_assign_product_keys(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    return masters.assign_product_keys(t.parsed_raw, C.FIXTURE_SLICE.batch_id, C.FIXTURE_INGESTED_AT)
+    return masters.assign_product_keys(_tables(spark, sf_dir).parsed_raw, C.FIXTURE.batch_id, C.FIXTURE_INGESTED_AT)
 
 
 def q_sample_first_keys(spark, sf_dir):
     t = _tables(spark, sf_dir)
     lo, hi = SAMPLE_WINDOW
-    target = SAMPLE_STORES * SAMPLE_PRODUCTS * ((hi - lo).days + 1)
     return compared(
         sample_first_keys(
-            t.parsed_raw, store_col="store_id", product_col="product_id", date_col="dt",
-            position=LINEAGE, start=lo, end=hi, n_stores=SAMPLE_STORES, n_products=SAMPLE_PRODUCTS,
-            target=target,
+            bronze.parse_raw_daily(t.feed(restated=False)), store_col="store_id", product_col="product_id", date_col="dt",
+            position=LINEAGE, start=lo, end=hi, n_stores=SAMPLE_STORES, n_products=SAMPLE_PRODUCTS, target=SAMPLE_TARGET,
         )
     ).drop("source_dataset", "source_split", "batch_id", "batch_seq", "ingested_at")
 
 
-def q_hourly_profile(spark, sf_dir):
-    raw = _tables(spark, sf_dir).parsed_raw
-    return hourly.explode_hours(
-        raw, ["store_id", "product_id", "dt", *LINEAGE], {"hours_sale": hourly.hourly_profile(F.col("sale_amount"))}
-    )
-
-
-def q_hourly_stock_status(spark, sf_dir):
-    raw = _tables(spark, sf_dir).parsed_raw
-    return hourly.explode_hours(
-        raw, ["store_id", "product_id", "dt", *LINEAGE],
-        {"hours_stock_status": hourly.hourly_stock_status(F.col("stock_hour6_22_cnt"))},
-    )
+def _hourly(name: str, build, column: str) -> Callable[[SparkSession, str], DataFrame]:
+    keys = ["store_id", "product_id", "dt", *LINEAGE, "batch_seq"]
+    return lambda spark, sf_dir: hourly.explode_hours(_tables(spark, sf_dir).parsed_raw, keys, {name: build(F.col(column))})
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_ingest": q_incremental_ingest,
     "bronze_daily": q_bronze_daily,
     "slice_validation": q_slice_validation,
-    "fact_sales": q_fact_sales,
+    "fact_sales": _table("fact_sales"),
     "stockout_mart": q_stockout_mart,
     "clustered_scan": q_clustered_scan,
     "replay_batches": q_replay_batches,
     "bronze_store_master": q_bronze_store_master,
     "bronze_hourly_arrays": q_bronze_hourly_arrays,
     "bronze_product_master": q_bronze_product_master,
-    "keyed_observations": q_keyed_observations,
+    "keyed_observations": _table("keyed"),
     "sample_first_keys": q_sample_first_keys,
-    "fact_external_signal": q_fact_external_signal,
-    "dim_store": q_dim_store,
-    "dim_product": q_dim_product,
-    "dim_date": q_dim_date,
-    "kpi_lost_sales": q_kpi_lost_sales,
-    "kpi_stockout_rate": q_kpi_stockout_rate,
-    "kpi_critical_rows": q_kpi_critical_rows,
-    "lost_sales_by_region": q_lost_sales_by_region,
-    "lost_sales_by_category": q_lost_sales_by_category,
-    "lost_sales_trend": q_lost_sales_trend,
-    "priority_mix": q_priority_mix,
-    "filter_options": q_filter_options,
+    "fact_external_signal": _table("fact_external_signal"),
+    "dim_store": _table("dim_store"),
+    "dim_product": _table("dim_product"),
+    "dim_date": _table("dim_date"),
+    "kpi_lost_sales": _widget(serving.kpi_lost_sales),
+    "kpi_stockout_rate": _widget(serving.kpi_stockout_rate),
+    "kpi_critical_rows": _widget(serving.kpi_critical_rows),
+    "lost_sales_by_region": _widget(lambda d: serving.lost_sales_by(d, "region")),
+    "lost_sales_by_category": _widget(lambda d: serving.lost_sales_by(d, "category")),
+    "lost_sales_trend": _widget(serving.lost_sales_trend),
+    "priority_mix": _widget(serving.priority_mix),
+    "filter_options": _widget(serving.filter_options),
     "progress_counts": q_progress_counts,
     "batch_provenance": q_batch_provenance,
     "late_arrivals_check": q_late_arrivals_check,
     "replay_manifest": q_replay_manifest,
     "grain_integrity": q_grain_integrity,
-    "latest_version": q_latest_version,
+    "latest_version": _table("latest"),
     "assign_store_keys": q_assign_store_keys,
     "assign_product_keys": q_assign_product_keys,
     "top_offenders": q_top_offenders,
     "restatement_check": q_restatement_check,
-    "fact_promotion": q_fact_promotion,
-    "fact_inventory_status": q_fact_inventory_status,
-    "mart_projection": q_mart_projection,
-    "hourly_profile": q_hourly_profile,
-    "hourly_stock_status": q_hourly_stock_status,
+    "fact_promotion": _table("fact_promotion"),
+    "fact_inventory_status": _table("fact_inventory_status"),
+    "mart_projection": _widget(lambda d: d),
+    "hourly_profile": _hourly("hours_sale", hourly.hourly_profile, "sale_amount"),
+    "hourly_stock_status": _hourly("hours_stock_status", hourly.hourly_stock_status, "stock_hour6_22_cnt"),
     "mart_filtered": q_mart_filtered,
     "replay_corrections": q_replay_corrections,
     "dq_rule_counts": q_dq_rule_counts,

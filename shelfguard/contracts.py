@@ -8,243 +8,240 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql.types import StructType
+
 
 @dataclass(frozen=True)
 class Contract:
     table: str
     primary_key: tuple[str, ...]
-    columns: tuple[tuple[str, str, bool], ...]  # (name, type, required)
+    columns: str  # DDL, as Spark parses it; NOT NULL marks a required column
     checks: tuple[str, ...]
 
     @property
-    def required(self) -> tuple[str, ...]:
-        return tuple(name for name, _, req in self.columns if req)
-
+    def schema(self) -> StructType:
+        return StructType.fromDDL(self.columns)
 
-def _cols(spec: str) -> tuple[tuple[str, str, bool], ...]:
-    """'name type [!]' per line; '!' marks a required column."""
-    out = []
-    for line in spec.strip().splitlines():
-        parts = line.split()
-        out.append((parts[0], parts[1], len(parts) > 2 and parts[2] == "!"))
-    return tuple(out)
+    @property
+    def required(self) -> tuple[str, ...]:
+        return tuple(f.name for f in self.schema.fields if not f.nullable)
 
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES — the published contracts.
 # ---------------------------------------------------------------------------
 RAW_DAILY = Contract(
-    "bronze_raw_freshretailnet_daily",
+    "bronze_daily_observations",
     ("city_id", "store_id", "product_id", "dt"),
-    _cols("""
-        city_id bigint !
-        store_id bigint !
-        management_group_id bigint !
-        first_category_id bigint !
-        second_category_id bigint !
-        third_category_id bigint !
-        product_id bigint !
-        dt date !
-        sale_amount double !
-        hours_sale array<double>
-        stock_hour6_22_cnt int !
-        hours_stock_status array<int>
-        discount double !
-        holiday_flag int !
-        activity_flag int !
-        precpt double
-        avg_temperature double
-        avg_humidity double
-        avg_wind_level double
-        source_dataset string !
-        source_split string !
-        batch_id string !
-        batch_seq bigint !
-        ingested_at timestamp !
-    """),
+    """
+        city_id bigint not null,
+        store_id bigint not null,
+        management_group_id bigint not null,
+        first_category_id bigint not null,
+        second_category_id bigint not null,
+        third_category_id bigint not null,
+        product_id bigint not null,
+        dt date not null,
+        sale_amount double not null,
+        hours_sale array<double>,
+        stock_hour6_22_cnt int not null,
+        hours_stock_status array<int>,
+        discount double not null,
+        holiday_flag int not null,
+        activity_flag int not null,
+        precpt double,
+        avg_temperature double,
+        avg_humidity double,
+        avg_wind_level double,
+        source_dataset string not null,
+        source_split string not null,
+        batch_id string not null,
+        batch_seq bigint not null,
+        ingested_at timestamp not null
+    """,
     ("sale_amount >= 0", "stock_hour6_22_cnt between 0 and 17", "discount > 0 and discount <= 1",
      "holiday_flag in (0, 1)", "activity_flag in (0, 1)"),
 )
 STORE_MASTER = Contract(
-    "bronze_northmart_store_master",
+    "bronze_store_master",
     ("northmart_store_id",),
-    _cols("""
-        northmart_store_id string !
-        source_store_id bigint
-        store_name string !
-        region string !
-        state string !
-        city string !
-        store_format string !
-        climate_zone string !
-        opened_date date
-        batch_id string !
-        ingested_at timestamp !
-    """),
+    """
+        northmart_store_id string not null,
+        source_store_id bigint,
+        store_name string not null,
+        region string not null,
+        state string not null,
+        city string not null,
+        store_format string not null,
+        climate_zone string not null,
+        opened_date date,
+        batch_id string not null,
+        ingested_at timestamp not null
+    """,
     ("northmart_store_id is not null", "region in ('Rockies', 'Wasatch', 'Northern Plains', 'High Desert')",
      "store_format in ('flagship', 'standard', 'outlet')"),
 )
 PRODUCT_MASTER = Contract(
-    "bronze_northmart_product_master",
+    "bronze_product_master",
     ("northmart_product_id",),
-    _cols("""
-        northmart_product_id string !
-        source_product_id bigint
-        product_name string !
-        category string !
-        subcategory string !
-        brand string !
-        replenishment_class string !
-        base_unit_price decimal(10,2) !
-        seasonal_peak string
-        batch_id string !
-        ingested_at timestamp !
-    """),
+    """
+        northmart_product_id string not null,
+        source_product_id bigint,
+        product_name string not null,
+        category string not null,
+        subcategory string not null,
+        brand string not null,
+        replenishment_class string not null,
+        base_unit_price decimal(10,2) not null,
+        seasonal_peak string,
+        batch_id string not null,
+        ingested_at timestamp not null
+    """,
     ("northmart_product_id is not null", "base_unit_price > 0",
      "replenishment_class in ('fast', 'standard', 'slow', 'seasonal')"),
 )
 DIM_STORE = Contract(
     "dim_store",
     ("store_key",),
-    _cols("""
-        store_key string !
-        source_store_id bigint
-        store_name string !
-        region string !
-        state string !
-        city string !
-        store_format string !
-        climate_zone string !
-        effective_start_date date !
-        effective_end_date date
-        is_current boolean !
-    """),
+    """
+        store_key string not null,
+        source_store_id bigint,
+        store_name string not null,
+        region string not null,
+        state string not null,
+        city string not null,
+        store_format string not null,
+        climate_zone string not null,
+        effective_start_date date not null,
+        effective_end_date date,
+        is_current boolean not null
+    """,
     ("store_key is not null", "is_current in (true, false)"),
 )
 DIM_PRODUCT = Contract(
     "dim_product",
     ("product_key",),
-    _cols("""
-        product_key string !
-        source_product_id bigint
-        product_name string !
-        category string !
-        subcategory string !
-        brand string !
-        replenishment_class string !
-        base_unit_price decimal(10,2) !
-        seasonal_peak string
-        is_active boolean !
-    """),
+    """
+        product_key string not null,
+        source_product_id bigint,
+        product_name string not null,
+        category string not null,
+        subcategory string not null,
+        brand string not null,
+        replenishment_class string not null,
+        base_unit_price decimal(10,2) not null,
+        seasonal_peak string,
+        is_active boolean not null
+    """,
     ("product_key is not null", "base_unit_price > 0", "is_active in (true, false)"),
 )
 DIM_DATE = Contract(
     "dim_date",
     ("date_key",),
-    _cols("""
-        date_key date !
-        day_of_week string !
-        week_start_date date !
-        month int !
-        quarter int !
-        year int !
-        is_weekend boolean !
-        is_holiday boolean !
-        planning_season string !
-    """),
+    """
+        date_key date not null,
+        day_of_week string not null,
+        week_start_date date not null,
+        month int not null,
+        quarter int not null,
+        year int not null,
+        is_weekend boolean not null,
+        is_holiday boolean not null,
+        planning_season string not null
+    """,
     ("date_key is not null", "month between 1 and 12", "quarter between 1 and 4"),
 )
 FACT_SALES = Contract(
     "fact_sales",
     ("store_key", "product_key", "date_key"),
-    _cols("""
-        store_key string !
-        product_key string !
-        date_key date !
-        observed_units double !
-        normalized_sales_amount double !
-        estimated_revenue decimal(12,2) !
-        source_dataset string !
-        batch_id string !
-        processed_at timestamp !
-    """),
+    """
+        store_key string not null,
+        product_key string not null,
+        date_key date not null,
+        observed_units double not null,
+        normalized_sales_amount double not null,
+        estimated_revenue decimal(12,2) not null,
+        source_dataset string not null,
+        batch_id string not null,
+        processed_at timestamp not null
+    """,
     ("observed_units >= 0", "normalized_sales_amount >= 0", "estimated_revenue >= 0"),
 )
 FACT_INVENTORY_STATUS = Contract(
     "fact_inventory_status",
     ("store_key", "product_key", "date_key"),
-    _cols("""
-        store_key string !
-        product_key string !
-        date_key date !
-        stockout_hours int !
-        stockout_flag boolean !
-        service_window_hours int !
-        inventory_coverage_status string !
-        batch_id string !
-        processed_at timestamp !
-    """),
+    """
+        store_key string not null,
+        product_key string not null,
+        date_key date not null,
+        stockout_hours int not null,
+        stockout_flag boolean not null,
+        service_window_hours int not null,
+        inventory_coverage_status string not null,
+        batch_id string not null,
+        processed_at timestamp not null
+    """,
     ("stockout_hours >= 0", "stockout_hours <= service_window_hours", "service_window_hours > 0",
      "inventory_coverage_status in ('healthy', 'watch', 'at_risk', 'stockout')"),
 )
 FACT_PROMOTION = Contract(
     "fact_promotion",
     ("store_key", "product_key", "date_key"),
-    _cols("""
-        store_key string !
-        product_key string !
-        date_key date !
-        promotion_flag boolean !
-        discount_rate double !
-        campaign_name string
-        batch_id string !
-        processed_at timestamp !
-    """),
+    """
+        store_key string not null,
+        product_key string not null,
+        date_key date not null,
+        promotion_flag boolean not null,
+        discount_rate double not null,
+        campaign_name string,
+        batch_id string not null,
+        processed_at timestamp not null
+    """,
     ("discount_rate >= 0", "discount_rate < 1"),
 )
 FACT_EXTERNAL_SIGNAL = Contract(
     "fact_external_signal",
     ("store_key", "date_key"),
-    _cols("""
-        store_key string !
-        date_key date !
-        is_holiday boolean !
-        local_event_flag boolean !
-        precipitation double
-        avg_temperature double
-        avg_humidity double
-        avg_wind_level double
-        demand_signal_bucket string !
-        batch_id string !
-        processed_at timestamp !
-    """),
+    """
+        store_key string not null,
+        date_key date not null,
+        is_holiday boolean not null,
+        local_event_flag boolean not null,
+        precipitation double,
+        avg_temperature double,
+        avg_humidity double,
+        avg_wind_level double,
+        demand_signal_bucket string not null,
+        batch_id string not null,
+        processed_at timestamp not null
+    """,
     ("demand_signal_bucket in ('normal', 'weather_sensitive', 'holiday', 'event', 'compound')",),
 )
 GOLD_STOCKOUT_DAILY = Contract(
-    "gold_store_product_stockout_daily",
+    "gold_stockout_daily",
     ("store_key", "product_key", "date_key"),
-    _cols("""
-        store_key string !
-        product_key string !
-        date_key date !
-        region string !
-        store_format string !
-        category string !
-        subcategory string !
-        replenishment_class string !
-        observed_units double !
-        estimated_revenue decimal(12,2) !
-        stockout_hours int !
-        stockout_flag boolean !
-        promotion_flag boolean !
-        discount_rate double !
-        is_holiday boolean !
-        demand_signal_bucket string !
-        lost_sales_proxy decimal(12,2) !
-        stockout_risk_score double
-        priority_tier string !
-        refreshed_at timestamp !
-    """),
+    """
+        store_key string not null,
+        product_key string not null,
+        date_key date not null,
+        region string not null,
+        store_format string not null,
+        category string not null,
+        subcategory string not null,
+        replenishment_class string not null,
+        observed_units double not null,
+        estimated_revenue decimal(12,2) not null,
+        stockout_hours int not null,
+        stockout_flag boolean not null,
+        promotion_flag boolean not null,
+        discount_rate double not null,
+        is_holiday boolean not null,
+        demand_signal_bucket string not null,
+        lost_sales_proxy decimal(12,2) not null,
+        stockout_risk_score double,
+        priority_tier string not null,
+        refreshed_at timestamp not null
+    """,
     ("observed_units >= 0", "estimated_revenue >= 0", "lost_sales_proxy >= 0", "stockout_hours >= 0",
      "discount_rate >= 0", "discount_rate < 1", "priority_tier in ('low', 'medium', 'high', 'critical')"),
 )

@@ -69,5 +69,5 @@ BY_TABLE = {
     "fact_inventory_status": FACT_INVENTORY_STATUS,
     "fact_promotion": FACT_PROMOTION,
     "fact_external_signal": FACT_EXTERNAL_SIGNAL,
-    "gold_store_product_stockout_daily": GOLD_STOCKOUT_DAILY,
+    "gold_stockout_daily": GOLD_STOCKOUT_DAILY,
 }

@@ -30,8 +30,8 @@ def estimated_revenue(units: Column, unit_price: Column | str, rate: Column) ->
 def coverage_status(hours: Column) -> Column:
     return (
         F.when(hours == 0, "healthy")
-        .when(hours <= 2, "watch")
-        .when(hours <= C.CRITICAL_HOURS, "at_risk")
+        .when(hours <= C.WATCH_HOURS, "watch")
+        .when(hours <= C.AT_RISK_HOURS, "at_risk")
         .otherwise("stockout")
     )
 

@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 BRONZE_TABLES = (
-    "bronze_raw_freshretailnet_daily",
-    "bronze_northmart_store_master",
-    "bronze_northmart_product_master",
+    "bronze_daily_observations",
+    "bronze_store_master",
+    "bronze_product_master",
 )
 SILVER_TABLES = (
     "dim_store",
@@ -20,12 +20,12 @@ SILVER_TABLES = (
     "fact_promotion",
     "fact_external_signal",
 )
-GOLD_TABLES = ("gold_store_product_stockout_daily",)
+GOLD_TABLES = ("gold_stockout_daily",)
 # Clustering columns per table (data layout for min/max pruning).
 CLUSTER_BY = {
-    "bronze_raw_freshretailnet_daily": ("dt", "store_id"),
-    "bronze_northmart_store_master": ("region", "state"),
-    "bronze_northmart_product_master": ("category", "replenishment_class"),
+    "bronze_daily_observations": ("dt", "store_id"),
+    "bronze_store_master": ("region", "state"),
+    "bronze_product_master": ("category", "replenishment_class"),
     "dim_store": ("region", "state"),
     "dim_product": ("category", "replenishment_class"),
     "dim_date": ("year", "month"),
@@ -33,10 +33,14 @@ CLUSTER_BY = {
     "fact_inventory_status": ("date_key", "store_key"),
     "fact_promotion": ("date_key", "store_key"),
     "fact_external_signal": ("date_key", "store_key"),
-    "gold_store_product_stockout_daily": ("date_key", "region", "category"),
+    "gold_stockout_daily": ("date_key", "region", "category"),
 }
 
 
+# Partition column of the bronze folders: the streaming run that wrote them.
+RUN_COLUMN = "_run"
+
+
 @dataclass(frozen=True)
 class Layout:
     base: str
@@ -63,4 +67,4 @@ class Layout:
         return f"{self.checkpoints}/{table}"
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.parquet(self.path(table))
+        return spark.read.parquet(self.path(table)).drop(RUN_COLUMN)

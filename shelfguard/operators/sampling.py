@@ -16,6 +16,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfguard.operators.sequence import numbered
+
 
 def first_keys(rows: DataFrame, key: str, position: Sequence[str], n: int) -> DataFrame:
     """The ``n`` keys that arrive first (ties broken by key); at most ``n`` rows."""
@@ -46,5 +48,5 @@ def sample_first_keys(
     stores = F.broadcast(first_keys(in_window, store_col, position, n_stores))
     products = F.broadcast(first_keys(in_window, product_col, position, n_products))
     kept = in_window.join(stores, store_col, "left_semi").join(products, product_col, "left_semi")
-    ordering = [*position, store_col, product_col]
-    return kept.orderBy(*ordering).limit(target)
+    # Numbered over ranges: no task gathers the ``target`` rows.
+    return numbered(kept, [*position, store_col, product_col], "_nth").where(F.col("_nth") <= target).drop("_nth")

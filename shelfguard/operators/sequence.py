@@ -1,39 +1,35 @@
-"""Dense 1..N sequence over the sorted distinct values of a numeric column.
+"""Row numbers in a global order without a single-task window.
 
-A global ``row_number() over (order by id)`` runs in a single task. Here the
-distinct ids are cut into value ranges at approximate quantiles (a handful of
-split points reach the driver), each range is numbered on its own, and range
-offsets come from a prefix sum over one row per range. The result is exact;
-the quantiles only balance the ranges.
+The rows are range-partitioned and sorted by the order, written with the
+number of their range, and counted per range. A range's rows are numbered on
+their own; its offset is the sum of the counts before it (one small row per
+range reaches the driver).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfguard.session import staged
+
+
+def numbered(df: DataFrame, order: Sequence[str], out: str = "seq") -> DataFrame:
+    """``df`` with ``out`` = 1..N in ``order`` (a total order gives a unique result)."""
+    ranged = staged(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = sorted((r["_range"], r["n"]) for r in ranged.groupBy("_range").agg(F.count("*").alias("n")).collect())
+    before = dict(zip([r for r, _ in sizes], accumulate([0, *[n for _, n in sizes]]), strict=False))
+    if not before:
+        return ranged.drop("_range").withColumn(out, F.lit(0).cast("long"))
+    offset = F.create_map(*[F.lit(x).cast("long") for pair in before.items() for x in pair])[F.col("_range").cast("long")]
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn(out, offset + rank).drop("_range")
+
 
-def dense_sequence(df: DataFrame, column: str, out: str = "seq", start: int = 1, ranges: int | None = None) -> DataFrame:
+def dense_sequence(df: DataFrame, column: str, out: str = "seq") -> DataFrame:
     """Return ``(column, out)`` with ``out`` = rank of ``column`` among its distinct values."""
-    spark = df.sparkSession
-    if ranges is None:
-        ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     distinct = df.select(column).where(F.col(column).isNotNull()).distinct()
-    probabilities = [i / ranges for i in range(1, ranges)]
-    splits = sorted(set(distinct.approxQuantile(column, probabilities, 0.001))) if probabilities else []
-    # Range index = number of split points below the value: monotone in the value.
-    split_points = F.array(*[F.lit(float(s)) for s in splits]) if splits else F.array().cast("array<double>")
-    tagged = distinct.withColumn("_range", F.size(F.filter(split_points, lambda s: s < F.col(column).cast("double"))))
-    sizes = tagged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
-    # One row per range (bounded by ``ranges``), so the unpartitioned window is tiny.
-    offsets = sizes.select(
-        "_range",
-        F.coalesce(
-            F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_offset"),
-    )
-    numbered = tagged.withColumn("_rank", F.row_number().over(Window.partitionBy("_range").orderBy(column)))
-    return numbered.join(F.broadcast(offsets), "_range").select(
-        column, (F.col("_offset") + F.col("_rank") + F.lit(start - 1)).cast("int").alias(out)
-    )
+    return numbered(distinct, [column], out).withColumn(out, F.col(out).cast("int"))

@@ -1,16 +1,41 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle).
 
-Runs on the driver's tables registered as views. The feed adapter is written
-again in SQL, and every rounding uses the exact decimal-text form Spark
+Runs on the driver's tables registered as views. The feed adapter and every
+constant are written again here, so a wrong value in the library shows as a
+mismatch. Every rounding uses the exact decimal-text form Spark
 applies to doubles (HALF_UP on the shortest decimal representation).
 """
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
-from shelfguard import config as C
-from shelfguard import contracts as K
+from shelfguard.oracle_contracts import CONTRACTS
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES — the source system's, and the fixture's parameters.
+# ---------------------------------------------------------------------------
+HOURLY_WEIGHTS = (
+    0.02, 0.02, 0.02, 0.02, 0.02, 0.02, 0.04, 0.05, 0.08, 0.08, 0.06, 0.05,
+    0.04, 0.04, 0.05, 0.07, 0.08, 0.08, 0.07, 0.05, 0.04, 0.03, 0.02, 0.02,
+)
+STORE_KEY, PRODUCT_KEY = "NM-STORE-%03d", "NM-SKU-%05d"
+FIRST_DAY = date(1995, 1, 1)
+BATCHES = (
+    ("replay-001-seed", 1, 0, 1461, "2024-06-01 00:00:00+00:00"),
+    ("replay-002-inc", 2, 1461, 2191, "2024-06-01 01:00:00+00:00"),
+    ("replay-003-inc", 3, 2191, 2922, "2024-06-01 02:00:00+00:00"),
+    ("replay-004-restatement", 4, None, None, "2024-06-01 03:00:00+00:00"),
+)
+LATE_STORE, LATE_DAYS = 7, 365
+CORRECTED_STORE = 5
+CORRECTED_PRODUCTS = (37, 1, 2, 3, 8, 15, 21, 23, 25, 32, 36, 39, 66, 89)
+CORRECTED_DAYS = (59, 120, 151, 181, 334, 365, 700, 731, 762, 882, 943, 1247, 1369, 1400, 1734, 1826, 1917, 1947, 2070, 2343)
+EXPECTED_STORES, EXPECTED_PRODUCTS, EXPECTED_DAYS = 100, 2000, 2922
+SAMPLE_FROM, SAMPLE_TO, SAMPLE_STORES, SAMPLE_PRODUCTS, SAMPLE_TARGET = date(1996, 1, 1), date(1997, 12, 31), 20, 400, 500
+CLUSTERED_FROM, CLUSTERED_TO = date(1998, 1, 1), date(1999, 1, 1)
+FILTERED = {"region": ("AMERICA", "ASIA"), "category": ("STANDARD", "PROMO", "ECONOMY"), "priority_tier": ("critical", "high")}
+# --------------------------------------------------------------------------- end
 
 
 def R(x: str, n: int) -> str:
@@ -25,47 +50,46 @@ def S(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
 
-def LIST(values) -> str:
-    return "[" + ", ".join(S(v) for v in values) + "]"
-
-
 TS = "TIMESTAMP '2024-06-01 00:00:00'"
-P = C.FIXTURE_PRODUCTS
-NCAT = len(C.PRODUCT_CATEGORIES)
 
 # Feed columns in bronze (parsed) form; JSON arrays are not carried in SQL.
+# ``version`` 1 is a line's second, restated landing.
 FEED = f"""
 feed AS (
   SELECT
-    l_suppkey % 5 AS city_id,
+    CASE WHEN l_orderkey % 103 <> 0 THEN l_suppkey % 5 END AS city_id,
     l_suppkey AS store_id,
-    (l_partkey % {P}) % {NCAT} + 1 AS management_group_id,
-    (l_partkey % {P}) % {NCAT} + 10 AS first_category_id,
-    (l_partkey % {P}) % {NCAT} + 100 AS second_category_id,
-    (l_partkey % {P}) % {NCAT} + 1000 AS third_category_id,
-    l_partkey % {P} AS product_id,
+    l_partkey % 8 + 1 AS management_group_id,
+    l_partkey % 8 + 10 AS first_category_id,
+    l_partkey % 8 + 100 AS second_category_id,
+    l_partkey % 8 + 1000 AS third_category_id,
+    l_partkey AS product_id,
     CAST(date_trunc('month', l_shipdate) AS DATE) AS dt,
-    l_quantity / {D(10.0)} AS sale_amount,
+    CASE WHEN l_orderkey % 107 = 0 THEN {D(-1.0)} ELSE (l_quantity + version) / {D(10.0)} END AS sale_amount,
     CAST(CASE WHEN l_orderkey % 97 = 0 THEN 18 WHEN l_linenumber >= 5 THEN l_orderkey % 9 ELSE 0 END AS BIGINT)
       AS stock_hour6_22_cnt,
     CASE WHEN l_orderkey % 101 = 0 THEN {D(0.0)}
+         WHEN l_orderkey % 113 = 0 THEN {D(0.00001)}
          WHEN l_discount >= {D(0.08)} THEN {R('1 - l_discount', 2)}
          ELSE {D(1.0)} END AS discount,
     CAST(CASE WHEN month(l_shipdate) = 12 THEN 1 ELSE 0 END AS BIGINT) AS holiday_flag,
     CAST(CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN 1 ELSE 0 END AS BIGINT) AS activity_flag,
-    (CAST(l_quantity AS BIGINT) % 8) / {D(16.0)} AS precpt,
-    l_quantity + {D(0.25)} AS avg_temperature,
-    l_quantity + {D(0.5)} AS avg_humidity,
-    CAST(CAST(l_quantity AS BIGINT) % 9 AS DOUBLE) AS avg_wind_level,
-    {S(C.FIXTURE_SLICE.source_dataset)} AS source_dataset,
-    {S(C.FIXTURE_SLICE.source_split)} AS source_split,
-    'batch-' || CAST(1 + l_linenumber % 4 AS VARCHAR) AS batch_id,
-    CAST(1 + l_linenumber % 4 AS BIGINT) AS batch_seq,
+    (CAST(l_quantity + version AS BIGINT) % 8) / {D(16.0)} AS precpt,
+    l_quantity + version + {D(0.25)} AS avg_temperature,
+    l_quantity + version + {D(0.5)} AS avg_humidity,
+    CAST(CAST(l_quantity + version AS BIGINT) % 9 AS DOUBLE) AS avg_wind_level,
+    'lineitem' AS source_dataset,
+    'train' AS source_split,
+    'batch-' || CAST(CASE WHEN version = 1 THEN 5 ELSE 1 + l_linenumber % 4 END AS VARCHAR) AS batch_id,
+    CAST(CASE WHEN version = 1 THEN 5 ELSE 1 + l_linenumber % 4 END AS BIGINT) AS batch_seq,
     {TS} AS ingested_at,
     l_orderkey AS line_orderkey,
-    CAST(l_linenumber AS BIGINT) AS line_number
-  FROM lineitem
+    CAST(l_linenumber AS BIGINT) AS line_number,
+    version
+  FROM lineitem, (VALUES (0), (1)) v(version)
+  WHERE version = 0 OR (l_orderkey + l_linenumber + l_partkey) % 5 = 0
 )"""
+BASE = "base AS (SELECT * FROM feed WHERE version = 0)"
 
 RAW_RULES = (
     "city_id IS NOT NULL AND store_id IS NOT NULL AND product_id IS NOT NULL AND dt IS NOT NULL",
@@ -80,7 +104,7 @@ def passes(rules) -> str:
     return " AND ".join(f"COALESCE(({r}), FALSE)" for r in rules)
 
 
-BRONZE = f"bronze AS (SELECT * FROM feed WHERE {passes(RAW_RULES)})"
+BRONZE = f"bronze AS (SELECT * EXCLUDE (version) FROM feed WHERE {passes(RAW_RULES)})"
 LATEST_ORDER = "batch_seq DESC NULLS LAST, line_orderkey DESC, line_number DESC"
 
 
@@ -94,41 +118,43 @@ def latest_of(name: str, source: str, extra_partition: str = "") -> str:
 
 LATEST = latest_of("latest", "bronze")
 
-STORES = f"""
-store_master AS (
-  SELECT * FROM (
+STORES_LANDED = f"""
+stores_landed AS (
   SELECT
-    printf('{C.STORE_KEY_FORMAT}', s_suppkey) AS northmart_store_id,
+    CASE WHEN s_suppkey <> 3 THEN printf('{STORE_KEY}', s_suppkey) END AS northmart_store_id,
     s_suppkey AS source_store_id,
     s_name AS store_name,
     r_name AS region,
     n_name AS state,
     s_name AS city,
-    ({LIST(C.STORE_FORMATS)})[s_suppkey % 3 + 1] AS store_format,
-    ({LIST(C.FIXTURE_CLIMATE_ZONES)})[r_regionkey % 5 + 1] AS climate_zone,
-    make_date(CAST({C.OPENED_YEAR_BASE} + s_suppkey % 7 AS BIGINT), CAST(1 + s_suppkey % 12 AS BIGINT), 1) AS opened_date,
-    {S(C.FIXTURE_SLICE.batch_id)} AS batch_id,
+    CASE WHEN s_suppkey = 4 THEN 'kiosk' ELSE (['flagship', 'standard', 'outlet'])[s_suppkey % 3 + 1] END AS store_format,
+    (['coastal', 'continental', 'tropical', 'arid', 'temperate'])[r_regionkey % 5 + 1] AS climate_zone,
+    make_date(CAST(2015 + s_suppkey % 7 AS BIGINT), CAST(1 + s_suppkey % 12 AS BIGINT), 1) AS opened_date,
+    'static-001' AS batch_id,
     {TS} AS ingested_at
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+)"""
+STORES = STORES_LANDED + """,
+store_master AS (
+  SELECT * FROM stores_landed
   WHERE northmart_store_id IS NOT NULL AND store_format IN ('flagship', 'standard', 'outlet')
 )"""
 
 PRODUCTS = f"""
 product_master AS (
   SELECT
-    printf('{C.PRODUCT_KEY_FORMAT}', p_partkey) AS northmart_product_id,
+    CASE WHEN p_partkey <> 10 THEN printf('{PRODUCT_KEY}', p_partkey) END AS northmart_product_id,
     p_partkey AS source_product_id,
     p_name AS product_name,
     p_type AS category,
     p_brand AS subcategory,
     p_brand AS brand,
-    ({LIST(C.REPLENISHMENT_CLASSES)})[p_size % 4 + 1] AS replenishment_class,
-    {R('p_retailprice / 100', 2)} AS base_unit_price,
-    ({LIST(C.SEASONAL_PEAKS)})[p_partkey % 5 + 1] AS seasonal_peak,
-    {S(C.FIXTURE_SLICE.batch_id)} AS batch_id,
+    CASE WHEN p_partkey = 12 THEN 'unknown' ELSE (['fast', 'standard', 'slow', 'seasonal'])[p_size % 4 + 1] END AS replenishment_class,
+    CASE WHEN p_partkey = 11 THEN {D(0.0)} ELSE {R('p_retailprice / 100', 2)} END AS base_unit_price,
+    (['spring', 'summer', 'fall', 'winter', 'year_round'])[p_partkey % 5 + 1] AS seasonal_peak,
+    'static-001' AS batch_id,
     {TS} AS ingested_at
   FROM part
-  WHERE p_partkey < {P}
 )"""
 PRODUCTS_VALID = (
     "products AS (SELECT * FROM product_master WHERE northmart_product_id IS NOT NULL AND base_unit_price > 0 "
@@ -166,7 +192,7 @@ fact_sales{suffix} AS (
 fact_inventory_status{suffix} AS (
   SELECT * FROM (
     SELECT store_key, product_key, dt AS date_key, {hours} AS stockout_hours, {hours} > 0 AS stockout_flag,
-           {C.SERVICE_WINDOW_HOURS} AS service_window_hours,
+           17 AS service_window_hours,
            CASE WHEN {hours} = 0 THEN 'healthy' WHEN {hours} <= 2 THEN 'watch'
                 WHEN {hours} <= 6 THEN 'at_risk' ELSE 'stockout' END AS inventory_coverage_status,
            batch_id
@@ -178,7 +204,7 @@ fact_promotion{suffix} AS (
     SELECT store_key, product_key, dt AS date_key,
            (activity_flag = 1) OR ({RATE} > 0) AS promotion_flag,
            {RATE} AS discount_rate,
-           CASE WHEN activity_flag = 1 THEN {S(C.PROMO_CAMPAIGN)} WHEN {RATE} > 0 THEN {S(C.MARKDOWN_CAMPAIGN)}
+           CASE WHEN activity_flag = 1 THEN 'Seasonal Demand Push' WHEN {RATE} > 0 THEN 'Markdown Support'
                 ELSE NULL END AS campaign_name,
            batch_id
     FROM {keyed})
@@ -198,7 +224,7 @@ fact_external_signal{suffix} AS (
            CASE WHEN holiday_flag = 1 AND activity_flag = 1 THEN 'compound'
                 WHEN holiday_flag = 1 THEN 'holiday'
                 WHEN activity_flag = 1 THEN 'event'
-                WHEN precipitation > {D(C.PRECIPITATION_THRESHOLD)} OR avg_wind_level > {C.WIND_THRESHOLD}
+                WHEN precipitation > {D(0.2)} OR avg_wind_level > 6
                   THEN 'weather_sensitive'
                 ELSE 'normal' END AS demand_signal_bucket,
            batch_id
@@ -236,11 +262,11 @@ dim_date AS (
 def mart_of(suffix: str = "", name: str = "mart") -> str:
     hours = "COALESCE(i.stockout_hours, 0)"
     promo = "COALESCE(p.promotion_flag, FALSE)"
-    share = f"(CAST({hours} AS DOUBLE) / {D(float(C.SERVICE_WINDOW_HOURS))})"
+    share = f"(CAST({hours} AS DOUBLE) / {D(17.0)})"
     lost = R(f"s.estimated_revenue * {share}", 2)
     risk = R(
-        f"least({D(1.0)}, {share} + CASE WHEN {promo} THEN {D(C.PROMO_RISK_UPLIFT)} ELSE {D(0.0)} END"
-        f" + CASE WHEN dp.replenishment_class = 'seasonal' THEN {D(C.SEASONAL_RISK_UPLIFT)} ELSE {D(0.0)} END)",
+        f"least({D(1.0)}, {share} + CASE WHEN {promo} THEN {D(0.15)} ELSE {D(0.0)} END"
+        f" + CASE WHEN dp.replenishment_class = 'seasonal' THEN {D(0.1)} ELSE {D(0.0)} END)",
         4,
     )
     return f"""
@@ -254,8 +280,8 @@ def mart_of(suffix: str = "", name: str = "mart") -> str:
            COALESCE(e.demand_signal_bucket, 'normal') AS demand_signal_bucket,
            {lost} AS lost_sales_proxy,
            {risk} AS stockout_risk_score,
-           CASE WHEN {hours} >= {C.CRITICAL_HOURS} OR {lost} >= {C.CRITICAL_LOST_SALES} THEN 'critical'
-                WHEN {hours} >= {C.HIGH_HOURS} OR {promo} THEN 'high'
+           CASE WHEN {hours} >= 6 OR {lost} >= 100 THEN 'critical'
+                WHEN {hours} >= 3 OR {promo} THEN 'high'
                 WHEN {hours} > 0 THEN 'medium' ELSE 'low' END AS priority_tier
     FROM fact_sales{suffix} s
     JOIN dim_store ds ON s.store_key = ds.store_key
@@ -303,63 +329,50 @@ MART_OUT = (
 
 # -- hourly arrays -------------------------------------------------------------
 WEIGHTS = "hours_w AS (SELECT * FROM (VALUES " + ", ".join(
-    f"({h}, {D(w)})" for h, w in enumerate(C.HOURLY_WEIGHTS)
+    f"({h}, {D(w)})" for h, w in enumerate(HOURLY_WEIGHTS)
 ) + ") t(hour, w))"
-TOTAL = f"CAST('{C.HOURLY_WEIGHT_TOTAL!r}' AS DOUBLE)"
+TOTAL = f"CAST('{sum(HOURLY_WEIGHTS)!r}' AS DOUBLE)"
 HOUR_SALE = R(f"sale_amount * w / {TOTAL}", 4)
 HOUR_STOCK = (
-    f"CAST(CASE WHEN hour >= {C.STOCKOUT_LAST_HOUR + 1} - stock_hour6_22_cnt AND hour <= {C.STOCKOUT_LAST_HOUR} "
+    f"CAST(CASE WHEN hour >= 22 - stock_hour6_22_cnt AND hour <= 21 "
     "THEN 1 ELSE 0 END AS BIGINT)"
 )
-HOUR_KEYS = "store_id, product_id, dt, line_orderkey, line_number, CAST(hour AS INTEGER) AS hour"
+HOUR_KEYS = "store_id, product_id, dt, line_orderkey, line_number, batch_seq, CAST(hour AS INTEGER) AS hour"
 
 # -- replay ----------------------------------------------------------------------
-RP = C.FIXTURE_REPLAY
-OFF = f"datediff('day', DATE '{RP.start_date.isoformat()}', dt)"
-LATE = f"(store_id = {RP.late_store_id} AND {OFF} < {RP.late_store_days})"
-CORR = (
-    f"(store_id = {RP.correction_store_id} AND product_id IN ({', '.join(map(str, RP.correction_product_ids))}) "
-    f"AND {OFF} IN ({', '.join(map(str, RP.correction_day_offsets))}))"
-)
-
-
-def _batch_row(idx: int) -> tuple[str, str, str]:
-    batch_id, seq = RP.batches[idx - 1]
-    when = (RP.base_time + timedelta(hours=idx - 1)).strftime("%Y-%m-%d %H:%M:%S+00:00")
-    return S(batch_id), f"CAST({seq} AS BIGINT)", S(when)
+OFF = f"datediff('day', DATE '{FIRST_DAY}', dt)"
+LATE = f"(store_id = {LATE_STORE} AND {OFF} < {LATE_DAYS})"
+CORR = f"(store_id = {CORRECTED_STORE} AND product_id IN {CORRECTED_PRODUCTS} AND {OFF} IN {CORRECTED_DAYS})"
 
 
 def _replay_select(idx: int, where: str, corrected: bool) -> str:
-    bid, seq, when = _batch_row(idx)
-    sale = R(f"sale_amount * {D(C.CORRECTION_SALES_FACTOR)}", 4) if corrected else "sale_amount"
-    hours = f"CAST({C.CORRECTION_STOCKOUT_HOURS} AS BIGINT)" if corrected else "stock_hour6_22_cnt"
+    bid, seq, _, _, when = BATCHES[idx - 1]
+    sale = R(f"sale_amount * {D(2.0)}", 4) if corrected else "sale_amount"
+    hours = "CAST(8 AS BIGINT)" if corrected else "stock_hour6_22_cnt"
     activity = "CAST(1 AS BIGINT)" if corrected else "activity_flag"
-    discount = D(C.CORRECTION_DISCOUNT) if corrected else "discount"
+    discount = D(0.85) if corrected else "discount"
     is_late = "FALSE" if corrected else LATE
     return f"""SELECT city_id, store_id, management_group_id, first_category_id, second_category_id,
       third_category_id, product_id, dt, {sale} AS sale_amount, {hours} AS stock_hour6_22_cnt,
       {discount} AS discount, holiday_flag, {activity} AS activity_flag, precpt, avg_temperature, avg_humidity,
-      avg_wind_level, source_dataset, source_split, {bid} AS batch_id, {seq} AS batch_seq, {when} AS ingested_at,
-      line_orderkey, line_number, {str(corrected).upper()} AS is_corrected, {is_late} AS is_late, {idx} AS idx
-    FROM feed WHERE {where}"""
+      avg_wind_level, source_dataset, source_split, {S(bid)} AS batch_id, CAST({seq} AS BIGINT) AS batch_seq,
+      {S(when)} AS ingested_at, line_orderkey, line_number, {str(corrected).upper()} AS is_corrected,
+      {is_late} AS is_late, {idx} AS idx
+    FROM base WHERE {where}"""
 
 
 def _replay_cte() -> str:
-    parts = [_replay_select(1, f"{OFF} < {RP.seed_days} AND NOT {LATE}", False)]
-    cursor = RP.seed_days
-    for i, window in enumerate(RP.increment_days, start=2):
-        parts.append(_replay_select(i, f"{OFF} >= {cursor} AND {OFF} < {cursor + window}", False))
-        cursor += window
-    last = len(RP.batches)
-    parts.append(_replay_select(last, LATE, False))
-    parts.append(_replay_select(last, CORR, True))
-    return "replay AS (\n" + "\nUNION ALL\n".join(parts) + "\n)"
+    parts = []
+    for idx, (_, _, first, end, _) in enumerate(BATCHES, start=1):
+        if first is not None:
+            parts.append(_replay_select(idx, f"{OFF} >= {first} AND {OFF} < {end} AND NOT {LATE}", False))
+        else:
+            parts += [_replay_select(idx, LATE, False), _replay_select(idx, CORR, True)]
+    return BASE + ",\nreplay AS (\n" + "\nUNION ALL\n".join(parts) + "\n)"
 
 
 REPLAY = _replay_cte()
-REPLAY_OUT = FEED_OUT.replace("dt, ", "strftime(dt, '%Y-%m-%d') AS dt, ").replace(
-    "ingested_at,", "ingested_at,"
-)
+REPLAY_OUT = FEED_OUT.replace("dt, ", "strftime(dt, '%Y-%m-%d') AS dt, ")
 REPLAY_BRONZE = (
     "replay_bronze AS (SELECT * REPLACE (CAST(strptime(ingested_at, '%Y-%m-%d %H:%M:%S+00:00') AS TIMESTAMP) "
     f"AS ingested_at) FROM replay WHERE {passes(RAW_RULES)})"
@@ -372,7 +385,7 @@ REPLAY_GOLD = [
 
 
 def _progress_sql() -> str:
-    stages = "stages AS (SELECT * FROM (VALUES " + ", ".join(f"({i})" for i in range(1, len(RP.batches) + 1)) + ") t(stage))"
+    stages = "stages AS (SELECT * FROM (VALUES " + ", ".join(f"({i})" for i in range(1, len(BATCHES) + 1)) + ") t(stage))"
     staged = "staged AS (SELECT s.stage, b.* FROM stages s JOIN replay_bronze b ON b.idx <= s.stage)"
     latest = latest_of("staged_latest", "staged", "stage")
     keyed = f"""staged_keyed AS (
@@ -393,81 +406,70 @@ UNION ALL SELECT stage, 'gold_max_date', CAST(max(date_key) AS VARCHAR) FROM sta
 
 # -- validation ----------------------------------------------------------------
 def _slice_validation_sql() -> str:
-    cfg = C.FIXTURE_SLICE
-    stores = "(SELECT count(*) FROM store_master)"
+    stores, products, days = EXPECTED_STORES, EXPECTED_PRODUCTS, EXPECTED_DAYS
     rows = [
-        ("raw_row_count", f"{stores} * {cfg.product_count} * {cfg.day_count}", "count(*)", "feed"),
-        ("raw_missing_columns", "0", "min(0)", "feed"),
-        ("raw_negative_sale_amount", "0", "count_if(NOT COALESCE(sale_amount >= 0, FALSE))", "feed"),
-        ("raw_stockout_hours_out_of_range", "0",
-         "count_if(NOT COALESCE(stock_hour6_22_cnt BETWEEN 0 AND 17, FALSE))", "feed"),
-        ("raw_discount_out_of_range", "0", "count_if(NOT COALESCE(discount > 0 AND discount <= 1, FALSE))", "feed"),
-        ("raw_holiday_flag_not_01", "0", "count_if(NOT COALESCE(holiday_flag IN (0, 1), FALSE))", "feed"),
-        ("raw_activity_flag_not_01", "0", "count_if(NOT COALESCE(activity_flag IN (0, 1), FALSE))", "feed"),
+        ("raw_row_count", stores * products * days, "count(*)", "feed"),
+        ("raw_missing_columns", 0, "0", "(SELECT 1)"),
+        ("raw_negative_sale_amount", 0, "count_if(NOT COALESCE(sale_amount >= 0, FALSE))", "feed"),
+        ("raw_stockout_hours_out_of_range", 0, "count_if(NOT COALESCE(stock_hour6_22_cnt BETWEEN 0 AND 17, FALSE))", "feed"),
+        ("raw_discount_out_of_range", 0, "count_if(NOT COALESCE(discount > 0 AND discount <= 1, FALSE))", "feed"),
+        ("raw_holiday_flag_not_01", 0, "count_if(NOT COALESCE(holiday_flag IN (0, 1), FALSE))", "feed"),
+        ("raw_activity_flag_not_01", 0, "count_if(NOT COALESCE(activity_flag IN (0, 1), FALSE))", "feed"),
         ("raw_store_cardinality", stores, "count(DISTINCT store_id)", "feed"),
-        ("raw_product_cardinality", str(cfg.product_count), "count(DISTINCT product_id)", "feed"),
-        ("raw_date_cardinality", str(cfg.day_count), "count(DISTINCT dt)", "feed"),
+        ("raw_product_cardinality", products, "count(DISTINCT product_id)", "feed"),
+        ("raw_date_cardinality", days, "count(DISTINCT dt)", "feed"),
         ("store_row_count", stores, "count(*)", "store_master"),
-        ("store_missing_columns", "0", "min(0)", "store_master"),
-        ("product_row_count", str(cfg.product_count), "count(*)", "products"),
-        ("product_missing_columns", "0", "min(0)", "products"),
-        ("product_nonpositive_price", "0", "count_if(NOT COALESCE(base_unit_price > 0, FALSE))", "products"),
-    ]
-    selects = [
-        f"SELECT '{name}' AS check_name, CAST({exp} AS BIGINT) AS expected, CAST({act} AS BIGINT) AS actual FROM {src}"
-        for name, exp, act, src in rows
+        ("store_missing_columns", 0, "0", "(SELECT 1)"),
+        ("product_row_count", products, "count(*)", "products"),
+        ("product_missing_columns", 0, "0", "(SELECT 1)"),
+        ("product_nonpositive_price", 0, "count_if(NOT COALESCE(base_unit_price > 0, FALSE))", "products"),
     ]
     for name, src, keys in (
         ("raw_duplicate_grain", "feed", "store_id, product_id, dt"),
         ("store_duplicate_key", "store_master", "northmart_store_id"),
         ("product_duplicate_key", "products", "northmart_product_id"),
     ):
-        selects.append(
-            f"SELECT '{name}' AS check_name, CAST(0 AS BIGINT) AS expected, "
-            f"CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS actual FROM (SELECT count(*) AS n FROM {src} GROUP BY {keys})"
-        )
-    body = "SELECT check_name, expected, actual, expected = actual AS passed FROM (\n" + "\nUNION ALL\n".join(selects) + ")"
+        rows.append((name, 0, "COALESCE(sum(n - 1), 0)", f"(SELECT count(*) AS n FROM {src} GROUP BY {keys})"))
+    selects = [
+        f"SELECT '{name}' AS check_name, CAST({exp} AS BIGINT) AS expected, CAST({act} AS BIGINT) AS actual FROM {src}"
+        for name, exp, act, src in rows
+    ]
+    body = "SELECT check_name, expected, actual, expected = actual AS passed, '' AS detail FROM (\n" + "\nUNION ALL\n".join(selects) + ")"
     return with_([FEED, STORES, PRODUCTS, PRODUCTS_VALID], body)
 
 
+# SQL types that a contract type may have here.
+_TYPES = {
+    "bigint": ("BIGINT",), "int": ("INTEGER", "BIGINT"), "double": ("DOUBLE",), "string": ("VARCHAR",), "date": ("DATE",),
+    "timestamp": ("TIMESTAMP",), "boolean": ("BOOLEAN",),
+}
+
+
 def _contract_sql() -> str:
     sources = {
-        "bronze_raw_freshretailnet_daily": "bronze",
-        "bronze_northmart_store_master": "store_master",
-        "bronze_northmart_product_master": "products",
-        "dim_store": "dim_store",
-        "dim_product": "dim_product",
-        "dim_date": "dim_date",
-        "fact_sales": "fact_sales",
-        "fact_inventory_status": "fact_inventory_status",
-        "fact_promotion": "fact_promotion",
-        "fact_external_signal": "fact_external_signal",
-        "gold_store_product_stockout_daily": "mart",
+        "bronze_daily_observations": "bronze",
+        "bronze_store_master": "store_master",
+        "bronze_product_master": "products",
+        "gold_stockout_daily": "mart",
     }
-    # Columns a table carries in this catalog (the oracle CTEs omit array and audit columns).
+    # Arrays and audit times are not carried in SQL: current times, never NULL.
     skip = {"hours_sale", "hours_stock_status", "processed_at", "refreshed_at"}
     selects = []
-    for contract in K.ALL:
-        src = sources[contract.table]
-        for name in contract.required:
-            if name in skip:
-                # audit load times: current_timestamp(), never NULL
-                selects.append(f"SELECT '{contract.table}', 'required:{name}', 0")
-                continue
-            selects.append(
-                f"SELECT '{contract.table}' AS table_name, 'required:{name}' AS check_name, "
-                f"count_if({name} IS NULL) AS failures FROM {src}"
-            )
-        for i, check in enumerate(contract.checks, start=1):
-            label = f"check_{i}:{check}".replace("'", "''")
-            selects.append(
-                f"SELECT '{contract.table}', '{label}', count_if(NOT COALESCE(({check}), FALSE)) FROM {src}"
-            )
-        keys = ", ".join(contract.primary_key)
-        selects.append(
-            f"SELECT '{contract.table}', 'primary_key:{','.join(contract.primary_key)}', "
-            f"CAST(COALESCE(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM {src} GROUP BY {keys})"
-        )
+    add = lambda table, check, failures, src: selects.append(
+        f"SELECT '{table}' AS table_name, {S(check)} AS check_name, {failures} AS failures FROM {src}"
+    )
+    for table, key, columns, checks in CONTRACTS:
+        src = sources.get(table, table)
+        for line in columns.strip().splitlines():
+            name, kind, *required = line.split()
+            types = ("DOUBLE",) if kind.startswith("decimal") else _TYPES.get(kind, ())
+            known = "0" if name in skip else f"CASE WHEN typeof(any_value({name})) IN ({', '.join(map(S, types))}, '\"NULL\"') THEN 0 ELSE 1 END"
+            add(table, f"column:{name}:{kind}", known, "(SELECT 1)" if name in skip else src)
+            if required:
+                add(table, f"required:{name}", "0" if name in skip else f"count_if({name} IS NULL)", "(SELECT 1)" if name in skip else src)
+        for i, check in enumerate(checks, start=1):
+            add(table, f"check_{i}:{check}", f"count_if(NOT COALESCE(({check}), FALSE))", src)
+        add(table, "primary_key:" + ",".join(key), "COALESCE(sum(n - 1), 0)", f"(SELECT count(*) AS n FROM {src} GROUP BY {', '.join(key)})")
     body = (
         "SELECT table_name, check_name, CAST(failures AS BIGINT) AS failures, failures = 0 AS passed FROM (\n"
         + "\nUNION ALL\n".join(selects) + ")"
@@ -475,45 +477,16 @@ def _contract_sql() -> str:
     return with_(FULL, body)
 
 
-def _masters_sql() -> tuple[str, str]:
-    states = C.STATES
-    pick = lambda values: f"({LIST(values)})[(seq - 1) % {len(values)} + 1]"
-    store = with_(
-        [FEED, "ids AS (SELECT DISTINCT store_id FROM feed WHERE store_id IS NOT NULL)",
-         "num AS (SELECT store_id, CAST(row_number() OVER (ORDER BY store_id) AS INTEGER) AS seq FROM ids)"],
-        f"""SELECT printf('{C.STORE_KEY_FORMAT}', seq) AS northmart_store_id, store_id AS source_store_id,
-       printf('{C.STORE_NAME_FORMAT}', {pick([s[1] for s in states])}, seq) AS store_name,
-       {pick([s[2] for s in states])} AS region,
-       {pick([s[0] for s in states])} AS state,
-       printf('{C.CITY_NAME_FORMAT}', {pick([s[0] for s in states])}, seq) AS city,
-       {pick(C.STORE_FORMATS)} AS store_format,
-       {pick([s[3] for s in states])} AS climate_zone,
-       make_date(CAST({C.OPENED_YEAR_BASE} + seq % 7 AS BIGINT), CAST((seq - 1) % 12 + 1 AS BIGINT), 1) AS opened_date,
-       {S(C.FIXTURE_SLICE.batch_id)} AS batch_id, {S(C.FIXTURE_INGESTED_AT)} AS ingested_at
-FROM num""",
-    )
-    product = with_(
-        [FEED, "ids AS (SELECT DISTINCT product_id FROM feed WHERE product_id IS NOT NULL)",
-         "num AS (SELECT product_id, CAST(row_number() OVER (ORDER BY product_id) AS INTEGER) AS seq FROM ids)"],
-        f"""SELECT printf('{C.PRODUCT_KEY_FORMAT}', seq) AS northmart_product_id, product_id AS source_product_id,
-       printf('{C.PRODUCT_NAME_FORMAT}', {pick(C.PRODUCT_CATEGORIES)}, seq) AS product_name,
-       {pick(C.PRODUCT_CATEGORIES)} AS category,
-       {pick(C.PRODUCT_CATEGORIES)} || {S(C.SUBCATEGORY_SUFFIX)} AS subcategory,
-       {pick(C.BRANDS)} AS brand,
-       {pick(C.REPLENISHMENT_CLASSES)} AS replenishment_class,
-       {R(f"{D(C.BASE_PRICE)} + CAST(seq % {C.PRICE_CYCLE} AS DOUBLE) * {D(C.PRICE_STEP)}", 2)} AS base_unit_price,
-       {pick(C.SEASONAL_PEAKS)} AS seasonal_peak,
-       {S(C.FIXTURE_SLICE.batch_id)} AS batch_id, {S(C.FIXTURE_INGESTED_AT)} AS ingested_at
-FROM num""",
+def _masters_sql(column: str, fmt: str, key: str, source: str) -> str:
+    return with_(
+        [FEED, f"ids AS (SELECT DISTINCT {column} FROM feed WHERE {column} IS NOT NULL)",
+         f"num AS (SELECT {column}, CAST(row_number() OVER (ORDER BY {column}) AS INTEGER) AS seq FROM ids)"],
+        f"SELECT printf('{fmt}', seq) AS {key}, {column} AS {source}, 'static-001' AS batch_id, "
+        "'2024-06-01 00:00:00+00:00' AS ingested_at FROM num",
     )
-    return store, product
 
 
 def _sample_sql() -> str:
-    from shelfguard.catalog import SAMPLE_PRODUCTS, SAMPLE_STORES, SAMPLE_WINDOW
-
-    lo, hi = SAMPLE_WINDOW
-    target = SAMPLE_STORES * SAMPLE_PRODUCTS * ((hi - lo).days + 1)
     pos = "line_orderkey * 8 + line_number"
     cols = (
         "city_id, store_id, management_group_id, first_category_id, second_category_id, third_category_id, "
@@ -522,24 +495,63 @@ def _sample_sql() -> str:
     )
     return with_(
         [
-            FEED,
-            f"win AS (SELECT * FROM feed WHERE dt BETWEEN DATE '{lo}' AND DATE '{hi}')",
+            FEED, BASE,
+            f"win AS (SELECT * FROM base WHERE dt BETWEEN DATE '{SAMPLE_FROM}' AND DATE '{SAMPLE_TO}')",
             f"fs AS (SELECT store_id FROM win GROUP BY store_id ORDER BY min({pos}), store_id LIMIT {SAMPLE_STORES})",
             f"fp AS (SELECT product_id FROM win GROUP BY product_id ORDER BY min({pos}), product_id LIMIT {SAMPLE_PRODUCTS})",
         ],
         f"""SELECT {cols} FROM win
 WHERE store_id IN (SELECT store_id FROM fs) AND product_id IN (SELECT product_id FROM fp)
-ORDER BY line_orderkey, line_number, store_id, product_id LIMIT {target}""",
+ORDER BY line_orderkey, line_number, store_id, product_id LIMIT {SAMPLE_TARGET}""",
     )
 
 
-def oracle_sql() -> dict[str, str]:
-    from shelfguard.catalog import CLUSTERED_RANGE, FILTERED_REGIONS, FILTERED_TIERS
+# -- rule counts -----------------------------------------------------------------
+def _rule_sql() -> str:
+    """Rows seen, kept and failing each rule; the tables before their rules are written out again."""
+    dims = DIMS.replace(" WHERE northmart_store_id IS NOT NULL\n", "\n").replace(" WHERE northmart_product_id IS NOT NULL AND base_unit_price > 0\n", "\n")
+    facts = facts_of("keyed")
+    hours = "CAST(stock_hour6_22_cnt AS INTEGER)"
+    before = [
+        f"sales_rows AS (SELECT store_key, product_key, dt AS date_key, {UNITS} AS observed_units, {REVENUE} AS estimated_revenue FROM keyed)",
+        f"inventory_rows AS (SELECT store_key, product_key, dt AS date_key, {hours} AS stockout_hours, 17 AS service_window_hours FROM keyed)",
+        f"promotion_rows AS (SELECT store_key, product_key, dt AS date_key, {RATE} AS discount_rate FROM keyed)",
+    ]
+    keys = KEYS_NOT_NULL
+    buckets = "demand_signal_bucket IN ('normal', 'weather_sensitive', 'holiday', 'event', 'compound')"
+    rules = {
+        "bronze_raw_daily": ("feed", list(zip(RAW_RULE_NAMES, RAW_RULES, strict=True))),
+        "bronze_store_master": ("stores_landed", [
+            ("valid_store_key", "northmart_store_id IS NOT NULL"), ("valid_store_format", "store_format IN ('flagship', 'standard', 'outlet')")]),
+        "bronze_product_master": ("product_master", [
+            ("valid_product_key", "northmart_product_id IS NOT NULL"), ("valid_unit_price", "base_unit_price > 0"),
+            ("valid_replenishment_class", "replenishment_class IN ('fast', 'standard', 'slow', 'seasonal')")]),
+        "dim_store": ("dim_store", [("valid_store_key", "store_key IS NOT NULL")]),
+        "dim_product": ("dim_product", [("valid_product_key", "product_key IS NOT NULL"), ("valid_base_unit_price", "base_unit_price > 0")]),
+        "dim_date": ("dim_date", [("valid_date_key", "date_key IS NOT NULL")]),
+        "fact_sales": ("sales_rows", [
+            ("valid_sales_keys", keys), ("valid_observed_units", "observed_units >= 0"), ("valid_estimated_revenue", "estimated_revenue >= 0")]),
+        "fact_inventory_status": ("inventory_rows", [
+            ("valid_inventory_keys", keys), ("valid_stockout_hours", "stockout_hours >= 0 AND stockout_hours <= service_window_hours")]),
+        "fact_promotion": ("promotion_rows", [("valid_promotion_keys", keys), ("valid_discount_rate", "discount_rate >= 0 AND discount_rate < 1")]),
+        "fact_external_signal": ("fact_external_signal", [
+            ("valid_external_keys", "store_key IS NOT NULL AND date_key IS NOT NULL"), ("valid_demand_signal_bucket", buckets)]),
+        "gold_stockout_daily": ("mart", [
+            ("valid_gold_keys", keys), ("valid_gold_measures", "observed_units >= 0 AND estimated_revenue >= 0 AND lost_sales_proxy >= 0"),
+            ("valid_priority_tier", "priority_tier IN ('low', 'medium', 'high', 'critical')")]),
+    }
+    selects = []
+    for table, (src, own) in rules.items():
+        counts = [("_rows_seen", "count(*)"), ("_rows_kept", f"count_if({passes([r for _, r in own])})")]
+        counts += [(n, f"count_if(NOT COALESCE(({r}), FALSE))") for n, r in own]
+        selects += [f"SELECT '{table}' AS table_name, '{n}' AS rule_name, {x} AS failed_rows FROM {src}" for n, x in counts]
+    return with_([*CORE, facts, dims, mart_of(), *before], "\nUNION ALL ".join(selects))
 
-    lo, hi = CLUSTERED_RANGE
-    late_before = RP.start_date + timedelta(days=RP.late_store_days)
-    corr_dates = ", ".join(f"DATE '{RP.start_date + timedelta(days=d)}'" for d in RP.correction_day_offsets)
-    store_sql, product_sql = _masters_sql()
+
+def oracle_sql() -> dict[str, str]:
+    lo, hi = CLUSTERED_FROM, CLUSTERED_TO
+    late_before = FIRST_DAY + timedelta(days=LATE_DAYS)
+    corr_dates = ", ".join(f"DATE '{FIRST_DAY + timedelta(days=d)}'" for d in CORRECTED_DAYS)
     q = {}
     q["bronze_daily"] = with_([FEED, BRONZE], f"SELECT {FEED_OUT} FROM bronze")
     q["incremental_ingest"] = q["bronze_daily"]
@@ -553,17 +565,7 @@ def oracle_sql() -> dict[str, str]:
     q["hourly_stock_status"] = with_(
         [FEED, WEIGHTS], f"SELECT {HOUR_KEYS}, {HOUR_STOCK} AS hours_stock_status FROM feed, hours_w"
     )
-    rule_aggs = ", ".join(
-        [f"count(*) AS _rows_seen", f"count_if({passes(RAW_RULES)}) AS _rows_kept"]
-        + [f"count_if(NOT COALESCE(({r}), FALSE)) AS {n}" for n, r in zip(RAW_RULE_NAMES, RAW_RULES)]
-    )
-    q["dq_rule_counts"] = with_(
-        [FEED, f"agg AS (SELECT {rule_aggs} FROM feed)"],
-        "\nUNION ALL ".join(
-            f"SELECT 'bronze_raw_daily' AS table_name, '{n}' AS rule_name, {n} AS failed_rows FROM agg"
-            for n in ("_rows_seen", "_rows_kept", *RAW_RULE_NAMES)
-        ),
-    )
+    q["dq_rule_counts"] = _rule_sql()
     q["latest_version"] = with_([FEED, BRONZE, LATEST], f"SELECT {FEED_OUT} FROM latest")
     q["keyed_observations"] = with_(CORE, f"SELECT {FEED_OUT}, store_key, product_key, base_unit_price FROM keyed")
     q["dim_store"] = with_(FULL, "SELECT * FROM dim_store")
@@ -575,8 +577,7 @@ def oracle_sql() -> dict[str, str]:
     q["mart_projection"] = with_(FULL, "SELECT * FROM dataset")
     q["mart_filtered"] = with_(
         FULL,
-        f"SELECT * FROM dataset WHERE region IN ({', '.join(map(S, FILTERED_REGIONS))}) "
-        f"AND priority_tier IN ({', '.join(map(S, FILTERED_TIERS))})",
+        "SELECT * FROM dataset WHERE " + " AND ".join(f"{c} IN ({', '.join(map(S, v))})" for c, v in FILTERED.items()),
     )
     money = R("sum(lost_sales_proxy)", 2)
     q["kpi_lost_sales"] = with_(FULL, f"SELECT {money} AS sum_lost_sales_proxy FROM dataset")
@@ -617,8 +618,8 @@ def oracle_sql() -> dict[str, str]:
     )
     q["slice_validation"] = _slice_validation_sql()
     q["contract_report"] = _contract_sql()
-    q["assign_store_keys"] = store_sql
-    q["assign_product_keys"] = product_sql
+    q["assign_store_keys"] = _masters_sql("store_id", STORE_KEY, "northmart_store_id", "source_store_id")
+    q["assign_product_keys"] = _masters_sql("product_id", PRODUCT_KEY, "northmart_product_id", "source_product_id")
     q["sample_first_keys"] = _sample_sql()
     # Replay: landed rows are in landed (text) form.
     q["replay_batches"] = with_(
@@ -635,7 +636,7 @@ def oracle_sql() -> dict[str, str]:
         "UNION ALL SELECT 'corrected_rows', count_if(is_corrected) FROM replay "
         "UNION ALL SELECT 'late_arriving_rows', count_if(is_late) FROM replay "
         "UNION ALL SELECT 'silver_fact_rows_after_full_replay', count(*) FROM "
-        "(SELECT DISTINCT store_id, product_id, dt FROM feed)",
+        "(SELECT DISTINCT store_id, product_id, dt FROM base)",
     )
     q["batch_provenance"] = with_(
         [FEED, REPLAY, REPLAY_BRONZE],
@@ -644,14 +645,14 @@ def oracle_sql() -> dict[str, str]:
     q["late_arrivals_check"] = with_(
         [FEED] + REPLAY_GOLD,
         f"SELECT count(*) AS late_store_early_rows FROM replay_mart "
-        f"WHERE store_key = {S(C.STORE_KEY_FORMAT % RP.late_store_id)} AND date_key < DATE '{late_before}'",
+        f"WHERE store_key = {S(STORE_KEY % LATE_STORE)} AND date_key < DATE '{late_before}'",
     )
     q["restatement_check"] = with_(
         [FEED] + REPLAY_GOLD,
         f"SELECT store_key, product_key, date_key, stockout_hours, {R('estimated_revenue', 2)} AS rev, "
         f"{R('lost_sales_proxy', 2)} AS lost, priority_tier FROM replay_mart "
-        f"WHERE store_key = {S(C.STORE_KEY_FORMAT % RP.correction_store_id)} "
-        f"AND product_key = {S(C.PRODUCT_KEY_FORMAT % RP.correction_product_ids[0])} "
+        f"WHERE store_key = {S(STORE_KEY % CORRECTED_STORE)} "
+        f"AND product_key = {S(PRODUCT_KEY % CORRECTED_PRODUCTS[0])} "
         f"AND date_key IN ({corr_dates}) ORDER BY date_key",
     )
     q["progress_counts"] = _progress_sql()

@@ -1,8 +1,9 @@
-"""Contract checks on a table.
+"""Contract checks on a table, as rows (table_name, check_name, failures, passed).
 
-``contract_report``: data checks (required columns NOT NULL, primary-key
-uniqueness, quality checks) — one aggregation pass plus one group-by.
-``schema_report``: column presence and types, from the schema alone.
+Every column of the contract is checked for presence and type from the schema
+alone; required columns, quality checks and the primary key are counted in one
+aggregation pass plus one group-by. A column that is absent fails its column
+check, and every row fails what is required of it.
 """
 
 from __future__ import annotations
@@ -13,24 +14,18 @@ from pyspark.sql.utils import AnalysisException
 
 from shelfguard.contracts import Contract
 
-# Contract types that a run-time type satisfies (money is carried as double).
-_COMPATIBLE = {
-    "bigint": {"bigint"},
-    "int": {"int", "bigint"},
-    "double": {"double"},
-    "string": {"string"},
-    "date": {"date"},
-    "timestamp": {"timestamp", "timestamp_ntz"},
-    "boolean": {"boolean"},
-    "array<double>": {"array<double>"},
-    "array<int>": {"array<int>", "array<bigint>"},
+# Contract types that other run-time types satisfy too (money is carried as double).
+_WIDER = {
+    "int": {"bigint"},
+    "timestamp": {"timestamp_ntz"},
+    "array<int>": {"array<bigint>"},
 }
 
 
 def _accepts(contract_type: str, actual: str) -> bool:
-    if contract_type.startswith("decimal"):
-        return actual.startswith("decimal") or actual == "double"
-    return actual in _COMPATIBLE.get(contract_type, {contract_type})
+    if contract_type.startswith("decimal") and actual == "double":
+        return True
+    return actual == contract_type or actual in _WIDER.get(contract_type, ())
 
 
 def _resolves(df: DataFrame, expression: str) -> bool:
@@ -41,46 +36,30 @@ def _resolves(df: DataFrame, expression: str) -> bool:
         return False
 
 
+def schema_report(df: DataFrame, contract: Contract) -> list[tuple[str, int]]:
+    """(column check, 0 or 1 failures) of every column, from the schema only."""
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    wanted = {f.name: f.dataType.simpleString() for f in contract.schema.fields}
+    return [(f"column:{c}:{t}", int(not (c in actual and _accepts(t, actual[c])))) for c, t in wanted.items()]
+
+
 def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
-    """(table_name, check_name, failures, passed) for every data check."""
-    present = set(df.columns)
-    metrics = []
+    every, none = F.count("*"), F.lit(0)
+    metrics = [(name, every * 0 + failures) for name, failures in schema_report(df, contract)]
     for name in contract.required:
-        if name in present:
-            metrics.append((f"required:{name}", F.count_if(F.col(name).isNull())))
+        failing = F.count_if(F.col(name).isNull()) if name in df.columns else every
+        metrics.append((f"required:{name}", failing))
     for i, check in enumerate(contract.checks, start=1):
-        if _resolves(df, check):
-            failing = F.count_if(~F.coalesce(F.expr(check), F.lit(False)))
-        else:  # the check names a column the table lacks: every row fails it
-            failing = F.count(F.lit(1))
+        # A check that names an absent column fails on every row.
+        failing = F.count_if(~F.coalesce(F.expr(check), F.lit(False))) if _resolves(df, check) else every
         metrics.append((f"check_{i}:{check}", failing))
-    aliases = [f"m{i}" for i in range(len(metrics))]
-    names = F.create_map(*[x for (label, _), alias in zip(metrics, aliases) for x in (F.lit(alias), F.lit(label))])
-    wide = df.agg(*[expr.alias(alias) for (_, expr), alias in zip(metrics, aliases)])
-    data = wide.unpivot([], aliases, "_alias", "failures").select(
-        F.element_at(names, F.col("_alias")).alias("check_name"), F.col("failures").cast("long").alias("failures")
-    )
-    key = list(contract.primary_key)
-    dupes = (
-        df.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("failures"))
-        .select(F.lit("primary_key:" + ",".join(key)).alias("check_name"), "failures")
-    )
-    return (
-        data.unionByName(dupes)
-        .select(F.lit(contract.table).alias("table_name"), "check_name", "failures")
-        .withColumn("passed", F.col("failures") == 0)
-    )
-
-
-def schema_report(df: DataFrame, contract: Contract) -> list[tuple[str, str, bool]]:
-    """(check, detail, passed) for column presence and type, from the schema only."""
-    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    out = []
-    for name, ctype, _ in contract.columns:
-        if name not in actual:
-            out.append((f"present:{name}", "missing", False))
-        else:
-            out.append((f"type:{name}", f"{ctype} vs {actual[name]}", _accepts(ctype, actual[name])))
-    return out
+    wide = df.agg(*[failing.cast("long").alias(f"m{i}") for i, (_, failing) in enumerate(metrics)])
+    names = F.create_map(*[F.lit(x) for i, (label, _) in enumerate(metrics) for x in (f"m{i}", label)])
+    data = wide.unpivot([], wide.columns, "_m", "failures").select(names[F.col("_m")].alias("check_name"), "failures")
+    key = [c for c in contract.primary_key if c in df.columns]
+    surplus = F.coalesce(F.sum(F.col("_n") - 1), none).cast("long")
+    per_key = df.groupBy(*key).agg(F.count("*").alias("_n"))
+    dupes = per_key.agg((surplus if len(key) == len(contract.primary_key) else F.coalesce(F.sum("_n"), none)).cast("long").alias("failures"))
+    label = F.lit("primary_key:" + ",".join(contract.primary_key)).alias("check_name")
+    out = data.unionByName(dupes.select(label, "failures"))
+    return out.select(F.lit(contract.table).alias("table_name"), "check_name", "failures").withColumn("passed", F.col("failures") == 0)

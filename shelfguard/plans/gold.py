@@ -1,14 +1,11 @@
 """Gold: the daily store-product stock-out mart.
 
-Plan shape: the two dimensions are measured and broadcast (map-side joins).
-The three facts are left-joined on the full grain (store, product, date), so
-their shuffles hash on all three keys: after latest-wins a grain holds one
-row, and a hot store or store-date still spreads over its products. The
-external signal (one row per store and date) is broadcast when its measured
-size allows, which an incremental refresh of a few dates always does;
-otherwise it is joined last, on its own, as one shuffle join whose two sides
-are both shuffle stages, so AQE can split a hot (store, date) partition and
-replicate the single matching signal row.
+Plan shape: the three facts are left-joined on the full grain (store,
+product, date), so their shuffles hash on all three keys: after latest-wins a
+grain holds one row, and a hot store or store-date still spreads over its
+products. Dimensions and the external signal (one row per store and date) are
+plain joins over written tables: Spark broadcasts a side by its size, or
+shuffles both sides and splits a hot key at run time.
 """
 
 from __future__ import annotations
@@ -18,7 +15,6 @@ from pyspark.sql import functions as F
 
 from shelfguard import expectations as X
 from shelfguard.functions import measures as M
-from shelfguard.operators.joins import broadcast_if_small
 from shelfguard.operators.rules import keep_valid
 
 GRAIN = ["store_key", "product_key", "date_key"]
@@ -40,34 +36,44 @@ def stockout_mart(
     stores: DataFrame,
     products: DataFrame,
 ) -> DataFrame:
-    store_attrs = broadcast_if_small(stores.select("store_key", "region", "store_format"))
-    product_attrs = broadcast_if_small(
-        products.select("product_key", "category", "subcategory", "replenishment_class")
+    return keep_valid(
+        stockout_mart_rows(sales, inventory, promotion, external, stores, products), X.GOLD_STOCKOUT_DAILY
     )
+
+
+def stockout_mart_rows(
+    sales: DataFrame,
+    inventory: DataFrame,
+    promotion: DataFrame,
+    external: DataFrame,
+    stores: DataFrame,
+    products: DataFrame,
+) -> DataFrame:
+    """The mart before its rules."""
+    store_attrs = stores.select("store_key", "region", "store_format")
+    product_attrs = products.select("product_key", "category", "subcategory", "replenishment_class")
     inv = inventory.select(*GRAIN, F.col("stockout_hours").alias("_inv_hours"))
     promo = promotion.select(
         *GRAIN, F.col("promotion_flag").alias("_promo_flag"), F.col("discount_rate").alias("_promo_rate")
     )
-    ext = broadcast_if_small(
-        external.select(
-            *STORE_DATE,
-            F.col("is_holiday").alias("_ext_holiday"),
-            F.col("demand_signal_bucket").alias("_ext_bucket"),
-        )
+    ext = external.select(
+        *STORE_DATE,
+        F.col("is_holiday").alias("_ext_holiday"),
+        F.col("demand_signal_bucket").alias("_ext_bucket"),
     )
     joined = (
         sales.select(*GRAIN, "observed_units", "estimated_revenue")
-        .join(store_attrs, "store_key", "inner")
-        .join(product_attrs, "product_key", "inner")
         .join(inv, GRAIN, "left")
         .join(promo, GRAIN, "left")
+        .join(store_attrs, "store_key", "inner")
+        .join(product_attrs, "product_key", "inner")
         .join(ext, STORE_DATE, "left")
     )
     hours = F.coalesce(F.col("_inv_hours"), F.lit(0))
     rate = F.coalesce(F.col("_promo_rate"), F.lit(0.0))
     promo_flag = F.coalesce(F.col("_promo_flag"), F.lit(False))
     lost = M.lost_sales_proxy("estimated_revenue", hours)
-    out = joined.select(
+    return joined.select(
         "store_key",
         "product_key",
         "date_key",
@@ -89,4 +95,3 @@ def stockout_mart(
         M.priority_tier(hours, lost, promo_flag).alias("priority_tier"),
         F.current_timestamp().alias("refreshed_at"),
     )
-    return keep_valid(out, X.GOLD_STOCKOUT_DAILY)

@@ -1,7 +1,7 @@
-"""Store and product masters built from the ids seen in the feed.
+"""Business keys for the stores and products seen in a feed.
 
-Ids are numbered 1..N in ascending order by a distributed dense sequence;
-attributes cycle through the fixed lists by that number.
+Ids are numbered 1..N in ascending order by a distributed dense sequence and
+the key text carries the number. Attributes come from the landed masters.
 """
 
 from __future__ import annotations
@@ -9,45 +9,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfguard import config as C
-from shelfguard.functions.keys import cyclic, product_key, store_key
+from shelfguard.functions.keys import product_key, store_key
 from shelfguard.operators.sequence import dense_sequence
 
 
 def assign_store_keys(raw: DataFrame, batch_id: str, ingested_at: str) -> DataFrame:
-    seq = F.col("seq")
-    numbered = dense_sequence(raw, "store_id")
-    state = cyclic(tuple(s[0] for s in C.STATES), seq)
-    code = cyclic(tuple(s[1] for s in C.STATES), seq)
-    return numbered.select(
-        store_key(seq).alias("northmart_store_id"),
+    return dense_sequence(raw, "store_id").select(
+        store_key(F.col("seq")).alias("northmart_store_id"),
         F.col("store_id").alias("source_store_id"),
-        F.format_string(C.STORE_NAME_FORMAT, code, seq).alias("store_name"),
-        cyclic(tuple(s[2] for s in C.STATES), seq).alias("region"),
-        state.alias("state"),
-        F.format_string(C.CITY_NAME_FORMAT, state, seq).alias("city"),
-        cyclic(C.STORE_FORMATS, seq).alias("store_format"),
-        cyclic(tuple(s[3] for s in C.STATES), seq).alias("climate_zone"),
-        F.make_date(F.lit(C.OPENED_YEAR_BASE) + seq % 7, (seq - 1) % 12 + 1, F.lit(1)).alias("opened_date"),
         F.lit(batch_id).alias("batch_id"),
         F.lit(ingested_at).alias("ingested_at"),
     )
 
 
 def assign_product_keys(raw: DataFrame, batch_id: str, ingested_at: str) -> DataFrame:
-    seq = F.col("seq")
-    numbered = dense_sequence(raw, "product_id")
-    category = cyclic(C.PRODUCT_CATEGORIES, seq)
-    return numbered.select(
-        product_key(seq).alias("northmart_product_id"),
+    return dense_sequence(raw, "product_id").select(
+        product_key(F.col("seq")).alias("northmart_product_id"),
         F.col("product_id").alias("source_product_id"),
-        F.format_string(C.PRODUCT_NAME_FORMAT, category, seq).alias("product_name"),
-        category.alias("category"),
-        F.concat(category, F.lit(C.SUBCATEGORY_SUFFIX)).alias("subcategory"),
-        cyclic(C.BRANDS, seq).alias("brand"),
-        cyclic(C.REPLENISHMENT_CLASSES, seq).alias("replenishment_class"),
-        F.round(F.lit(C.BASE_PRICE) + (seq % C.PRICE_CYCLE) * F.lit(C.PRICE_STEP), 2).alias("base_unit_price"),
-        cyclic(C.SEASONAL_PEAKS, seq).alias("seasonal_peak"),
         F.lit(batch_id).alias("batch_id"),
         F.lit(ingested_at).alias("ingested_at"),
     )

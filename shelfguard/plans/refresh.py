@@ -1,23 +1,24 @@
 """Refresh of every layer: bronze streams, then silver and gold recomputed.
 
 Full refresh: silver and gold are recomputed from the whole append-only
-bronze log (static overwrite). Incremental refresh: latest-wins, every fact
-and the mart only combine rows of the same date, so only the dates touched by
-rows landed in this run are recomputed and their partitions replaced
-(dynamic partition overwrite) — the result equals a full recompute. A change
-to a master (keys or attributes of every date) falls back to a full refresh.
-
-Silver facts, the staged latest observations and gold are partitioned by
-date and range-aligned before writing (date first, then the rest of the
-unique key), so each task writes few dates and a hot date still splits. The
-latest-wins shuffle runs once per refresh; its output is a staging table
-(a lineage cut in shared storage) that each fact scans for its own columns.
+bronze log. Incremental refresh: latest-wins, every fact and the mart only
+combine rows of the same date, so only the dates touched by rows landed since
+the last complete refresh are recomputed. Their old partitions are removed
+before the new ones are appended, so a date whose rows all fail a rule leaves
+nothing behind and the result equals a full recompute. Rows landed in a master
+(keys or attributes of every date) cause a full refresh.
+
+The state table holds, for each bronze table, the newest load time that gold
+reflects. It is written last: a run that dies part-way is redone by the next.
+
+Silver facts, the staged latest observations and gold are partitioned by date.
+Writes are rebalanced on the date: a date goes to one task until it is larger
+than the advisory partition size, and is then split at run time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,200 +26,159 @@ from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from shelfguard import schemas
-from shelfguard.layout import CLUSTER_BY, Layout
+from shelfguard.layout import BRONZE_TABLES, CLUSTER_BY, GOLD_TABLES, SILVER_TABLES, Layout
 from shelfguard.plans import gold, silver
+from shelfguard.session import delete_folder, staged
 from shelfguard.streaming.ingest import IngestResult, ingest_all
 
 LATEST_STAGE = "_latest_observations"
-RAW_TABLE = "bronze_raw_freshretailnet_daily"
-MASTER_TABLES = ("bronze_northmart_store_master", "bronze_northmart_product_master")
-GOLD_TABLE = "gold_store_product_stockout_daily"
+RAW_TABLE, *MASTER_TABLES = BRONZE_TABLES
+GOLD_TABLE = GOLD_TABLES[0]
 STATE_TABLE = "_refresh_state"
-# Above this many touched dates an incremental refresh is a full one.
-MAX_INCREMENTAL_DATES = 10_000
 
 
-def _write_by_date(
-    df: DataFrame, path: str, date_col: str, rest: Sequence[str], incremental: bool, align: bool = True
-) -> None:
-    """Write partitioned by date; ``align`` range-shuffles first so each task holds few dates.
+def _remove_dates(spark: SparkSession, path: str, date_col: str, touched: DataFrame) -> None:
+    """Delete the partitions of the touched dates (one name per calendar day at most)."""
+    for row in touched.toLocalIterator():
+        delete_folder(spark._jvm, f"{path}/{date_col}={row[0].isoformat()}")
+
+
+def write_by_date(df: DataFrame, path: str, date_col: str, sort_by: Sequence[str], touched: DataFrame | None = None) -> None:
+    """Write partitioned by date; with ``touched`` only these dates are replaced."""
+    if touched is not None:
+        _remove_dates(df.sparkSession, path, date_col, touched)
+    dealt = df.hint("rebalance", date_col).sortWithinPartitions(date_col, *sort_by)
+    dealt.write.mode("overwrite" if touched is None else "append").option("partitionOverwriteMode", "static").partitionBy(date_col).parquet(path)
 
-    Without ``align`` the input must already be date-aligned (a scan of a
-    date-partitioned table): each task then still writes only a few dates.
-    """
-    # No fixed count: AQE sizes (coalesces) the range partitions at run time.
-    ranged = df.repartitionByRange(date_col, *rest) if align else df
-    aligned = ranged.sortWithinPartitions(date_col, *rest)
-    (
-        aligned.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if incremental else "static")
-        .partitionBy(date_col)
-        .parquet(path)
-    )
-
-
-def _write_small(df: DataFrame, path: str, sort_by: Sequence[str]) -> None:
-    df.sortWithinPartitions(*sort_by).write.mode("overwrite").parquet(path)
 
+def write_small(df: DataFrame, path: str, sort_by: Sequence[str]) -> None:
+    df.sortWithinPartitions(*sort_by).write.mode("overwrite").parquet(path)
 
-def _in_dates(df: DataFrame, column: str, dates: Sequence[date] | None) -> DataFrame:
-    # On a date-partitioned table this is a partition filter (files pruned).
-    return df if dates is None else df.where(F.col(column).isin(list(dates)))
 
+def _of_dates(df: DataFrame, column: str, touched: DataFrame | None) -> DataFrame:
+    """The rows of the touched dates. At most one row per calendar day is broadcast, and
+    on a date-partitioned table the join prunes partitions."""
+    if touched is None:
+        return df
+    return df.join(F.broadcast(touched.toDF(column)), column, "left_semi").select(*df.columns)
 
-def refresh_silver(
-    spark: SparkSession, layout: Layout, tiebreak: Sequence[str] = (), dates: Sequence[date] | None = None
-) -> None:
-    incremental = dates is not None
-    bronze_daily = _in_dates(layout.read(spark, RAW_TABLE), "dt", dates)
-    store_master = layout.read(spark, MASTER_TABLES[0])
-    product_master = layout.read(spark, MASTER_TABLES[1])
-    present = [c for c in tiebreak if c in bronze_daily.columns]
 
-    staged_path = layout.path(LATEST_STAGE)
+def refresh_silver(spark: SparkSession, layout: Layout, tiebreak: Sequence[str] = (), touched: DataFrame | None = None) -> None:
+    stores, products = (layout.read(spark, t) for t in MASTER_TABLES)
+    observed = _of_dates(layout.read(spark, RAW_TABLE), "dt", touched)
+    present = [c for c in tiebreak if c in observed.columns]
     # Hourly arrays stay in bronze: no silver or gold table reads them.
-    latest = silver.latest_observations(bronze_daily, present).drop("hours_sale", "hours_stock_status")
-    _write_by_date(latest, staged_path, "dt", ("store_id", "product_id"), incremental)
-    staged_all = spark.read.parquet(staged_path)
-    staged = _in_dates(staged_all, "dt", dates)
-
-    _write_small(silver.dim_store(store_master), layout.path("dim_store"), CLUSTER_BY["dim_store"])
-    _write_small(silver.dim_product(product_master), layout.path("dim_product"), CLUSTER_BY["dim_product"])
-    # One row per date over the whole staged table (two columns read).
-    _write_small(silver.dim_date(staged_all), layout.path("dim_date"), CLUSTER_BY["dim_date"])
-    lookups = silver.master_lookups(store_master, product_master)
-    keyed = silver.keyed_observations(staged, store_master, product_master, lookups)
-    # With broadcast lookups the 1:1 facts are map-only projections of the
-    # date-aligned staged scan, so they need no shuffle before the write. A
-    # lookup too big to broadcast is a shuffle join (rows hashed by store or
-    # product), so those facts are range-aligned again, or every task would
-    # write a file per date. The external signal comes out of a hash
-    # aggregation and is always re-aligned.
-    aligned_scan = lookups[2]
-    for name, build, rest, align in (
-        ("fact_sales", silver.fact_sales, ("store_key", "product_key"), not aligned_scan),
-        ("fact_inventory_status", silver.fact_inventory_status, ("store_key", "product_key"), not aligned_scan),
-        ("fact_promotion", silver.fact_promotion, ("store_key", "product_key"), not aligned_scan),
-        ("fact_external_signal", silver.fact_external_signal, ("store_key",), True),
+    latest = silver.latest_observations(observed.drop(*silver.ARRAYS), present)
+    write_by_date(latest, layout.path(LATEST_STAGE), "dt", ("store_id", "product_id"), touched)
+    latest = _of_dates(spark.read.parquet(layout.path(LATEST_STAGE)), "dt", touched)
+
+    write_small(silver.dim_store(stores), layout.path("dim_store"), CLUSTER_BY["dim_store"])
+    write_small(silver.dim_product(products), layout.path("dim_product"), CLUSTER_BY["dim_product"])
+    dates = silver.dim_date(latest)
+    if touched is not None:  # the other dates' rows stay as they are
+        others = layout.read(spark, "dim_date").join(F.broadcast(touched.toDF("date_key")), "date_key", "left_anti")
+        dates = staged(others.unionByName(dates), "dim-date")
+    write_small(dates, layout.path("dim_date"), CLUSTER_BY["dim_date"])
+    keyed = silver.keyed_observations(latest, stores, products)
+    for name, build in (
+        ("fact_sales", silver.fact_sales),
+        ("fact_inventory_status", silver.fact_inventory_status),
+        ("fact_promotion", silver.fact_promotion),
+        ("fact_external_signal", silver.fact_external_signal),
     ):
-        _write_by_date(build(keyed), layout.path(name), "date_key", rest, incremental, align)
-
+        write_by_date(build(keyed), layout.path(name), "date_key", CLUSTER_BY[name][1:], touched)
 
-def refresh_gold(spark: SparkSession, layout: Layout, dates: Sequence[date] | None = None) -> None:
-    def read(table: str) -> DataFrame:
-        return _in_dates(layout.read(spark, table), "date_key", dates)
 
-    mart = gold.stockout_mart(
-        read("fact_sales"),
-        read("fact_inventory_status"),
-        read("fact_promotion"),
-        read("fact_external_signal"),
-        layout.read(spark, "dim_store"),
-        layout.read(spark, "dim_product"),
-    )
-    # Partitioned by date, clustered inside by region and category; the rest
-    # of the key only refines range boundaries so a hot value still splits.
-    _write_by_date(
-        mart, layout.path(GOLD_TABLE), "date_key", ("region", "category", "store_key", "product_key"),
-        dates is not None,
-    )
+def refresh_gold(spark: SparkSession, layout: Layout, touched: DataFrame | None = None) -> None:
+    facts = [_of_dates(layout.read(spark, t), "date_key", touched) for t in SILVER_TABLES if t.startswith("fact_")]
+    mart = gold.stockout_mart(*facts, layout.read(spark, "dim_store"), layout.read(spark, "dim_product"))
+    write_by_date(mart, layout.path(GOLD_TABLE), "date_key", CLUSTER_BY[GOLD_TABLE][1:], touched)
 
 
-def refresh_all(
-    spark: SparkSession,
-    layout: Layout,
-    raw_schema: StructType = schemas.RAW_DAILY,
-    tiebreak: Sequence[str] = (),
-) -> list[IngestResult]:
-    results = ingest_all(spark, layout, raw_schema)
-    reflected = _newest_load(spark, layout, _load_watermark(spark, layout))
-    refresh_silver(spark, layout, tiebreak)
-    refresh_gold(spark, layout)
-    _save_watermark(spark, layout, reflected)
-    return results
+def _loaded_after(spark: SparkSession, layout: Layout, table: str, watermark: str | None) -> DataFrame:
+    # Bronze is append-only: row-group min/max statistics skip older files.
+    rows = layout.read(spark, table)
+    return rows if watermark is None else rows.where(F.col("_loaded_at") > F.to_timestamp(F.lit(watermark)))
 
 
-def mark_refreshed(spark: SparkSession, layout: Layout) -> None:
-    """Record that gold reflects every bronze row loaded so far.
+def newest_load(spark: SparkSession, layout: Layout, table: str, since: str | None = None) -> str | None:
+    """Newest load time of a bronze table, as text in the session clock (a scalar).
 
-    For callers that run ``ingest_all``, ``refresh_silver`` and
-    ``refresh_gold`` (all dates) themselves, with no ingest in between.
+    Only rows loaded after ``since`` are read; with none the answer is ``since``.
     """
-    _save_watermark(spark, layout, _newest_load(spark, layout, _load_watermark(spark, layout)))
+    newest = F.date_format(F.max("_loaded_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return _loaded_after(spark, layout, table, since).agg(newest).first()[0] or since
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def load_state(spark: SparkSession, layout: Layout) -> dict[str, str | None]:
+    """Load time that gold reflects, by bronze table; empty before the first refresh."""
     try:
-        spark.read.parquet(path).schema  # noqa: B018 - listing only
-        return True
+        return {r["table"]: r["watermark"] for r in layout.read(spark, STATE_TABLE).collect()}
     except AnalysisException:
-        return False
+        return {}
 
 
-def _loaded_after(spark: SparkSession, layout: Layout, watermark: str) -> DataFrame:
-    # Bronze is append-only: row-group min/max statistics skip older files.
-    return layout.read(spark, RAW_TABLE).where(F.col("_loaded_at") > F.to_timestamp(F.lit(watermark)))
+def _newest_loads(spark: SparkSession, layout: Layout, state: dict[str, str | None]) -> dict[str, str | None]:
+    return {t: newest_load(spark, layout, t, state.get(t)) for t in BRONZE_TABLES}
 
 
-def _newest_load(spark: SparkSession, layout: Layout, since: str | None = None) -> str | None:
-    """Newest bronze load time, as text in the session clock (a scalar).
+def _save_state(spark: SparkSession, layout: Layout, state: dict[str, str | None]) -> None:
+    rows = spark.createDataFrame(sorted(state.items()), "table string, watermark string")
+    rows.coalesce(1).write.mode("overwrite").parquet(layout.path(STATE_TABLE))
 
-    With ``since`` only rows loaded after it are read (a newer maximum can
-    only come from them); with none of those the answer is ``since``.
-    """
-    rows = layout.read(spark, RAW_TABLE) if since is None else _loaded_after(spark, layout, since)
-    row = rows.agg(F.date_format(F.max("_loaded_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("w")).first()
-    newest = row["w"] if row else None
-    return since if newest is None else newest
 
+def _recompute(spark: SparkSession, layout: Layout, tiebreak: Sequence[str], reflected: dict, touched: DataFrame | None = None) -> None:
+    refresh_silver(spark, layout, tiebreak, touched)
+    refresh_gold(spark, layout, touched)
+    _save_state(spark, layout, reflected)
+
+
+def refresh_all(
+    spark: SparkSession, layout: Layout, raw_schema: StructType = schemas.RAW_DAILY, tiebreak: Sequence[str] = ()
+) -> list[IngestResult]:
+    """Ingest new files, then recompute silver and gold from all of bronze."""
+    results = ingest_all(spark, layout, raw_schema)
+    _recompute(spark, layout, tiebreak, _newest_loads(spark, layout, load_state(spark, layout)))
+    return results
 
-def _save_watermark(spark: SparkSession, layout: Layout, watermark: str | None) -> None:
-    """Record, after gold is written, the newest load time gold reflects."""
-    spark.range(1).select(F.lit(watermark).cast("string").alias("watermark")).write.mode("overwrite").parquet(
-        layout.path(STATE_TABLE)
-    )
 
+def full_refresh(
+    spark: SparkSession, layout: Layout, raw_schema: StructType = schemas.RAW_DAILY, tiebreak: Sequence[str] = ()
+) -> list[IngestResult]:
+    """Start over: drop every table with its stream's checkpoint and read all landed files again."""
+    delete_folder(spark._jvm, layout.path(STATE_TABLE))  # first: a run that dies here is not taken as complete
+    for table in (*GOLD_TABLES, *SILVER_TABLES, LATEST_STAGE):
+        delete_folder(spark._jvm, layout.path(table))
+    for table in BRONZE_TABLES:
+        delete_folder(spark._jvm, layout.checkpoint(table))
+        delete_folder(spark._jvm, layout.path(table))
+    return refresh_all(spark, layout, raw_schema, tiebreak)
 
-def _load_watermark(spark: SparkSession, layout: Layout) -> str | None:
-    if not _exists(spark, layout.path(STATE_TABLE)):
-        return None
-    row = layout.read(spark, STATE_TABLE).first()
-    return row["watermark"] if row else None
+
+def mark_refreshed(spark: SparkSession, layout: Layout) -> None:
+    """Record that gold reflects every bronze row loaded so far.
+
+    For callers that run ``ingest_all``, ``refresh_silver`` and
+    ``refresh_gold`` (all dates) themselves, with no ingest in between.
+    """
+    _save_state(spark, layout, _newest_loads(spark, layout, load_state(spark, layout)))
 
 
 def refresh_incremental(
-    spark: SparkSession,
-    layout: Layout,
-    raw_schema: StructType = schemas.RAW_DAILY,
-    tiebreak: Sequence[str] = (),
+    spark: SparkSession, layout: Layout, raw_schema: StructType = schemas.RAW_DAILY, tiebreak: Sequence[str] = ()
 ) -> dict:
     """Ingest new files, then recompute only the dates they touched.
 
-    The watermark (newest load time reflected in gold) is saved only after
-    gold is written, so a run that fails part-way is redone in full by the
-    next run. Returns {"mode": "full" | "incremental" | "none", "dates": n, "ingest": [...]}.
+    Returns {"mode": "full" | "incremental" | "none", "dates": n, "ingest": [...]}.
     """
-    watermark = _load_watermark(spark, layout)
+    state = load_state(spark, layout)
     results = ingest_all(spark, layout, raw_schema)
-    masters_changed = any(r.rows_read for r in results if r.table in MASTER_TABLES)
-    reflected = _newest_load(spark, layout, watermark)
-    if watermark is None or masters_changed:
-        refresh_silver(spark, layout, tiebreak)
-        refresh_gold(spark, layout)
-        _save_watermark(spark, layout, reflected)
+    reflected = _newest_loads(spark, layout, state)
+    if not state or any(reflected[t] != state.get(t) for t in MASTER_TABLES):
+        _recompute(spark, layout, tiebreak, reflected)
         return {"mode": "full", "dates": None, "ingest": results}
-    new_rows = _loaded_after(spark, layout, watermark)
-    # Touched dates: at most one value per calendar day, and capped below.
-    touched = new_rows.select("dt").distinct().limit(MAX_INCREMENTAL_DATES + 1).collect()
-    dates = sorted(r.dt for r in touched)
-    if not dates:
-        return {"mode": "none", "dates": 0, "ingest": results}
-    if len(dates) > MAX_INCREMENTAL_DATES:
-        refresh_silver(spark, layout, tiebreak)
-        refresh_gold(spark, layout)
-        _save_watermark(spark, layout, reflected)
-        return {"mode": "full", "dates": len(dates), "ingest": results}
-    refresh_silver(spark, layout, tiebreak, dates)
-    refresh_gold(spark, layout, dates)
-    _save_watermark(spark, layout, reflected)
-    return {"mode": "incremental", "dates": len(dates), "ingest": results}
+    touched = staged(_loaded_after(spark, layout, RAW_TABLE, state.get(RAW_TABLE)).select("dt").distinct(), "touched")
+    dates = touched.count()
+    if dates:
+        _recompute(spark, layout, tiebreak, reflected, touched)
+    return {"mode": "incremental" if dates else "none", "dates": dates, "ingest": results}

@@ -1,62 +1,51 @@
-"""Replay: split a landed history into time-ordered batches.
-
-Seed = the first ``seed_days`` (minus one late store's first days),
-increments = the following windows, restatement = the withheld late rows plus
-corrected versions of a few already-published keys. Built in one scan: each
-row gets the array of batches it belongs to and is exploded over it.
+"""Replay: split a landed history into time-ordered deliveries.
+
+Each window of the history is one delivery, without one late store's first
+days; the closing restatement holds the withheld rows plus corrected versions
+of a few already-published keys. Built in one scan: each row gets the array of
+deliveries it belongs to and is exploded over it. No row is lost: one without
+a readable date goes with the first delivery (bronze's rule drops and counts
+it), and one dated outside every window fails the job.
 """
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfguard import config as C
-from shelfguard.config import ReplayConfig
+from shelfguard.config import Replay
 from shelfguard.functions import hourly
 
 
-def day_offset(dt: Column, cfg: ReplayConfig) -> Column:
-    return F.datediff(F.to_date(dt), F.lit(cfg.start_date))
+def day_offset(dt: str, cfg: Replay) -> Column:
+    """Days since the replay's first day; NULL when the text is no date."""
+    return F.datediff(F.expr(f"try_to_date({dt})"), F.lit(cfg.first_day))
 
 
-def late_mask(cfg: ReplayConfig) -> Column:
-    off = day_offset(F.col("dt"), cfg)
-    return (F.col("store_id") == cfg.late_store_id) & (off < cfg.late_store_days)
+def _true(c: Column) -> Column:
+    return F.coalesce(c, F.lit(False))
 
 
-def correction_mask(cfg: ReplayConfig) -> Column:
-    off = day_offset(F.col("dt"), cfg)
-    return (
-        (F.col("store_id") == cfg.correction_store_id)
-        & F.col("product_id").isin(list(cfg.correction_product_ids))
-        & off.isin(list(cfg.correction_day_offsets))
-    )
+def late_mask(cfg: Replay) -> Column:
+    off = day_offset("dt", cfg)
+    return _true((F.col("store_id") == cfg.late_store) & (off >= 0) & (off < cfg.late_days))
 
 
-def _memberships(cfg: ReplayConfig) -> Column:
-    """Array of (batch index, corrected) for every batch a row lands in."""
-    off = day_offset(F.col("dt"), cfg)
-    late = late_mask(cfg)
-    entries = [F.when((off < cfg.seed_days) & ~late, F.struct(F.lit(1).alias("idx"), F.lit(False).alias("corrected")))]
-    cursor = cfg.seed_days
-    for i, window in enumerate(cfg.increment_days, start=2):
-        entries.append(
-            F.when((off >= cursor) & (off < cursor + window), F.struct(F.lit(i).alias("idx"), F.lit(False).alias("corrected")))
-        )
-        cursor += window
-    last = len(cfg.batches)
-    entries.append(F.when(late, F.struct(F.lit(last).alias("idx"), F.lit(False).alias("corrected"))))
-    entries.append(F.when(correction_mask(cfg), F.struct(F.lit(last).alias("idx"), F.lit(True).alias("corrected"))))
-    return F.filter(F.array(*entries), lambda m: m.isNotNull())
+def correction_mask(cfg: Replay) -> Column:
+    keys = (F.col("store_id") == cfg.corrected_store) & F.col("product_id").isin(*cfg.corrected_products)
+    return _true(keys & day_offset("dt", cfg).isin(*cfg.corrected_days))
 
 
-def _ingested_at_text(cfg: ReplayConfig) -> list[str]:
-    return [
-        (cfg.base_time + timedelta(hours=i)).strftime("%Y-%m-%d %H:%M:%S+00:00") for i in range(len(cfg.batches))
-    ]
+def _memberships(cfg: Replay) -> Column:
+    """Array of (delivery number, corrected) for every delivery a row lands in."""
+    off, late, last = day_offset("dt", cfg), late_mask(cfg), len(cfg.deliveries)
+    entry = lambda when, n, corrected: F.when(when, F.struct(F.lit(n).alias("idx"), F.lit(corrected).alias("corrected")))
+    entries = [entry((off >= first) & (off < end) & ~late, n, False) for n, (first, end, _) in enumerate(cfg.windows, 1)]
+    entries += [entry(off.isNull(), 1, False), entry(late, last, False), entry(correction_mask(cfg), last, True)]
+    placed = F.filter(F.array(*entries), lambda m: m.isNotNull())
+    refused = F.raise_error(F.concat(F.lit("no delivery takes the rows of "), F.col("dt").cast("string")))
+    return F.when(F.size(placed) > 0, placed).otherwise(refused)
 
 
 def corrected_columns(corrected: Column) -> dict[str, Column]:
@@ -75,37 +64,36 @@ def corrected_columns(corrected: Column) -> dict[str, Column]:
     }
 
 
-def replay_batches(base: DataFrame, cfg: ReplayConfig, source_dataset: str, source_split: str) -> DataFrame:
+def replay_batches(base: DataFrame, cfg: Replay, days: int, source_dataset: str, source_split: str) -> DataFrame:
     """All rows to land, stamped with batch_id, batch_seq and ingestion time.
 
-    ``base`` is a landed-form feed (text ``dt``); its own batch stamps are replaced.
+    ``base`` is a landed-form feed (text ``dt``) of ``days`` days; its own batch stamps are replaced.
     """
-    cfg.check()
-    ids = F.array(*[F.lit(b) for b, _ in cfg.batches])
-    seqs = F.array(*[F.lit(s).cast("long") for _, s in cfg.batches])
-    times = F.array(*[F.lit(t) for t in _ingested_at_text(cfg)])
+    cfg.verify(days)
+    landed = cfg.deliveries
+    pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("_m.idx"))
+    corrected = F.col("_m.corrected")
     exploded = base.select("*", F.explode(_memberships(cfg)).alias("_m"))
-    idx = F.col("_m.idx")
-    stamped = exploded.withColumns(corrected_columns(F.col("_m.corrected"))).withColumns(
+    stamped = exploded.withColumns(corrected_columns(corrected)).withColumns(
         {
             "source_dataset": F.lit(source_dataset),
             "source_split": F.lit(source_split),
-            "batch_id": F.element_at(ids, idx),
-            "batch_seq": F.element_at(seqs, idx),
-            "ingested_at": F.element_at(times, idx),
-            "is_corrected": F.col("_m.corrected"),
-            "is_late": late_mask(cfg) & ~F.col("_m.corrected"),
+            "batch_id": pick(d.batch_id for d in landed),
+            "batch_seq": pick(d.sequence for d in landed).cast("long"),
+            "ingested_at": pick(d.loaded_text for d in landed),
+            "is_corrected": corrected,
+            "is_late": late_mask(cfg) & ~corrected,
         }
     )
     return stamped.select(*base.columns, "is_corrected", "is_late")
 
 
-def replay_corrections(base: DataFrame, cfg: ReplayConfig) -> DataFrame:
+def replay_corrections(base: DataFrame, cfg: Replay) -> DataFrame:
     """Only the corrected versions (the restatement's re-emitted keys)."""
     return base.where(correction_mask(cfg)).withColumns(corrected_columns(F.lit(True)))
 
 
-def replay_manifest(batches: DataFrame, base: DataFrame, cfg: ReplayConfig) -> DataFrame:
+def replay_manifest(batches: DataFrame, base: DataFrame) -> DataFrame:
     """Rows per batch and the replay totals, as (metric, value) rows."""
     per_batch = batches.groupBy("batch_id").agg(F.count(F.lit(1)).alias("value")).select(
         F.concat(F.lit("rows:"), F.col("batch_id")).alias("metric"), "value"
@@ -119,7 +107,3 @@ def replay_manifest(batches: DataFrame, base: DataFrame, cfg: ReplayConfig) -> D
         base.select(*C.RAW_GRAIN).distinct().agg(F.count(F.lit(1)).alias("silver_fact_rows_after_full_replay"))
     ).unpivot([], ["silver_fact_rows_after_full_replay"], "metric", "value")
     return per_batch.unionByName(totals).unionByName(grains)
-
-
-def batch_frame(batches: DataFrame, batch_id: str) -> DataFrame:
-    return batches.where(F.col("batch_id") == batch_id).drop("is_corrected", "is_late")

@@ -84,14 +84,11 @@ def priority_mix(dataset: DataFrame) -> DataFrame:
 
 def filter_options(dataset: DataFrame) -> DataFrame:
     """Distinct values offered by the three filter pickers, one row per (filter, value)."""
-    pickers = [
-        dataset.select(F.lit(name).alias("filter_name"), F.col(column).alias("filter_value")).distinct()
-        for name, column in (("region", "region"), ("category", "category"), ("priority", "priority_tier"))
-    ]
-    out = pickers[0]
-    for other in pickers[1:]:
-        out = out.unionByName(other)
-    return out
+    # One pass over the mart: the combinations are few, the values are taken from them.
+    seen = dataset.groupBy("region", "category", "priority_tier").agg(F.lit(1).alias("_"))
+    named = [(name, column) for name, column in (("region", "region"), ("category", "category"), ("priority", "priority_tier"))]
+    pairs = F.array(*[F.struct(F.lit(n).alias("filter_name"), F.col(c).alias("filter_value")) for n, c in named])
+    return seen.select(F.inline(pairs)).distinct()
 
 
 def top_offenders(mart: DataFrame, n: int = 50) -> DataFrame:

@@ -71,6 +71,3 @@ PRODUCT_MASTER = _struct(
 LINEAGE = _struct(("line_orderkey", L), ("line_number", L))
 LINEAGE_COLUMNS = tuple(f.name for f in LINEAGE.fields)
 RAW_DAILY_WITH_LINEAGE = StructType(RAW_DAILY.fields + LINEAGE.fields)
-
-PROVENANCE_COLUMNS = ("_source_file", "_loaded_at")
-RAW_COLUMNS = tuple(f.name for f in RAW_DAILY.fields)

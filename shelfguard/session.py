@@ -1,15 +1,19 @@
 """Session construction and the shared scratch area.
 
 On a cluster the scratch area is the shared folder named by
-``spark.checkpoint.dir``; it is only invented here when the session has none
-(local runs and tests).
+``spark.checkpoint.dir``. Only a local session without one gets a folder of
+its own; a cluster session without one is refused, since every executor
+would write to its own disk.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC wall clock (the feeds carry +00:00), AQE
@@ -21,19 +25,10 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # A join reuses an existing hash partitioning only when it covers all of
-    # the join keys: a partitioning on a few of them (say one store) could
-    # pile a hot key's rows into one task.
-    "spark.sql.requireAllClusterKeysForCoPartition": "true",
 }
 
-# Settings that only change plans, never results; safe to apply to a session
-# handed to us by someone else.
-PLAN_CONF = {
-    "spark.sql.requireAllClusterKeysForCoPartition": "true",
-    "spark.sql.adaptive.enabled": "true",
-}
+# Folders made by this process, removed when it ends.
+_OWN_FOLDERS: list[str] = []
 
 
 def build_session(
@@ -53,35 +48,26 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_utc(spark)
-    return spark
+    return prepare(spark)
 
 
-def ensure_utc(spark: SparkSession) -> None:
+def prepare(spark: SparkSession) -> SparkSession:
+    """Make a session handed to us ready: the feeds' clock is UTC."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
-def prepare(spark: SparkSession) -> SparkSession:
-    """Make a session handed to us ready: UTC clock and the plan settings."""
-    ensure_utc(spark)
-    for key, value in PLAN_CONF.items():
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
     return spark
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and intermediate tables.
-
-    Reads ``spark.checkpoint.dir``; sets a local one only when it is unset.
-    """
+    """Shared folder for lineage cuts and intermediate tables."""
     root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="shelfguard-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
@@ -90,5 +76,37 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused folder under the shared scratch root."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never-reused folder under the shared scratch root, removed when the process ends."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if not _OWN_FOLDERS:
+        atexit.register(drop_scratch)
+    _OWN_FOLDERS.append(path)
+    return path
+
+
+def delete_folder(jvm, path: str) -> None:
+    """Remove a folder through the file system that holds it; a missing one is fine."""
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(folder, True)
+
+
+def drop_scratch() -> None:
+    """Remove the folders that ``scratch_path`` gave out. DataFrames over them can't be read any more."""
+    jvm = SparkContext._jvm
+    while _OWN_FOLDERS:
+        path = _OWN_FOLDERS.pop()
+        if jvm is not None:
+            with contextlib.suppress(Exception):  # the JVM may have ended first
+                delete_folder(jvm, path)
+
+
+def staged(df, name: str):
+    """Write once to a parquet table in the shared scratch folder and read it back.
+
+    A declared lineage cut: the table is a plain scan for everything that
+    reads it, so both sides of a join on it are shuffle stages that AQE can
+    split, and a lost executor costs only running tasks.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

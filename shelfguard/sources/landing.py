@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 from pyspark.sql.utils import AnalysisException
 
-RAW_DAILY = "raw_freshretailnet_daily"
-STORE_MASTER = "northmart_store_master"
-PRODUCT_MASTER = "northmart_product_master"
-DATASETS = (RAW_DAILY, STORE_MASTER, PRODUCT_MASTER)
+RAW_DAILY = "daily_observations"
+STORE_MASTER = "store_master"
+PRODUCT_MASTER = "product_master"
 
 
 def dataset_path(landing_root: str, dataset: str) -> str:
@@ -53,11 +52,11 @@ def read_csv_batch(spark: SparkSession, path: str, schema: StructType) -> DataFr
 def require_path(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     try:
         return read_csv_batch(spark, path, schema)
-    except AnalysisException as exc:  # pragma: no cover - message only
+    except AnalysisException as exc:
         raise FileNotFoundError(f"missing landed file: {path}") from exc
 
 
-def write_csv(df: DataFrame, path: str, files: int = 1, mode: str = "errorifexists") -> None:
+def write_csv(df: DataFrame, path: str, files: int | None = None, mode: str = "errorifexists") -> None:
     """Export a feed as CSV with header; array columns travel as JSON text."""
     out = df.select(
         *[
@@ -65,4 +64,4 @@ def write_csv(df: DataFrame, path: str, files: int = 1, mode: str = "errorifexis
             for f in df.schema.fields
         ]
     )
-    out.repartition(files).write.mode(mode).option("header", "true").csv(path)
+    (out.repartition(files) if files else out).write.mode(mode).option("header", "true").csv(path)

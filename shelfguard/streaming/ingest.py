@@ -3,7 +3,9 @@
 Each run is ``trigger(availableNow=True)``: it drains every file landed since
 the last run and stops. The file source's checkpoint makes the append
 exactly-once across runs and executor loss; a re-copied file name is not read
-again. A full refresh is a new table folder with a new checkpoint.
+again. Each run's rows are sorted by the table's clustering columns, so row
+groups cover narrow ranges and statistics skip them. ``plans.refresh.full_refresh``
+drops table and checkpoint together and reads everything again.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql.types import StructType
 
 from shelfguard import expectations as X
 from shelfguard import schemas
-from shelfguard.layout import Layout
+from shelfguard.layout import CLUSTER_BY, RUN_COLUMN, Layout
 from shelfguard.operators.rules import Rule, failure_columns, keep_valid
 from shelfguard.plans import bronze
 from shelfguard.sources import landing
@@ -30,19 +32,15 @@ class BronzeFeed:
     schema: StructType
     parse: Callable[[DataFrame], DataFrame]
     rules: Sequence[Rule]
-    partition_by: tuple[str, ...] = ()
 
 
 def feeds(raw_schema: StructType = schemas.RAW_DAILY) -> tuple[BronzeFeed, ...]:
     return (
-        # Not partitioned: a backfill delivery spans many dates and would write
-        # one file per (task, date). Deliveries land date-ordered, so parquet
-        # min/max statistics on dt prune an incremental refresh's date filter.
-        BronzeFeed(landing.RAW_DAILY, "bronze_raw_freshretailnet_daily", raw_schema, bronze.parse_raw_daily,
+        BronzeFeed(landing.RAW_DAILY, "bronze_daily_observations", raw_schema, bronze.parse_raw_daily,
                    X.BRONZE_RAW_DAILY),
-        BronzeFeed(landing.STORE_MASTER, "bronze_northmart_store_master", schemas.STORE_MASTER,
+        BronzeFeed(landing.STORE_MASTER, "bronze_store_master", schemas.STORE_MASTER,
                    bronze.parse_store_master, X.BRONZE_STORE_MASTER),
-        BronzeFeed(landing.PRODUCT_MASTER, "bronze_northmart_product_master", schemas.PRODUCT_MASTER,
+        BronzeFeed(landing.PRODUCT_MASTER, "bronze_product_master", schemas.PRODUCT_MASTER,
                    bronze.parse_product_master, X.BRONZE_PRODUCT_MASTER),
     )
 
@@ -60,16 +58,19 @@ def ingest(spark: SparkSession, layout: Layout, feed: BronzeFeed) -> IngestResul
     parsed = feed.parse(stream)
     metric_name = f"rules_{feed.table}"
     observed = parsed.observe(metric_name, F.count(F.lit(1)).alias("rows_seen"), *failure_columns(feed.rules))
-    writer = keep_valid(observed, feed.rules).writeStream
-    if feed.partition_by:
-        writer = writer.partitionBy(*feed.partition_by)
+    path = layout.path(feed.table)
+
+    def write(rows: DataFrame, run: int) -> None:
+        # A run that is repeated after a failure overwrites its own folder: appended exactly once.
+        rows.sortWithinPartitions(*CLUSTER_BY[feed.table]).write.mode("overwrite").parquet(f"{path}/{RUN_COLUMN}={run}")
+
     query = (
-        writer.format("parquet")
-        .outputMode("append")
+        keep_valid(observed, feed.rules)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", layout.checkpoint(feed.table))
         .trigger(availableNow=True)
         .queryName(f"ingest_{feed.table}_{abs(hash(layout.base)) % 10**8}")
-        .start(layout.path(feed.table))
+        .start()
     )
     query.awaitTermination()
     result = IngestResult(feed.table)
@@ -87,9 +88,12 @@ def ingest_all(spark: SparkSession, layout: Layout, raw_schema: StructType = sch
 
 
 def land(
-    df: DataFrame, layout: Layout, dataset: str, delivery: str, schema: StructType | None = None, files: int = 1
+    df: DataFrame, layout: Layout, dataset: str, delivery: str, schema: StructType | None = None, files: int | None = None
 ) -> str:
-    """Write one delivery of a feed as CSV files into its landing folder (never overwrites)."""
+    """Write one delivery of a feed as CSV files into its landing folder (never overwrites).
+
+    Each task writes a file; ``files`` deals the rows out to that many tasks first.
+    """
     path = f"{landing.dataset_path(layout.landing, dataset)}/{delivery}"
     if schema is not None:
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])

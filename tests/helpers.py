@@ -106,9 +106,8 @@ def session_conf(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.set(k, v)
 
 
-# No broadcast anywhere: measured lookups are staged, joins shuffle.
+# No broadcast that Spark chooses by size: lookups and dimensions join by shuffle.
 NO_BROADCAST = {
-    "shelfguard.broadcast.maxBytes": "0",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
 }

@@ -14,17 +14,17 @@ from pyspark.sql import functions as F
 
 from shelfguard import config as C
 from shelfguard import schemas
-from shelfguard.config import ReplayConfig
 from shelfguard.functions import hourly
 from shelfguard.layout import Layout
-from shelfguard.plans import masters, replay, reports
+from shelfguard.plans import masters, refresh, replay, reports
 from shelfguard.plans.refresh import refresh_all, refresh_incremental
 from shelfguard.session import scratch_path
 from shelfguard.streaming.ingest import ingest_all, land
 
-from helpers import NO_BROADCAST, session_conf
+from helpers import NO_BROADCAST, product_rows, raw_rows, session_conf, store_rows
 
-CFG = ReplayConfig()
+CFG = C.GRID_REPLAY
+STAMP = ("static-001", "2024-06-01 00:00:00+00:00")
 
 
 def grid_feed(spark):
@@ -65,12 +65,12 @@ def grid_feed(spark):
 @pytest.fixture(scope="module")
 def landed(spark):
     base = grid_feed(spark)
-    return base, replay.replay_batches(base, CFG, "retail-daily-source", "train")
+    return base, replay.replay_batches(base, CFG, C.GRID.days, "retail-daily-source", "train")
 
 
 def test_manifest_counts(spark, landed):
     base, batches = landed
-    got = {r.metric: r.value for r in replay.replay_manifest(batches, base, CFG).collect()}
+    got = {r.metric: r.value for r in replay.replay_manifest(batches, base).collect()}
     assert got == {
         "rows:replay-001-seed": 37200,
         "rows:replay-002-inc": 9600,
@@ -85,13 +85,20 @@ def test_manifest_counts(spark, landed):
 
 def test_master_keys(spark, landed):
     base, _ = landed
-    stores = masters.assign_store_keys(base, "static-001", "2024-06-01 00:00:00+00:00")
-    products = masters.assign_product_keys(base, "static-001", "2024-06-01 00:00:00+00:00")
+    stores = masters.assign_store_keys(base, *STAMP)
+    products = masters.assign_product_keys(base, *STAMP)
     assert stores.count() == 8 and products.count() == 80
-    first = products.where("source_product_id = 50000").first()
-    assert (first.northmart_product_id, first.replenishment_class, first.base_unit_price) == ("NM-SKU-00001", "fast", 15.74)
-    s1 = stores.where("source_store_id = 10000").first()
-    assert (s1.northmart_store_id, s1.store_name, s1.region) == ("NM-STORE-001", "NorthMart CO-01", "Rockies")
+    assert products.where("source_product_id = 50000").first().northmart_product_id == "NM-SKU-00001"
+    assert stores.where("source_store_id = 10007").first().northmart_store_id == "NM-STORE-008"
+
+
+def land_masters(spark, layout, delivery="master", **store):
+    """The grid's masters: eight stores, eighty products of one price."""
+    stores = [{"northmart_store_id": f"NM-STORE-{i + 1:03d}", "source_store_id": 10000 + i, **store} for i in range(8)]
+    products = [{"northmart_product_id": f"NM-SKU-{i + 1:05d}", "source_product_id": 50000 + i} for i in range(80)]
+    land(store_rows(spark, stores), layout, "store_master", delivery, schemas.STORE_MASTER)
+    if delivery == "master":
+        land(product_rows(spark, products), layout, "product_master", delivery, schemas.PRODUCT_MASTER)
 
 
 @pytest.fixture(scope="module")
@@ -101,8 +108,7 @@ def full_gold_rows(spark, landed):
 
 @pytest.mark.parametrize("mode", ["full", "incremental", "incremental-no-broadcast"])
 def test_four_stage_replay(spark, landed, mode, full_gold_rows):
-    # The last mode takes the big-table paths: lookups staged and shuffle
-    # joined, facts range-aligned before the write, signal joined by shuffle.
+    # The last mode joins lookups, dimensions and signal by shuffle.
     with session_conf(spark, NO_BROADCAST if mode.endswith("no-broadcast") else {}):
         _four_stage_replay(spark, landed, mode, full_gold_rows)
 
@@ -110,10 +116,7 @@ def test_four_stage_replay(spark, landed, mode, full_gold_rows):
 def _four_stage_replay(spark, landed, mode, full_gold_rows):
     base, batches = landed
     layout = Layout(scratch_path(spark, f"grid-replay-{mode}"))
-    land(masters.assign_store_keys(base, "static-001", "2024-06-01 00:00:00+00:00"), layout,
-         "northmart_store_master", "master", schemas.STORE_MASTER)
-    land(masters.assign_product_keys(base, "static-001", "2024-06-01 00:00:00+00:00"), layout,
-         "northmart_product_master", "master", schemas.PRODUCT_MASTER)
+    land_masters(spark, layout)
     expected = [
         (37200, 37200, "2024-04-29"),
         (46800, 46800, "2024-05-14"),
@@ -121,21 +124,21 @@ def _four_stage_replay(spark, landed, mode, full_gold_rows):
         (57615, 57600, "2024-05-29"),
     ]
     landed_batches = batches.drop("is_corrected", "is_late")
-    for (batch_id, _), (bronze_rows, gold_rows, max_date) in zip(CFG.batches, expected):
-        land(landed_batches.where(F.col("batch_id") == batch_id), layout, "raw_freshretailnet_daily", batch_id,
+    for batch_id, (bronze_rows, gold_rows, max_date) in zip([d.batch_id for d in CFG.deliveries], expected, strict=True):
+        land(landed_batches.where(F.col("batch_id") == batch_id), layout, "daily_observations", batch_id,
              schemas.RAW_DAILY_WITH_LINEAGE)
         if mode == "full":
             refresh_all(spark, layout, schemas.RAW_DAILY_WITH_LINEAGE, schemas.LINEAGE_COLUMNS)
         else:
-            if batch_id == CFG.batches[-1][0]:
+            if batch_id == CFG.restatement.batch_id:
                 # A run that dies after ingesting, before silver and gold: the
                 # next run must still carry those rows through.
                 ingest_all(spark, layout, schemas.RAW_DAILY_WITH_LINEAGE)
             run = refresh_incremental(spark, layout, schemas.RAW_DAILY_WITH_LINEAGE, schemas.LINEAGE_COLUMNS)
-            expected_mode = "full" if batch_id == CFG.batches[0][0] else "incremental"
+            expected_mode = "full" if batch_id == CFG.deliveries[0].batch_id else "incremental"
             assert run["mode"] == expected_mode
-        bronze = layout.read(spark, "bronze_raw_freshretailnet_daily")
-        gold = layout.read(spark, "gold_store_product_stockout_daily")
+        bronze = layout.read(spark, "bronze_daily_observations")
+        gold = layout.read(spark, "gold_stockout_daily")
         progress = {r.k: r.v for r in reports.progress_counts(bronze, layout.read(spark, "fact_sales"), gold).collect()}
         assert progress == {
             "bronze_landed": str(bronze_rows),
@@ -144,8 +147,8 @@ def _four_stage_replay(spark, landed, mode, full_gold_rows):
             "gold_max_date": max_date,
         }
 
-    bronze = layout.read(spark, "bronze_raw_freshretailnet_daily")
-    gold = layout.read(spark, "gold_store_product_stockout_daily")
+    bronze = layout.read(spark, "bronze_daily_observations")
+    gold = layout.read(spark, "gold_stockout_daily")
     sales = layout.read(spark, "fact_sales")
     assert {r.batch_id: r.rows for r in reports.batch_provenance(bronze).collect()} == {
         "replay-001-seed": 37200, "replay-002-inc": 9600, "replay-003-inc": 9600, "replay-004-restatement": 1215,
@@ -165,3 +168,81 @@ def _four_stage_replay(spark, landed, mode, full_gold_rows):
     full_gold_rows[mode] = snapshot
     if mode != "full" and "full" in full_gold_rows:
         assert full_gold_rows["full"] == snapshot
+
+
+# -- what an incremental refresh must not miss -----------------------------------------
+TABLES = ("dim_store", "dim_product", "dim_date", "fact_sales", "fact_inventory_status", "fact_promotion", "fact_external_signal", "gold_stockout_daily")
+
+
+def _contents(spark, layout):
+    out = {}
+    for name in TABLES:
+        rows = layout.read(spark, name).drop("processed_at", "refreshed_at")
+        out[name] = sorted(str(tuple(r)) for r in rows.select(*sorted(rows.columns)).collect())
+    return out
+
+
+def _land(spark, layout, delivery, rows):
+    land(raw_rows(spark, rows).drop("_source_file", "_loaded_at"), layout, "daily_observations", delivery, schemas.RAW_DAILY_WITH_LINEAGE)
+
+
+def _incremental(spark, layout):
+    return refresh_incremental(spark, layout, schemas.RAW_DAILY_WITH_LINEAGE, schemas.LINEAGE_COLUMNS)
+
+
+@pytest.fixture
+def small(spark):
+    layout = Layout(scratch_path(spark, "small-refresh"))
+    land_masters(spark, layout)
+    _land(spark, layout, "one", [{"dt": f"2024-03-{d:02d}", "store_id": 10000 + d % 3, "line_number": d, "discount": 0.85} for d in range(1, 8)])
+    assert _incremental(spark, layout)["mode"] == "full"
+    return layout
+
+
+def test_a_master_landed_before_a_failed_run_reaches_gold(spark, small, monkeypatch):
+    land_masters(spark, small, "moved", region="Elsewhere", ingested_at="2024-07-01 00:00:00+00:00")
+    with monkeypatch.context() as m:
+        m.setattr(refresh, "refresh_silver", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            _incremental(spark, small)
+    assert _incremental(spark, small)["mode"] == "full"
+    assert {r.region for r in small.read(spark, "gold_stockout_daily").collect()} == {"Elsewhere"}
+    got = _contents(spark, small)
+    refresh_all(spark, small, schemas.RAW_DAILY_WITH_LINEAGE, schemas.LINEAGE_COLUMNS)
+    assert _contents(spark, small) == got
+    assert _incremental(spark, small)["mode"] == "none"
+
+
+def test_a_date_whose_rows_all_fail_a_rule_leaves_nothing(spark, small):
+    # The rate rounds to 1: the promotion rule drops the only row of the date.
+    _land(spark, small, "two", [{"dt": "2024-03-02", "store_id": 10002, "line_number": 2, "batch_seq": 2, "discount": 0.00001}])
+    run = _incremental(spark, small)
+    assert (run["mode"], run["dates"]) == ("incremental", 1)
+    got = _contents(spark, small)
+    assert len(got["fact_promotion"]) == 6 and len(got["gold_stockout_daily"]) == 7
+    refresh_all(spark, small, schemas.RAW_DAILY_WITH_LINEAGE, schemas.LINEAGE_COLUMNS)
+    assert _contents(spark, small) == got
+
+
+def test_full_refresh_drops_tables_and_checkpoints_and_reads_again(spark, small):
+    before = _contents(spark, small)
+    spark.range(3).write.mode("overwrite").parquet(small.path("fact_sales"))  # damage
+    results = refresh.full_refresh(spark, small, schemas.RAW_DAILY_WITH_LINEAGE, schemas.LINEAGE_COLUMNS)
+    assert {r.table: r.rows_read for r in results}["bronze_daily_observations"] == 7
+    assert _contents(spark, small) == before
+
+
+# -- replay loses nothing ---------------------------------------------------------------
+def test_replay_keeps_rows_without_a_date_and_refuses_days_outside(spark):
+    plan = lambda rows: replay.replay_batches(raw_rows(spark, rows), CFG, C.GRID.days, "d", "train")
+    got = sorted((r.dt, r.batch_id) for r in plan([{"dt": "not a date"}, {"dt": "2024-03-01"}, {"dt": "2024-05-29"}]).collect())
+    assert got == [("2024-03-01", "replay-001-seed"), ("2024-05-29", "replay-003-inc"), ("not a date", "replay-001-seed")]
+    for day in ("2024-02-29", "2024-05-30"):
+        with pytest.raises(Exception, match="no delivery takes the rows of " + day):
+            plan([{"dt": day}]).collect()
+
+
+@pytest.mark.parametrize("days", [89, 91])
+def test_replay_must_cover_the_history(spark, days):
+    with pytest.raises(C.ReplayError, match="90 days"):
+        replay.replay_batches(raw_rows(spark, [{}]), CFG, days, "d", "train")

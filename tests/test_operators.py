@@ -8,21 +8,26 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from helpers import product_rows, raw_rows, store_rows
 from shelfguard import contracts as K
 from shelfguard import expectations as X
-from shelfguard.operators.joins import broadcast_if_small, measured_bytes
+from shelfguard import schemas, session
+from shelfguard.config import Expected
+from shelfguard.layout import Layout
 from shelfguard.operators.rules import rule_failures
 from shelfguard.operators.sampling import sample_first_keys
 from shelfguard.operators.sequence import dense_sequence
-from shelfguard.plans import validation
+from shelfguard.plans import bronze, validation
 from shelfguard.plans.contracts import contract_report, schema_report
+from shelfguard.session import scratch_path
+from shelfguard.streaming.ingest import land
 
 
 def test_dense_sequence_matches_sorted_rank(spark):
     rng = random.Random(7)
     ids = [rng.randrange(-10_000, 10_000_000) for _ in range(3000)]
     df = spark.createDataFrame([(i,) for i in ids + ids[:500]], "id long")
-    got = {r.id: r.seq for r in dense_sequence(df, "id", ranges=6).collect()}
+    got = {r.id: r.seq for r in dense_sequence(df, "id").collect()}
     expect = {v: n for n, v in enumerate(sorted(set(ids)), start=1)}
     assert got == expect
 
@@ -72,14 +77,6 @@ def test_rule_failures_counts_nulls_as_failures(spark):
                    "valid_stockout_hours": 1, "valid_discount": 1}
 
 
-def test_broadcast_only_when_measured_small(spark):
-    small = spark.createDataFrame([(1, "a")], "k long, v string")
-    assert measured_bytes(small) > 0
-    assert broadcast_if_small(small, limit_bytes=0) is small
-    hinted = broadcast_if_small(small, limit_bytes=1 << 20)
-    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
-
-
 def test_contract_report_and_schema(spark):
     df = spark.createDataFrame(
         [("s1", "p1", date(2024, 1, 1), 1.0), ("s1", "p1", date(2024, 1, 1), -1.0), (None, "p2", None, 2.0)],
@@ -90,8 +87,78 @@ def test_contract_report_and_schema(spark):
     assert rows["required:date_key"] == 1
     assert rows["check_1:observed_units >= 0"] == 1
     assert rows["primary_key:store_key,product_key,date_key"] == 1
-    schema = {c: ok for c, _, ok in schema_report(df, K.FACT_SALES)}
-    assert schema["type:observed_units"] and not schema["present:estimated_revenue"]
+    assert rows["column:observed_units:double"] == 0
+    # An absent required column fails its column check, and on every row.
+    assert rows["column:estimated_revenue:decimal(12,2)"] == 1 and rows["required:estimated_revenue"] == 3
+    assert dict(schema_report(df.withColumn("observed_units", F.lit("x")), K.FACT_SALES))["column:observed_units:double"] == 1
+
+
+def test_contract_without_its_key_column_fails_on_every_row(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "region string")
+    rows = {r.check_name: (r.failures, r.passed) for r in contract_report(df, K.DIM_STORE).collect()}
+    assert rows["primary_key:store_key"] == (2, False) and rows["required:store_key"] == (2, False)
+    assert rows["column:region:string"] == (0, True)
+
+
+RULE_BREAKERS = {
+    "bronze_raw_daily": ("city_id long, store_id long, product_id long, dt date, sale_amount double, stock_hour6_22_cnt long, discount double",
+                         [(None, 1, 1, date(2024, 1, 1), -1.0, 18, 0.0)]),
+    "bronze_store_master": ("northmart_store_id string, store_format string", [(None, "kiosk")]),
+    "bronze_product_master": ("northmart_product_id string, base_unit_price double, replenishment_class string", [(None, 0.0, "x")]),
+    "dim_store": ("store_key string", [(None,)]),
+    "dim_product": ("product_key string, base_unit_price double", [(None, -1.0)]),
+    "dim_date": ("date_key date", [(None,)]),
+    "fact_sales": ("store_key string, product_key string, date_key date, observed_units double, estimated_revenue double", [(None, "p", None, -1.0, None)]),
+    "fact_inventory_status": ("store_key string, product_key string, date_key date, stockout_hours int, service_window_hours int", [("s", None, None, 18, 17)]),
+    "fact_promotion": ("store_key string, product_key string, date_key date, discount_rate double", [("s", "p", None, 1.0)]),
+    "fact_external_signal": ("store_key string, date_key date, demand_signal_bucket string", [(None, None, "storm")]),
+    "gold_stockout_daily": ("store_key string, product_key string, date_key date, observed_units double, estimated_revenue double, lost_sales_proxy double, priority_tier string",
+                            [("s", "p", None, 1.0, 1.0, -1.0, "none")]),
+}
+
+
+def test_there_are_25_rules():
+    assert sum(map(len, X.BY_TABLE.values())) == 25 and set(X.BY_TABLE) == set(RULE_BREAKERS)
+
+
+@pytest.mark.parametrize("table", sorted(RULE_BREAKERS))
+def test_every_rule_sees_a_row_that_breaks_it(spark, table):
+    ddl, rows = RULE_BREAKERS[table]
+    got = {r.rule_name: r.failed_rows for r in rule_failures(spark.createDataFrame(rows, ddl), X.BY_TABLE[table], table).collect()}
+    assert got == {"_rows_seen": 1, "_rows_kept": 0, **{r.name: 1 for r in X.BY_TABLE[table]}}
+
+
+def test_validation_names_missing_columns_and_goes_on(spark):
+    raw, stores, products = raw_rows(spark, [{}]), store_rows(spark, [{}]), product_rows(spark, [{}])
+    cfg = Expected(stores=1, products=1, days=1)
+    parsed = bronze.parse_raw_daily(raw)
+    assert all(r.passed for r in validation.slice_validation(parsed, stores, products, cfg).collect())
+    report = {r.check_name: r for r in validation.slice_validation(parsed.drop("sale_amount", "dt"), stores.drop("region"), products, cfg).collect()}
+    assert len(report) == 18
+    assert report["raw_missing_columns"].detail == "dt,sale_amount" and report["raw_missing_columns"].actual == 2
+    assert report["raw_negative_sale_amount"].actual == 1 and report["store_missing_columns"].detail == "region"
+    with pytest.raises(validation.ValidationError, match=r"raw_missing_columns.*\(dt\)"):
+        validation.raise_on_failure(validation.slice_validation(parsed.drop("dt"), stores, products, cfg).where("check_name = 'raw_missing_columns'"))
+
+
+def test_landed_files_are_validated(spark):
+    layout = Layout(scratch_path(spark, "validate"))
+    with pytest.raises(FileNotFoundError, match="daily_observations"):
+        validation.validate_landing(spark, layout, Expected(1, 1, 1))
+    land(raw_rows(spark, [{}]), layout, "daily_observations", "a", schemas.RAW_DAILY)
+    land(store_rows(spark, [{}]), layout, "store_master", "a", schemas.STORE_MASTER)
+    land(product_rows(spark, [{}]), layout, "product_master", "a", schemas.PRODUCT_MASTER)
+    assert all(r.passed for r in validation.validate_landing(spark, layout, Expected(1, 1, 1)).collect())
+    with pytest.raises(validation.ValidationError, match="raw_date_cardinality: expected 2, got 1"):
+        validation.validate_landing(spark, layout, Expected(1, 1, 2))
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    from types import SimpleNamespace
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077", getConf=lambda: {})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_root(SimpleNamespace(sparkContext=context, conf={}))
 
 
 def test_validation_raises_on_first_failure(spark):

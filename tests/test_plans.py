@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 from datetime import date, timedelta
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from helpers import product_rows, raw_rows, session_conf, store_rows
+from helpers import NO_BROADCAST, product_rows, raw_rows, session_conf, store_rows
 from shelfguard.plans import bronze, gold, silver
-from shelfguard.session import prepare, scratch_path
+from shelfguard.session import prepare, scratch_path, staged
 
 
 def physical(df) -> str:
@@ -57,7 +58,7 @@ def _mart(spark, rows=({},), n_stores=1, n_products=1, tag="plan"):
         facts[name] = spark.read.parquet(fact_path)
     return gold.stockout_mart(
         facts["sales"], facts["inventory"], facts["promotion"], facts["external"],
-        silver.dim_store(stores), silver.dim_product(products),
+        staged(silver.dim_store(stores), f"{tag}-stores"), staged(silver.dim_product(products), f"{tag}-products"),
     )
 
 
@@ -78,17 +79,19 @@ def _exchanges(plan):
 
 
 def test_mart_shuffles_facts_on_the_full_grain(spark):
-    # The planner's own size-based broadcast is off (the tiny facts would
-    # qualify); the measured broadcast of dimensions and signal stays on.
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "shelfguard.broadcast.maxBytes": str(64 << 20)}
-    with session_conf(spark, settings):
+    with session_conf(spark, NO_BROADCAST):
         plan = _static_plan(spark, _mart(spark))
     store_date, grain = _exchanges(plan)
-    # sales, inventory, promotion hash on (store, product, date); the small
-    # external signal is broadcast, so no (store, date) exchange is needed.
+    # sales, inventory, promotion hash on (store, product, date) once each; the
+    # signal meets the joined rows in one (store, date) join.
     assert len(grain) == 3, plan
-    assert not store_date, plan
-    assert plan.count("BroadcastHashJoin") >= 3, plan
+    assert len(store_date) == 2, plan
+
+
+def test_small_sides_are_broadcast_by_their_size(spark):
+    final = _mart(spark, tag="plan-small")
+    final.collect()
+    assert physical(final).count("BroadcastHashJoin") >= 3
 
 
 def test_mart_splits_a_hot_store_date_when_nothing_is_broadcast(spark):
@@ -103,9 +106,7 @@ def test_mart_splits_a_hot_store_date_when_nothing_is_broadcast(spark):
         for day in range(1, 29)
     ]
     settings = {
-        "shelfguard.broadcast.maxBytes": "0",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        **NO_BROADCAST,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
@@ -141,9 +142,7 @@ def test_keyed_join_splits_a_hot_product_when_lookups_are_not_broadcast(spark):
     ]
     cold = [{"product_id": 50001 + p, "line_number": 100000 + p} for p in range(196)]
     settings = {
-        "shelfguard.broadcast.maxBytes": "0",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        **NO_BROADCAST,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
@@ -172,9 +171,56 @@ def test_watermark_reads_prune_older_bronze_files(spark):
         spark.range(5).select(
             F.col("id"), F.to_timestamp(F.lit(f"2024-06-0{day} 12:00:00")).alias("_loaded_at")
         ).coalesce(1).write.mode("append").parquet(layout.path(refresh.RAW_TABLE))
-    newer = refresh._loaded_after(spark, layout, "2024-06-02 00:00:00.000000")
+    newer = refresh._loaded_after(spark, layout, refresh.RAW_TABLE, "2024-06-02 00:00:00.000000")
     assert "GreaterThan(_loaded_at," in physical(newer)
     assert newer.count() == 10
-    assert refresh._newest_load(spark, layout, "2024-06-02 00:00:00.000000") == "2024-06-03 12:00:00.000000"
+    assert refresh.newest_load(spark, layout, refresh.RAW_TABLE, "2024-06-02 00:00:00.000000") == "2024-06-03 12:00:00.000000"
     # Nothing newer: the watermark stays where it was.
-    assert refresh._newest_load(spark, layout, "2024-06-04 00:00:00.000000") == "2024-06-04 00:00:00.000000"
+    assert refresh.newest_load(spark, layout, refresh.RAW_TABLE, "2024-06-04 00:00:00.000000") == "2024-06-04 00:00:00.000000"
+
+
+def test_building_a_serving_query_runs_no_job_beyond_the_written_tables(spark):
+    """Once the tables stand, a query is a plan over them: no measuring jobs."""
+    from shelfguard.catalog import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    QUERIES["contract_report"](spark, sf)  # writes every table
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        for name in ("kpi_lost_sales", "filter_options", "top_offenders", "contract_report", "grain_integrity", "slice_validation"):
+            QUERIES[name](spark, sf)
+        assert not tracker.getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert physical(QUERIES["filter_options"](spark, sf)).count("FileScan") == 1
+
+
+def test_sorted_bronze_lets_a_date_filter_skip_row_groups(spark):
+    """Rows landed in any order are clustered on dt: most row groups' statistics exclude a date."""
+    import pyarrow.parquet as pq
+
+    from shelfguard import schemas
+    from shelfguard.layout import Layout
+    from shelfguard.plans import refresh
+    from shelfguard.streaming.ingest import feeds, ingest, land
+
+    layout = Layout(scratch_path(spark, "plan-row-groups"))
+    rows = raw_rows(spark, [{"dt": (date(2024, 1, 1) + timedelta(days=i * 37 % 200)).isoformat(), "line_number": i} for i in range(400)])
+    feed = feeds(schemas.RAW_DAILY_WITH_LINEAGE)[0]
+    land(rows.drop("_source_file", "_loaded_at"), layout, "daily_observations", "one", schemas.RAW_DAILY_WITH_LINEAGE, 1)
+    small_groups = "parquet.block.row.count.limit"
+    spark._jsc.hadoopConfiguration().setInt(small_groups, 50)
+    try:
+        ingest(spark, layout, feed)
+    finally:
+        spark._jsc.hadoopConfiguration().unset(small_groups)
+
+    wanted, kept, groups = date(2024, 3, 1), 0, 0
+    for file in Path(layout.path(refresh.RAW_TABLE).removeprefix("file:")).rglob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            column = next(meta.row_group(g).column(c) for c in range(meta.num_columns) if meta.row_group(g).column(c).path_in_schema == "dt")
+            groups += 1
+            kept += column.statistics.min <= wanted <= column.statistics.max
+    assert groups >= 8 and kept <= 1

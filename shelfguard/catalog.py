@@ -55,8 +55,9 @@ class Medallion:
         self.spark = bronze_daily.sparkSession
         self.layout = Layout(scratch_path(self.spark, name))
 
-    def _by_date(self, table: str, rows: DataFrame, date_col: str = "date_key") -> DataFrame:
-        refresh.write_by_date(rows, self.layout.path(table), date_col, CLUSTER_BY.get(table, ("", "store_id"))[1:])
+    def _by_date(self, table: str, rows: DataFrame, date_col: str = "date_key", aligned: bool = False) -> DataFrame:
+        sort_by = CLUSTER_BY[table][1:] if table in CLUSTER_BY else ("store_id", "product_id")
+        refresh.write_by_date(rows, self.layout.path(table), date_col, sort_by, aligned=aligned)
         return self.layout.read(self.spark, table)
 
     def _small(self, table: str, rows: DataFrame) -> DataFrame:
@@ -69,7 +70,8 @@ class Medallion:
 
     @cached_property
     def keyed(self) -> DataFrame:
-        return silver.keyed_observations(self.latest, self.store_master, self.product_master)
+        keyed = silver.keyed_observations(self.latest, self.store_master, self.product_master)
+        return self._by_date(refresh.KEYED_STAGE, keyed, "dt")
 
     @cached_property
     def dim_store(self) -> DataFrame:
@@ -85,15 +87,15 @@ class Medallion:
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        return self._by_date("fact_sales", silver.fact_sales(self.keyed))
+        return self._by_date("fact_sales", silver.fact_sales(self.keyed), aligned=True)
 
     @cached_property
     def fact_inventory_status(self) -> DataFrame:
-        return self._by_date("fact_inventory_status", silver.fact_inventory_status(self.keyed))
+        return self._by_date("fact_inventory_status", silver.fact_inventory_status(self.keyed), aligned=True)
 
     @cached_property
     def fact_promotion(self) -> DataFrame:
-        return self._by_date("fact_promotion", silver.fact_promotion(self.keyed))
+        return self._by_date("fact_promotion", silver.fact_promotion(self.keyed), aligned=True)
 
     @cached_property
     def fact_external_signal(self) -> DataFrame:

@@ -52,8 +52,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every text, and whether they decode to it."""
     own = F.sha2(F.translate("text", pieces.MARK, " "), 256).alias("_own")
-    out = pieces.sentencepiece_encode(docs.select(*COLUMNS, own)).drop("n_best")
-    out = pieces.sentencepiece_decode(out)
+    out = pieces.sentencepiece_encode(docs.select(*COLUMNS, own), decoded="decoded")
     return out.select(*COLUMNS, F.size("ids").cast("long").alias("n_tokens"), "ids", (F.sha2("decoded", 256) == F.col("_own")).alias("round_trip"))
 
 

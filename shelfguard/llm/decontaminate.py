@@ -35,8 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfguard.llm.common import in_small_batches, tidy
+
 WINDOW = 10
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 19
 SAMPLE = 8
 BLOCK_BYTES = 16 << 20
 
@@ -269,7 +271,7 @@ def contaminate_rows(texts: list[str | None], windows: Windows, shard_words: int
 
     held = 0
     for text in number:
-        shard.append(np.array([get(w, 0) for w in words(text)], dtype=np.int64))
+        shard.append(np.array([get(w, 0) for w in words(text)], dtype=np.int32))
         held += len(shard[-1])
         if held >= shard_words:
             close()
@@ -288,6 +290,7 @@ def _pass(docs: DataFrame, items: list[tuple], item_type: T.DataType) -> DataFra
     )
 
     @F.pandas_udf(result)
+    @tidy
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         windows = shared.value
         for batch in batches:
@@ -300,7 +303,7 @@ def _pass(docs: DataFrame, items: list[tuple], item_type: T.DataType) -> DataFra
                 }
             )
 
-    return docs.withColumn("_hits", search(F.col("text")))
+    return in_small_batches(docs).withColumn("_hits", search(F.col("text")))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfguard.llm.common import in_small_batches
+
 _ATTRS = r"""[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*"""
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)({_ATTRS})(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -302,7 +304,7 @@ def extract_text(pages: DataFrame, html: str = "html", to: str = "text") -> Data
         for batch in batches:
             yield pd.Series([extract(x if isinstance(x, str) else None) for x in batch], dtype=object)
 
-    return pages.withColumn(to, main_text(F.col(html)))
+    return in_small_batches(pages).withColumn(to, main_text(F.col(html)))
 
 
 def op10_html_text(pages: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfguard.llm.common import stage
+from shelfguard.llm.common import in_small_batches, stage, tidy
 from shelfguard.llm.components import connected_components
 
 SHINGLE, PERCENT = 5, 80
@@ -141,6 +141,7 @@ def features(docs: DataFrame, k: int) -> DataFrame:
     )
 
     @F.pandas_udf(result)
+    @tidy
     def signature(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         shingler, minhash = Shingler(k), MinHash()
         for batch in batches:
@@ -157,7 +158,7 @@ def features(docs: DataFrame, k: int) -> DataFrame:
                 bands.append(minhash.bands(low).view(np.int64))
             yield pd.DataFrame({"n_shingles": np.array(n, dtype=np.int64), "set_id": ids, "sig": pd.Series(sigs, dtype=object), "bands": pd.Series(bands, dtype=object)})
 
-    return docs.select("doc_id", F.xxhash64("text").alias("text_id"), signature("text").alias("f")).select("doc_id", "text_id", "f.*")
+    return in_small_batches(docs).select("doc_id", F.xxhash64("text").alias("text_id"), signature("text").alias("f")).select("doc_id", "text_id", "f.*")
 
 
 def _matches(x: str, y: str) -> Column:
@@ -219,6 +220,7 @@ def _by_block(rows: DataFrame, f, schema: str) -> DataFrame:
     """``f`` over the columns of every (key, i, j): one sorted stream a task, not one call a block."""
     keys = ["key", "i", "j"]
 
+    @tidy
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[dict] = []
         last = None
@@ -252,6 +254,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     """The pairs whose full sets are similar enough."""
 
     @F.pandas_udf(T.BooleanType())
+    @tidy
     def linked(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         shingler = Shingler(k)
         last, left = None, None

@@ -39,6 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfguard.llm.common import in_small_batches, tidy
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 MARK = "▁"
@@ -128,9 +130,9 @@ class Lattice:
         lengths = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
         order = np.argsort(lengths, kind="stable")
         parts, at = [], 0
-        while at < len(order):  # chunks of like length together; a block holds at most 2^20 cells
+        while at < len(order):  # chunks of like length together; a block holds at most 2^18 cells
             widest = 2 * lengths[order[at]] + 4
-            end = min(np.searchsorted(lengths[order], widest, "right"), at + max(1, (1 << 20) // widest))
+            end = min(np.searchsorted(lengths[order], widest, "right"), at + max(1, (1 << 18) // widest))
             block = order[at:end]
             parts.append(self._block([chunks[i] for i in block], int(lengths[block[-1]])))
             at = end
@@ -416,26 +418,36 @@ def _encoded(rows: list[tuple | None]) -> tuple[pa.ListArray, pa.ListArray]:
     return ids, _lists([None if r is None else len(r[1]) for r in rows], path)
 
 
-def sentencepiece_encode(docs: DataFrame, model: str = MODEL, n_best: int = N_BEST, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` (the best segmentation) and ``n_best`` (each as edits of ``ids``)."""
-    rows = docs.select(*[c for c in docs.columns if c not in ("ids", "n_best")])
+def sentencepiece_encode(docs: DataFrame, model: str = MODEL, n_best: int = N_BEST, text: str = "text", decoded: str | None = None) -> DataFrame:
+    """``docs`` with ``ids`` (the best segmentation) and ``n_best`` (each as edits of ``ids``).
+
+    ``decoded`` names a column for the text that the ids stand for, made in the same pass.
+    """
+    own = ["ids", "n_best", *([decoded] if decoded else [])]
+    rows = in_small_batches(docs).select(*[c for c in docs.columns if c not in own])
 
+    @tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Lattice.load(model), n_best)
+        encoder, decoder = Encoder(Lattice.load(model), n_best), Decoder(model) if decoded else None
         for batch in batches:
             for at in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(at, TOGETHER)
-                ids, paths = _encoded(encoder.encode(part.column(text).to_pylist()))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids, paths], [*part.schema.names, "ids", "n_best"])
+                found = encoder.encode(part.column(text).to_pylist())
+                columns = [*part.columns, *_encoded(found)]
+                if decoder:
+                    columns.append(pa.array([None if r is None else decoder.decode(r[0]) for r in found], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, *own])
 
-    schema = T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_best", T.ArrayType(PATH))])
-    return rows.mapInArrow(encode, schema)
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_best", T.ArrayType(PATH))]
+    fields += [T.StructField(decoded, T.StringType())] if decoded else []
+    return rows.mapInArrow(encode, T.StructType([*rows.schema.fields, *fields]))
 
 
 def sentencepiece_decode(encoded: DataFrame, model: str = MODEL, ids: str = "ids", to: str = "decoded") -> DataFrame:
     """``encoded`` with the text that ``ids`` stand for."""
-    rows = encoded.select(*[c for c in encoded.columns if c != to])
+    rows = in_small_batches(encoded).select(*[c for c in encoded.columns if c != to])
 
+    @tidy
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(model)
         for batch in batches:
@@ -451,8 +463,7 @@ def op1_sentencepiece(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, the best ids, the scores of the N best with their edits, and whether decoding gives the text back."""
     # ▁ in a text reads as a space: the model writes both the same way.
     own = F.sha2(F.translate("text", MARK, " "), 256).alias("own")
-    out = sentencepiece_encode(docs.select("doc_id", "text", own), model).drop("text")
-    out = sentencepiece_decode(out, model)
+    out = sentencepiece_encode(docs.select("doc_id", "text", own), model, decoded="decoded")
     return out.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

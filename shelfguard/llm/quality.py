@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfguard.llm.common import give_back, in_small_batches, tidy
+
 BITS = 18
 MAX_SAMPLE = 20_000
 SHARDS = 4
@@ -126,6 +128,7 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, float]], size: int, epochs: in
 
     for _ in range(epochs):
         for cols, values, label in rows:
+            values = values.astype(np.float64)
             w = weights(cols)
             p = 1.0 / (1.0 + np.exp(-np.clip(w @ values, -35, 35)))
             g = (p - label) * values
@@ -159,9 +162,13 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", max_sampl
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
         part = part.assign(text=part["text"].fillna("")).sort_values(["rank", "doc_id", "text"])
-        rows = Featurizer()(part["text"].tolist())
+        rows, featurizer = [], Featurizer()
+        for at in range(0, len(part), 256):
+            rows += [(c, v.astype(np.float32)) for c, v in featurizer(part["text"].iloc[at : at + 256].tolist())]
         w = ftrl([(c, v, y) for (c, v), y in zip(rows, part["label"], strict=True)], size)
         used = np.flatnonzero(w)
+        del rows, featurizer, part
+        give_back()
         return pd.DataFrame({"feature": used, "weight": w[used]})
 
     parts = (
@@ -180,6 +187,7 @@ def score(docs: DataFrame, model: np.ndarray, text: str = "text", to: str = "sco
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf(T.DoubleType())
+    @tidy
     def logistic(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         features, w = Featurizer(), shared.value
         for batch in batches:
@@ -189,7 +197,7 @@ def score(docs: DataFrame, model: np.ndarray, text: str = "text", to: str = "sco
                 out += [1.0 / (1.0 + np.exp(-np.clip(w[c] @ v, -35, 35))) for c, v in features(texts)]
             yield pd.Series(out, dtype="float64")
 
-    return docs.withColumn(to, logistic(F.col(text)))
+    return in_small_batches(docs).withColumn(to, logistic(F.col(text)))
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE) -> DataFrame:

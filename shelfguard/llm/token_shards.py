@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfguard.llm.common import stage
+from shelfguard.llm.common import in_small_batches, stage
 from shelfguard.session import scratch_path
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -122,7 +122,7 @@ def packs(docs: DataFrame, ranks: str = RANKS, text: str = "text") -> DataFrame:
                 )
                 start += len(ids)
 
-    return docs.select(text).mapInArrow(pack, "task long, start long, n long, ids binary")
+    return in_small_batches(docs).select(text).mapInArrow(pack, "task long, start long, n long, ids binary")
 
 
 def write_shards(docs: DataFrame, path: str, ranks: str = RANKS, seq_len: int = SEQ_LEN, shard_size: int = SHARD_SIZE, key: int = KEY) -> dict:

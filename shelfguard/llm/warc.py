@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfguard.llm.common import in_small_batches
 from shelfguard.session import scratch_path
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -66,7 +67,7 @@ def _payloads(pages: DataFrame) -> DataFrame:
                 }
             )
 
-    return pages.withColumn("_p", hashed(F.col("html"))).select("page_id", "url", "_p.*")
+    return in_small_batches(pages).withColumn("_p", hashed(F.col("html"))).select("page_id", "url", "_p.*")
 
 
 def write_archive(pages: DataFrame, path: str, date: str = DATE) -> None:

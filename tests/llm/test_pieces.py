@@ -79,6 +79,7 @@ def test_frames_with_edges(docs_of):
     assert got[(2, None)].ids is None and got[(2, None)].n_best is None and got[(2, None)].decoded is None
     assert got[(3, "")].ids == [] and len(got[(3, "")].n_best) == 1
     assert all(r.decoded == t for (_, t), r in got.items())
+    assert sorted(map(str, pieces.sentencepiece_encode(df, decoded="decoded").collect())) == sorted(map(str, out.collect()))
     flags = {r.doc_id: r.round_trip for r in pieces.op1_sentencepiece(docs_of(rows)).collect()}
     assert flags == {1: True, 2: None, 3: True, 4: True, None: True, 5: True}
     assert pieces.op1_sentencepiece(docs_of([])).count() == 0

@@ -35,9 +35,6 @@ RULES = (
     ("org", "/fr/", "allow"),
 )
 PREFIX_HEX = 8
-#: Copies of each matched (host, path) in the join back to the rows, so that a
-#: url that a large share of all rows carries is met by as many tasks.
-SALTS = 16
 
 
 def rules_table(spark: SparkSession, rules=RULES) -> DataFrame:
@@ -90,14 +87,14 @@ def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 def url_filter(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFrame:
     """``pages`` (url and any other columns) with host, path, rule, verdict."""
-    own = ("host", "path", "rule", "verdict", "_salt")
+    own = ("host", "path", "rule", "verdict")
     host, path = host_and_path(F.col("url"))
     rows = pages.select(*[c for c in pages.columns if c not in own], host.alias("host"), path.alias("path"))
-    hits = matches(rows.select("host", "path").distinct(), rules)
-    hits = stage(hits, "url-hits").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in pages.columns if c in ("page_id", "url")]), F.lit(SALTS)).cast("int"))
-    out = rows.join(hits, ["host", "path", "_salt"], "left").drop("_salt")
-    return out.withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    # Written out, the decided (host, path) are a plain scan of known size: broadcast only if
+    # that is small, else both sides are shuffled and a hot url is split at run time.
+    hits = stage(matches(rows.select("host", "path").distinct(), rules), "url-hits")
+    out = rows.join(hits, ["host", "path"], "left")
+    return out.select(*[c for c in pages.columns if c not in own], "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
 
 def op3_url_filters(pages: DataFrame) -> DataFrame:

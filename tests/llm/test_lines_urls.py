@@ -67,7 +67,7 @@ def _judge(url, rules, default="allow"):
 
 @pytest.mark.parametrize("rules", [url_filters.RULES, (("example.net", "/e", "block"), ("net", "", "allow"), ("example.net", "/e", "allow"), ("c.net", "/x", "block")), ()])
 def test_urls_equal_brute_force(spark, rules):
-    pages = spark.createDataFrame(URLS, "page_id long, url string").withColumn("html", F.lit("x")).withColumn("_salt", F.lit(7))
+    pages = spark.createDataFrame(URLS, "page_id long, url string").withColumn("html", F.lit("x")).withColumn("prefix", F.lit(7))
     got = url_filters.url_filter(pages, url_filters.rules_table(spark, rules) if rules else spark.createDataFrame([], "host string, path string, verdict string"))
     found = sorted((str(r.page_id), str(r.url), r.host, r.path, str(r.rule), r.verdict) for r in got.collect())
     wanted = []

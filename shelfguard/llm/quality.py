@@ -25,6 +25,7 @@ contradicting labels is not trained on; without any label all scores are 0.5. Re
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,8 +63,7 @@ class _Tokens(dict):
     """Numbers tokens as they come and hashes their surface and shape."""
 
     def __init__(self):
-        self.surface: list[int] = []
-        self.shape: list[int] = []
+        self.surface, self.shape = array("Q"), array("Q")
 
     def __missing__(self, token: str) -> int:
         from xxhash import xxh64_intdigest

@@ -4,8 +4,10 @@ Vectors link when their cosine, in double precision, is at least ``threshold``;
 keeps its smallest vec_id.
 
 Method. Equal vectors first become one representative with a number of copies, by a map-side
-combined grouping. On a bounded sample (``SAMPLE`` vectors, one task) k-means gives coarse
-centroids, as many as the square root of the vectors (``LISTS`` at most), and a codebook
+combined grouping. Vectors of different lengths never link, so each length is searched by itself:
+lengths of at most ``CHUNK`` representatives are compared whole, a block a length; every other
+length gets an index of its own, one after the other. On a bounded sample (``SAMPLE`` vectors, one
+task) k-means gives coarse centroids, as many as the square root of the vectors (``LISTS`` at most), and a codebook
 for each of ``PARTS`` subspaces of the residuals. Every vector is indexed: its list, its
 residual codes, and the length of its quantisation error.
 
@@ -20,10 +22,11 @@ length are reranked by exact cosines, so quantisation loses nothing.
 
 A list is dealt in chunks of about ``CHUNK`` vectors, its queries in parts of about
 ``QUERIES``, both from counts per list; a block returns a count for each vector and
-spanning links, never pairs. Centroids, codebooks and counts per list are bounded by the parameters.
+spanning links, never pairs. Centroids, codebooks and counts per list are bounded by the parameters;
+the driver holds one length's at a time, and a count for each length.
 
-Defined results: vectors that are null, empty, zero or hold null or non-finite components, and
-vectors of another length than the commonest, link with nothing (component: their own id). Rows that
+Defined results: vectors that are null, empty, zero or hold null or non-finite components link
+with nothing (component: their own id); all others with those of their own length. Rows that
 repeat a vector are other vectors to each other. A row without vec_id links with nothing.
 """
 
@@ -162,19 +165,15 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sound(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, k1, k2, vector) of the rows that can link."""
+    """(vec_id, vector) of the rows that can link."""
     v = F.col("embedding").cast("array<float>")
     sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = embeddings.where("vec_id is not null").where(F.coalesce(sound, F.lit(False))).select("vec_id", v.alias("v"))
-    length = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("v") == (length[0] if length else 0))
+    return embeddings.where("vec_id is not null").where(F.coalesce(sound, F.lit(False))).select("vec_id", v.alias("v"))
 
 
-def fit(reps: DataFrame, lists: int, threshold: float, sigmas: float) -> Index | None:
-    """Trained in one task on at most ``SAMPLE`` vectors, chosen by a hash of the id."""
-    n = reps.count()
-    if not n:
-        return None
+def fit(reps: DataFrame, n: int, threshold: float, sigmas: float) -> Index:
+    """Trained in one task on at most ``SAMPLE`` of the ``n`` vectors, chosen by a hash of the id."""
+    lists = int(min(LISTS, np.ceil(np.sqrt(n))))
     spread = 1 << 30
     share = min(spread, -(-spread * SAMPLE // n))
     sample = reps.where(F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(spread)) < share).select("rep", "vec")
@@ -193,26 +192,28 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, sigmas: fl
     """One row for each of ``embeddings`` (vec_id, embedding): vec_id, n_links, component_id, kept."""
     spark = embeddings.sparkSession
     embeddings = embeddings.select("vec_id", "embedding")
-    key = [F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(5), "v").alias("k2")]
+    v = F.col("embedding").cast("array<float>")
+    key = [F.size("v").alias("dim"), F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(5), "v").alias("k2")]
     rows = _sound(embeddings)
     # Four bytes a component, for the tasks that compare.
     reps = rows.groupBy(*key).agg(F.min(F.struct("vec_id", "v")).alias("r"), F.count("*").alias("copies"))
-    reps = reps.select("k1", "k2", F.col("r.vec_id").alias("rep"), "copies", F.col("r.v").alias("v"))
+    reps = reps.select("dim", "k1", "k2", F.col("r.vec_id").alias("rep"), "copies", F.col("r.v").alias("v"))
 
     def as_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield b.drop(columns="v").assign(vec=[np.asarray(x, dtype=np.float32).tobytes() for x in b["v"]])
 
-    reps = stage(reps.mapInPandas(as_bytes, "k1 long, k2 long, rep long, copies long, vec binary"), "vec-reps")
-    lists = int(min(LISTS, max(1, np.ceil(np.sqrt(reps.count())))))
-    index = fit(reps, lists, threshold, sigmas)
-    if index is None:
-        groups = reps.select("k1", "k2", F.lit(0).cast("long").alias("n_links"), F.col("rep").alias("component_id"))
-    else:
-        groups = _search(spark, reps, index, threshold)
-    v = F.col("embedding").cast("array<float>")
-    out = embeddings.withColumns({"k1": F.xxhash64(v), "k2": F.xxhash64(F.lit(5), v), "sound": F.col("vec_id").isNotNull()})
-    out = out.join(stage(groups.withColumn("sound", F.lit(True)), "vec-groups"), ["k1", "k2", "sound"], "left")
+    reps = stage(reps.mapInPandas(as_bytes, "dim int, k1 long, k2 long, rep long, copies long, vec binary"), "vec-reps")
+    # One row a length.
+    sizes = dict(reps.groupBy("dim").count().collect())
+    tiny = [d for d, n in sizes.items() if n <= CHUNK]
+    found = [_whole(reps.where(F.col("dim").isin(tiny)), threshold)] if tiny else []
+    for d in sorted(set(sizes) - set(tiny)):
+        own = reps.where(F.col("dim") == d)
+        found.append(_search(spark, own, fit(own, sizes[d], threshold, sigmas), threshold).withColumn("dim", F.lit(d)))
+    groups = _groups(reps, found)
+    out = embeddings.withColumns({"dim": F.size(v), "k1": F.xxhash64(v), "k2": F.xxhash64(F.lit(5), v), "sound": F.col("vec_id").isNotNull()})
+    out = out.join(stage(groups.withColumn("sound", F.lit(True)), "vec-groups"), ["dim", "k1", "k2", "sound"], "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
@@ -220,8 +221,48 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, sigmas: fl
     )
 
 
+def tally(a: np.ndarray, b: np.ndarray, copies_a: np.ndarray, copies_b: np.ndarray) -> pd.DataFrame:
+    """(node, n, to) of the links (a, b): how many vectors each node links with, and spanning links."""
+    if not len(a):
+        return pd.DataFrame({"node": [], "n": [], "to": []})
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    counts = np.bincount(at, weights=np.concatenate([copies_b, copies_a])).astype(np.int64)
+    child, root = spanning(a, b)
+    link = pd.Series(root, index=child).reindex(ids).fillna(pd.Series(ids, index=ids)).astype(np.int64)
+    return pd.DataFrame({"node": ids, "n": counts, "to": link.to_numpy()})
+
+
+def _whole(reps: DataFrame, threshold: float) -> DataFrame:
+    """(node, n, to, dim) of lengths of few vectors: all pairs of a length, in one block."""
+
+    def compare(block: pd.DataFrame) -> pd.DataFrame:
+        x, rep, copies = unit(vectors(block["vec"].to_numpy())), block["rep"].to_numpy(), block["copies"].to_numpy()
+        a, b = np.nonzero(np.triu(x @ x.T >= threshold - 1e-9, 1))
+        good = np.zeros(len(a), dtype=bool)
+        for at in range(0, len(a), 1 << 16):
+            s = slice(at, at + (1 << 16))
+            good[s] = np.einsum("ij,ij->i", x[a[s]], x[b[s]]) >= threshold
+        a, b = a[good], b[good]
+        return tally(rep[a], rep[b], copies[a], copies[b]).assign(dim=block["dim"].iloc[0])
+
+    return stage(reps.groupBy("dim").applyInPandas(compare, "node long, n long, to long, dim int"), "vec-whole")
+
+
+def _groups(reps: DataFrame, found: list[DataFrame]) -> DataFrame:
+    """(dim, k1, k2, n_links, component_id) of every representative, from what the searches found."""
+    if not found:
+        return reps.select("dim", "k1", "k2", F.lit(0).cast("long").alias("n_links"), F.col("rep").alias("component_id"))
+    links = found[0]
+    for more in found[1:]:
+        links = links.unionByName(more)
+    counts = links.groupBy("dim", F.col("node").alias("rep")).agg(F.sum("n").alias("n"))
+    parts = connected_components(links.where("node <> to").select(F.col("node").alias("a"), F.col("to").alias("b")))
+    out = reps.join(counts, ["dim", "rep"], "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+    return out.select("dim", "k1", "k2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+
+
 def _search(spark, reps: DataFrame, index: Index, threshold: float) -> DataFrame:
-    """(k1, k2, n_links, component_id) of every representative."""
+    """(node, n, to) of the links between representatives of one length."""
     shared = spark.sparkContext.broadcast(index)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -262,16 +303,7 @@ def _search(spark, reps: DataFrame, index: Index, threshold: float) -> DataFrame
         def answer(q: pd.DataFrame) -> pd.DataFrame:
             queries = {"unit": unit(vectors(q["vec"].to_numpy())), "cell": q["cell"].to_numpy(), "rep": q["rep"].to_numpy()}
             row, query = linked_pairs(shared.value, block[0], listed, queries, threshold)
-            if not len(row):
-                return pd.DataFrame({"node": [], "n": [], "to": []})
-            a, b = listed["rep"][row], queries["rep"][query]
-            nodes = np.concatenate([a, b])
-            more = np.concatenate([q["copies"].to_numpy()[query], listed["copies"][row]])
-            ids, at = np.unique(nodes, return_inverse=True)
-            counts = np.bincount(at, weights=more).astype(np.int64)
-            child, root = spanning(a, b)
-            link = pd.Series(root, index=child).reindex(ids).fillna(pd.Series(ids, index=ids)).astype(np.int64)
-            return pd.DataFrame({"node": ids, "n": counts, "to": link.to_numpy()})
+            return tally(listed["rep"][row], queries["rep"][query], listed["copies"][row], q["copies"].to_numpy()[query])
 
         for batch in batches:
             keys = batch[["probe", "chunk", "part"]].to_numpy()
@@ -296,11 +328,7 @@ def _search(spark, reps: DataFrame, index: Index, threshold: float) -> DataFrame
 
     order = ["probe", "chunk", "part", "asks"]
     found = blocks.repartition("probe", "chunk", "part").sortWithinPartitions(*order).mapInPandas(compare, "node long, n long, to long")
-    found = stage(found, "vec-found")
-    counts = found.groupBy("node").agg(F.sum("n").alias("n"))
-    parts_of = connected_components(found.where("node <> to").select(F.col("node").alias("a"), F.col("to").alias("b")))
-    out = reps.join(counts.withColumnRenamed("node", "rep"), "rep", "left").join(parts_of.withColumnRenamed("node", "rep"), "rep", "left")
-    return out.select("k1", "k2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    return stage(found, "vec-found")
 
 
 def op6_vector_dedup(embeddings: DataFrame) -> DataFrame:

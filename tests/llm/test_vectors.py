@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import brute
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +54,21 @@ def test_edges(spark):
     assert _got(spark, []) == [] and _got(spark, [(1, None)]) == [(1, 0, 1, True)]
 
 
+@pytest.mark.parametrize("chunk", [8, vd.CHUNK])
+def test_every_length_is_compared_as_in_the_sql(spark, monkeypatch, chunk):
+    monkeypatch.setattr(vd, "CHUNK", chunk)
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(12, 16)), rng.normal(size=(10, 6))
+    y = np.concatenate([y, y[:2], y[:2], 2 * y[2:4], y[4:6] + 0.05 * rng.normal(size=(2, 6))])
+    rows = list(enumerate([*np.concatenate([x, x[:5]]).tolist(), *y.tolist(), [1.0, 2.0], [2.0, 4.0], [3.0]], 1))
+    got = _got(spark, rows, sigmas=16.0)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    assert got == sorted(con.execute(vd.SQL).fetchall()) == _expected(rows)
+    assert sum(r[1] > 0 for r in got[17:]) >= 12
+
+
 def test_recall_on_the_given_vectors(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = df.collect()

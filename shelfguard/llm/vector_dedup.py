@@ -13,9 +13,14 @@ residual codes, and the length of its quantisation error.
 
 Search. Two unit vectors of that cosine are at most ``d = sqrt(2 - 2 * threshold)`` apart. If a
 vector's partner is nearer to centroid c than to the vector's own, the vector is at most d
-from the plane half-way between both; along one direction a difference of length d in
-``n`` dimensions is rarely longer than ``SIGMAS * d / sqrt(n)``. Every list within that
-margin is probed (``SIGMAS = sqrt(n)`` or more loses no pair at all). Each pair of lists is probed
+from the plane half-way between both. How far a difference of length d reaches across such
+planes depends on the data: in ``n`` directions alike its standard deviation is ``d / sqrt(n)``,
+but embeddings of a wide model may differ in few directions. The sample tells: ``PILOT`` of its
+vectors are compared with all others, and the margin is ``SIGMAS`` times the largest of that
+value, of the spread of near neighbours and of the spread of linked pairs along the normals of
+the nearest borders, at least ``SAFETY`` times what any linked pair of the sample needed, and d at
+most. Where d itself probes at most ``FEW`` lists a vector, or twice as many, it is taken.
+Every list within the margin is probed (``SIGMAS = sqrt(n)`` or more loses no pair at all). Each pair of lists is probed
 from the lower side only and counts for both vectors. In a block, asymmetric table
 look-ups give approximate products; those that reach the threshold less the stored error
 length are reranked by exact cosines, so quantisation loses nothing.
@@ -46,6 +51,8 @@ from shelfguard.llm.components import connected_components
 THRESHOLD = 0.95
 SAMPLE, LISTS, PARTS, CODES = 32_768, 2_048, 8, 256
 SIGMAS = 5.0
+#: The margin is measured on so many vectors of the sample, each with so many neighbours and borders.
+PILOT, AROUND, SAFETY, FEW = 1_024, 8, 1.25, 16
 CHUNK, QUERIES = 2_048, 16_384
 ROUNDS = 8
 
@@ -82,7 +89,6 @@ class Index:
         self.parts = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
         self.book = [k_means(np.ascontiguousarray(rest[:, a:b]), CODES, seed + 1 + i).astype(np.float32) for i, (a, b) in enumerate(self.parts)]
         self.apart = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
-        self.margin = self.apart * min(1.0, sigmas / np.sqrt(dim))
         gap = self.centre[:, None, :] - self.centre[None, :, :] if len(self.centre) <= 256 else None
         if gap is not None:
             self.gap = np.sqrt((gap * gap).sum(axis=2))
@@ -90,6 +96,55 @@ class Index:
             sq = (self.centre * self.centre).sum(axis=1)
             self.gap = np.sqrt(np.maximum(sq[:, None] + sq[None, :] - 2 * self.centre @ self.centre.T, 0))
         self.half = (self.centre * self.centre).sum(axis=1) / 2
+        self.margin = self.apart if sigmas >= np.sqrt(dim) else self._measured(sample, threshold, sigmas, seed)
+
+    def _measured(self, x: np.ndarray, threshold: float, sigmas: float, seed: int) -> float:
+        """The distance from a border up to which the list behind it is probed."""
+        rng = np.random.default_rng(seed)
+        cell = nearest(x, self.centre)
+        spread, need = 1 / x.shape[1], 0.0
+        sums = np.zeros((2, 2))  # squares along normals and their number: of neighbours, of linked pairs
+        pilots = rng.permutation(len(x))[:PILOT]
+        around, borders = min(AROUND, len(x) - 1), min(AROUND, len(self.centre) - 1)
+        if not around or not borders:
+            return self.apart
+        for at in range(0, len(pilots), 128):
+            p = pilots[at : at + 128]
+            close = x[p] @ x.T
+            close[np.arange(len(p)), p] = -2
+            near = np.argpartition(close, -around, axis=1)[:, -around:].ravel()
+            own = np.repeat(p, around)
+            same = cell[own] == cell[near]
+            i, j = np.nonzero(close >= threshold)
+            some = rng.permutation(len(i))[:2048]
+            for kind, (a, b) in enumerate([(own[same], near[same]), (p[i[some]], j[some])]):
+                if len(a):
+                    squares, crossing = self._across(x, a, b, cell, borders)
+                    sums[kind] += squares.sum(), squares.size
+                    if kind and len(crossing):
+                        need = max(need, float(crossing.max()))
+        spread = np.sqrt(max([spread, *[total / n for total, n in sums if n]]))
+        margin = min(self.apart, max(self.apart * sigmas * spread, SAFETY * need))
+        self.margin = margin
+        usual = len(self.probes(x[pilots], cell[pilots])[0])
+        self.margin = self.apart
+        widest = len(self.probes(x[pilots], cell[pilots])[0])
+        return self.apart if widest <= max(FEW * len(pilots), 2 * usual) else margin
+
+    def _across(self, x: np.ndarray, a: np.ndarray, b: np.ndarray, cell: np.ndarray, borders: int) -> tuple[np.ndarray, np.ndarray]:
+        """Squares of the unit differences of pairs along the normals of the nearest borders; the margins
+        that pairs of two lists need."""
+        rows = np.arange(len(a))
+        score, other = x[a] @ self.centre.T - self.half, x[b] @ self.centre.T - self.half
+        home, gap = cell[a], np.maximum(self.gap[cell[a]], 1e-9)
+        to_border = (score[rows, home][:, None] - score) / gap
+        to_border[rows, home] = np.inf
+        to = np.argpartition(to_border, borders - 1, axis=1)[:, :borders]
+        moved = other - score
+        along = (np.take_along_axis(moved, to, 1) - moved[rows, home][:, None]) / np.take_along_axis(gap, to, 1)
+        length = np.sqrt(((x[a] - x[b]) ** 2).sum(axis=1))
+        two = np.flatnonzero(cell[a] < cell[b])
+        return (along / np.maximum(length, 1e-9)[:, None]) ** 2, to_border[two, cell[b[two]]]
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(list, codes, length of the quantisation error) of unit vectors."""

@@ -91,3 +91,16 @@ def test_quantised_products_stay_within_their_error():
         if own.any():
             close = index.products(x, c, codes[own])
             assert (np.abs(close - x[own] @ x.T) <= error[own][:, None] + 1e-4).all()
+
+
+@pytest.mark.parametrize(("dim", "rank"), [(384, 6), (768, 4), (768, 10), (1024, 8)])
+def test_wide_vectors_of_few_directions_keep_their_links(dim, rank):
+    rng = np.random.default_rng(rank)
+    x = vd.unit(rng.normal(size=(5000, rank)) @ rng.normal(size=(rank, dim))).astype(np.float32)
+    index = vd.Index(x, 71)
+    cell = vd.nearest(x, index.centre)
+    probed = np.zeros((len(x), 71), dtype=bool)
+    probed[index.probes(x, cell)] = True
+    a, b = np.nonzero(np.triu(x @ x.T >= vd.THRESHOLD, 1))
+    low, high = np.where(cell[a] <= cell[b], a, b), np.where(cell[a] <= cell[b], b, a)
+    assert len(a) > 20 and probed[low, cell[high]].mean() >= 0.999

@@ -9,7 +9,8 @@ Method.
 1. One pass over the texts gives each document its set's size and digest, ``BANDS`` band
    keys of ``ROWS`` minima each, and the low ``BITS`` bits of all minima, packed.
 2. Equal sets meet by digest in a map-side combined grouping and go on as one
-   representative (the smallest doc_id), however many copies there are.
+   representative (the row of the smallest doc_id, under a number of its own), however many
+   copies there are.
 3. Representatives meet by band key. Each bucket's smallest is a leader and paired with all others:
    as many pairs as members, not their square. A pair whose signatures' equal bits, corrected
    for chance, estimate a similarity more than ``SLACK`` standard errors below the
@@ -20,14 +21,14 @@ Method.
    partner, by bit counts; where the rest is not yet connected, an inverted
    index over the block's full sets gives exact intersections, and the block
    returns a spanning set of links, never all pairs.
-5. Connected components over the links; every copy gets its representative's.
+5. Connected components over the links, each named by its smallest doc_id; every copy gets its
+   representative's.
 
 At similarity 0.8 a pair shares no band with probability ``(1 - 0.8 ** 5) ** 32``, 3 in a million.
 
 Defined results: null, empty and word-less texts have an empty set and link with nothing; a row
 without doc_id is not compared (no component, kept). Rows of one doc_id with different texts are
-judged each by its own text, but where one doc_id is the smallest of two sets, only one of these sets
-is compared with others. Other columns are not read.
+judged each by its own text. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -319,25 +320,27 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     sets = found.where("doc_id is not null and set_id is not null")
     rest = ["text_id", "n_shingles", "sig", "bands"]
     reps = sets.groupBy("set_id").agg(F.min(F.struct("doc_id", *rest)).alias("r"))
-    # A doc_id is the smallest of two sets only if its rows have different texts.
-    reps = reps.groupBy(F.col("r.doc_id").alias("rep")).agg(F.min(F.struct("set_id", "r")).alias("m"))
-    reps = stage(reps.select("rep", "m.set_id", *[f"m.r.{c}" for c in rest]), "near-reps")
+    # One doc_id may be the smallest of several sets (rows of different texts), so each set gets a number.
+    reps = reps.select(F.monotonically_increasing_id().alias("rep"), "set_id", "r.doc_id", *[f"r.{c}" for c in rest])
+    reps = stage(reps, "near-reps")
     buckets = reps.select("rep", F.explode("bands").alias("key")).groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("leader"))
     leaders = stage(buckets.where("n >= 2"), "near-leaders")
     pairs = stage(leader_pairs(reps, leaders, percent), "near-pairs")
     blocks = stage(crowd_blocks(reps, leaders, percent), "near-blocks")
     ids = [pairs.select(F.col("a").alias("rep")), pairs.select(F.col("b").alias("rep")), blocks.select("rep")]
-    wanted = reps.select(F.col("rep").alias("doc_id"), "text_id").join(
-        ids[0].unionByName(ids[1]).unionByName(ids[2]).distinct().withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi"
-    )
+    wanted = reps.select("rep", "doc_id", "text_id").join(ids[0].unionByName(ids[1]).unionByName(ids[2]).distinct(), "rep", "left_semi")
     # The only time that texts are shuffled; rows without a likely partner stay behind.
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_id")).join(wanted, ["doc_id", "text_id"], "left_semi")
-    texts = stage(texts.dropDuplicates(["doc_id", "text_id"]).select("doc_id", "text"), "near-texts")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_id")).join(wanted, ["doc_id", "text_id"])
+    texts = stage(texts.dropDuplicates(["doc_id", "text_id"]).select("rep", "text"), "near-texts")
     links = stage(confirmed(pairs, texts, k, percent), "near-links")
     parts = connected_components(links)
     more = crowd_links(blocks, texts, parts, k, percent)
     parts = connected_components(parts.toDF("a", "b").unionByName(more))
-    groups = stage(reps.select("set_id", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component_id")), "near-groups")
+    nodes = stage(parts.withColumnRenamed("node", "rep").join(reps.select("rep", "doc_id"), "rep"), "near-nodes")
+    least = stage(nodes.groupBy("component").agg(F.min("doc_id").alias("component_id")), "near-least")
+    nodes = nodes.join(least, "component").select("rep", "component_id")
+    groups = reps.select("set_id", "rep", "doc_id").join(nodes, "rep", "left")
+    groups = stage(groups.select("set_id", F.coalesce("component_id", "doc_id").alias("component_id")), "near-groups")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     found = found.select("doc_id", "text_id", "n_shingles", "set_id").join(groups, "set_id", "left")
     return found.select(

@@ -69,6 +69,15 @@ def test_repeats_null_ids_empty_table_and_extra_columns(docs_of):
     assert near_dedup.op4_near_dedup(docs_of([])).count() == 0
 
 
+def test_every_text_of_an_id_is_compared(docs_of):
+    """One id is the smallest of several sets: each set still finds its copies and near copies."""
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abc"]
+    rows = [(1, t) for t in texts] + [(9 + i, t) for i, t in enumerate(texts)] + [(20 + i, t + " more") for i, t in enumerate(texts)]
+    got = near_dedup.op4_near_dedup(docs_of(rows)).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == sorted((i, 1, i == 1) for i, _ in rows)
+    assert sorted(r.text for r in near_dedup.keep_one_of_each(docs_of(rows)).collect()) == texts
+
+
 def test_bit_counts_estimate_the_similarity():
     rng = np.random.default_rng(5)
     common, own = rng.integers(0, 1 << 63, 4000, dtype=np.uint64), rng.integers(0, 1 << 63, 1000, dtype=np.uint64)

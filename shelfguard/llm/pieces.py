@@ -68,6 +68,39 @@ class _Numbers(dict):
         return k
 
 
+class _Partial:
+    """An agenda entry: minus the whole score, position, score behind, last piece, entry behind,
+    and one farther behind, by which two paths are compared in few steps."""
+
+    __slots__ = ("behind", "depth", "jump", "pid", "pos", "score", "whole")
+
+    def __init__(self, whole: float, pos: int, score: float, pid: int, behind: _Partial | None):
+        self.whole, self.pos, self.score, self.pid, self.behind = whole, pos, score, pid, behind
+        if behind is None:
+            self.depth, self.jump = 0, self
+        else:
+            far = behind.jump
+            self.depth = behind.depth + 1
+            self.jump = far.jump if behind.depth - far.depth == far.depth - far.jump.depth else behind
+
+    def __lt__(self, other: _Partial) -> bool:
+        if self.whole != other.whole:
+            return self.whole < other.whole
+        # Ties: by the piece lengths from the end. The first that differs follows the last common entry.
+        a, b = self.up_to(other.depth), other.up_to(self.depth)
+        if a is b:
+            return self.depth < other.depth
+        while a.behind is not b.behind:
+            a, b = (a.jump, b.jump) if a.jump is not b.jump else (a.behind, b.behind)
+        return a.pos > b.pos
+
+    def up_to(self, depth: int) -> _Partial:
+        at = self
+        while at.depth > depth:
+            at = at.jump if at.jump.depth >= depth else at.behind
+        return at
+
+
 class Lattice:
     """Piece lookup and search over chunk lattices of one model."""
 
@@ -251,20 +284,22 @@ class Lattice:
         forward = [0.0] + [-np.inf] * len(chunk)
         for end in range(1, len(chunk) + 1):
             forward[end] = max(forward[start] + s for start, s, _ in into[end])
-        # (minus the whole score, lengths from the end, position, score behind, pieces behind)
-        agenda = [(-forward[-1], (), len(chunk), 0.0, ())]
+        # An entry holds its last piece and the entry behind it; whole paths are never copied.
+        agenda = [_Partial(-forward[-1], len(chunk), 0.0, -1, None)]
         out = []
         while agenda and len(out) < n:
-            whole, lengths, pos, behind, path = heapq.heappop(agenda)
+            top = heapq.heappop(agenda)
+            pos = top.pos
             if pos == 0:
-                ids, ends = [], []
-                for end, pid in path[::-1]:
-                    ids.append(pid)
-                    ends.append(end)
-                out.append((-whole, self._bytes(chunk, ids, ends)))
+                ids, ends, at = [], [], top
+                while at.behind is not None:
+                    ids.append(at.pid)
+                    ends.append(at.behind.pos)
+                    at = at.behind
+                out.append((-top.whole, self._bytes(chunk, ids, ends)))
                 continue
             for start, s, pid in into[pos]:
-                heapq.heappush(agenda, (-(forward[start] + s + behind), (*lengths, pos - start), start, behind + s, (*path, (pos, pid))))
+                heapq.heappush(agenda, _Partial(-(forward[start] + s + top.score), start, top.score + s, pid, top))
         return out
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -92,3 +94,27 @@ def test_long_chunks_share_blocks_with_short_ones(lattice):
     for k, c in enumerate(chunks):
         one = lattice.viterbi([c])
         assert one[0].tolist() == ids[cut[k] : cut[k + 1]].tolist() and one[2][0] == score[k] and one[3][0] == loss[k]
+
+
+def test_ties_of_whole_paths_keep_their_order():
+    m = pieces.Lattice(["▁", "a", "b", "ab", "ba", "▁a"], [-1.0, -1.0, -1.0, -2.0, -2.0, -2.0], [10, 11, 12, 13, 14, 15], list(range(256, 512)))
+    chunk = "▁abab"
+    got = [(s, i.tolist()) for s, i in m.n_best(chunk, 100)]
+    assert got == every_path(m, chunk) and len(got) > len({s for s, _ in got})
+
+
+def test_unspaced_texts_of_any_length(docs_of):
+    rng = np.random.default_rng(3)
+    rows = [(1, "".join(rng.choice([*"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"], 100_000)))]
+    rows += [(2, "".join(rng.choice([*"日本語中文字的是", "the", "on"], 50_000)))]
+    got = {r.doc_id: r for r in pieces.sentencepiece_decode(pieces.sentencepiece_encode(docs_of(rows))).collect()}
+    assert all(got[i].decoded == text and len(got[i].n_best) == pieces.N_BEST for i, text in rows)
+
+
+def test_the_search_of_a_long_chunk_needs_memory_linear_in_its_length(lattice):
+    chunk = "".join(np.random.default_rng(4).choice([*"abcdefghijklmnop"], 4000))
+    tracemalloc.start()
+    lattice.n_best(chunk, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4_000 * len(chunk)

@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators: each applies one operator, with
+"""Registered queries of the operators: each applies one operator, with
 production parameters, to its whole table."""
 
 from __future__ import annotations
@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfguard.llm import decontaminate, html_text, line_dedup, near_dedup, pieces, quality, token_shards, url_filters, vector_dedup, warc
+from shelfguard.llm import byte_bpe, decontaminate, html_text, line_dedup, near_dedup, pieces, quality, token_shards, url_filters, vector_dedup, warc
 from shelfguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": lambda s, d: warc.op8_warc(table(s, d, "pages")),
     "op9_decontaminate": lambda s, d: decontaminate.op9_decontaminate(table(s, d, "documents"), table(s, d, "benchmark")),
     "op10_html_text": lambda s, d: html_text.op10_html_text(table(s, d, "pages")),
+    "op11_byte_bpe": lambda s, d: byte_bpe.op11_byte_bpe(table(s, d, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -49,7 +49,7 @@ from shelfguard.llm.pieces import spans
 
 MODEL_NAME = "byte_bpe_50k.json"
 #: Trie nodes that a worker holds before it starts anew.
-NODES = 400_000
+NODES = 700_000
 #: Pairs whose compatibility a worker remembers.
 PAIRS = 400_000
 #: Words of one text split and encoded together.
@@ -91,7 +91,7 @@ class Vocabulary:
             if whole in self.parts or max(self.rank[left], self.rank[right]) >= rank:
                 raise ValueError("merges don't build tokens one by one")
             self.merges[left, right], self.parts[whole], self.rank[whole] = rank, (left, right), rank
-        self._pairs: dict[int, bool] = {}
+        self.pairs: dict[int, bool] = {}
         # Every end of every token, with the token itself where it is one that BPE gives for its own bytes.
         self.ends: dict[bytes, int] = {}
         for i, b in sorted(self.bytes.items(), key=lambda x: len(x[1])):
@@ -125,11 +125,11 @@ class Vocabulary:
 
     def compatible(self, left: int, right: int) -> bool:
         key = left << 32 | right
-        known = self._pairs.get(key)
+        known = self.pairs.get(key)
         if known is None:
-            if len(self._pairs) >= PAIRS:
-                self._pairs.clear()
-            known = self._pairs[key] = self._quiet(left, right, len(self.merges), True)
+            if len(self.pairs) >= PAIRS:
+                self.pairs.clear()
+            known = self.pairs[key] = self._quiet(left, right, len(self.merges), True)
         return known
 
 
@@ -147,21 +147,27 @@ class WordTrie:
     def __len__(self) -> int:
         return len(self.last)
 
-    def _state(self, word: bytes, depth: int, path: list[int]) -> int:
-        """Last token of ``word[:depth]``; ``path`` has the nodes of all shorter prefixes."""
-        ends, last, compatible = self.vocabulary.ends, self.last, self.vocabulary.compatible
-        found = []
-        start = depth - 1
-        while start >= 0:
-            token = ends.get(word[start:depth])
-            if token is None:
-                break
+    def _grow(self, word: bytes, depth: int, path: list[int]) -> int:
+        """A node for ``word[:depth]``; ``path`` has the nodes of all shorter prefixes."""
+        ends, last, pairs = self.vocabulary.ends.get, self.last, self.vocabulary.pairs
+        start, found = depth - 1, []
+        token = ends(word[start:depth])
+        while token is not None:
             if token >= 0:
-                found.append((start, token))
+                found.append(token)
+                found.append(start)
             start -= 1
-        for start, token in reversed(found):  # the longest is the likeliest
-            if not start or compatible(last[path[start]], token):
-                return token
+            token = ends(word[start:depth]) if start >= 0 else None
+        while found:  # the longest is the likeliest
+            start, token = found.pop(), found.pop()
+            if not start:
+                last.append(token)
+                return len(last) - 1
+            left = last[path[start]]
+            fits = pairs.get(left << 32 | token)
+            if fits or (fits is None and self.vocabulary.compatible(left, token)):
+                last.append(token)
+                return len(last) - 1
         raise ValueError(f"the vocabulary has no token for the byte {word[depth - 1]}")
 
     def encode(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
@@ -171,18 +177,18 @@ class WordTrie:
         for word in words:
             shared = len(commonprefix((previous, word)))
             del path[shared + 1 :]
+            node = path[-1]
             for depth in range(shared, len(word)):
-                edge = path[-1] << 8 | word[depth]
+                edge = node << 8 | word[depth]
                 node = child.get(edge)
                 if node is None:
-                    state = self._state(word, depth + 1, path)
-                    node = child[edge] = len(last)
-                    last.append(state)
+                    node = child[edge] = self._grow(word, depth + 1, path)
                 path.append(node)
             previous, at, tokens = word, len(word), []
             while at:
-                tokens.append(last[path[at]])
-                at -= length[tokens[-1]]
+                token = last[path[at]]
+                tokens.append(token)
+                at -= length[token]
             tokens.reverse()
             yield word, tokens
 
@@ -239,36 +245,59 @@ class Encoder:
         self.split = Splitter(config)
         self.nodes = nodes
         self.words: dict[str, bytes] = {}
+        self.packed = {i: i.to_bytes(4, "little") for i in self.trie.vocabulary.bytes}
         self.added = {}
         for token in config.get("added_tokens") or []:
             if token.get("lstrip") or token.get("rstrip") or token.get("single_word"):
                 raise ValueError(f"added token {token['content']!r} isn't plain text")
-            self.added[token["content"]] = np.uint32(token["id"]).astype("<u4").tobytes()
+            self.added[token["content"]] = token["id"].to_bytes(4, "little")
         longest_first = sorted(self.added, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.added else None
 
-    def _learn(self, words: set[str]) -> None:
-        """Insert distinct words that aren't known yet."""
-        for word, tokens in self.trie.encode(sorted(w.encode() for w in words)):
-            self.words[word.decode()] = np.array(tokens, dtype="<u4").tobytes()
-
-    def _packed(self, text: str) -> bytes:
-        out = []
-        for words in self.split.words(text):
-            new = set(words).difference(self.words)
-            if new:
-                if len(self.trie) > self.nodes:
-                    self.trie.clear()
-                    self.words.clear()
-                    new = set(words)
-                self._learn(new)
-            out.append(b"".join(map(self.words.__getitem__, words)))
-        return out[0] if len(out) == 1 else b"".join(out)
+    def _learn(self, texts: list[list[str]]) -> None:
+        """Insert the distinct words that aren't known yet."""
+        new = set().union(*texts).difference(self.words)
+        if new and len(self.trie) > self.nodes:
+            self.trie.clear()
+            self.words.clear()
+            new = set().union(*texts)
+        for word, tokens in self.trie.encode(sorted(w.encode() for w in new)):
+            self.words[word.decode()] = b"".join([self.packed[t] for t in tokens])
+
+    def _parts(self, text: str) -> Iterator[tuple[bytes | None, list[str]]]:
+        """The text's added tokens and runs of words, in order."""
+        cut = self.cut.split(text) if self.cut and any(t in text for t in self.added) else [text]
+        for x in cut:
+            if x in self.added:
+                yield self.added[x], []
+            elif x:
+                for words in self.split.words(x):
+                    yield None, words
+
+    def encode_all(self, texts: Iterable[str | None]) -> list[bytes | None]:
+        """Packed ids of each text. Words of many texts are learnt at once, of very long ones in turn."""
+        out, waiting, held = [], [], 0
+
+        def settle():
+            self._learn([words for _, _, words in waiting])
+            known = self.words.__getitem__
+            for i, token, words in waiting:
+                out[i].append(token or b"".join(map(known, words)))
+            waiting.clear()
+
+        for i, text in enumerate(texts):
+            out.append(None if text is None else [])
+            for token, words in self._parts(text or ""):
+                waiting.append((i, token, words))
+                held += len(words)
+                if held > WORDS:
+                    settle()
+                    held = 0
+        settle()
+        return [None if x is None else b"".join(x) for x in out]
 
     def encode(self, text: str) -> bytes:
-        if self.cut is None or not any(t in text for t in self.added):
-            return self._packed(text)
-        return b"".join(self.added[x] if x in self.added else self._packed(x) for x in self.cut.split(text) if x)
+        return self.encode_all([text])[0]
 
 
 class Decoder:
@@ -325,7 +354,7 @@ def bpe_encode(
         for batch in batches:
             for at in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(at, TOGETHER)
-                found = [None if x is None else encoder.encode(x) for x in part.column(text).to_pylist()]
+                found = encoder.encode_all(part.column(text).to_pylist())
                 columns = [*part.columns, pa.array(found, pa.binary()) if packed else _as_lists(found)]
                 if decoder:
                     columns.append(pa.array([None if x is None else decoder.decode(x) for x in found], pa.string()))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfguard.llm import byte_bpe, decontaminate, html_text, line_dedup, manifest, near_dedup, pieces, quality, token_shards, url_filters, vector_dedup, warc
+from shelfguard.llm import byte_bpe, decontaminate, html_text, line_dedup, manifest, near_dedup, pieces, prefix_trie, quality, token_shards, url_filters, vector_dedup, warc
 from shelfguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_text": lambda s, d: html_text.op10_html_text(table(s, d, "pages")),
     "op11_byte_bpe": lambda s, d: byte_bpe.op11_byte_bpe(table(s, d, "documents")),
     "op12_merkle_manifest": lambda s, d: manifest.op12_merkle_manifest(table(s, d, "documents")),
+    "op13_prefix_trie": lambda s, d: prefix_trie.op13_prefix_trie(table(s, d, "conversations")),
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -33,4 +34,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_warc": warc.SQL,
     "op9_decontaminate": decontaminate.SQL,
     "op12_merkle_manifest": manifest.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
 }

@@ -13,20 +13,23 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfguard.llm.common import stage
 
 
-def numbered_in_groups(df: DataFrame, group: str, order: Sequence[str], name: str, deal: Sequence[str] | None = None) -> DataFrame:
+def numbered_in_groups(
+    df: DataFrame, group: str, order: Sequence[str], name: str, deal: Sequence[str] | None = None, keep: Sequence[Column | str] = ("*",)
+) -> DataFrame:
     """``df`` with ``idx`` (0, 1 ... by ``order`` inside ``group``, nulls first) and ``n`` (rows of the group).
 
     ``group`` is a column without nulls. ``deal`` are the columns that ranges are cut by (``order``
-    unless given): rows equal in them stay in one range.
+    unless given; they must not contradict it): rows equal in them stay in one range. ``keep`` are the
+    columns to go on with, made once the rows are in order.
     """
-    ranged = df.repartitionByRange(group, *(order if deal is None else deal)).sortWithinPartitions(group, *order)
+    ranged = df.repartitionByRange(group, *(order if deal is None else deal)).sortWithinPartitions(group, *order).select(*keep)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, last, count = TaskContext.get().partitionId(), None, 0
@@ -46,7 +49,7 @@ def numbered_in_groups(df: DataFrame, group: str, order: Sequence[str], name: st
             where = pa.array(np.full(batch.num_rows, own, dtype=np.int32))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(idx.astype(np.int64)), where], [*batch.schema.names, "idx", "_range"])
 
-    schema = T.StructType([*df.schema.fields, T.StructField("idx", T.LongType()), T.StructField("_range", T.IntegerType())])
+    schema = T.StructType([*ranged.schema.fields, T.StructField("idx", T.LongType()), T.StructField("_range", T.IntegerType())])
     ranged = stage(ranged.mapInArrow(number, schema), f"{name}-ranges")
     counts = ranged.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(group).orderBy("_range")

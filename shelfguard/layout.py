@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfguard.session import list_folder
+
 BRONZE_TABLES = (
     "bronze_daily_observations",
     "bronze_store_master",
@@ -39,6 +41,8 @@ CLUSTER_BY = {
 
 # Partition column of the bronze folders: the streaming run that wrote them.
 RUN_COLUMN = "_run"
+# Bronze tables whose runs are partitioned further, so that reads of some dates prune the log.
+PARTITION_BY = {"bronze_daily_observations": "dt"}
 
 
 @dataclass(frozen=True)
@@ -63,8 +67,26 @@ class Layout:
     def path(self, table: str) -> str:
         return f"{self.base}/{self.layer_of(table)}/{table}"
 
+    def quarantine(self, table: str) -> str:
+        """Rows of a bronze table's feed that failed a rule, by run."""
+        return f"{self.base}/quarantine/{table}"
+
+    def rule_counts(self, table: str) -> str:
+        """Rows seen, kept and failing each rule, by run."""
+        return f"{self.base}/rule_counts/{table}"
+
     def checkpoint(self, table: str) -> str:
         return f"{self.checkpoints}/{table}"
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(self.path(table)).drop(RUN_COLUMN)
+
+
+def runs(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the runs that a bronze table holds (folder names only), ascending."""
+    names = list_folder(spark._jvm, path)
+    return sorted(int(n.removeprefix(f"{RUN_COLUMN}=")) for n in names if n.startswith(f"{RUN_COLUMN}="))
+
+
+def newest_run(spark: SparkSession, layout: Layout, table: str) -> int | None:
+    return max(runs(spark, layout.path(table)), default=None)

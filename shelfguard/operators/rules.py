@@ -35,6 +35,11 @@ def failure_columns(rules: Sequence[Rule]) -> list[Column]:
     return [F.count_if(~r.holds()).alias(r.name) for r in rules]
 
 
+def failed_rules(rules: Sequence[Rule]) -> Column:
+    """Names of the rules that a row fails, in the rules' order."""
+    return F.array_compact(F.array(*[F.when(~r.holds(), F.lit(r.name)) for r in rules]))
+
+
 def rule_failures(df: DataFrame, rules: Sequence[Rule], table: str | None = None) -> DataFrame:
     """One row per rule: rows that fail it, plus rows seen and rows kept.
 

@@ -2,16 +2,19 @@
 
 Full refresh: silver and gold are recomputed from the whole append-only
 bronze log. Incremental refresh: latest-wins, every fact and the mart only
-combine rows of the same date, so only the dates touched by rows landed since
-the last complete refresh are recomputed. Their old partitions are removed
-before the new ones are appended, so a date whose rows all fail a rule leaves
-nothing behind and the result equals a full recompute. Rows landed in a master
-(keys or attributes of every date) cause a full refresh.
+combine rows of the same date, so only touched dates are recomputed: those of rows landed since
+the last complete refresh, and those that hold an id or key whose master row changed
+(``plans.deltas``). The result equals a full recompute.
 
-The state table holds, for each bronze table, the newest load time that gold
-reflects. It is written last: a run that dies part-way is redone by the next.
+What is read: bronze runs, the staged observations, silver facts and gold are all
+partitioned by date, and the touched dates are joined with their own first and last
+date as a predicate, so Spark prunes partitions at run time (dynamic partition pruning).
+
+What is written: the partitions of a write are swapped by the commit of the write itself
+(dynamic partition overwrite). A job that dies leaves every old date whole; a date that has no rows
+any more is deleted after the commit. The state table holds, for each bronze table, the newest
+load time and run that gold reflects. It is written last: a run that dies part-way is redone by the next.
 
-Silver facts, the staged latest observations and gold are partitioned by date.
 Writes are rebalanced on the date: a date goes to one task until it is larger
 than the advisory partition size, and is then split at run time. Observations
 are keyed once into a table by date, so the three facts of the grain are
@@ -21,16 +24,18 @@ written without an exchange of their own.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from shelfguard import schemas
-from shelfguard.layout import BRONZE_TABLES, CLUSTER_BY, GOLD_TABLES, SILVER_TABLES, Layout
-from shelfguard.plans import gold, silver
-from shelfguard.session import delete_folder, staged
+from shelfguard.layout import BRONZE_TABLES, CLUSTER_BY, GOLD_TABLES, RUN_COLUMN, SILVER_TABLES, Layout, newest_run
+from shelfguard.plans import deltas, gold, silver
+from shelfguard.session import delete_folder, list_folder, observed, staged
 from shelfguard.streaming.ingest import IngestResult, ingest_all
 
 LATEST_STAGE = "_latest_observations"
@@ -40,39 +45,65 @@ GOLD_TABLE = GOLD_TABLES[0]
 STATE_TABLE = "_refresh_state"
 
 
-def _remove_dates(spark: SparkSession, path: str, date_col: str, touched: DataFrame) -> None:
-    """Delete the partitions of the touched dates (one name per calendar day at most)."""
-    for row in touched.collect():
-        delete_folder(spark._jvm, f"{path}/{date_col}={row[0].isoformat()}")
+@dataclass(frozen=True)
+class Touched:
+    """Dates to recompute: one row per calendar day at most, with their first and last."""
+
+    dates: DataFrame
+    count: int
+    first: date | None
+    last: date | None
+
+    @classmethod
+    def of(cls, dates: DataFrame) -> Touched:
+        kept = staged(dates.toDF("dt").distinct(), "touched")
+        n, first, last = kept.agg(F.count("dt"), F.min("dt"), F.max("dt")).first()
+        return cls(kept, n, first, last)
+
+    def rows_of(self, df: DataFrame, column: str) -> DataFrame:
+        """The rows of these dates; partitions of other dates aren't read.
+
+        The range is what makes the dates a selective side for Spark: it then filters partitions
+        of ``df`` by the broadcast dates, besides the range itself.
+        """
+        dates = self.dates.toDF(column).where(F.col(column).between(F.lit(self.first), F.lit(self.last)))
+        return df.join(F.broadcast(dates), column, "left_semi").select(*df.columns)
 
 
-def write_by_date(
-    df: DataFrame, path: str, date_col: str, sort_by: Sequence[str], touched: DataFrame | None = None, aligned: bool = False
-) -> None:
+def _partitions(spark: SparkSession, path: str, column: str) -> set[date]:
+    """Dates that a table has a folder for (names only)."""
+    names = list_folder(spark._jvm, path)
+    return {date.fromisoformat(n.removeprefix(f"{column}=")) for n in names if n.startswith(f"{column}=") and not n.endswith("__")}
+
+
+def write_by_date(df: DataFrame, path: str, date_col: str, sort_by: Sequence[str], touched: Touched | None = None, aligned: bool = False) -> None:
     """Write partitioned by date; with ``touched`` only these dates are replaced.
 
-    ``aligned``: the rows are a map over a table partitioned by date, so each task holds
-    few dates and no exchange is needed.
+    Dates that ``df`` holds are swapped when the write commits; those it no longer holds are
+    deleted afterwards. ``aligned``: the rows are a map over a table partitioned by date, so
+    each task holds few dates and no exchange is needed.
     """
+    spark, written = df.sparkSession, Observation()
+    seen = df.observe(written, F.collect_set(date_col).alias("dates"))
+    dealt = seen if aligned else seen.hint("rebalance", date_col)
+    ordered = dealt.sortWithinPartitions(date_col, *sort_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    ordered.partitionBy(date_col).parquet(path)
+    old = _partitions(spark, path, date_col)
     if touched is not None:
-        _remove_dates(df.sparkSession, path, date_col, touched)
-    dealt = df if aligned else df.hint("rebalance", date_col)
-    dealt.sortWithinPartitions(date_col, *sort_by).write.mode("overwrite" if touched is None else "append").option("partitionOverwriteMode", "static").partitionBy(date_col).parquet(path)
+        old &= {r[0] for r in touched.dates.collect()}
+    for gone in old - set((observed(written) or {"dates": []})["dates"]):
+        delete_folder(spark._jvm, f"{path}/{date_col}={gone.isoformat()}")
 
 
 def write_small(df: DataFrame, path: str, sort_by: Sequence[str]) -> None:
     df.sortWithinPartitions(*sort_by).write.mode("overwrite").parquet(path)
 
 
-def _of_dates(df: DataFrame, column: str, touched: DataFrame | None) -> DataFrame:
-    """The rows of the touched dates. At most one row per calendar day is broadcast, and
-    on a date-partitioned table the join prunes partitions."""
-    if touched is None:
-        return df
-    return df.join(F.broadcast(touched.toDF(column)), column, "left_semi").select(*df.columns)
+def _of_dates(df: DataFrame, column: str, touched: Touched | None) -> DataFrame:
+    return df if touched is None else touched.rows_of(df, column)
 
 
-def refresh_silver(spark: SparkSession, layout: Layout, tiebreak: Sequence[str] = (), touched: DataFrame | None = None) -> None:
+def refresh_silver(spark: SparkSession, layout: Layout, tiebreak: Sequence[str] = (), touched: Touched | None = None) -> None:
     stores, products = (layout.read(spark, t) for t in MASTER_TABLES)
     observed = _of_dates(layout.read(spark, RAW_TABLE), "dt", touched)
     present = [c for c in tiebreak if c in observed.columns]
@@ -85,7 +116,7 @@ def refresh_silver(spark: SparkSession, layout: Layout, tiebreak: Sequence[str]
     write_small(silver.dim_product(products), layout.path("dim_product"), CLUSTER_BY["dim_product"])
     dates = silver.dim_date(latest)
     if touched is not None:  # the other dates' rows stay as they are
-        others = layout.read(spark, "dim_date").join(F.broadcast(touched.toDF("date_key")), "date_key", "left_anti")
+        others = layout.read(spark, "dim_date").join(F.broadcast(touched.dates.toDF("date_key")), "date_key", "left_anti")
         dates = staged(others.unionByName(dates), "dim-date")
     write_small(dates, layout.path("dim_date"), CLUSTER_BY["dim_date"])
     # Keyed once, by date: the three facts of the grain are maps over this table.
@@ -101,45 +132,62 @@ def refresh_silver(spark: SparkSession, layout: Layout, tiebreak: Sequence[str]
         write_by_date(build(keyed), layout.path(name), "date_key", CLUSTER_BY[name][1:], touched, aligned)
 
 
-def refresh_gold(spark: SparkSession, layout: Layout, touched: DataFrame | None = None) -> None:
+def refresh_gold(spark: SparkSession, layout: Layout, touched: Touched | None = None) -> None:
     facts = [_of_dates(layout.read(spark, t), "date_key", touched) for t in SILVER_TABLES if t.startswith("fact_")]
     mart = gold.stockout_mart(*facts, layout.read(spark, "dim_store"), layout.read(spark, "dim_product"))
     write_by_date(mart, layout.path(GOLD_TABLE), "date_key", CLUSTER_BY[GOLD_TABLE][1:], touched)
 
 
-def _loaded_after(spark: SparkSession, layout: Layout, table: str, watermark: str | None) -> DataFrame:
+def _loaded_after(spark: SparkSession, layout: Layout, table: str, watermark: str | None, run: int | None = None) -> DataFrame:
+    """Rows loaded after ``watermark``; folders of runs up to ``run`` aren't listed among the files to read."""
+    rows = spark.read.parquet(layout.path(table))
+    if RUN_COLUMN in rows.columns:
+        rows = (rows if run is None else rows.where(F.col(RUN_COLUMN) > run)).drop(RUN_COLUMN)
     # Bronze is append-only: row-group min/max statistics skip older files.
-    rows = layout.read(spark, table)
     return rows if watermark is None else rows.where(F.col("_loaded_at") > F.to_timestamp(F.lit(watermark)))
 
 
-def newest_load(spark: SparkSession, layout: Layout, table: str, since: str | None = None) -> str | None:
+def newest_load(spark: SparkSession, layout: Layout, table: str, since: str | None = None, run: int | None = None) -> str | None:
     """Newest load time of a bronze table, as text in the session clock (a scalar).
 
     Only rows loaded after ``since`` are read; with none the answer is ``since``.
     """
     newest = F.date_format(F.max("_loaded_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return _loaded_after(spark, layout, table, since).agg(newest).first()[0] or since
+    return _loaded_after(spark, layout, table, since, run).agg(newest).first()[0] or since
+
+
+@dataclass(frozen=True)
+class Reflected:
+    """The newest load time and run of a bronze table that gold reflects."""
+
+    watermark: str | None = None
+    run: int | None = None
 
 
-def load_state(spark: SparkSession, layout: Layout) -> dict[str, str | None]:
-    """Load time that gold reflects, by bronze table; empty before the first refresh."""
+def load_state(spark: SparkSession, layout: Layout) -> dict[str, Reflected]:
+    """What gold reflects of each bronze table; empty before the first refresh."""
     try:
-        return {r["table"]: r["watermark"] for r in layout.read(spark, STATE_TABLE).collect()}
+        return {r["table"]: Reflected(r["watermark"], r["run"]) for r in layout.read(spark, STATE_TABLE).collect()}
     except AnalysisException:
         return {}
 
 
-def _newest_loads(spark: SparkSession, layout: Layout, state: dict[str, str | None]) -> dict[str, str | None]:
-    return {t: newest_load(spark, layout, t, state.get(t)) for t in BRONZE_TABLES}
+def _newest_loads(spark: SparkSession, layout: Layout, state: dict[str, Reflected]) -> dict[str, Reflected]:
+    found = {}
+    for t in BRONZE_TABLES:
+        old = state.get(t, Reflected())
+        # Runs are listed first: rows of a later one are left to the next refresh's watermark.
+        found[t] = Reflected(newest_load(spark, layout, t, old.watermark, old.run), newest_run(spark, layout, t))
+    return found
 
 
-def _save_state(spark: SparkSession, layout: Layout, state: dict[str, str | None]) -> None:
-    rows = spark.createDataFrame(sorted(state.items()), "table string, watermark string")
+def _save_state(spark: SparkSession, layout: Layout, state: dict[str, Reflected]) -> None:
+    deltas.save_reflected(spark, layout)
+    rows = spark.createDataFrame([(t, r.watermark, r.run) for t, r in sorted(state.items())], "table string, watermark string, run long")
     rows.coalesce(1).write.mode("overwrite").parquet(layout.path(STATE_TABLE))
 
 
-def _recompute(spark: SparkSession, layout: Layout, tiebreak: Sequence[str], reflected: dict, touched: DataFrame | None = None) -> None:
+def _recompute(spark: SparkSession, layout: Layout, tiebreak: Sequence[str], reflected: dict, touched: Touched | None = None) -> None:
     refresh_silver(spark, layout, tiebreak, touched)
     refresh_gold(spark, layout, touched)
     _save_state(spark, layout, reflected)
@@ -159,11 +207,13 @@ def full_refresh(
 ) -> list[IngestResult]:
     """Start over: drop every table with its stream's checkpoint and read all landed files again."""
     delete_folder(spark._jvm, layout.path(STATE_TABLE))  # first: a run that dies here is not taken as complete
-    for table in (*GOLD_TABLES, *SILVER_TABLES, LATEST_STAGE, KEYED_STAGE):
+    for table in (*GOLD_TABLES, *SILVER_TABLES, LATEST_STAGE, KEYED_STAGE, deltas.REFLECTED_MASTERS):
         delete_folder(spark._jvm, layout.path(table))
     for table in BRONZE_TABLES:
         delete_folder(spark._jvm, layout.checkpoint(table))
         delete_folder(spark._jvm, layout.path(table))
+        delete_folder(spark._jvm, layout.quarantine(table))
+        delete_folder(spark._jvm, layout.rule_counts(table))
     return refresh_all(spark, layout, raw_schema, tiebreak)
 
 
@@ -186,11 +236,15 @@ def refresh_incremental(
     state = load_state(spark, layout)
     results = ingest_all(spark, layout, raw_schema)
     reflected = _newest_loads(spark, layout, state)
-    if not state or any(reflected[t] != state.get(t) for t in MASTER_TABLES):
+    if not state:
         _recompute(spark, layout, tiebreak, reflected)
         return {"mode": "full", "dates": None, "ingest": results}
-    touched = staged(_loaded_after(spark, layout, RAW_TABLE, state.get(RAW_TABLE)).select("dt").distinct(), "touched")
-    dates = touched.count()
-    if dates:
+    old = state.get(RAW_TABLE, Reflected())
+    dates = _loaded_after(spark, layout, RAW_TABLE, old.watermark, old.run).select("dt")
+    masters = any(reflected[t].watermark != state.get(t, Reflected()).watermark for t in MASTER_TABLES)
+    if masters:
+        dates = dates.unionByName(deltas.dates_of_changed_masters(spark, layout, LATEST_STAGE, KEYED_STAGE))
+    touched = Touched.of(dates)
+    if touched.count or masters:
         _recompute(spark, layout, tiebreak, reflected, touched)
-    return {"mode": "incremental" if dates else "none", "dates": dates, "ingest": results}
+    return {"mode": "incremental" if touched.count or masters else "none", "dates": touched.count, "ingest": results}

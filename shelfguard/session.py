@@ -13,8 +13,9 @@ import contextlib
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark import SparkContext
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 # Settings every job relies on: UTC wall clock (the feeds carry +00:00), AQE
 # for runtime coalescing and skew splitting, and no UI server.
@@ -90,6 +91,21 @@ def delete_folder(jvm, path: str) -> None:
     folder.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(folder, True)
 
 
+def list_folder(jvm, path: str) -> list[str]:
+    """Names in a folder, through the file system that holds it; none for a missing one."""
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(jvm.org.apache.hadoop.conf.Configuration())
+    return sorted(s.getPath().getName() for s in files.listStatus(folder)) if files.exists(folder) else []
+
+
+def observed(metrics: Observation) -> dict | None:
+    """What ``df.observe`` has gathered; None where Spark found nothing above it and dropped the metrics with the plan."""
+    try:
+        return metrics.get
+    except Py4JJavaError:
+        return None
+
+
 def drop_scratch() -> None:
     """Remove the folders that ``scratch_path`` gave out. DataFrames over them can't be read any more."""
     jvm = SparkContext._jvm

@@ -3,9 +3,15 @@
 Each run is ``trigger(availableNow=True)``: it drains every file landed since
 the last run and stops. The file source's checkpoint makes the append
 exactly-once across runs and executor loss; a re-copied file name is not read
-again. Each run's rows are sorted by the table's clustering columns, so row
-groups cover narrow ranges and statistics skip them. ``plans.refresh.full_refresh``
+again. Observations are written by date under their run, sorted by the clustering
+columns, so a read of some dates opens their files only. ``plans.refresh.full_refresh``
 drops table and checkpoint together and reads everything again.
+
+Rows that fail a rule aren't lost: each run writes them, with the names of the rules
+they fail, to a folder of its own in the quarantine, and its counts (rows seen, rows kept, rows failing each
+rule) beside. A run that is repeated after a failure overwrites all three, so kept and
+quarantined rows always add up to what landed. The quarantine is a second pass over the run's files, made only when the
+first has counted rows that fail.
 """
 
 from __future__ import annotations
@@ -13,15 +19,16 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfguard import expectations as X
 from shelfguard import schemas
-from shelfguard.layout import CLUSTER_BY, RUN_COLUMN, Layout
-from shelfguard.operators.rules import Rule, failure_columns, keep_valid
+from shelfguard.layout import CLUSTER_BY, PARTITION_BY, RUN_COLUMN, Layout, runs
+from shelfguard.operators.rules import Rule, all_hold, failed_rules, failure_columns, keep_valid
 from shelfguard.plans import bronze
+from shelfguard.session import delete_folder, observed
 from shelfguard.sources import landing
 
 
@@ -52,20 +59,52 @@ class IngestResult:
     rule_failures: dict[str, int] = field(default_factory=dict)
 
 
+def _write_run(rows: DataFrame, table: str, path: str) -> None:
+    """One run's rows, sorted by the clustering columns; by date where the table asks for it."""
+    by = PARTITION_BY.get(table)
+    if by is None:
+        rows.sortWithinPartitions(*CLUSTER_BY[table]).write.mode("overwrite").parquet(path)
+        return
+    # Dealt by date, so a run writes few files per date; a large date is split at run time.
+    rows.hint("rebalance", by).sortWithinPartitions(*CLUSTER_BY[table]).write.mode("overwrite").partitionBy(by).parquet(path)
+
+
+def _split_run(rows: DataFrame, feed: BronzeFeed, layout: Layout, run: int) -> dict[str, int]:
+    """Write a run's kept rows, its quarantine and its counts; returns the counts."""
+    spark, table = rows.sparkSession, feed.table
+    folder = f"{RUN_COLUMN}={run}"
+    counted, path = Observation(), f"{layout.path(table)}/{folder}"
+    measures = [F.count(F.lit(1)).alias("_rows_seen"), F.count_if(all_hold(feed.rules)).alias("_rows_kept"), *failure_columns(feed.rules)]
+    _write_run(keep_valid(rows.observe(counted, *measures), feed.rules), table, path)
+    counts = observed(counted) or rows.agg(*measures).first().asDict()
+    if not counts["_rows_kept"] and table in PARTITION_BY:
+        # A folder by date without dates has no file that tells its columns.
+        by = PARTITION_BY[table]
+        rows.where(F.lit(False)).drop(by).write.mode("overwrite").parquet(f"{path}/{by}=__HIVE_DEFAULT_PARTITION__")
+    aside = f"{layout.quarantine(table)}/{folder}"
+    if counts["_rows_kept"] < counts["_rows_seen"]:
+        failing = rows.where(~all_hold(feed.rules)).withColumn("failed_rules", failed_rules(feed.rules))
+        failing.write.mode("overwrite").parquet(aside)
+    else:
+        delete_folder(spark._jvm, aside)
+    long = spark.createDataFrame(list(counts.items()), "rule_name string, failed_rows long")
+    long.coalesce(1).write.mode("overwrite").parquet(f"{layout.rule_counts(table)}/{folder}")
+    return counts
+
+
 def ingest(spark: SparkSession, layout: Layout, feed: BronzeFeed) -> IngestResult:
-    """One availableNow run of a bronze streaming table; returns counters."""
+    """One availableNow run of a bronze streaming table; returns its counters."""
     stream = landing.read_csv_stream(spark, landing.dataset_path(layout.landing, feed.dataset), feed.schema)
-    parsed = feed.parse(stream)
-    metric_name = f"rules_{feed.table}"
-    observed = parsed.observe(metric_name, F.count(F.lit(1)).alias("rows_seen"), *failure_columns(feed.rules))
-    path = layout.path(feed.table)
+    result = IngestResult(feed.table)
 
     def write(rows: DataFrame, run: int) -> None:
-        # A run that is repeated after a failure overwrites its own folder: appended exactly once.
-        rows.sortWithinPartitions(*CLUSTER_BY[feed.table]).write.mode("overwrite").parquet(f"{path}/{RUN_COLUMN}={run}")
+        counts = _split_run(rows, feed, layout, run)
+        result.rows_read += counts["_rows_seen"]
+        for rule in feed.rules:
+            result.rule_failures[rule.name] = result.rule_failures.get(rule.name, 0) + counts[rule.name]
 
     query = (
-        keep_valid(observed, feed.rules)
+        feed.parse(stream)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", layout.checkpoint(feed.table))
         .trigger(availableNow=True)
@@ -73,16 +112,21 @@ def ingest(spark: SparkSession, layout: Layout, feed: BronzeFeed) -> IngestResul
         .start()
     )
     query.awaitTermination()
-    result = IngestResult(feed.table)
-    for progress in query.recentProgress:
-        result.rows_read += int(progress.numInputRows or 0)
-        metrics = (progress.observedMetrics or {}).get(metric_name)
-        if metrics is not None:
-            for rule in feed.rules:
-                result.rule_failures[rule.name] = result.rule_failures.get(rule.name, 0) + int(metrics[rule.name] or 0)
     return result
 
 
+def quarantined(spark: SparkSession, layout: Layout, table: str) -> DataFrame | None:
+    """All quarantined rows of a bronze table's feed with their run and failed rules; None if there are none."""
+    path = layout.quarantine(table)
+    return spark.read.parquet(path) if runs(spark, path) else None
+
+
+def landed_rule_counts(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
+    """(rule_name, failed_rows) over all runs, from what the runs have counted."""
+    counts = spark.read.parquet(layout.rule_counts(table))
+    return counts.groupBy("rule_name").agg(F.sum("failed_rows").alias("failed_rows"))
+
+
 def ingest_all(spark: SparkSession, layout: Layout, raw_schema: StructType = schemas.RAW_DAILY) -> list[IngestResult]:
     return [ingest(spark, layout, feed) for feed in feeds(raw_schema)]
 

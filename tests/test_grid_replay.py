@@ -8,6 +8,7 @@ zero duplicate grains, and the corrected golden key.
 from __future__ import annotations
 
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,10 +17,10 @@ from shelfguard import config as C
 from shelfguard import schemas
 from shelfguard.functions import hourly
 from shelfguard.layout import Layout
-from shelfguard.plans import masters, refresh, replay, reports
+from shelfguard.plans import bronze, masters, refresh, replay, reports
 from shelfguard.plans.refresh import refresh_all, refresh_incremental
 from shelfguard.session import scratch_path
-from shelfguard.streaming.ingest import ingest_all, land
+from shelfguard.streaming.ingest import _split_run, feeds, ingest, ingest_all, land, landed_rule_counts, quarantined
 
 from helpers import NO_BROADCAST, product_rows, raw_rows, session_conf, store_rows
 
@@ -205,7 +206,8 @@ def test_a_master_landed_before_a_failed_run_reaches_gold(spark, small, monkeypa
         m.setattr(refresh, "refresh_silver", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError, match="lost"):
             _incremental(spark, small)
-    assert _incremental(spark, small)["mode"] == "full"
+    run = _incremental(spark, small)
+    assert (run["mode"], run["dates"]) == ("incremental", 7)  # every date holds a moved store
     assert {r.region for r in small.read(spark, "gold_stockout_daily").collect()} == {"Elsewhere"}
     got = _contents(spark, small)
     refresh_all(spark, small, schemas.RAW_DAILY_WITH_LINEAGE, schemas.LINEAGE_COLUMNS)
@@ -232,6 +234,100 @@ def test_full_refresh_drops_tables_and_checkpoints_and_reads_again(spark, small)
     assert _contents(spark, small) == before
 
 
+# -- master changes as deltas ------------------------------------------------------------
+def _files(layout, table):
+    """Data files by date folder."""
+    found = Path(layout.path(table).removeprefix("file:")).rglob("*.parquet")
+    return {f.parent.name: f.name for f in found}
+
+
+def test_a_changed_product_rewrites_only_its_dates(spark):
+    layout = Layout(scratch_path(spark, "delta-refresh"))
+    land_masters(spark, layout)
+    _land(spark, layout, "one", [{"dt": f"2024-03-{d:02d}", "product_id": 50000 + d % 3, "line_number": d} for d in range(1, 10)])
+    _land(spark, layout, "unknown", [{"dt": "2024-03-20", "product_id": 59999, "line_number": 99}])
+    assert _incremental(spark, layout)["mode"] == "full"
+    before = {t: _files(layout, t) for t in ("fact_sales", "gold_stockout_daily")}
+    # One product costs more; another is listed for the first time.
+    moved = [
+        {"northmart_product_id": "NM-SKU-00002", "source_product_id": 50001, "base_unit_price": 99.0, "ingested_at": "2024-07-01 00:00:00+00:00"},
+        {"northmart_product_id": "NM-SKU-09999", "source_product_id": 59999, "ingested_at": "2024-07-01 00:00:00+00:00"},
+    ]
+    land(product_rows(spark, moved), layout, "product_master", "moved", schemas.PRODUCT_MASTER)
+    run = _incremental(spark, layout)
+    assert (run["mode"], run["dates"]) == ("incremental", 4)
+    touched = {"date_key=2024-03-01", "date_key=2024-03-04", "date_key=2024-03-07", "date_key=2024-03-20"}
+    for table, old in before.items():
+        new = _files(layout, table)
+        assert {d for d in new if new[d] != old.get(d)} == touched
+    got = _contents(spark, layout)
+    refresh_all(spark, layout, schemas.RAW_DAILY_WITH_LINEAGE, schemas.LINEAGE_COLUMNS)
+    assert _contents(spark, layout) == got
+    # The same master landed again changes nothing: no date is touched.
+    again = [{**m, "ingested_at": "2024-08-01 00:00:00+00:00"} for m in moved]
+    land(product_rows(spark, again), layout, "product_master", "again", schemas.PRODUCT_MASTER)
+    run = _incremental(spark, layout)
+    assert (run["mode"], run["dates"]) == ("incremental", 0) and _contents(spark, layout) == got
+
+
+# -- a write that dies -------------------------------------------------------------------
+def test_a_refresh_killed_during_a_write_leaves_every_old_date_whole(spark, small, monkeypatch):
+    before = _contents(spark, small)["gold_stockout_daily"]
+    _land(spark, small, "two", [{"dt": f"2024-03-{d:02d}", "store_id": 10000 + d % 3, "line_number": d, "batch_seq": 2, "sale_amount": 9.0} for d in (2, 3, 4)])
+    build = refresh.gold.stockout_mart
+
+    def dies(*inputs):
+        broken = F.when(F.col("date_key") == F.lit(date(2024, 3, 4)), F.raise_error(F.lit("executor lost"))).otherwise(F.col("observed_units"))
+        return build(*inputs).withColumn("observed_units", broken.cast("double"))
+
+    with monkeypatch.context() as m:
+        m.setattr(refresh.gold, "stockout_mart", dies)
+        with pytest.raises(Exception, match="executor lost"):
+            _incremental(spark, small)
+    assert _contents(spark, small)["gold_stockout_daily"] == before
+    assert _incremental(spark, small)["dates"] == 3
+    got = _contents(spark, small)
+    assert got["gold_stockout_daily"] != before
+    refresh_all(spark, small, schemas.RAW_DAILY_WITH_LINEAGE, schemas.LINEAGE_COLUMNS)
+    assert _contents(spark, small) == got
+
+
+# -- quarantine ---------------------------------------------------------------------------
+def test_kept_and_quarantined_rows_are_what_landed(spark):
+    layout = Layout(scratch_path(spark, "quarantine"))
+    feed = feeds(schemas.RAW_DAILY_WITH_LINEAGE)[0]
+    good = [{"dt": f"2024-03-{d:02d}", "line_number": d} for d in range(1, 6)]
+    deliveries = [good, [*good, {"dt": "not a date"}, {"dt": "2024-03-09", "sale_amount": -1.0, "store_id": None}], [{"dt": "nor this"}]]
+    for n, rows in enumerate(deliveries):
+        _land(spark, layout, f"d{n}", rows)
+        result = ingest(spark, layout, feed)
+        assert result.rows_read == len(rows)
+    kept = spark.read.parquet(layout.path(feed.table)).groupBy("_run").count()
+    aside = quarantined(spark, layout, feed.table)
+    assert {r["_run"]: r["count"] for r in kept.collect()} == {0: 5, 1: 5}
+    assert {r["_run"]: r["count"] for r in aside.groupBy("_run").count().collect()} == {1: 2, 2: 1}
+    names = {tuple(r.failed_rules) for r in aside.collect()}
+    assert all(names) and any(len(n) > 1 for n in names)
+    counts = {r.rule_name: r.failed_rows for r in landed_rule_counts(spark, layout, feed.table).collect()}
+    assert counts["_rows_seen"] == 13 and counts["_rows_kept"] == 10
+    exploded = aside.select(F.explode("failed_rules").alias("rule")).groupBy("rule").count().collect()
+    assert {r.rule: r["count"] for r in exploded} == {k: v for k, v in counts.items() if v and not k.startswith("_")}
+    # A run repeated after a failure overwrites its folders; one without failures clears its quarantine.
+    rows = raw_rows(spark, good)
+    _split_run(bronze.parse_raw_daily(rows), feed, layout, 1)
+    assert spark.read.parquet(layout.path(feed.table)).count() == 10
+    assert {r["_run"] for r in quarantined(spark, layout, feed.table).select("_run").distinct().collect()} == {2}
+
+
+def test_a_feed_of_failing_rows_only_is_an_empty_table(spark):
+    layout = Layout(scratch_path(spark, "quarantine-all"))
+    feed = feeds(schemas.RAW_DAILY_WITH_LINEAGE)[0]
+    _land(spark, layout, "bad", [{"dt": "x"}, {"dt": "y"}])
+    ingest(spark, layout, feed)
+    assert layout.read(spark, feed.table).count() == 0 and "store_id" in layout.read(spark, feed.table).columns
+    assert quarantined(spark, layout, feed.table).count() == 2
+
+
 # -- replay loses nothing ---------------------------------------------------------------
 def test_replay_keeps_rows_without_a_date_and_refuses_days_outside(spark):
     plan = lambda rows: replay.replay_batches(raw_rows(spark, rows), CFG, C.GRID.days, "d", "train")

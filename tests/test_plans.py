@@ -196,31 +196,72 @@ def test_building_a_serving_query_runs_no_job_beyond_the_written_tables(spark):
     assert physical(QUERIES["filter_options"](spark, sf)).count("FileScan") == 1
 
 
-def test_sorted_bronze_lets_a_date_filter_skip_row_groups(spark):
-    """Rows landed in any order are clustered on dt: most row groups' statistics exclude a date."""
-    import pyarrow.parquet as pq
+def _files_read(df) -> int:
+    """Files that the scans of a plan without adaptive execution have opened."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size()) if "FileScan" in leaves.apply(i).toString()]
+    return sum(s.metrics().apply("numFiles").value() for s in scans)
 
+
+def test_incremental_reads_open_only_the_files_of_touched_dates(spark):
+    """Bronze, the staged tables, facts and gold: partitions are filtered at run time by the touched dates."""
+    from shelfguard import schemas
+    from shelfguard.layout import Layout
+    from shelfguard.plans import refresh
+    from shelfguard.streaming.ingest import land
+
+    layout = Layout(scratch_path(spark, "plan-dates"))
+    land(store_rows(spark, [{}]), layout, "store_master", "m", schemas.STORE_MASTER)
+    land(product_rows(spark, [{}]), layout, "product_master", "m", schemas.PRODUCT_MASTER)
+    rows = raw_rows(spark, [{"dt": (date(2024, 1, 1) + timedelta(days=i % 30)).isoformat(), "line_number": i} for i in range(60)])
+    land(rows.drop("_source_file", "_loaded_at"), layout, "daily_observations", "one", schemas.RAW_DAILY_WITH_LINEAGE, 1)
+    refresh.refresh_incremental(spark, layout, schemas.RAW_DAILY_WITH_LINEAGE, schemas.LINEAGE_COLUMNS)
+    days = spark.createDataFrame([(date(2024, 1, 3),), (date(2024, 1, 20),)], "dt date")
+    touched = refresh.Touched.of(days)
+    assert (touched.count, touched.first, touched.last) == (2, date(2024, 1, 3), date(2024, 1, 20))
+    tables = {refresh.RAW_TABLE: "dt", refresh.LATEST_STAGE: "dt", refresh.KEYED_STAGE: "dt", "fact_sales": "date_key", refresh.GOLD_TABLE: "date_key"}
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        for table, column in tables.items():
+            found = touched.rows_of(layout.read(spark, table), column)
+            plan = physical(found)
+            assert "SubqueryBroadcast dynamicpruning" in plan, plan
+            # Two files of the table, and those of the dates themselves.
+            own = _files_read(touched.dates)
+            assert _files_read(found) <= 2 + own < _files_read(layout.read(spark, table))
+            assert found.count() == (4 if table == refresh.RAW_TABLE else 2)
+
+
+def test_newer_runs_are_read_by_their_folders(spark):
+    from shelfguard.layout import Layout, newest_run
+    from shelfguard.plans import refresh
+
+    layout = Layout(scratch_path(spark, "plan-runs"))
+    for run in range(4):
+        rows = spark.range(5).select(F.to_timestamp(F.lit(f"2024-06-0{run + 1} 12:00:00")).alias("_loaded_at"), F.lit(date(2024, 1, 1 + run)).alias("dt"))
+        rows.coalesce(1).write.partitionBy("dt").parquet(f"{layout.path(refresh.RAW_TABLE)}/_run={run}")
+    assert newest_run(spark, layout, refresh.RAW_TABLE) == 3
+    newer = refresh._loaded_after(spark, layout, refresh.RAW_TABLE, "2024-06-03 00:00:00.000000", 1)
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        again = newer.select("*")
+        assert _files_read(again) == 2
+    assert newer.count() == 10
+
+
+def test_a_date_filter_opens_only_its_files(spark):
+    """Rows landed in any order are written by date: a filter on dt prunes folders."""
     from shelfguard import schemas
     from shelfguard.layout import Layout
     from shelfguard.plans import refresh
     from shelfguard.streaming.ingest import feeds, ingest, land
 
-    layout = Layout(scratch_path(spark, "plan-row-groups"))
-    rows = raw_rows(spark, [{"dt": (date(2024, 1, 1) + timedelta(days=i * 37 % 200)).isoformat(), "line_number": i} for i in range(400)])
+    layout = Layout(scratch_path(spark, "plan-date-folders"))
+    rows = raw_rows(spark, [{"dt": (date(2024, 1, 1) + timedelta(days=i * 37 % 20)).isoformat(), "line_number": i} for i in range(80)])
     feed = feeds(schemas.RAW_DAILY_WITH_LINEAGE)[0]
     land(rows.drop("_source_file", "_loaded_at"), layout, "daily_observations", "one", schemas.RAW_DAILY_WITH_LINEAGE, 1)
-    small_groups = "parquet.block.row.count.limit"
-    spark._jsc.hadoopConfiguration().setInt(small_groups, 50)
-    try:
-        ingest(spark, layout, feed)
-    finally:
-        spark._jsc.hadoopConfiguration().unset(small_groups)
-
-    wanted, kept, groups = date(2024, 3, 1), 0, 0
-    for file in Path(layout.path(refresh.RAW_TABLE).removeprefix("file:")).rglob("*.parquet"):
-        meta = pq.ParquetFile(file).metadata
-        for g in range(meta.num_row_groups):
-            column = next(meta.row_group(g).column(c) for c in range(meta.num_columns) if meta.row_group(g).column(c).path_in_schema == "dt")
-            groups += 1
-            kept += column.statistics.min <= wanted <= column.statistics.max
-    assert groups >= 8 and kept <= 1
+    ingest(spark, layout, feed)
+    files = [f.parent.name for f in Path(layout.path(refresh.RAW_TABLE).removeprefix("file:")).rglob("*.parquet")]
+    assert len(files) == len(set(files)) == 20  # one file per date and run
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        found = layout.read(spark, refresh.RAW_TABLE).where(F.col("dt") == F.lit(date(2024, 1, 9)))
+        assert _files_read(found) == 1 and found.count() == 4

@@ -4,9 +4,9 @@ Vectors link when their cosine, in double precision, is at least ``threshold``;
 keeps its smallest vec_id.
 
 Method. Equal vectors first become one representative with a number of copies, by a map-side
-combined grouping. Vectors of different lengths never link, so each length is searched by itself:
-lengths of at most ``CHUNK`` representatives are compared whole, a block a length; every other
-length gets an index of its own, one after the other. On a bounded sample (``SAMPLE`` vectors, one
+combined grouping; each distinct vector is a node under a number of its own, whatever ids it has.
+Vectors of different lengths never link, so each length gets an index of its own, one after
+the other, however many vectors it has. On a bounded sample (``SAMPLE`` vectors, one
 task) k-means gives coarse centroids, as many as the square root of the vectors (``LISTS`` at most), and a codebook
 for each of ``PARTS`` subspaces of the residuals. Every vector is indexed: its list, its
 residual codes, and the length of its quantisation error.
@@ -19,8 +19,7 @@ but embeddings of a wide model may differ in few directions. The sample tells: `
 vectors are compared with all others, and the margin is ``SIGMAS`` times the largest of that
 value, of the spread of near neighbours and of the spread of linked pairs along the normals of
 the nearest borders, at least ``SAFETY`` times what any linked pair of the sample needed, and d at
-most. Where d itself probes at most ``FEW`` lists a vector, or twice as many, it is taken.
-Every list within the margin is probed (``SIGMAS = sqrt(n)`` or more loses no pair at all). Each pair of lists is probed
+most. Every list within the margin is probed (``SIGMAS = sqrt(n)`` or more loses no pair at all). Each pair of lists is probed
 from the lower side only and counts for both vectors. In a block, asymmetric table
 look-ups give approximate products; those that reach the threshold less the stored error
 length are reranked by exact cosines, so quantisation loses nothing.
@@ -31,18 +30,21 @@ spanning links, never pairs. Centroids, codebooks and counts per list are bounde
 the driver holds one length's at a time, and a count for each length.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link
-with nothing (component: their own id); all others with those of their own length. Rows that
-repeat a vector are other vectors to each other. A row without vec_id links with nothing.
+with nothing (component: their own id); all others with those of their own length. Components
+are floats where the column holds floats, else doubles. Every row is a vector of its own: rows that
+repeat a vector link with each other, also under one vec_id, and two vectors of one vec_id are
+judged each by itself. A row without vec_id links with nothing.
 """
 
 from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfguard.llm.common import stage
@@ -52,7 +54,7 @@ THRESHOLD = 0.95
 SAMPLE, LISTS, PARTS, CODES = 32_768, 2_048, 8, 256
 SIGMAS = 5.0
 #: The margin is measured on so many vectors of the sample, each with so many neighbours and borders.
-PILOT, AROUND, SAFETY, FEW = 1_024, 8, 1.25, 16
+PILOT, AROUND, SAFETY = 1_024, 8, 1.25
 CHUNK, QUERIES = 2_048, 16_384
 ROUNDS = 8
 
@@ -124,12 +126,7 @@ class Index:
                     if kind and len(crossing):
                         need = max(need, float(crossing.max()))
         spread = np.sqrt(max([spread, *[total / n for total, n in sums if n]]))
-        margin = min(self.apart, max(self.apart * sigmas * spread, SAFETY * need))
-        self.margin = margin
-        usual = len(self.probes(x[pilots], cell[pilots])[0])
-        self.margin = self.apart
-        widest = len(self.probes(x[pilots], cell[pilots])[0])
-        return self.apart if widest <= max(FEW * len(pilots), 2 * usual) else margin
+        return min(self.apart, max(self.apart * sigmas * spread, SAFETY * need))
 
     def _across(self, x: np.ndarray, a: np.ndarray, b: np.ndarray, cell: np.ndarray, borders: int) -> tuple[np.ndarray, np.ndarray]:
         """Squares of the unit differences of pairs along the normals of the nearest borders; the margins
@@ -175,8 +172,8 @@ class Index:
         return out
 
 
-def vectors(column: np.ndarray) -> np.ndarray:
-    return np.stack([np.frombuffer(v, dtype=np.float32) for v in column])
+def vectors(column: np.ndarray, kind: str) -> np.ndarray:
+    return np.stack([np.frombuffer(v, dtype=kind) for v in column])
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -219,27 +216,32 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[other], nodes[root[other]]
 
 
-def _sound(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, vector) of the rows that can link."""
-    v = F.col("embedding").cast("array<float>")
+def _kind(embeddings: DataFrame) -> tuple[str, str]:
+    """The components' type in Spark and in numpy: floats stay floats, all else is double."""
+    element = embeddings.schema["embedding"].dataType.elementType.simpleString()
+    return ("float", "f4") if element == "float" else ("double", "f8")
+
+
+def _sound(embeddings: DataFrame, v: Column) -> DataFrame:
+    """(vec_id, v) of the rows that can link."""
     sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     return embeddings.where("vec_id is not null").where(F.coalesce(sound, F.lit(False))).select("vec_id", v.alias("v"))
 
 
-def fit(reps: DataFrame, n: int, threshold: float, sigmas: float) -> Index:
-    """Trained in one task on at most ``SAMPLE`` of the ``n`` vectors, chosen by a hash of the id."""
+def fit(reps: DataFrame, n: int, threshold: float, sigmas: float, kind: str) -> Index:
+    """Trained in one task on at most ``SAMPLE`` of the ``n`` vectors, chosen by a hash of the vector."""
     lists = int(min(LISTS, np.ceil(np.sqrt(n))))
     spread = 1 << 30
     share = min(spread, -(-spread * SAMPLE // n))
-    sample = reps.where(F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(spread)) < share).select("rep", "vec")
+    sample = reps.where(F.pmod(F.xxhash64("k1", F.lit(3)), F.lit(spread)) < share).select("k1", "k2", "vec")
 
     def train(part: pd.DataFrame) -> pd.DataFrame:
-        x = unit(vectors(part.sort_values("rep")["vec"].to_numpy())).astype(np.float32)
+        x = unit(vectors(part.sort_values(["k1", "k2"])["vec"].to_numpy(), kind)).astype(np.float32)
         return pd.DataFrame({"index": [pickle.dumps(Index(x, lists, threshold, sigmas))]})
 
     found = sample.groupBy(F.lit(1).alias("one")).applyInPandas(train, "index binary").first()
     if found is None:  # a tiny table whose hashes all fall outside the sample
-        found = reps.select("rep", "vec").limit(SAMPLE).groupBy(F.lit(1).alias("one")).applyInPandas(train, "index binary").first()
+        found = reps.select("k1", "k2", "vec").limit(SAMPLE).groupBy(F.lit(1).alias("one")).applyInPandas(train, "index binary").first()
     return pickle.loads(found[0])
 
 
@@ -247,25 +249,25 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, sigmas: fl
     """One row for each of ``embeddings`` (vec_id, embedding): vec_id, n_links, component_id, kept."""
     spark = embeddings.sparkSession
     embeddings = embeddings.select("vec_id", "embedding")
-    v = F.col("embedding").cast("array<float>")
+    element, kind = _kind(embeddings)
+    v = F.col("embedding").cast(f"array<{element}>")
     key = [F.size("v").alias("dim"), F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(5), "v").alias("k2")]
-    rows = _sound(embeddings)
-    # Four bytes a component, for the tasks that compare.
-    reps = rows.groupBy(*key).agg(F.min(F.struct("vec_id", "v")).alias("r"), F.count("*").alias("copies"))
-    reps = reps.select("dim", "k1", "k2", F.col("r.vec_id").alias("rep"), "copies", F.col("r.v").alias("v"))
+    # Of equal vectors one travels on, with the smallest id and their number.
+    reps = _sound(embeddings, v).groupBy(*key).agg(F.min(F.struct("vec_id", "v")).alias("r"), F.count("*").alias("copies"))
+    reps = reps.select("dim", "k1", "k2", F.col("r.vec_id").alias("vec_id"), "copies", F.col("r.v").alias("v"), F.monotonically_increasing_id().alias("rep"))
 
     def as_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.drop(columns="v").assign(vec=[np.asarray(x, dtype=np.float32).tobytes() for x in b["v"]])
+            yield b.drop(columns="v").assign(vec=[np.asarray(x, dtype=kind).tobytes() for x in b["v"]])
 
-    reps = stage(reps.mapInPandas(as_bytes, "dim int, k1 long, k2 long, rep long, copies long, vec binary"), "vec-reps")
+    # Written once: the numbers stay.
+    reps = stage(reps.mapInPandas(as_bytes, "dim int, k1 long, k2 long, vec_id long, copies long, rep long, vec binary"), "vec-reps")
     # One row a length.
     sizes = dict(reps.groupBy("dim").count().collect())
-    tiny = [d for d, n in sizes.items() if n <= CHUNK]
-    found = [_whole(reps.where(F.col("dim").isin(tiny)), threshold)] if tiny else []
-    for d in sorted(set(sizes) - set(tiny)):
+    found = []
+    for d in sorted(sizes):
         own = reps.where(F.col("dim") == d)
-        found.append(_search(spark, own, fit(own, sizes[d], threshold, sigmas), threshold).withColumn("dim", F.lit(d)))
+        found.append(_search(spark, own, fit(own, sizes[d], threshold, sigmas, kind), threshold, kind))
     groups = _groups(reps, found)
     out = embeddings.withColumns({"dim": F.size(v), "k1": F.xxhash64(v), "k2": F.xxhash64(F.lit(5), v), "sound": F.col("vec_id").isNotNull()})
     out = out.join(stage(groups.withColumn("sound", F.lit(True)), "vec-groups"), ["dim", "k1", "k2", "sound"], "left")
@@ -287,43 +289,28 @@ def tally(a: np.ndarray, b: np.ndarray, copies_a: np.ndarray, copies_b: np.ndarr
     return pd.DataFrame({"node": ids, "n": counts, "to": link.to_numpy()})
 
 
-def _whole(reps: DataFrame, threshold: float) -> DataFrame:
-    """(node, n, to, dim) of lengths of few vectors: all pairs of a length, in one block."""
-
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
-        x, rep, copies = unit(vectors(block["vec"].to_numpy())), block["rep"].to_numpy(), block["copies"].to_numpy()
-        a, b = np.nonzero(np.triu(x @ x.T >= threshold - 1e-9, 1))
-        good = np.zeros(len(a), dtype=bool)
-        for at in range(0, len(a), 1 << 16):
-            s = slice(at, at + (1 << 16))
-            good[s] = np.einsum("ij,ij->i", x[a[s]], x[b[s]]) >= threshold
-        a, b = a[good], b[good]
-        return tally(rep[a], rep[b], copies[a], copies[b]).assign(dim=block["dim"].iloc[0])
-
-    return stage(reps.groupBy("dim").applyInPandas(compare, "node long, n long, to long, dim int"), "vec-whole")
-
-
 def _groups(reps: DataFrame, found: list[DataFrame]) -> DataFrame:
-    """(dim, k1, k2, n_links, component_id) of every representative, from what the searches found."""
+    """(dim, k1, k2, n_links, component_id) of every distinct vector, from what the searches found."""
     if not found:
-        return reps.select("dim", "k1", "k2", F.lit(0).cast("long").alias("n_links"), F.col("rep").alias("component_id"))
-    links = found[0]
-    for more in found[1:]:
-        links = links.unionByName(more)
-    counts = links.groupBy("dim", F.col("node").alias("rep")).agg(F.sum("n").alias("n"))
+        return reps.select("dim", "k1", "k2", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    links = reduce(DataFrame.unionByName, found)
+    counts = links.groupBy(F.col("node").alias("rep")).agg(F.sum("n").alias("n"))
     parts = connected_components(links.where("node <> to").select(F.col("node").alias("a"), F.col("to").alias("b")))
-    out = reps.join(counts, ["dim", "rep"], "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    return out.select("dim", "k1", "k2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    out = reps.drop("vec").join(counts, "rep", "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+    out = stage(out.withColumn("component", F.coalesce("component", "rep")), "vec-parts")
+    # Ids only here: a component is named by the smallest of its vectors' ids.
+    names = out.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    return out.join(names, "component").select("dim", "k1", "k2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
 
 
-def _search(spark, reps: DataFrame, index: Index, threshold: float) -> DataFrame:
+def _search(spark, reps: DataFrame, index: Index, threshold: float, kind: str) -> DataFrame:
     """(node, n, to) of the links between representatives of one length."""
     shared = spark.sparkContext.broadcast(index)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                cell, codes, error = shared.value.encode(unit(vectors(b["vec"].to_numpy())).astype(np.float32))
+                cell, codes, error = shared.value.encode(unit(vectors(b["vec"].to_numpy(), kind)).astype(np.float32))
                 yield b[["rep", "copies", "vec"]].assign(cell=cell, codes=[c.tobytes() for c in codes], error=error)
 
     indexed = stage(reps.mapInPandas(encode, "rep long, copies long, vec binary, cell long, codes binary, error double"), "vec-index")
@@ -332,7 +319,7 @@ def _search(spark, reps: DataFrame, index: Index, threshold: float) -> DataFrame
         for whole in batches:
             for at in range(0, len(whole), 512):
                 b = whole.iloc[at : at + 512]
-                x = unit(vectors(b["vec"].to_numpy())).astype(np.float32)
+                x = unit(vectors(b["vec"].to_numpy(), kind)).astype(np.float32)
                 row, cell = shared.value.probes(x, b["cell"].to_numpy())
                 yield b[["rep", "copies", "vec", "cell"]].iloc[row].assign(probe=cell)
 
@@ -356,7 +343,7 @@ def _search(spark, reps: DataFrame, index: Index, threshold: float) -> DataFrame
         listed: dict | None = None
 
         def answer(q: pd.DataFrame) -> pd.DataFrame:
-            queries = {"unit": unit(vectors(q["vec"].to_numpy())), "cell": q["cell"].to_numpy(), "rep": q["rep"].to_numpy()}
+            queries = {"unit": unit(vectors(q["vec"].to_numpy(), kind)), "cell": q["cell"].to_numpy(), "rep": q["rep"].to_numpy()}
             row, query = linked_pairs(shared.value, block[0], listed, queries, threshold)
             return tally(listed["rep"][row], queries["rep"][query], listed["copies"][row], q["copies"].to_numpy()[query])
 
@@ -375,7 +362,7 @@ def _search(spark, reps: DataFrame, index: Index, threshold: float) -> DataFrame
                     continue
                 if listed is None and held:
                     own = pd.concat(held)
-                    listed = {"unit": unit(vectors(own["vec"].to_numpy())), "rep": own["rep"].to_numpy(), "copies": own["copies"].to_numpy(), "error": own["error"].to_numpy()}
+                    listed = {"unit": unit(vectors(own["vec"].to_numpy(), kind)), "rep": own["rep"].to_numpy(), "copies": own["copies"].to_numpy(), "error": own["error"].to_numpy()}
                     listed["codes"] = np.stack([np.frombuffer(c, dtype=np.uint8) for c in own["codes"]])
                 if listed is not None:
                     for k in range(0, len(rows), 2048):
@@ -391,16 +378,17 @@ def op6_vector_dedup(embeddings: DataFrame) -> DataFrame:
 
 
 SQL = """
-WITH RECURSIVE v AS (
-  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings),
+v AS (
+  SELECT r, CAST(embedding AS DOUBLE[]) AS x FROM e
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
     AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
 l AS (
-  SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+  SELECT p.r AS a, q.r AS b FROM v p JOIN v q ON p.r <> q.r AND len(p.x) = len(q.x)
   WHERE list_cosine_similarity(p.x, q.x) >= CAST(0.95 AS DOUBLE)),
-n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a),
-reach(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT x, b FROM reach JOIN l ON a = y),
-comp AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x)
+n AS (SELECT a AS r, count(*) AS n_links FROM l GROUP BY a),
+reach(x, y) AS (SELECT r, r FROM e UNION SELECT x, b FROM reach JOIN l ON a = y),
+comp AS (SELECT x AS r, min(vec_id) AS component_id FROM reach JOIN e ON e.r = y GROUP BY x)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
-FROM comp LEFT JOIN n USING (vec_id)
+FROM e JOIN comp USING (r) LEFT JOIN n USING (r)
 """

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -160,3 +161,130 @@ def test_same_input_gives_the_same_shards_and_none_gives_none(spark, docs_of):
     a, b = (sorted(tuple(r) for r in ts.op7_token_shards(df).collect()) for _ in range(2))
     assert a == b and a
     assert ts.op7_token_shards(docs_of([])).count() == 0
+
+
+LONG = "<p>" + "A paragraph with many words, and commas, that goes on and on for quite a while. " * 4 + "</p>"
+ASIDE = "<div class='sidebar'><p>A sidebar has text also that is long enough to count as a paragraph of its own here.</p></div>"
+
+
+@pytest.mark.parametrize(
+    "start", [
+        '<article class="post hentry category-social">', '<article class="post-12 post type-post status-publish tag-search tag-related">',
+        '<div class="entry-content share-bar-on">', '<main id="alert-archive">', '<div class="category-news">', "<section id='discussion-paper'>",
+        '<article class="has-sidebar">', '<div class="content widget-area-off">', '<article id="promo-week" class="article--teaser">', '<div class="page-with-comments">',
+        "<section id='discussion'>", '<main class="search">', '<div class="notice">', '<div class="social">', '<article class="single alert">',
+    ],
+)
+def test_names_of_articles_do_not_empty_them(start):
+    page = f"<body><nav><a href='/'>Home</a> <a href='/x'>More</a></nav>{start}<h1>The title</h1>{LONG * 3}</{start[1:].split()[0]}>{ASIDE}<footer>Contact us</footer></body>"
+    got = ht.extract(page)
+    assert got.count("A paragraph with") == 12 and "sidebar" not in got and "Contact" not in got
+
+
+@pytest.mark.parametrize(
+    "start", [
+        '<div class="comments">', '<div id="comment-list">', '<div class="sidebar-left">', '<div class="site-footer">', '<div class="cookie-banner">', '<div class="ad">',
+        '<div class="nav-menu">', '<div class="newsletter-signup">', '<div role="complementary">', '<section class="related">', '<div class="social">', '<article class="comment">',
+    ],
+)
+def test_names_of_boilerplate_go(start):
+    page = f"<body><article><h1>The title</h1>{LONG * 3}</article>{start}<p>This stands beside the article, and no reader would miss any of it at all.</p></{start[1:].split()[0]}></body>"
+    got = ht.extract(page)
+    assert got.count("A paragraph with") == 12 and "beside the article" not in got
+
+
+def test_long_comments_do_not_become_the_article():
+    page = f"<body><article><p>A short note of some eight or nine words, nothing more.</p></article><div class='comments'>{LONG * 5}</div></body>"
+    assert ht.extract(page) == "A short note of some eight or nine words, nothing more."
+
+
+def test_formulas_are_text():
+    page = f"<article>{LONG}<p>The sum of all such numbers is <math><mi>x</mi><mo>+</mo><mn>1</mn></math> and not any less than that.</p></article>"
+    assert "numbers is x+1 and not" in ht.extract(page)
+
+
+def _shortest_paths(terminal, near):
+    """Minimum cut by one augmenting path at a time."""
+    source = {v: c for v, c in terminal.items() if c > 0}
+    sink = {v: -c for v, c in terminal.items() if c < 0}
+    left = {v: dict(e) for v, e in near.items()}
+    while True:
+        came, queue, last = dict.fromkeys([v for v, c in source.items() if c > 1e-9]), [v for v, c in source.items() if c > 1e-9], None
+        for v in queue:
+            if sink.get(v, 0) > 1e-9:
+                last = v
+                break
+            for u, c in left[v].items():
+                if c > 1e-9 and u not in came:
+                    came[u] = v
+                    queue.append(u)
+        if last is None:
+            return set(came)
+        path, v = [], last
+        while came[v] is not None:
+            path.append((came[v], v))
+            v = came[v]
+        push = min([source[v], sink[last], *(left[a][b] for a, b in path)])
+        source[v] -= push
+        sink[last] -= push
+        for a, b in path:
+            left[a][b] -= push
+            left[b][a] += push
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_flow_equals_single_paths_on_random_graphs(seed):
+    rng = random.Random(seed)
+    n = rng.randint(2, 60)
+    near = {v: {} for v in range(n)}
+    for _ in range(rng.randint(0, 4 * n)):
+        a, b = rng.randrange(n), rng.randrange(n)
+        if a != b:
+            near[a][b] = near[b][a] = rng.choice([0.25, 0.5, 1.0, 1.5])
+    terminal = {v: rng.choice([-4, -1.5, -0.5, 0, 0.5, 1.25, 3.0]) for v in range(n)}
+    assert ht.max_flow(dict(terminal), near) == _shortest_paths(terminal, near)
+
+
+def test_long_pages_take_time_in_proportion():
+    short = "".join(f"<div>{'word ' * (3 + i % 9)}<a href='x'>{'link ' * (i % 4)}</a></div>" for i in range(30_000))
+    tags = "<b>" * 8000 + "x</i></u>" * 20_000 + "</b>" * 8000
+    for page in (short, f"<article>{short}</article>", tags):
+        began = time.perf_counter()
+        ht.extract(page)
+        assert time.perf_counter() - began < 20
+
+
+def _brute_page(page):
+    """The least-cost labelling of a small page by trying all."""
+    found, elements = ht.blocks(page)
+    texts = [" ".join("".join(b.parts).split()) for b in found]
+    score = ht.scores(found, elements, texts)
+    used = sorted({e for b in found for e in _chain(elements, b.element)})
+    edges = [(("b", k), ("b", k + 1), ht.ADJACENT) for k in range(len(found) - 1)] + [(("b", k), ("e", b.element), ht.PARENT) for k, b in enumerate(found)]
+    edges += [(("e", e), ("e", elements[e][1]), ht.PARENT) for e in used if elements[e][1] >= 0]
+    nodes = [("b", k) for k in range(len(found))] + [("e", e) for e in used]
+    best = None
+    for labels in itertools.product([False, True], repeat=len(nodes)):
+        side = dict(zip(nodes, labels, strict=True))
+        cost = sum(max(0, -s) if side["b", k] else max(0, s) for k, s in enumerate(score)) + sum(w for a, b, w in edges if side[a] != side[b])
+        if best is None or cost < best[0] - 1e-9:
+            best = cost, [t for k, t in enumerate(texts) if side["b", k]]
+    return " ".join(best[1])
+
+
+def _chain(elements, e):
+    while e >= 0:
+        yield e
+        e = elements[e][1]
+
+
+@pytest.mark.parametrize(
+    "page", [
+        f"<body><nav><a>Home</a></nav><article>{LONG}<p>Short one.</p>{LONG}</article><footer>Bye</footer></body>",
+        f"<div class='ad'>Buy this</div><div>{LONG}</div><aside>More of it</aside><p>And so on it goes</p>",
+        "<ul><li><a>one</a></li><li><a>two</a></li></ul><p>Just a few words here</p>", f"<section id='discussion'>{LONG}</section><div class='comments'>No</div>",
+    ],
+)
+def test_small_pages_equal_all_labellings(spark, page):
+    got = ht.op10_html_text(_pages(spark, [(1, "u", page)])).first()
+    assert got.text == _brute_page(page) and got.n_chars == len(got.text)

@@ -10,8 +10,8 @@ drops table and checkpoint together and reads everything again.
 Rows that fail a rule aren't lost: each run writes them, with the names of the rules
 they fail, to a folder of its own in the quarantine, and its counts (rows seen, rows kept, rows failing each
 rule) beside. A run that is repeated after a failure overwrites all three, so kept and
-quarantined rows always add up to what landed. The quarantine is a second pass over the run's files, made only when the
-first has counted rows that fail.
+quarantined rows always add up to what landed. A run's parsed rows stay on the executors' disks for
+both writes; what a lost executor held is parsed again.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -71,8 +72,15 @@ def _write_run(rows: DataFrame, table: str, path: str) -> None:
 
 def _split_run(rows: DataFrame, feed: BronzeFeed, layout: Layout, run: int) -> dict[str, int]:
     """Write a run's kept rows, its quarantine and its counts; returns the counts."""
+    rows = rows.persist(StorageLevel.DISK_ONLY)
+    try:
+        return _write_split(rows, feed, layout, f"{RUN_COLUMN}={run}")
+    finally:
+        rows.unpersist()
+
+
+def _write_split(rows: DataFrame, feed: BronzeFeed, layout: Layout, folder: str) -> dict[str, int]:
     spark, table = rows.sparkSession, feed.table
-    folder = f"{RUN_COLUMN}={run}"
     counted, path = Observation(), f"{layout.path(table)}/{folder}"
     measures = [F.count(F.lit(1)).alias("_rows_seen"), F.count_if(all_hold(feed.rules)).alias("_rows_kept"), *failure_columns(feed.rules)]
     _write_run(keep_valid(rows.observe(counted, *measures), feed.rules), table, path)

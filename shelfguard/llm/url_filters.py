@@ -10,9 +10,11 @@ allow) decides, and without one the default verdict holds.
 Method. The distinct (host, path) of the urls are expanded into expressions
 ``host suffix + path prefix``: every suffix at a label boundary, and the path
 prefixes whose lengths occur among the rules (a few numbers), so rules need not
-end at a slash. Expressions and rules meet in an equi-join on the first 4 bytes
-of their SHA-256; the full digest then confirms the match, and ``max`` over the
-precedence picks the rule. Only expressions go through the join, never html.
+end at a slash. Expressions and rules meet in an equi-join on one number, the first 4 bytes
+of their SHA-256. These candidates are written out; over that table the full digest
+confirms the match (the optimiser can't move it into the join), and ``max`` over the
+precedence picks the rule. Only expressions go through the join, never html. The rules are a
+literal table of known size.
 
 Defined results: every input row gives one row, repeated rows too; empty rule
 tables give the default; duplicate rules count once; rules with a null host or
@@ -38,7 +40,11 @@ PREFIX_HEX = 8
 
 
 def rules_table(spark: SparkSession, rules=RULES) -> DataFrame:
-    return spark.createDataFrame(list(rules), "host string, path string, verdict string")
+    """The rules as a literal table, made in the JVM."""
+    # Named markers: positional ones are not bound in the order they are written in.
+    rows = ", ".join(f"(:host{i}, :path{i}, :verdict{i})" for i in range(len(rules)))
+    args = {f"{name}{i}": x for i, rule in enumerate(rules) for name, x in zip(("host", "path", "verdict"), rule, strict=True)}
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS rules(host, path, verdict)", args=args)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -62,6 +68,11 @@ def expressions(urls: DataFrame, lengths: list[int]) -> DataFrame:
     return out.select("host", "path", F.concat("suffix", F.expr("substring(path, 1, n)")).alias("expr"))
 
 
+def candidates(found: DataFrame, rules: DataFrame) -> DataFrame:
+    """Expressions with the rules that share their prefix, not confirmed yet."""
+    return found.join(rules, "prefix").drop("expr")
+
+
 def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(host, path, rule, verdict) of the distinct (host, path) that a rule decides."""
     rules = rules.where("host is not null and path is not null").select(
@@ -71,9 +82,10 @@ def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
     lengths = sorted(r[0] for r in rules.select(F.char_length("rule_path")).distinct().collect())
     digest = lambda c: F.sha2(c, 256)
     rules = rules.withColumn("rule", F.concat("rule_host", "rule_path")).withColumn("rule_digest", digest(F.col("rule")))
-    rules = rules.withColumn("prefix", F.substring("rule_digest", 1, PREFIX_HEX))
+    prefix = lambda c: F.conv(F.substring(c, 1, PREFIX_HEX), 16, 10).cast("long")
+    rules = rules.withColumn("prefix", prefix("rule_digest"))
     found = expressions(urls, lengths).withColumn("digest", digest(F.col("expr")))
-    found = found.withColumn("prefix", F.substring("digest", 1, PREFIX_HEX)).join(rules, "prefix")
+    found = stage(candidates(found.withColumn("prefix", prefix("digest")), rules), "url-candidates")
     # "a.b" + "c/" and "a.bc" + "/" are one string: the split is confirmed too.
     fits = (F.col("digest") == F.col("rule_digest")) & F.startswith("path", F.col("rule_path")) & (
         (F.col("host") == F.col("rule_host")) | F.endswith("host", F.concat(F.lit("."), "rule_host"))

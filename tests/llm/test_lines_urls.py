@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import brute
 import pytest
@@ -79,3 +80,21 @@ def test_urls_equal_brute_force(spark, rules):
 
 def test_urls_of_an_empty_table(spark):
     assert url_filters.op3_url_filters(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_urls_meet_rules_on_the_prefix_alone(spark, small, monkeypatch):
+    seen, join = [], url_filters.candidates
+    monkeypatch.setattr(url_filters, "candidates", lambda *a: seen.append(join(*a)) or seen[-1])
+    QUERIES["op3_url_filters"](spark, small)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"(?:BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin) \[([^\]]*)\], \[([^\]]*)\]", plan)
+    assert [[re.sub(r"#.*", "", k) for k in pair] for pair in keys] == [["prefix", "prefix"]], plan
+    assert "ExistingRDD" not in plan and "Python" not in plan
+
+
+def test_equal_prefixes_of_other_rules_are_not_confirmed(spark, monkeypatch):
+    monkeypatch.setattr(url_filters, "PREFIX_HEX", 1)  # one rule in sixteen shares a prefix
+    rules = tuple((f"h{i}.net", "/", "block") for i in range(40))
+    pages = spark.createDataFrame([(i, f"http://h{i}.net/x") for i in range(60)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filters.url_filter(pages, url_filters.rules_table(spark, rules)).collect()}
+    assert got == {i: "block" if i < 40 else "allow" for i in range(60)}

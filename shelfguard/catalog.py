@@ -21,11 +21,11 @@ from shelfguard import contracts as K
 from shelfguard import expectations as X
 from shelfguard import schemas
 from shelfguard.functions import hourly
-from shelfguard.layout import CLUSTER_BY, Layout
+from shelfguard.layout import CLUSTER_BY, PARTIALS_TABLE, Layout
 from shelfguard.operators.layout import write_clustered
 from shelfguard.operators.rules import rule_failures
 from shelfguard.operators.sampling import sample_first_keys
-from shelfguard.plans import bronze, gold, masters, refresh, replay, reports, serving, silver, validation
+from shelfguard.plans import bronze, gold, masters, partials, refresh, replay, reports, serving, silver, validation
 from shelfguard.plans.contracts import contract_report
 from shelfguard.session import prepare, scratch_path
 from shelfguard.sources import fixture as fx
@@ -116,6 +116,12 @@ class Medallion:
     def dataset(self) -> DataFrame:
         return serving.mart_projection(self.mart)
 
+    @cached_property
+    def partials(self) -> DataFrame:
+        path = self.layout.path(PARTIALS_TABLE)
+        refresh.write_by_date(partials.daily_partials(self.dataset), path, partials.MONTH, partials.DIMENSIONS)
+        return self.layout.read(self.spark, PARTIALS_TABLE)
+
 
 class FixtureTables:
     """The feeds of one scale factor, and the medallions over them."""
@@ -262,7 +268,19 @@ def q_mart_filtered(spark, sf_dir):
 
 
 def _widget(build: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: build(_main(spark, sf_dir).dataset)
+    """A widget over the daily partials: no mart file is read."""
+    return lambda spark, sf_dir: build(_main(spark, sf_dir).partials)
+
+
+def q_daily_partials(spark, sf_dir):
+    found = _main(spark, sf_dir).partials.drop(partials.MONTH)
+    money = ("lost_sales_proxy", "estimated_revenue", "observed_units")
+    return found.select(*[F.round(c, 2).alias(c) if c in money else c for c in found.columns])
+
+
+def q_dashboard_filtered(spark, sf_dir):
+    """Every widget under the three pickers' selection."""
+    return serving.dashboard(_main(spark, sf_dir).partials, FILTERED)
 
 
 def q_stockout_mart(spark, sf_dir):
@@ -432,7 +450,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "restatement_check": q_restatement_check,
     "fact_promotion": _table("fact_promotion"),
     "fact_inventory_status": _table("fact_inventory_status"),
-    "mart_projection": _widget(lambda d: d),
+    "mart_projection": lambda spark, sf_dir: _main(spark, sf_dir).dataset,
+    "daily_partials": q_daily_partials,
+    "dashboard_filtered": q_dashboard_filtered,
     "hourly_profile": _hourly("hours_sale", hourly.hourly_profile, "sale_amount"),
     "hourly_stock_status": _hourly("hours_stock_status", hourly.hourly_stock_status, "stock_hour6_22_cnt"),
     "mart_filtered": q_mart_filtered,

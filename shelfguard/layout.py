@@ -23,6 +23,8 @@ SILVER_TABLES = (
     "fact_external_signal",
 )
 GOLD_TABLES = ("gold_stockout_daily",)
+# Sums and counts per day that serving folds; derived from the mart.
+PARTIALS_TABLE = "gold_daily_partials"
 # Clustering columns per table (data layout for min/max pruning).
 CLUSTER_BY = {
     "bronze_daily_observations": ("dt", "store_id"),
@@ -60,7 +62,7 @@ class Layout:
     def layer_of(self, table: str) -> str:
         if table in BRONZE_TABLES:
             return "bronze"
-        if table in GOLD_TABLES:
+        if table in (*GOLD_TABLES, PARTIALS_TABLE):
             return "gold"
         return "silver"
 

@@ -599,6 +599,25 @@ def oracle_sql() -> dict[str, str]:
         "UNION ALL SELECT DISTINCT 'category', category FROM dataset "
         "UNION ALL SELECT DISTINCT 'priority', priority_tier FROM dataset",
     )
+    q["daily_partials"] = with_(
+        FULL,
+        "SELECT date_key, region, category, priority_tier, count(store_key) AS rows, CAST(sum(stockout_int) AS BIGINT) AS stockout_rows, "
+        f"CAST(sum(critical_int) AS BIGINT) AS critical_rows, {money} AS lost_sales_proxy, "
+        f"{R('sum(estimated_revenue)', 2)} AS estimated_revenue, {R('sum(observed_units)', 2)} AS observed_units "
+        "FROM dataset GROUP BY date_key, region, category, priority_tier",
+    )
+    chosen = " AND ".join(f"{c} IN ({', '.join(S(v) for v in values)})" for c, values in FILTERED.items())
+    widgets = [("kpi_lost_sales", None, money), ("kpi_stockout_rate", None, "avg(stockout_int)"), ("kpi_critical_rows", None, "sum(critical_int)")]
+    widgets += [(f"lost_sales_by_{c}", c, money) for c in ("region", "category")]
+    widgets += [("lost_sales_trend", "date_key", money), ("priority_mix", "priority_tier", "count(store_key)")]
+    q["dashboard_filtered"] = with_(
+        FULL,
+        " UNION ALL ".join(
+            f"SELECT {S(name)} AS widget, CAST({item or 'NULL'} AS VARCHAR) AS item, CAST({value} AS DOUBLE) AS value "
+            f"FROM dataset WHERE {chosen}{f' GROUP BY {item}' if item else ''}"
+            for name, item, value in widgets
+        ),
+    )
     q["top_offenders"] = with_(
         FULL,
         "SELECT store_key, product_key, date_key, region, category, stockout_hours, estimated_revenue, "

@@ -33,8 +33,8 @@ from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from shelfguard import schemas
-from shelfguard.layout import BRONZE_TABLES, CLUSTER_BY, GOLD_TABLES, RUN_COLUMN, SILVER_TABLES, Layout, newest_run
-from shelfguard.plans import deltas, gold, silver
+from shelfguard.layout import BRONZE_TABLES, CLUSTER_BY, GOLD_TABLES, PARTIALS_TABLE, RUN_COLUMN, SILVER_TABLES, Layout, newest_run
+from shelfguard.plans import deltas, gold, partials, serving, silver
 from shelfguard.session import delete_folder, list_folder, observed, staged
 from shelfguard.streaming.ingest import IngestResult, ingest_all
 
@@ -136,6 +136,21 @@ def refresh_gold(spark: SparkSession, layout: Layout, touched: Touched | None =
     facts = [_of_dates(layout.read(spark, t), "date_key", touched) for t in SILVER_TABLES if t.startswith("fact_")]
     mart = gold.stockout_mart(*facts, layout.read(spark, "dim_store"), layout.read(spark, "dim_product"))
     write_by_date(mart, layout.path(GOLD_TABLE), "date_key", CLUSTER_BY[GOLD_TABLE][1:], touched)
+    refresh_partials(spark, layout, touched)
+
+
+def refresh_partials(spark: SparkSession, layout: Layout, touched: Touched | None = None) -> None:
+    """The daily partials of gold; with ``touched`` only of these dates, in their months' partitions."""
+    path, sort_by = layout.path(PARTIALS_TABLE), partials.DIMENSIONS
+    mart = _of_dates(layout.read(spark, GOLD_TABLE), "date_key", touched)
+    new = partials.daily_partials(serving.mart_projection(mart))
+    if touched is None:
+        write_by_date(new, path, partials.MONTH, sort_by)
+        return
+    months = Touched.of(touched.dates.select(F.trunc("dt", "month")))
+    old = months.rows_of(layout.read(spark, PARTIALS_TABLE), partials.MONTH)
+    rows = staged(partials.replaced(old, new, touched.dates.toDF("date_key")), "partials")
+    write_by_date(rows, path, partials.MONTH, sort_by, months)
 
 
 def _loaded_after(spark: SparkSession, layout: Layout, table: str, watermark: str | None, run: int | None = None) -> DataFrame:
@@ -207,7 +222,7 @@ def full_refresh(
 ) -> list[IngestResult]:
     """Start over: drop every table with its stream's checkpoint and read all landed files again."""
     delete_folder(spark._jvm, layout.path(STATE_TABLE))  # first: a run that dies here is not taken as complete
-    for table in (*GOLD_TABLES, *SILVER_TABLES, LATEST_STAGE, KEYED_STAGE, deltas.REFLECTED_MASTERS):
+    for table in (*GOLD_TABLES, PARTIALS_TABLE, *SILVER_TABLES, LATEST_STAGE, KEYED_STAGE, deltas.REFLECTED_MASTERS):
         delete_folder(spark._jvm, layout.path(table))
     for table in BRONZE_TABLES:
         delete_folder(spark._jvm, layout.checkpoint(table))

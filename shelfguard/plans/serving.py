@@ -1,7 +1,7 @@
-"""Serving queries over the gold mart (the dashboard's datasets and widgets).
+"""Serving queries over the gold layer (the dashboard's datasets and widgets).
 
-Every widget is ``dataset -> optional filters -> groupBy().agg()``; the
-aggregates are partial per task with a tiny final merge. Money sums are
+The row-level dataset and the offender table read the mart. Every other widget is
+``daily partials -> optional filters -> groupBy().agg()`` and reads no mart file. Money sums are
 rounded to cents, since a double sum depends on the order rows arrive in.
 """
 
@@ -57,38 +57,60 @@ def _money(c: str):
     return F.round(F.sum(c), 2)
 
 
-def kpi_lost_sales(dataset: DataFrame) -> DataFrame:
-    return dataset.agg(_money("lost_sales_proxy").alias("sum_lost_sales_proxy"))
+# -- widgets: folds of the daily partials, filtered or not ---------------------------
+def kpi_lost_sales(partials: DataFrame) -> DataFrame:
+    return partials.agg(_money("lost_sales_proxy").alias("sum_lost_sales_proxy"))
 
 
-def kpi_stockout_rate(dataset: DataFrame) -> DataFrame:
-    return dataset.agg(F.avg("stockout_int").alias("avg_stockout_int"))
+def kpi_stockout_rate(partials: DataFrame) -> DataFrame:
+    return partials.agg((F.sum("stockout_rows") / F.sum("rows")).alias("avg_stockout_int"))
 
 
-def kpi_critical_rows(dataset: DataFrame) -> DataFrame:
-    return dataset.agg(F.sum("critical_int").cast("long").alias("sum_critical_int"))
+def kpi_critical_rows(partials: DataFrame) -> DataFrame:
+    return partials.agg(F.sum("critical_rows").alias("sum_critical_int"))
 
 
-def lost_sales_by(dataset: DataFrame, dimension: str) -> DataFrame:
-    return dataset.groupBy(dimension).agg(_money("lost_sales_proxy").alias("sum_lost_sales_proxy"))
+def lost_sales_by(partials: DataFrame, dimension: str) -> DataFrame:
+    return partials.groupBy(dimension).agg(_money("lost_sales_proxy").alias("sum_lost_sales_proxy"))
 
 
-def lost_sales_trend(dataset: DataFrame) -> DataFrame:
+def lost_sales_trend(partials: DataFrame) -> DataFrame:
     day = F.date_trunc("DAY", F.col("date_key")).cast("date").alias("daily_date_key")
-    return dataset.groupBy(day).agg(_money("lost_sales_proxy").alias("sum_lost_sales_proxy"))
+    return partials.groupBy(day).agg(_money("lost_sales_proxy").alias("sum_lost_sales_proxy"))
 
 
-def priority_mix(dataset: DataFrame) -> DataFrame:
-    return dataset.groupBy("priority_tier").agg(F.count("store_key").alias("count_rows"))
+def priority_mix(partials: DataFrame) -> DataFrame:
+    return partials.groupBy("priority_tier").agg(F.sum("rows").alias("count_rows"))
 
 
-def filter_options(dataset: DataFrame) -> DataFrame:
+def filter_options(partials: DataFrame) -> DataFrame:
     """Distinct values offered by the three filter pickers, one row per (filter, value)."""
-    # One pass over the mart: the combinations are few, the values are taken from them.
-    seen = dataset.groupBy("region", "category", "priority_tier").agg(F.lit(1).alias("_"))
     named = [(name, column) for name, column in (("region", "region"), ("category", "category"), ("priority", "priority_tier"))]
     pairs = F.array(*[F.struct(F.lit(n).alias("filter_name"), F.col(c).alias("filter_value")) for n, c in named])
-    return seen.select(F.inline(pairs)).distinct()
+    return partials.select(F.inline(pairs)).distinct()
+
+
+WIDGETS = {
+    "kpi_lost_sales": (kpi_lost_sales, None),
+    "kpi_stockout_rate": (kpi_stockout_rate, None),
+    "kpi_critical_rows": (kpi_critical_rows, None),
+    "lost_sales_by_region": (lambda p: lost_sales_by(p, "region"), "region"),
+    "lost_sales_by_category": (lambda p: lost_sales_by(p, "category"), "category"),
+    "lost_sales_trend": (lost_sales_trend, "daily_date_key"),
+    "priority_mix": (priority_mix, "priority_tier"),
+}
+
+
+def dashboard(partials: DataFrame, filters: MartFilters) -> DataFrame:
+    """Every widget under one selection, as (widget, item, value) rows; ``item`` is null for a KPI."""
+    chosen, out = filters.apply(partials), None
+    for name, (build, item) in WIDGETS.items():
+        rows = build(chosen)
+        value = next(c for c in rows.columns if c != item)
+        label = F.col(item).cast("string") if item else F.lit(None).cast("string")
+        part = rows.select(F.lit(name).alias("widget"), label.alias("item"), F.col(value).cast("double").alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def top_offenders(mart: DataFrame, n: int = 50) -> DataFrame:

@@ -172,13 +172,15 @@ def _four_stage_replay(spark, landed, mode, full_gold_rows):
 
 
 # -- what an incremental refresh must not miss -----------------------------------------
-TABLES = ("dim_store", "dim_product", "dim_date", "fact_sales", "fact_inventory_status", "fact_promotion", "fact_external_signal", "gold_stockout_daily")
+TABLES = ("dim_store", "dim_product", "dim_date", "fact_sales", "fact_inventory_status", "fact_promotion", "fact_external_signal", "gold_stockout_daily", "gold_daily_partials")
 
 
 def _contents(spark, layout):
     out = {}
     for name in TABLES:
         rows = layout.read(spark, name).drop("processed_at", "refreshed_at")
+        if name == "gold_daily_partials":  # sums of doubles depend on the order of rows
+            rows = rows.select(*[F.round(f.name, 6).alias(f.name) if f.dataType.simpleString() == "double" else f.name for f in rows.schema.fields])
         out[name] = sorted(str(tuple(r)) for r in rows.select(*sorted(rows.columns)).collect())
     return out
 

@@ -184,7 +184,7 @@ def test_building_a_serving_query_runs_no_job_beyond_the_written_tables(spark):
     from shelfguard.catalog import QUERIES
 
     sf = "/root/testdata/sf0.001"
-    QUERIES["contract_report"](spark, sf)  # writes every table
+    QUERIES["contract_report"](spark, sf), QUERIES["daily_partials"](spark, sf)  # write every table
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("building", "building")
     try:
@@ -265,3 +265,33 @@ def test_a_date_filter_opens_only_its_files(spark):
     with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
         found = layout.read(spark, refresh.RAW_TABLE).where(F.col("dt") == F.lit(date(2024, 1, 9)))
         assert _files_read(found) == 1 and found.count() == 4
+
+
+def test_widgets_fold_the_partials_and_read_no_mart_file(spark):
+    from shelfguard.catalog import QUERIES, _main
+    from shelfguard.plans import serving
+
+    sf = "/root/testdata/sf0.001"
+    m = _main(spark, sf)
+    m.partials.count()
+    for name in ("kpi_lost_sales", "kpi_stockout_rate", "kpi_critical_rows", "lost_sales_by_region", "lost_sales_by_category", "lost_sales_trend", "priority_mix", "filter_options"):
+        paths = re.findall(r"Location: InMemoryFileIndex\([^)]*\)\[([^\]]*)", QUERIES[name](spark, sf)._jdf.queryExecution().explainString(_formatted(spark)))
+        assert paths and all("gold_daily_partials" in p for p in paths), (name, paths)
+    every = {r.filter_name: [] for r in QUERIES["filter_options"](spark, sf).collect()}
+    for r in sorted(QUERIES["filter_options"](spark, sf).collect()):
+        every[r.filter_name].append(r.filter_value)
+    choices = [((), (), ()), (every["region"][:2], (), ()), ((), every["category"][1:3], ("critical", "high")), (every["region"][-1:], every["category"][:4], ("low",)), (("nowhere",), (), ())]
+    for regions, categories, tiers in choices:
+        filters = serving.MartFilters(tuple(regions), tuple(categories), tuple(tiers))
+        rows = filters.apply(m.dataset)
+        got = {(r.widget, r.item): r.value for r in serving.dashboard(m.partials, filters).collect()}
+        sums = rows.agg(F.round(F.sum("lost_sales_proxy"), 2), F.avg("stockout_int"), F.sum("critical_int")).first()
+        assert [got[k, None] for k in ("kpi_lost_sales", "kpi_stockout_rate", "kpi_critical_rows")] == list(sums)
+        for widget, column in (("lost_sales_by_region", "region"), ("lost_sales_by_category", "category"), ("lost_sales_trend", "date_key")):
+            wanted = rows.groupBy(F.col(column).cast("string")).agg(F.round(F.sum("lost_sales_proxy"), 2)).collect()
+            assert {i: v for (w, i), v in got.items() if w == widget} == dict(map(tuple, wanted))
+        assert {i: v for (w, i), v in got.items() if w == "priority_mix"} == dict(map(tuple, rows.groupBy("priority_tier").count().collect()))
+
+
+def _formatted(spark):
+    return spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")

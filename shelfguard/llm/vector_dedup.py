@@ -52,7 +52,7 @@ from shelfguard.llm.components import connected_components
 
 THRESHOLD = 0.95
 SAMPLE, LISTS, PARTS, CODES = 32_768, 2_048, 8, 256
-SIGMAS = 5.0
+SIGMAS = 4.0
 #: The margin is measured on so many vectors of the sample, each with so many neighbours and borders.
 PILOT, AROUND, SAFETY = 1_024, 8, 1.25
 CHUNK, QUERIES = 2_048, 16_384

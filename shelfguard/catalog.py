@@ -21,15 +21,16 @@ from shelfguard import contracts as K
 from shelfguard import expectations as X
 from shelfguard import schemas
 from shelfguard.functions import hourly
-from shelfguard.layout import CLUSTER_BY, PARTIALS_TABLE, Layout
-from shelfguard.operators.layout import write_clustered
+from shelfguard.layout import CLUSTER_BY, PARTIALS_TABLE, RUN_COLUMN, Layout, runs
+from shelfguard.operators.layout import write_clustered, zordered
 from shelfguard.operators.rules import rule_failures
 from shelfguard.operators.sampling import sample_first_keys
 from shelfguard.plans import bronze, gold, masters, partials, refresh, replay, reports, serving, silver, validation
+from shelfguard.plans.compaction import compact
 from shelfguard.plans.contracts import contract_report
 from shelfguard.session import prepare, scratch_path
 from shelfguard.sources import fixture as fx
-from shelfguard.streaming.ingest import ingest_all, land
+from shelfguard.streaming.ingest import ingest_all, land, write_run
 
 VOLATILE = ("_source_file", "_loaded_at", "processed_at", "refreshed_at")
 LINEAGE = schemas.LINEAGE_COLUMNS
@@ -37,6 +38,7 @@ LINEAGE = schemas.LINEAGE_COLUMNS
 # Parameters of the registered serving and sampling queries.
 FILTERED = serving.MartFilters(regions=("AMERICA", "ASIA"), categories=("STANDARD", "PROMO", "ECONOMY"), tiers=("critical", "high"))
 CLUSTERED_RANGE = (date(1998, 1, 1), date(1999, 1, 1))
+ZORDERED_REGIONS, ZORDERED_CATEGORIES = ("ASIA", "EUROPE"), ("PROMO",)
 SAMPLE_WINDOW = (date(1996, 1, 1), date(1997, 12, 31))
 SAMPLE_STORES = 20
 SAMPLE_PRODUCTS = 400
@@ -300,6 +302,27 @@ def q_clustered_scan(spark, sf_dir):
     return m.spark.read.parquet(path).where((F.col("date_key") >= F.lit(lo)) & (F.col("date_key") < F.lit(hi)))
 
 
+def q_zordered_scan(spark, sf_dir):
+    """Write the mart in the Z-order of its clustering columns, then scan it by the last two of them."""
+    m = _main(spark, sf_dir)
+    path = scratch_path(m.spark, "zordered-mart")
+    zordered(compared(m.mart), CLUSTER_BY[refresh.GOLD_TABLE], split_by=("store_key", "product_key")).write.parquet(path)
+    return m.spark.read.parquet(path).where(F.col("region").isin(*ZORDERED_REGIONS) & F.col("category").isin(*ZORDERED_CATEGORIES))
+
+
+def q_compacted_bronze(spark, sf_dir):
+    """Bronze as five stream runs, compacted to one run beside the newest."""
+    m = _main(spark, sf_dir)
+    layout = Layout(scratch_path(m.spark, "compacted"))
+    table = layout.path(refresh.RAW_TABLE)
+    for run in range(5):
+        write_run(m.bronze_daily.where(F.col("batch_seq") == run + 1), refresh.RAW_TABLE, f"{table}/{RUN_COLUMN}={run}")
+    compact(m.spark, layout, refresh.RAW_TABLE)
+    if runs(m.spark, table) != [3, 4]:
+        raise RuntimeError("four runs should have become one")
+    return compared(layout.read(m.spark, refresh.RAW_TABLE))
+
+
 # -- replay and reports -------------------------------------------------------------
 def q_replay_batches(spark, sf_dir):
     return compared(_tables(spark, sf_dir).replay_landed)
@@ -420,6 +443,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_sales": _table("fact_sales"),
     "stockout_mart": q_stockout_mart,
     "clustered_scan": q_clustered_scan,
+    "zordered_scan": q_zordered_scan,
+    "compacted_bronze": q_compacted_bronze,
     "replay_batches": q_replay_batches,
     "bronze_store_master": q_bronze_store_master,
     "bronze_hourly_arrays": q_bronze_hourly_arrays,

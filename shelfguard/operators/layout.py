@@ -1,4 +1,4 @@
-"""Data layout by clustering columns for plain parquet.
+"""Data layout by clustering columns for plain parquet: by ranges in their order, or by Z-order.
 
 Range-partition on the clustering columns and sort inside each file, so each
 file and row group covers a narrow min/max range and parquet statistics let
@@ -8,8 +8,11 @@ a filtered scan skip most of them.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def clustered(
@@ -36,3 +39,55 @@ def write_clustered(
     split_by: Sequence[str] = (),
 ) -> None:
     clustered(df, cluster_by, files, split_by).write.mode(mode).parquet(path)
+
+
+# -- Z-order: a layout that filters on any of several columns can skip -----------------
+#: Ranges per column: 2 ** ZORDER_BITS.
+ZORDER_BITS = 6
+
+
+def order_number(df: DataFrame, column: str) -> Column:
+    """A number in the column's order (text: by its first seven bytes)."""
+    kind, c = df.schema[column].dataType.simpleString(), F.col(column)
+    if kind == "string":
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("double")
+    if kind == "date":
+        return F.datediff(c, F.lit(date(1970, 1, 1))).cast("double")
+    if kind.startswith("timestamp"):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    return c.cast("double")
+
+
+def cut_points(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS) -> dict[str, list[float]]:
+    """Quantiles that cut each column into at most ``2 ** bits`` ranges of like size (one aggregation, a few numbers)."""
+    shares = [i / 2**bits for i in range(1, 2**bits)]
+    row = df.agg(*[F.percentile_approx(order_number(df, c), shares, 10_000).alias(c) for c in columns]).first()
+    return {c: sorted(set(row[c] or [])) for c in columns}
+
+
+def zorder_key(df: DataFrame, cuts: dict[str, list[float]], bits: int = ZORDER_BITS) -> Column:
+    """The bits of the columns' range numbers interleaved, highest first: near keys are near in every column.
+
+    Comparisons and shifts only, so it stays inside generated code. Nulls belong to the first range.
+    """
+    key = F.lit(0).cast("long")
+    for j, (c, points) in enumerate(cuts.items()):
+        number = order_number(df, c)
+        ranges = reduce(lambda a, b: a + b, [F.coalesce((number > p).cast("int"), F.lit(0)) for p in points], F.lit(0)).cast("long")
+        for i in range(bits):
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(ranges, i).bitwiseAND(F.lit(1).cast("long")), i * len(cuts) + j))
+    return key
+
+
+def zordered(
+    df: DataFrame, columns: Sequence[str], within: Sequence[str] = (), split_by: Sequence[str] = (), bits: int = ZORDER_BITS
+) -> DataFrame:
+    """``df`` dealt to ranges of the Z-order of ``columns`` (inside each value of ``within``) and sorted by it.
+
+    ``split_by`` refines the ranges where many rows share a key.
+    """
+    if bits * len(columns) > 62:
+        raise ValueError("the interleaved key has at most 62 bits")
+    keyed = df.withColumn("_z", zorder_key(df, cut_points(df, columns, bits), bits))
+    order = [*within, "_z", *split_by]
+    return keyed.repartitionByRange(*order).sortWithinPartitions(*order, *columns).drop("_z")

@@ -627,6 +627,8 @@ def oracle_sql() -> dict[str, str]:
     q["clustered_scan"] = with_(
         FULL, f"SELECT {MART_OUT} FROM mart WHERE date_key >= DATE '{lo}' AND date_key < DATE '{hi}'"
     )
+    q["zordered_scan"] = with_(FULL, f"SELECT {MART_OUT} FROM mart WHERE region IN ('ASIA', 'EUROPE') AND category = 'PROMO'")
+    q["compacted_bronze"] = q["bronze_daily"]
     q["grain_integrity"] = with_(
         FULL,
         "SELECT 'bronze_raw_daily' AS table_name, CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_grains, "

@@ -98,6 +98,13 @@ def list_folder(jvm, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(folder)) if files.exists(folder) else []
 
 
+def move_folder(jvm, path: str, to: str) -> None:
+    """Rename a folder inside its file system."""
+    source, target = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(to)
+    if not source.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).rename(source, target):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 def observed(metrics: Observation) -> dict | None:
     """What ``df.observe`` has gathered; None where Spark found nothing above it and dropped the metrics with the plan."""
     try:

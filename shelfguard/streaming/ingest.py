@@ -28,7 +28,7 @@ from shelfguard import expectations as X
 from shelfguard import schemas
 from shelfguard.layout import CLUSTER_BY, PARTITION_BY, RUN_COLUMN, Layout, runs
 from shelfguard.operators.rules import Rule, all_hold, failed_rules, failure_columns, keep_valid
-from shelfguard.plans import bronze
+from shelfguard.plans import bronze, compaction
 from shelfguard.session import delete_folder, observed
 from shelfguard.sources import landing
 
@@ -60,7 +60,7 @@ class IngestResult:
     rule_failures: dict[str, int] = field(default_factory=dict)
 
 
-def _write_run(rows: DataFrame, table: str, path: str) -> None:
+def write_run(rows: DataFrame, table: str, path: str) -> None:
     """One run's rows, sorted by the clustering columns; by date where the table asks for it."""
     by = PARTITION_BY.get(table)
     if by is None:
@@ -83,7 +83,7 @@ def _write_split(rows: DataFrame, feed: BronzeFeed, layout: Layout, folder: str)
     spark, table = rows.sparkSession, feed.table
     counted, path = Observation(), f"{layout.path(table)}/{folder}"
     measures = [F.count(F.lit(1)).alias("_rows_seen"), F.count_if(all_hold(feed.rules)).alias("_rows_kept"), *failure_columns(feed.rules)]
-    _write_run(keep_valid(rows.observe(counted, *measures), feed.rules), table, path)
+    write_run(keep_valid(rows.observe(counted, *measures), feed.rules), table, path)
     counts = observed(counted) or rows.agg(*measures).first().asDict()
     if not counts["_rows_kept"] and table in PARTITION_BY:
         # A folder by date without dates has no file that tells its columns.
@@ -102,6 +102,7 @@ def _write_split(rows: DataFrame, feed: BronzeFeed, layout: Layout, folder: str)
 
 def ingest(spark: SparkSession, layout: Layout, feed: BronzeFeed) -> IngestResult:
     """One availableNow run of a bronze streaming table; returns its counters."""
+    compaction.finish(spark, layout, feed.table)
     stream = landing.read_csv_stream(spark, landing.dataset_path(layout.landing, feed.dataset), feed.schema)
     result = IngestResult(feed.table)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,14 +14,15 @@ from shelfguard import contracts as K
 from shelfguard import expectations as X
 from shelfguard import schemas, session
 from shelfguard.config import Expected
-from shelfguard.layout import Layout
+from shelfguard.layout import Layout, runs
+from shelfguard.operators import layout as layout_ops
 from shelfguard.operators.rules import rule_failures
 from shelfguard.operators.sampling import sample_first_keys
 from shelfguard.operators.sequence import dense_sequence
-from shelfguard.plans import bronze, validation
+from shelfguard.plans import bronze, compaction, refresh, validation
 from shelfguard.plans.contracts import contract_report, schema_report
 from shelfguard.session import scratch_path
-from shelfguard.streaming.ingest import land
+from shelfguard.streaming.ingest import land, write_run
 
 
 def test_dense_sequence_matches_sorted_rank(spark):
@@ -167,3 +169,94 @@ def test_validation_raises_on_first_failure(spark):
     )
     with pytest.raises(validation.ValidationError, match="a_check"):
         validation.raise_on_failure(report)
+
+
+# -- Z-order and compaction -----------------------------------------------------------
+def _row_groups(path, **wanted):
+    """(row groups, those whose statistics admit each wanted value)."""
+    import pyarrow.parquet as pq
+
+    total, kept = 0, dict.fromkeys(wanted, 0)
+    for file in Path(path.removeprefix("file:")).rglob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            columns = {meta.row_group(g).column(c).path_in_schema: meta.row_group(g).column(c).statistics for c in range(meta.num_columns)}
+            total += 1
+            for c, value in wanted.items():
+                kept[c] += columns[c].min <= value <= columns[c].max
+    return total, kept
+
+
+@pytest.fixture
+def small_row_groups(spark):
+    setting = "parquet.block.row.count.limit"
+    spark._jsc.hadoopConfiguration().setInt(setting, 100)
+    yield
+    spark._jsc.hadoopConfiguration().unset(setting)
+
+
+def test_zorder_key_interleaves_bits(spark):
+    df = spark.createDataFrame([(x, y) for x in range(8) for y in range(8)], "x int, y int")
+    cuts = {"x": [float(k) + 0.5 for k in range(7)], "y": [float(k) + 0.5 for k in range(7)]}
+    for r in df.withColumn("z", layout_ops.zorder_key(df, cuts, 3)).collect():
+        assert r.z == sum(((r.x >> i) & 1) << (2 * i) | ((r.y >> i) & 1) << (2 * i + 1) for i in range(3))
+
+
+def test_zorder_takes_nulls_texts_dates_and_empty_tables(spark):
+    rows = [(None, None, None, 1.5), ("", date(2024, 1, 1), 5, None), ("abcdefghij", date(1969, 5, 1), -3, -2.0), ("ä", date(2024, 1, 2), 9, 0.0)] * 30
+    df = spark.createDataFrame(rows, "s string, d date, n long, f double")
+    out = layout_ops.zordered(df, ["s", "d", "n", "f"])
+    assert sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
+    assert layout_ops.zordered(df.where("false"), ["s", "n"]).count() == 0
+    with pytest.raises(ValueError):
+        layout_ops.zordered(df, ["s", "d", "n", "f"], bits=16)
+    numbers = spark.createDataFrame([(x,) for x in ("", "a", "aa", "ab", "b", "ä")], "s string").select("s", layout_ops.order_number(df, "s").alias("n")).collect()
+    assert [r.s for r in sorted(numbers, key=lambda r: r.n)] == ["", "a", "aa", "ab", "b", "ä"]
+
+
+def test_compaction_skips_row_groups_by_date_store_and_product(spark, small_row_groups):
+    layout = Layout(scratch_path(spark, "compaction"))
+    table = refresh.RAW_TABLE
+    path = layout.path(table)
+    rows = spark.range(8000).select(
+        (F.xxhash64("id") % 50 + 50).cast("long").alias("store_id"), (F.xxhash64("id", F.lit(1)) % 200 + 200).cast("long").alias("product_id"),
+        F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 2).cast("int")).alias("dt"), F.timestamp_seconds(F.col("id")).alias("_loaded_at"),
+        F.col("id").alias("line"),
+    )
+    for run in range(8):
+        write_run(rows.where(F.floor(F.col("line") / 1000) == run), table, f"{path}/_run={run}")
+    wanted = {"store_id": 40, "product_id": 150}
+    everything = sorted(map(tuple, layout.read(spark, table).select("line", "store_id", "product_id", "dt", "_loaded_at").collect()))
+    before = _row_groups(path, **wanted)
+    assert compaction.compact(spark, layout, table) == 7 and runs(spark, path) == [6, 7]
+    after = _row_groups(f"{path}/_run=6", **wanted)
+    assert sorted(map(tuple, layout.read(spark, table).select("line", "store_id", "product_id", "dt", "_loaded_at").collect())) == everything
+    # Runs are sorted by store inside a date: a product filter reads nearly all of them.
+    assert before[1]["product_id"] > 0.9 * before[0] and after[0] >= 70
+    assert all(kept <= 0.35 * after[0] for kept in after[1].values()), (before, after)
+    one_day = spark.read.parquet(path).where(F.col("dt") == F.lit(date(2024, 1, 2)))
+    assert all("dt=2024-01-02" in f for f in one_day.where("_run = 6").select(F.input_file_name()).distinct().toPandas().iloc[:, 0])
+    assert compaction.compact(spark, layout, table) == 0  # one run beside the newest: nothing to do
+
+
+def test_a_compaction_that_dies_is_completed_or_dropped(spark, monkeypatch):
+    layout = Layout(scratch_path(spark, "compaction-dies"))
+    table = refresh.RAW_TABLE
+    path = layout.path(table)
+    rows = spark.range(60).select(F.col("id").alias("store_id"), F.col("id").alias("product_id"), F.lit(date(2024, 1, 1)).alias("dt"), F.current_timestamp().alias("_loaded_at"))
+    for run in range(3):
+        write_run(rows, table, f"{path}/_run={run}")
+    with monkeypatch.context() as m:
+        m.setattr(compaction, "move_folder", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):  # the old runs are gone already
+            compaction.compact(spark, layout, table)
+    assert runs(spark, path) == [2]
+    compaction.finish(spark, layout, table)
+    assert runs(spark, path) == [1, 2] and layout.read(spark, table).count() == 180
+    write_run(rows, table, f"{path}/_run=3")
+    with monkeypatch.context() as m:
+        m.setattr(compaction, "_write_compacted", lambda df, t, p: (df.limit(5).write.parquet(p), (_ for _ in ()).throw(RuntimeError("lost")))[1].__next__())
+        with pytest.raises(RuntimeError, match="lost"):  # not written whole
+            compaction.compact(spark, layout, table)
+    compaction.finish(spark, layout, table)
+    assert runs(spark, path) == [1, 2, 3] and layout.read(spark, table).count() == 240

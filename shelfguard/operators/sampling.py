@@ -6,6 +6,11 @@ selected; a row is kept when both its store and product are selected; stop
 after ``target`` kept rows. A selected key's first row is never after the
 current row, so this equals: rank keys by first arrival, keep the top N of
 each, keep rows whose keys are both kept, take the first ``target``.
+
+The scan stops early: it reads the rows up to a bound of the first position column, and as long as
+a key set or the target isn't full and rows are left beyond it, one ``GROWTH`` times as far. The bound is a
+pushed filter, so row groups and files of later positions aren't read, and what is read in all
+rounds is a fixed multiple of what the last one needs.
 """
 
 from __future__ import annotations
@@ -30,6 +35,41 @@ def first_keys(rows: DataFrame, key: str, position: Sequence[str], n: int) -> Da
     )
 
 
+#: Width of the first range of positions, and how much further each next one reaches.
+FIRST_RANGE, GROWTH = 4096, 4
+
+
+def _up_to(rows: DataFrame, leading: str, bound: int) -> DataFrame:
+    # Rows without a position come first.
+    return rows.where(F.col(leading).isNull() | (F.col(leading) <= F.lit(bound)))
+
+
+def enough_rows(
+    rows: DataFrame, store_col: str, product_col: str, position: Sequence[str], n_stores: int, n_products: int, target: int, origin: int, first_range: int
+) -> DataFrame:
+    """The rows up to the first bound by which both key sets and the target are full, or all.
+
+    Each round is an aggregation over the rows so far; a few numbers reach the driver.
+    """
+    leading, width = position[0], first_range
+    while True:
+        some = _up_to(rows, leading, origin + width)
+        stores, products = some.agg(F.count_distinct(store_col), F.count_distinct(product_col)).first()
+        if stores >= n_stores and products >= n_products:
+            if _both_kept(some, store_col, product_col, position, n_stores, n_products).limit(target).count() >= target:
+                return some
+        if rows.where(F.col(leading) > F.lit(origin + width)).limit(1).isEmpty():
+            return rows
+        width *= GROWTH
+
+
+def _both_kept(rows: DataFrame, store_col: str, product_col: str, position: Sequence[str], n_stores: int, n_products: int) -> DataFrame:
+    # Both key sets hold at most n rows (config bounds), so broadcasting is safe.
+    stores = F.broadcast(first_keys(rows, store_col, position, n_stores))
+    products = F.broadcast(first_keys(rows, product_col, position, n_products))
+    return rows.join(stores, store_col, "left_semi").join(products, product_col, "left_semi")
+
+
 def sample_first_keys(
     rows: DataFrame,
     *,
@@ -42,11 +82,12 @@ def sample_first_keys(
     n_stores: int,
     n_products: int,
     target: int,
+    origin: int = 0,
+    first_range: int = FIRST_RANGE,
 ) -> DataFrame:
+    """``position`` starts with a whole number that grows with arrival, from about ``origin`` on."""
     in_window = rows.where(F.col(date_col).between(F.lit(start), F.lit(end)))
-    # Both key sets hold at most n rows (config bounds), so broadcasting is safe.
-    stores = F.broadcast(first_keys(in_window, store_col, position, n_stores))
-    products = F.broadcast(first_keys(in_window, product_col, position, n_products))
-    kept = in_window.join(stores, store_col, "left_semi").join(products, product_col, "left_semi")
+    in_window = enough_rows(in_window, store_col, product_col, position, n_stores, n_products, target, origin, first_range)
+    kept = _both_kept(in_window, store_col, product_col, position, n_stores, n_products)
     # Numbered over ranges: no task gathers the ``target`` rows.
     return numbered(kept, [*position, store_col, product_col], "_nth").where(F.col("_nth") <= target).drop("_nth")

@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import product_rows, raw_rows, store_rows
+from helpers import product_rows, raw_rows, session_conf, store_rows
 from shelfguard import contracts as K
 from shelfguard import expectations as X
 from shelfguard import schemas, session
@@ -17,7 +17,7 @@ from shelfguard.config import Expected
 from shelfguard.layout import Layout, runs
 from shelfguard.operators import layout as layout_ops
 from shelfguard.operators.rules import rule_failures
-from shelfguard.operators.sampling import sample_first_keys
+from shelfguard.operators.sampling import enough_rows, sample_first_keys
 from shelfguard.operators.sequence import dense_sequence
 from shelfguard.plans import bronze, compaction, refresh, validation
 from shelfguard.plans.contracts import contract_report, schema_report
@@ -66,7 +66,35 @@ def test_sample_first_keys_matches_streaming_loop(spark, target):
         df, store_col="store_id", product_col="product_id", date_col="dt", position=["pos"],
         start=lo, end=hi, n_stores=5, n_products=12, target=target,
     )
-    assert sorted(r.pos for r in got.collect()) == sorted(brute_sample(rows, 5, 12, lo, hi, target))
+    wanted = sorted(brute_sample(rows, 5, 12, lo, hi, target))
+    assert sorted(r.pos for r in got.collect()) == wanted
+    for first_range, origin in ((7, 0), (150, -40), (50, 1900)):  # several rounds, or one
+        got = sample_first_keys(
+            df, store_col="store_id", product_col="product_id", date_col="dt", position=["pos"],
+            start=lo, end=hi, n_stores=5, n_products=12, target=target, first_range=first_range, origin=origin,
+        )
+        assert sorted(r.pos for r in got.collect()) == wanted
+
+
+def test_a_sample_stops_before_later_files(spark):
+    path = session.scratch_path(spark, "sample-scan")
+    rows = spark.range(40_000).select(F.col("id").alias("pos"), (F.col("id") % 30).alias("store_id"), (F.col("id") % 70).alias("product_id"), F.lit(date(2024, 1, 1)).alias("dt"))
+    rows.repartitionByRange(40, "pos").sortWithinPartitions("pos").write.parquet(path)
+    df = spark.read.parquet(path)
+    some = enough_rows(df, "store_id", "product_id", ["pos"], 5, 12, 40, 0, 100)
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        read = some.select("*")
+        n = read.count()
+        leaves = read.groupBy().count()
+        leaves.collect()
+        scan = leaves._jdf.queryExecution().executedPlan().collectLeaves().head()
+        assert "LessThanOrEqual(pos" in scan.toString() and scan.metrics().apply("numOutputRows").value() <= 4000
+    assert 100 <= n <= 2000
+    got = sample_first_keys(
+        df, store_col="store_id", product_col="product_id", date_col="dt", position=["pos"], start=date(2024, 1, 1), end=date(2024, 1, 1),
+        n_stores=5, n_products=12, target=40, first_range=100,
+    )
+    assert sorted(r.pos for r in got.collect()) == [p for p in range(40_000) if p % 30 < 5 and p % 70 < 12][:40]
 
 
 def test_rule_failures_counts_nulls_as_failures(spark):

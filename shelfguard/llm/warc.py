@@ -7,12 +7,15 @@ of all pages share. The store is a Parquet table (address, owner, size, gzip mem
 Exact record headers are a second table: the owner's record is a ``response``, every
 other a ``revisit`` that refers to it (WARC 1.1, identical-payload-digest).
 
-Reading. Records are rebuilt by joining headers with payloads on the address. Every
-payload read is hashed again: its SHA-256 must be its address, and its SHA-1 and length
-what the headers say; otherwise the read fails.
+Reading. Records are rebuilt by joining headers with payloads on the address, and
+concatenated: header, payload (none for a revisit), two line ends. A payload travels to its own response only; a revisit
+gets the length and digest of what it refers to. Every payload read is hashed again: its SHA-256 must be its address,
+its SHA-1 what the header says, and the header's Content-Length the bytes that stand in the record;
+otherwise the read fails.
 
 Defined results: a null html is the empty payload; equal payloads of any length, the
-empty one included, are stored once; a null url gives an empty WARC-Target-URI. Rows that repeat
+empty one included, are stored once; a null url gives an empty WARC-Target-URI, and line ends in a url are
+left out of its header (they would end the field). Rows that repeat
 the owner's page_id and payload are that response again. Rows without page_id are
 responses only if no page with an id has their payload.
 """
@@ -126,11 +129,12 @@ def read_headers(spark: SparkSession, path: str) -> DataFrame:
         _field("WARC-Type").alias("record_type"),
         F.regexp_extract("header", r"\r\nWARC-Payload-Digest: sha1:([A-Z2-7]+)\r\n", 1).alias("payload_digest"),
         F.when(refers != "", refers.cast("long")).alias("refers_to"),
+        _field("Content-Length").cast("long").alias("content_length"),
     )
 
 
-def read_payloads(spark: SparkSession, path: str, bytes_too: bool = True) -> DataFrame:
-    """Stored payloads, unpacked and verified against their address."""
+def _unpacked(stored: DataFrame, bytes_too: bool) -> DataFrame:
+    """``stored`` (address, member, more) with the payload unpacked and verified against its address."""
     fields = [T.StructField("payload_bytes", T.LongType()), T.StructField("stored_digest", T.StringType())]
     if bytes_too:
         fields.append(T.StructField("payload", T.BinaryType()))
@@ -149,35 +153,37 @@ def read_payloads(spark: SparkSession, path: str, bytes_too: bool = True) -> Dat
         out = {"payload_bytes": [len(x) for x in raw], "stored_digest": [sha1_base32(x) for x in raw]}
         return pd.DataFrame(out | ({"payload": raw} if bytes_too else {}))
 
-    store = spark.read.parquet(f"{path}/payloads").select("address", "member")
-    return store.withColumn("_p", unpack("address", "member")).select("address", "_p.*")
-
+    more = [c for c in stored.columns if c != "member"]
+    return in_small_batches(stored).withColumn("_p", unpack("address", "member")).select(*more, "_p.*")
 
-def read_records(spark: SparkSession, path: str, bytes_too: bool = True) -> DataFrame:
-    """Every record with its payload (a revisit's is the one it refers to).
 
-    ``bytes_too=False`` verifies the payloads just the same, but only their length and
-    digest go through the join.
-    """
-    heads = read_headers(spark, path)
-    out = heads.join(read_payloads(spark, path, bytes_too), "address")
-    same = F.col("payload_digest") == F.col("stored_digest")
-    checked = F.when(same, F.col("payload_digest")).otherwise(F.raise_error(F.lit("a header's digest differs from its payload's")))
-    return out.withColumn("payload_digest", checked).drop("stored_digest")
+def _checked(good: Column, value: Column, message: str) -> Column:
+    return F.when(good, value).otherwise(F.raise_error(F.lit(message)))
 
 
-def record_bytes(records: DataFrame) -> DataFrame:
-    """``records`` with the original record: header, payload (none for a revisit), two line ends."""
-    body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    return records.withColumn("record", F.concat(F.encode("header", "UTF-8"), body, F.lit(b"\r\n\r\n")))
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Every record: page_id, its header's fields, ``payload_bytes`` (of the full payload) and ``record``, its exact bytes."""
+    heads = read_headers(spark, path)
+    store = spark.read.parquet(f"{path}/payloads").select("address", "member")
+    # Joined while packed, and with responses only: a payload travels once, however often it is revisited.
+    responses = _unpacked(heads.where("record_type = 'response'").join(store, "address"), bytes_too=True)
+    revisits = heads.where("record_type <> 'response'").join(_unpacked(store, bytes_too=False), "address")
+    out = responses.unionByName(revisits.withColumn("payload", F.lit(b"")))
+    digest = _checked(F.col("payload_digest") == F.col("stored_digest"), F.col("payload_digest"), "a header's digest differs from its payload's")
+    length = F.octet_length("payload") == F.col("content_length")
+    body = _checked(F.coalesce(length, F.lit(False)), F.col("payload"), "a header's Content-Length differs from its record's")
+    record = F.concat(F.encode("header", "UTF-8"), body, F.lit(b"\r\n\r\n"))
+    return out.withColumn("payload_digest", digest).withColumn("record", record).drop("stored_digest", "payload", "content_length")
 
 
 def op8_warc(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
     write_archive(pages.select("page_id", "url", "html"), path)
-    out = read_records(spark, path, bytes_too=False)
-    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_records(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+        F.sha2("record", 256).alias("record_sha256"),
+    )
 
 
 #: Base32 by groups of five hex digits (20 bits, four characters).
@@ -186,10 +192,16 @@ _BASE32 = " || ".join(
     for g in range(8) for shift in (15, 10, 5, 0)
 )
 SQL = f"""
-WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
-o AS (SELECT payload, min(page_id) AS owner FROM p GROUP BY payload)
-SELECT page_id, strlen(payload) AS payload_bytes, {_BASE32} AS payload_digest,
-       CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> owner THEN owner END AS refers_to
-FROM p JOIN o USING (payload)
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+o AS (SELECT payload, min(page_id) AS owner FROM p GROUP BY payload),
+r AS (
+  SELECT page_id, url, payload, {_BASE32} AS payload_digest, CASE WHEN page_id <> owner THEN owner END AS refers_to FROM p JOIN o USING (payload))
+SELECT page_id, strlen(payload) AS payload_bytes, payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to,
+       sha256(array_to_string([
+         'WARC/1.1', 'WARC-Type: ' || CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END, 'WARC-Record-ID: <urn:page:' || page_id || '>',
+         'WARC-Date: {DATE}', 'WARC-Target-URI: ' || replace(replace(coalesce(url, ''), chr(13), ''), chr(10), ''), 'WARC-Payload-Digest: sha1:' || payload_digest]
+         || CASE WHEN refers_to IS NULL THEN []::VARCHAR[] ELSE ['WARC-Refers-To: <urn:page:' || refers_to || '>', 'WARC-Profile: {PROFILE}'] END
+         || ['Content-Type: text/html; charset=utf-8', 'Content-Length: ' || CASE WHEN refers_to IS NULL THEN strlen(payload) ELSE 0 END,
+             '', CASE WHEN refers_to IS NULL THEN payload ELSE '' END, '', ''], chr(13) || chr(10))) AS record_sha256
+FROM r
 """

@@ -15,8 +15,8 @@ score and the first N are the N best. Two facts make it affordable:
   Viterbi runs once per different chunk, for thousands of chunks at a time in
   numpy, and gives each chunk's best path and the loss of its second best one.
 * The N best paths of the chain change at most N-1 chunks, and only those with
-  the smallest losses; A-star runs on these few chunk lattices, and the same
-  search, over the sorted losses, merges them into the N best of the text.
+  the smallest losses; A-star runs on these few chunk lattices, and a table of the N
+  least sums (``chain_n_best``) merges their losses, chunk by chunk, into the N best of the text.
 
 Equal scores: within a chunk, the best path takes the shorter last piece first
 (and so on backwards); whole texts with equal scores are ordered by the list of
@@ -47,7 +47,7 @@ MARK = "▁"
 #: Penalty below the lowest piece score for a character outside the vocabulary.
 UNKNOWN_LOSS = 10.0
 #: Chunks a worker remembers before it starts anew.
-CACHE = 300_000
+CACHE = 200_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -5,12 +5,12 @@ stripped at both ends and A-Z lower-cased; keys shorter than ``min_chars`` code
 points are never repeated lines. A key found in at least ``min_docs`` documents
 loses all its lines except those of the largest doc_id that holds it.
 
-Method. Lines become (128-bit key digest, doc_id, position) and are dealt out by
-range of (digest, doc_id), each partition sorted by (digest, doc_id, position).
-The lines of one document with one key are then neighbours, so the first line of
-each run stands for the document, and a very frequent key is a long stretch of
-documents cut over as many partitions as it needs. Per partition and digest only
-a count and the largest doc_id go on. Documents get back a compressed bitmap of
+Method. Lines are hashed once, into a table of (128-bit key digest, doc_id, position), and
+dealt out by range of (digest, doc_id), each partition sorted by (digest, doc_id, position).
+The lines of one document with one key are then neighbours; a stream over the sorted rows (a window in
+the order they are already in) marks the first of each run, which stands for the document. A very frequent
+key is a long stretch of documents cut over as many partitions as it needs. Per partition and digest only
+a count of firsts and the largest doc_id go on. Documents get back a compressed bitmap of
 their lines (32 to a word, words without a dropped line left out), never text.
 
 Defined results: a null or empty text has one empty line; a row without doc_id
@@ -21,7 +21,7 @@ texts count as one document. Other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfguard.llm.common import SPACES, ascii_lower, stage
@@ -51,24 +51,29 @@ def line_digests(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def first_occurrences(lines: DataFrame) -> DataFrame:
-    """One row per (key, document) with the positions; the range partitioning on
-    (k, doc_id) already holds each such pair in one partition, so the grouping
-    needs no second exchange."""
+    """``lines`` with ``first``: whether a line is its document's first with this key.
+
+    The range partitioning on (k, doc_id) holds each such pair in one partition, sorted, so the
+    window needs no exchange and no sort of its own.
+    """
     dealt = lines.repartitionByRange("k", "doc_id").sortWithinPartitions("k", "doc_id", "text_id", "pos")
-    return dealt.groupBy("k", "doc_id").agg(F.collect_list(F.struct("text_id", "pos")).alias("at"))
+    run = Window.partitionBy("k", "doc_id").orderBy("text_id", "pos")
+    return dealt.withColumn("first", F.row_number().over(run) == 1)
 
 
 def dropped_positions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """(doc_id, text_id, pos) of every line that goes."""
-    pairs = stage(first_occurrences(line_digests(docs, min_chars)), "line-pairs")
+    # Written first: the ranges are cut from a sample of this table, not of the texts once more.
+    digests = stage(line_digests(docs, min_chars), "line-digests")
+    lines = stage(first_occurrences(digests), "line-stream")
     repeated = (
-        pairs.groupBy("k").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper")).where(F.col("n_docs") >= min_docs)
+        lines.where("first").groupBy("k").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper")).where(F.col("n_docs") >= min_docs)
     )
     # The repeated keys are a small share of all; written out, both sides of the
     # join are plain scans, and a hot key's stretch can be split at run time.
     repeated = stage(repeated.select("k", "keeper"), "line-repeated")
-    gone = pairs.join(repeated, "k").where(F.col("doc_id") != F.col("keeper"))
-    return gone.select("doc_id", F.inline("at"))
+    gone = lines.join(repeated, "k").where(F.col("doc_id") != F.col("keeper"))
+    return gone.select("doc_id", "text_id", "pos")
 
 
 def keep_bitmaps(gone: DataFrame) -> DataFrame:

@@ -48,6 +48,14 @@ def test_line_plan_has_no_python(spark, small):
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_firsts_are_marked_in_one_exchange(docs_of, spark):
+    lines = line_dedup.stage(line_dedup.line_digests(docs_of([(i, f"{LONG}\n{LONG} {i}\n{LONG}") for i in range(30)])), "t")
+    marked = line_dedup.first_occurrences(lines)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1 and "Window" in plan, plan
+    assert marked.where("first").count() == 60 and marked.where("not first").count() == 30
+
+
 URLS = [
     (1, "http://Example.NET/en/x"), (2, "http://example.net/de/x"), (3, "https://a.b.example.com/de/?q"), (4, "http://x.org/fr/a#b"),
     (5, "http://net/"), (6, "http://net"), (7, None), (8, "no scheme"), (9, "http://"), (10, "http://notexample.com/de/"),

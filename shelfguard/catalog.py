@@ -30,7 +30,7 @@ from shelfguard.plans.compaction import compact
 from shelfguard.plans.contracts import contract_report
 from shelfguard.session import prepare, scratch_path
 from shelfguard.sources import fixture as fx
-from shelfguard.streaming.ingest import ingest_all, land, write_run
+from shelfguard.streaming.ingest import feeds, ingest_all, land, landed_rule_counts, quarantined, write_run
 
 VOLATILE = ("_source_file", "_loaded_at", "processed_at", "refreshed_at")
 LINEAGE = schemas.LINEAGE_COLUMNS
@@ -163,6 +163,14 @@ class FixtureTables:
     def main(self) -> Medallion:
         return Medallion("medallion", bronze.bronze_raw_daily(self.landed_raw), self.store_master, self.product_master)
 
+    @cached_property
+    def landed(self) -> Layout:
+        """All three feeds as CSV files, the observations as one delivery."""
+        layout = Layout(scratch_path(self.spark, "landed"))
+        _land_masters(self, layout)
+        _land_daily(self, layout, self.feed(), "delivery-001")
+        return layout
+
     @cached_property
     def replay_landed(self) -> DataFrame:
         return replay.replay_batches(
@@ -387,6 +395,29 @@ def q_slice_validation(spark, sf_dir):
     return validation.slice_validation(t.parsed_raw, t.store_master, t.product_master, C.FIXTURE)
 
 
+def q_landed_validation(spark, sf_dir):
+    """The slice checks over the landed CSV files, read in batch."""
+    t = _tables(spark, sf_dir)
+    return validation.landing_report(t.spark, t.landed, C.FIXTURE, schemas.RAW_DAILY_WITH_LINEAGE)
+
+
+def q_quarantine_counts(spark, sf_dir):
+    """Rows seen, kept and failing each rule, by feed: the seen and kept from the runs' counts, the others from the quarantine itself."""
+    t, out = _tables(spark, sf_dir), None
+    ingest_all(t.spark, t.landed, schemas.RAW_DAILY_WITH_LINEAGE)
+    for feed, name in zip(feeds(schemas.RAW_DAILY_WITH_LINEAGE), ("bronze_raw_daily", "bronze_store_master", "bronze_product_master"), strict=True):
+        counted = landed_rule_counts(t.spark, t.landed, feed.table)
+        aside = quarantined(t.spark, t.landed, feed.table)
+        if aside is not None:
+            failing = aside.select(F.explode("failed_rules").alias("rule_name")).groupBy("rule_name").agg(F.count("*").alias("_n"))
+            counted = counted.join(failing, "rule_name", "left")
+            own = F.startswith("rule_name", F.lit("_"))
+            counted = counted.select("rule_name", F.when(own, F.col("failed_rows")).otherwise(F.coalesce("_n", F.lit(0))).alias("failed_rows"))
+        part = counted.select(F.lit(name).alias("table_name"), "rule_name", "failed_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 CONTRACT_TABLES = (
     ("bronze_daily_observations", "bronze_daily"),
     ("bronze_store_master", "store_master"),
@@ -440,6 +471,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_ingest": q_incremental_ingest,
     "bronze_daily": q_bronze_daily,
     "slice_validation": q_slice_validation,
+    "landed_validation": q_landed_validation,
+    "quarantine_counts": q_quarantine_counts,
     "fact_sales": _table("fact_sales"),
     "stockout_mart": q_stockout_mart,
     "clustered_scan": q_clustered_scan,

@@ -6,7 +6,11 @@ see :mod:`shelfguard.plans.contracts`.
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Mapping
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql.types import StructType
 
@@ -27,6 +31,24 @@ class Contract:
         return tuple(f.name for f in self.schema.fields if not f.nullable)
 
 
+def contract_of(spec: Mapping) -> Contract:
+    """A contract from the form of a contract file: name, primary_key, columns (name, type, required), quality_checks."""
+    columns = ", ".join(f"`{c['name']}` {c['type']}{' not null' if c.get('required') else ''}" for c in spec["columns"])
+    return Contract(spec["name"], tuple(spec["primary_key"]), columns, tuple(str(x) for x in spec.get("quality_checks") or ()))
+
+
+def load_contract(path: str | Path) -> Contract:
+    """The contract in a YAML or JSON file. Free-text notes at its end aren't read."""
+    text = Path(path).read_text(encoding="utf-8")
+    if str(path).endswith(".json"):
+        return contract_of(json.loads(text))
+    try:
+        import yaml
+    except ImportError as gone:
+        raise RuntimeError("contract files in YAML need the yaml package; JSON ones don't") from gone
+    return contract_of(yaml.safe_load(re.split(r"(?m)^notes:", text)[0]))
+
+
 # ---------------------------------------------------------------------------
 # FIXED VALUES — the published contracts.
 # ---------------------------------------------------------------------------

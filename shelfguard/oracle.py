@@ -405,7 +405,7 @@ UNION ALL SELECT stage, 'gold_max_date', CAST(max(date_key) AS VARCHAR) FROM sta
 
 
 # -- validation ----------------------------------------------------------------
-def _slice_validation_sql() -> str:
+def _slice_validation_sql(store_table: str = "store_master", product_table: str = "products") -> str:
     stores, products, days = EXPECTED_STORES, EXPECTED_PRODUCTS, EXPECTED_DAYS
     rows = [
         ("raw_row_count", stores * products * days, "count(*)", "feed"),
@@ -418,16 +418,16 @@ def _slice_validation_sql() -> str:
         ("raw_store_cardinality", stores, "count(DISTINCT store_id)", "feed"),
         ("raw_product_cardinality", products, "count(DISTINCT product_id)", "feed"),
         ("raw_date_cardinality", days, "count(DISTINCT dt)", "feed"),
-        ("store_row_count", stores, "count(*)", "store_master"),
+        ("store_row_count", stores, "count(*)", store_table),
         ("store_missing_columns", 0, "0", "(SELECT 1)"),
-        ("product_row_count", products, "count(*)", "products"),
+        ("product_row_count", products, "count(*)", product_table),
         ("product_missing_columns", 0, "0", "(SELECT 1)"),
-        ("product_nonpositive_price", 0, "count_if(NOT COALESCE(base_unit_price > 0, FALSE))", "products"),
+        ("product_nonpositive_price", 0, "count_if(NOT COALESCE(base_unit_price > 0, FALSE))", product_table),
     ]
     for name, src, keys in (
         ("raw_duplicate_grain", "feed", "store_id, product_id, dt"),
-        ("store_duplicate_key", "store_master", "northmart_store_id"),
-        ("product_duplicate_key", "products", "northmart_product_id"),
+        ("store_duplicate_key", store_table, "northmart_store_id"),
+        ("product_duplicate_key", product_table, "northmart_product_id"),
     ):
         rows.append((name, 0, "COALESCE(sum(n - 1), 0)", f"(SELECT count(*) AS n FROM {src} GROUP BY {keys})"))
     selects = [
@@ -638,6 +638,8 @@ def oracle_sql() -> dict[str, str]:
         "FROM (SELECT count(*) AS n FROM fact_sales GROUP BY store_key, product_key, date_key)",
     )
     q["slice_validation"] = _slice_validation_sql()
+    q["landed_validation"] = _slice_validation_sql("stores_landed", "product_master")
+    q["quarantine_counts"] = f"SELECT * FROM ({q['dq_rule_counts']}) WHERE starts_with(table_name, 'bronze')"
     q["contract_report"] = _contract_sql()
     q["assign_store_keys"] = _masters_sql("store_id", STORE_KEY, "northmart_store_id", "source_store_id")
     q["assign_product_keys"] = _masters_sql("product_id", PRODUCT_KEY, "northmart_product_id", "source_product_id")

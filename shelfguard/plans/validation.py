@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfguard import schemas
 from shelfguard.config import Expected
@@ -125,13 +126,17 @@ def raise_on_failure(report: DataFrame) -> None:
         raise ValidationError(f"{row['check_name']}: expected {row['expected']}, got {row['actual']}{detail}")
 
 
-def validate_landing(spark: SparkSession, layout: Layout, cfg: Expected) -> DataFrame:
-    """Validate the landed CSV files of the three feeds: FileNotFoundError when one is
-    missing, ValidationError on the first failed check, else the report."""
+def landing_report(spark: SparkSession, layout: Layout, cfg: Expected, raw_schema: StructType = schemas.RAW_DAILY) -> DataFrame:
+    """The checks over the landed CSV files of the three feeds: FileNotFoundError when one is missing."""
     read = lambda name, schema: landing.require_path(spark, landing.dataset_path(layout.landing, name), schema)
-    raw = bronze.parse_raw_daily(read(landing.RAW_DAILY, schemas.RAW_DAILY))
+    raw = bronze.parse_raw_daily(read(landing.RAW_DAILY, raw_schema))
     stores = bronze.parse_store_master(read(landing.STORE_MASTER, schemas.STORE_MASTER))
     products = bronze.parse_product_master(read(landing.PRODUCT_MASTER, schemas.PRODUCT_MASTER))
-    report = slice_validation(raw, stores, products, cfg)
+    return slice_validation(raw, stores, products, cfg)
+
+
+def validate_landing(spark: SparkSession, layout: Layout, cfg: Expected) -> DataFrame:
+    """``landing_report``, or ValidationError on its first failed check."""
+    report = landing_report(spark, layout, cfg)
     raise_on_failure(report)
     return report

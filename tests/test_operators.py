@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 from datetime import date, timedelta
 from pathlib import Path
@@ -288,3 +289,39 @@ def test_a_compaction_that_dies_is_completed_or_dropped(spark, monkeypatch):
             compaction.compact(spark, layout, table)
     compaction.finish(spark, layout, table)
     assert runs(spark, path) == [1, 2, 3] and layout.read(spark, table).count() == 240
+
+
+def test_contract_files_are_what_is_checked(spark, tmp_path):
+    text = """name: daily_units
+primary_key:
+  - store_key
+  - date_key
+columns:
+  - name: store_key
+    type: string
+    required: true
+  - name: date_key
+    type: date
+    required: true
+  - name: units
+    type: decimal(12,2)
+quality_checks:
+  - units >= 0
+notes:
+  - `units` start with a mark that no YAML value may start with.
+"""
+    df = spark.createDataFrame([("a", date(2024, 1, 1), 1.0), ("a", date(2024, 1, 1), -1.0), (None, date(2024, 1, 2), None)], "store_key string, date_key date, units double")
+    path = tmp_path / "daily_units.yml"
+    pytest.importorskip("yaml")
+    path.write_text(text)
+    found = {r.check_name: (r.table_name, r.failures) for r in contract_report(df, K.load_contract(path)).collect()}
+    assert found == {
+        "column:store_key:string": ("daily_units", 0), "column:date_key:date": ("daily_units", 0), "column:units:decimal(12,2)": ("daily_units", 0),
+        "required:store_key": ("daily_units", 1), "required:date_key": ("daily_units", 0), "check_1:units >= 0": ("daily_units", 2), "primary_key:store_key,date_key": ("daily_units", 1),
+    }
+    path.write_text(text.replace("units >= 0", "units >= -1").replace("type: date", "type: timestamp"))
+    changed = {r.check_name: r.failures for r in contract_report(df, K.load_contract(path)).collect()}
+    assert changed["check_1:units >= -1"] == 1 and changed["column:date_key:timestamp"] == 1
+    spec = {"name": "daily_units", "primary_key": ["store_key"], "columns": [{"name": "store_key", "type": "string", "required": True}]}
+    (tmp_path / "c.json").write_text(json.dumps(spec))
+    assert K.load_contract(tmp_path / "c.json") == K.Contract("daily_units", ("store_key",), "`store_key` string not null", ())

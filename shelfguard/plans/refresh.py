@@ -23,9 +23,11 @@ written without an exchange of their own.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -103,33 +105,53 @@ def _of_dates(df: DataFrame, column: str, touched: Touched | None) -> DataFrame:
     return df if touched is None else touched.rows_of(df, column)
 
 
-def refresh_silver(spark: SparkSession, layout: Layout, tiebreak: Sequence[str] = (), touched: Touched | None = None) -> None:
+def _together(*jobs: Callable[[], None]) -> None:
+    """Run writes that don't read each other at once, so that one's last tasks leave no cores idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(job) for job in jobs]:
+            done.result()
+
+
+def refresh_silver(spark: SparkSession, layout: Layout, tiebreak: Sequence[str] = (), touched: Touched | None = None, masters: bool = True) -> None:
+    """Silver anew, or of the touched dates; without ``masters`` (none has changed) the two dimensions stay."""
     stores, products = (layout.read(spark, t) for t in MASTER_TABLES)
-    observed = _of_dates(layout.read(spark, RAW_TABLE), "dt", touched)
-    present = [c for c in tiebreak if c in observed.columns]
-    # Hourly arrays stay in bronze: no silver or gold table reads them.
-    latest = silver.latest_observations(observed.drop(*silver.ARRAYS), present)
-    write_by_date(latest, layout.path(LATEST_STAGE), "dt", ("store_id", "product_id"), touched)
-    latest = _of_dates(spark.read.parquet(layout.path(LATEST_STAGE)), "dt", touched)
-
-    write_small(silver.dim_store(stores), layout.path("dim_store"), CLUSTER_BY["dim_store"])
-    write_small(silver.dim_product(products), layout.path("dim_product"), CLUSTER_BY["dim_product"])
-    dates = silver.dim_date(latest)
-    if touched is not None:  # the other dates' rows stay as they are
-        others = layout.read(spark, "dim_date").join(F.broadcast(touched.dates.toDF("date_key")), "date_key", "left_anti")
-        dates = staged(others.unionByName(dates), "dim-date")
-    write_small(dates, layout.path("dim_date"), CLUSTER_BY["dim_date"])
-    # Keyed once, by date: the three facts of the grain are maps over this table.
-    keyed = silver.keyed_observations(latest, stores, products)
-    write_by_date(keyed, layout.path(KEYED_STAGE), "dt", ("store_key", "product_key"), touched)
-    keyed = _of_dates(spark.read.parquet(layout.path(KEYED_STAGE)), "dt", touched)
-    for name, build, aligned in (
+
+    def write_latest() -> None:
+        observed_rows = _of_dates(layout.read(spark, RAW_TABLE), "dt", touched)
+        present = [c for c in tiebreak if c in observed_rows.columns]
+        # Hourly arrays stay in bronze: no silver or gold table reads them.
+        latest = silver.latest_observations(observed_rows.drop(*silver.ARRAYS), present)
+        write_by_date(latest, layout.path(LATEST_STAGE), "dt", ("store_id", "product_id"), touched)
+
+    dims = [
+        lambda: write_small(silver.dim_store(stores), layout.path("dim_store"), CLUSTER_BY["dim_store"]),
+        lambda: write_small(silver.dim_product(products), layout.path("dim_product"), CLUSTER_BY["dim_product"]),
+    ]
+    _together(write_latest, *(dims if masters else ()))
+    latest = _of_dates(layout.read(spark, LATEST_STAGE), "dt", touched)
+
+    def write_dates() -> None:
+        dates = silver.dim_date(latest)
+        if touched is not None:  # the other dates' rows stay as they are
+            others = layout.read(spark, "dim_date").join(F.broadcast(touched.dates.toDF("date_key")), "date_key", "left_anti")
+            dates = staged(others.unionByName(dates), "dim-date")
+        write_small(dates, layout.path("dim_date"), CLUSTER_BY["dim_date"])
+
+    def write_keyed() -> None:
+        # Keyed once, by date: the three facts of the grain are maps over this table.
+        keyed = silver.keyed_observations(latest, stores, products)
+        write_by_date(keyed, layout.path(KEYED_STAGE), "dt", ("store_key", "product_key"), touched)
+
+    _together(write_keyed, write_dates)
+    keyed = _of_dates(layout.read(spark, KEYED_STAGE), "dt", touched)
+    facts = (
         ("fact_sales", silver.fact_sales, True),
         ("fact_inventory_status", silver.fact_inventory_status, True),
         ("fact_promotion", silver.fact_promotion, True),
         ("fact_external_signal", silver.fact_external_signal, False),
-    ):
-        write_by_date(build(keyed), layout.path(name), "date_key", CLUSTER_BY[name][1:], touched, aligned)
+    )
+    write = lambda name, build, aligned: write_by_date(build(keyed), layout.path(name), "date_key", CLUSTER_BY[name][1:], touched, aligned)
+    _together(*[partial(write, *fact) for fact in facts])
 
 
 def refresh_gold(spark: SparkSession, layout: Layout, touched: Touched | None = None) -> None:
@@ -191,21 +213,27 @@ def _newest_loads(spark: SparkSession, layout: Layout, state: dict[str, Reflecte
     found = {}
     for t in BRONZE_TABLES:
         old = state.get(t, Reflected())
+        if old.run is not None and newest_run(spark, layout, t) == old.run:
+            found[t] = old  # no run since
+            continue
         # Runs are listed first: rows of a later one are left to the next refresh's watermark.
         found[t] = Reflected(newest_load(spark, layout, t, old.watermark, old.run), newest_run(spark, layout, t))
     return found
 
 
-def _save_state(spark: SparkSession, layout: Layout, state: dict[str, Reflected]) -> None:
-    deltas.save_reflected(spark, layout)
+def _save_state(spark: SparkSession, layout: Layout, state: dict[str, Reflected], masters: bool = True) -> None:
+    if masters:
+        deltas.save_reflected(spark, layout)
     rows = spark.createDataFrame([(t, r.watermark, r.run) for t, r in sorted(state.items())], "table string, watermark string, run long")
     rows.coalesce(1).write.mode("overwrite").parquet(layout.path(STATE_TABLE))
 
 
-def _recompute(spark: SparkSession, layout: Layout, tiebreak: Sequence[str], reflected: dict, touched: Touched | None = None) -> None:
-    refresh_silver(spark, layout, tiebreak, touched)
+def _recompute(
+    spark: SparkSession, layout: Layout, tiebreak: Sequence[str], reflected: dict, touched: Touched | None = None, masters: bool = True
+) -> None:
+    refresh_silver(spark, layout, tiebreak, touched, masters)
     refresh_gold(spark, layout, touched)
-    _save_state(spark, layout, reflected)
+    _save_state(spark, layout, reflected, masters)
 
 
 def refresh_all(
@@ -261,5 +289,5 @@ def refresh_incremental(
         dates = dates.unionByName(deltas.dates_of_changed_masters(spark, layout, LATEST_STAGE, KEYED_STAGE))
     touched = Touched.of(dates)
     if touched.count or masters:
-        _recompute(spark, layout, tiebreak, reflected, touched)
+        _recompute(spark, layout, tiebreak, reflected, touched, masters)
     return {"mode": "incremental" if touched.count or masters else "none", "dates": touched.count, "ingest": results}

@@ -275,7 +275,7 @@ def test_widgets_fold_the_partials_and_read_no_mart_file(spark):
     m = _main(spark, sf)
     m.partials.count()
     for name in ("kpi_lost_sales", "kpi_stockout_rate", "kpi_critical_rows", "lost_sales_by_region", "lost_sales_by_category", "lost_sales_trend", "priority_mix", "filter_options"):
-        paths = re.findall(r"Location: InMemoryFileIndex\([^)]*\)\[([^\]]*)", QUERIES[name](spark, sf)._jdf.queryExecution().explainString(_formatted(spark)))
+        paths = re.findall(r"Location: InMemoryFileIndex[^\[]*\[([^\]]*)", QUERIES[name](spark, sf)._jdf.queryExecution().explainString(_formatted(spark)))
         assert paths and all("gold_daily_partials" in p for p in paths), (name, paths)
     every = {r.filter_name: [] for r in QUERIES["filter_options"](spark, sf).collect()}
     for r in sorted(QUERIES["filter_options"](spark, sf).collect()):

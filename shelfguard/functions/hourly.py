@@ -1,8 +1,8 @@
 """Hourly detail arrays carried by the daily feed.
 
 The split of a daily amount over the fixed hourly weights and the hourly
-stock-out mask are both higher-order array expressions (``transform``), so
-they run inside codegen without a Python UDF.
+stock-out mask are written out as arrays of 24 plain expressions: unlike a lambda of
+``transform``, which Spark interprets value by value, these are generated code.
 """
 
 from __future__ import annotations
@@ -19,18 +19,15 @@ HOURS_STOCK_TYPE = ArrayType(LongType())
 
 def hourly_profile(daily_amount: Column) -> Column:
     """24 values: round(amount * weight / total weight, 4)."""
-    weights = F.array(*[F.lit(w) for w in C.HOURLY_WEIGHTS])
     total = F.lit(C.HOURLY_WEIGHT_TOTAL)
-    return F.transform(weights, lambda w: F.round(daily_amount * w / total, 4))
+    return F.array(*[F.round(daily_amount * F.lit(w) / total, 4) for w in C.HOURLY_WEIGHTS])
 
 
 def hourly_stock_status(stockout_hours: Column) -> Column:
     """24 flags: 1 for hours 22-n .. 21, else 0."""
     last = F.lit(C.STOCKOUT_LAST_HOUR)
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(23)),
-        lambda h: F.when((h >= last + 1 - stockout_hours) & (h <= last), F.lit(1)).otherwise(F.lit(0)).cast("long"),
-    )
+    flag = lambda h: F.when((h >= last + 1 - stockout_hours) & (h <= last), F.lit(1)).otherwise(F.lit(0)).cast("long")
+    return F.array(*[flag(F.lit(h)) for h in range(24)])
 
 
 def parse_hours_sale(text: Column) -> Column:

@@ -454,9 +454,11 @@ def q_assign_product_keys(spark, sf_dir):
 def q_sample_first_keys(spark, sf_dir):
     t = _tables(spark, sf_dir)
     lo, hi = SAMPLE_WINDOW
+    # Without the hourly arrays: they aren't returned, and would be built for every row before one is picked.
+    rows = compared(bronze.parse_raw_daily(t.feed(restated=False)))
     return compared(
         sample_first_keys(
-            bronze.parse_raw_daily(t.feed(restated=False)), store_col="store_id", product_col="product_id", date_col="dt",
+            rows, store_col="store_id", product_col="product_id", date_col="dt",
             position=LINEAGE, start=lo, end=hi, n_stores=SAMPLE_STORES, n_products=SAMPLE_PRODUCTS, target=SAMPLE_TARGET,
         )
     ).drop("source_dataset", "source_split", "batch_id", "batch_seq", "ingested_at")

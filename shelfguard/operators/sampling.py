@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfguard.operators.sequence import numbered
+from shelfguard.session import staged
 
 
 def first_keys(rows: DataFrame, key: str, position: Sequence[str], n: int) -> DataFrame:
@@ -44,30 +45,43 @@ def _up_to(rows: DataFrame, leading: str, bound: int) -> DataFrame:
     return rows.where(F.col(leading).isNull() | (F.col(leading) <= F.lit(bound)))
 
 
-def enough_rows(
+def _settled(
     rows: DataFrame, store_col: str, product_col: str, position: Sequence[str], n_stores: int, n_products: int, target: int, origin: int, first_range: int
-) -> DataFrame:
-    """The rows up to the first bound by which both key sets and the target are full, or all.
+) -> tuple[DataFrame, tuple[DataFrame, DataFrame] | None]:
+    """The rows up to the first bound by which both key sets and the target are full, or all; and the key sets, if full.
 
-    Each round is an aggregation over the rows so far; a few numbers reach the driver.
+    Rows beyond a bound come later than all up to it, so the sets are settled by the first bound that fills
+    them: they are written once, and the rounds after that only count rows against them (no shuffle).
+    A few numbers of each round reach the driver.
     """
-    leading, width = position[0], first_range
+    leading, width, keys = position[0], first_range, None
     while True:
         some = _up_to(rows, leading, origin + width)
-        stores, products = some.agg(F.count_distinct(store_col), F.count_distinct(product_col)).first()
-        if stores >= n_stores and products >= n_products:
-            if _both_kept(some, store_col, product_col, position, n_stores, n_products).limit(target).count() >= target:
-                return some
+        if keys is None:
+            stores, products = some.agg(F.count_distinct(store_col), F.count_distinct(product_col)).first()
+            if stores >= n_stores and products >= n_products:
+                keys = tuple(staged(k, "first-keys") for k in _key_sets(some, store_col, product_col, position, n_stores, n_products))
+        if keys is not None and _both_kept(some, store_col, product_col, keys).limit(target).count() >= target:
+            return some, keys
         if rows.where(F.col(leading) > F.lit(origin + width)).limit(1).isEmpty():
-            return rows
+            return rows, keys
         width *= GROWTH
 
 
-def _both_kept(rows: DataFrame, store_col: str, product_col: str, position: Sequence[str], n_stores: int, n_products: int) -> DataFrame:
+def enough_rows(
+    rows: DataFrame, store_col: str, product_col: str, position: Sequence[str], n_stores: int, n_products: int, target: int, origin: int, first_range: int
+) -> DataFrame:
+    """The rows up to the first bound by which both key sets and the target are full, or all."""
+    return _settled(rows, store_col, product_col, position, n_stores, n_products, target, origin, first_range)[0]
+
+
+def _key_sets(rows: DataFrame, store_col: str, product_col: str, position: Sequence[str], n_stores: int, n_products: int) -> tuple[DataFrame, DataFrame]:
+    return first_keys(rows, store_col, position, n_stores), first_keys(rows, product_col, position, n_products)
+
+
+def _both_kept(rows: DataFrame, store_col: str, product_col: str, keys: tuple[DataFrame, DataFrame]) -> DataFrame:
     # Both key sets hold at most n rows (config bounds), so broadcasting is safe.
-    stores = F.broadcast(first_keys(rows, store_col, position, n_stores))
-    products = F.broadcast(first_keys(rows, product_col, position, n_products))
-    return rows.join(stores, store_col, "left_semi").join(products, product_col, "left_semi")
+    return rows.join(F.broadcast(keys[0]), store_col, "left_semi").join(F.broadcast(keys[1]), product_col, "left_semi")
 
 
 def sample_first_keys(
@@ -87,7 +101,9 @@ def sample_first_keys(
 ) -> DataFrame:
     """``position`` starts with a whole number that grows with arrival, from about ``origin`` on."""
     in_window = rows.where(F.col(date_col).between(F.lit(start), F.lit(end)))
-    in_window = enough_rows(in_window, store_col, product_col, position, n_stores, n_products, target, origin, first_range)
-    kept = _both_kept(in_window, store_col, product_col, position, n_stores, n_products)
+    in_window, keys = _settled(in_window, store_col, product_col, position, n_stores, n_products, target, origin, first_range)
+    if keys is None:  # fewer keys than asked for: all of them, in all rows
+        keys = _key_sets(in_window, store_col, product_col, position, n_stores, n_products)
+    kept = _both_kept(in_window, store_col, product_col, keys)
     # Numbered over ranges: no task gathers the ``target`` rows.
     return numbered(kept, [*position, store_col, product_col], "_nth").where(F.col("_nth") <= target).drop("_nth")

@@ -1,0 +1,89 @@
+"""Plans and files that keep shuffles, spills and written bytes in proportion to the input."""
+
+from __future__ import annotations
+
+from datetime import date
+from pathlib import Path
+
+from helpers import raw_rows, session_conf
+from pyspark.sql import functions as F
+
+from shelfguard import schemas
+from shelfguard.catalog import Medallion
+from shelfguard.functions import hourly
+from shelfguard.layout import Layout
+from shelfguard.operators import sampling
+from shelfguard.plans import bronze
+from shelfguard.session import SPLIT_BYTES, prepare, scratch_path, split_bytes
+from shelfguard.sources import fixture, landing
+from shelfguard.streaming.ingest import land
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hourly_arrays_are_plain_expressions(spark):
+    df = spark.createDataFrame([(2.4, 3), (None, None), (0.0, 17)], "amount double, hours long")
+    built = df.select(hourly.hourly_profile(F.col("amount")).alias("p"), hourly.hourly_stock_status(F.col("hours")).alias("s"))
+    assert "lambda" not in _plan(built)
+    weights = F.array(*[F.lit(w) for w in hourly.C.HOURLY_WEIGHTS])
+    plain = df.select(F.transform(weights, lambda w: F.round(F.col("amount") * w / F.lit(hourly.C.HOURLY_WEIGHT_TOTAL), 4)).alias("p"))
+    assert [r.p for r in built.collect()] == [r.p for r in plain.collect()]
+    last = hourly.C.STOCKOUT_LAST_HOUR
+    assert [r.s for r in built.collect()] == [[int(n is not None and last + 1 - n <= h <= last) for h in range(24)] for n in (3, None, 17)]
+
+
+def test_landed_files_are_compressed_and_read_back(spark):
+    layout = Layout(scratch_path(spark, "gzipped"))
+    rows = raw_rows(spark, [{"line_number": i} for i in range(20)]).drop("_source_file", "_loaded_at")
+    path = land(rows, layout, "daily_observations", "one", schemas.RAW_DAILY_WITH_LINEAGE)
+    files = [f.name for f in Path(path.removeprefix("file:")).iterdir() if f.name.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    back = landing.read_csv_batch(spark, path, schemas.RAW_DAILY_WITH_LINEAGE)
+    assert sorted(r.line_number for r in back.collect()) == list(range(20))
+
+
+def test_a_delivery_is_dealt_out_before_its_text_is_built(spark, tmp_path):
+    source = f"file:{tmp_path}/sf"
+    spark.range(200).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 7).alias("l_partkey"), (F.col("id") % 5).alias("l_suppkey"), (F.col("id") % 4 + 1).cast("int").alias("l_linenumber"),
+        F.lit(3.0).alias("l_quantity"), F.lit(0.05).alias("l_discount"), F.lit("N").alias("l_returnflag"), F.lit(date(1996, 3, 7)).alias("l_shipdate"),
+    ).coalesce(1).write.parquet(f"{source}/lineitem.parquet")
+    dealt, plain = (fixture.raw_daily_feed(spark, source, dealt=d) for d in (True, False))
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        plan = _plan(dealt.select("*"))
+        assert "to_json" not in plan[plan.index("Exchange RoundRobin"):], plan
+        assert dealt.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_splits_can_be_sorted_in_memory(spark):
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "128m"}):
+        assert split_bytes(prepare(spark)) == SPLIT_BYTES
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "1m"}):
+        assert split_bytes(prepare(spark)) == 2**20  # smaller ones stay
+
+
+def test_key_sets_of_a_sample_are_settled_once(spark, monkeypatch):
+    calls = []
+    plain = sampling.first_keys
+    monkeypatch.setattr(sampling, "first_keys", lambda rows, key, *rest: calls.append(key) or plain(rows, key, *rest))
+    df = spark.range(5000).select(F.col("id").alias("pos"), (F.col("id") % 30).alias("store_id"), (F.col("id") % 70).alias("product_id"), F.lit(date(2024, 1, 1)).alias("dt"))
+    day = date(2024, 1, 1)
+    got = sampling.sample_first_keys(
+        df, store_col="store_id", product_col="product_id", date_col="dt", position=["pos"], start=day, end=day,
+        n_stores=5, n_products=12, target=10_000, first_range=50,
+    )
+    assert sorted(r.pos for r in got.collect()) == [p for p in range(5000) if p % 30 < 5 and p % 70 < 12]
+    assert sorted(calls) == ["product_id", "store_id"]  # though four rounds follow the one that fills both
+
+
+def test_latest_inputs_take_one_exchange_and_few_columns(spark):
+    prepare(spark)
+    raw = bronze.bronze_raw_daily(raw_rows(spark, [{"line_number": i, "batch_seq": 1 + i % 2, "sale_amount": float(i)} for i in range(6)]))
+    m = Medallion("narrow", raw, None, None)
+    assert {"city_id", "source_split", "ingested_at", "line_number"} & set(m.latest_inputs.columns) == set()
+    wide = {(r.store_id, r.product_id, r.dt): r.sale_amount for r in m.latest.collect()}
+    assert {(r.store_id, r.product_id, r.dt): r.sale_amount for r in m.latest_inputs.collect()} == wide
+    assert "dt=" not in " ".join(m.latest_inputs.inputFiles())  # not dealt to dates a second time

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,17 +64,26 @@ def cut_points(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS) -
     return {c: sorted(set(row[c] or [])) for c in columns}
 
 
+def range_number(number: Column, points: Sequence[float], bits: int) -> Column:
+    """How many of the sorted ``points`` lie below ``number``, found by ``bits`` halvings; none below a null."""
+    # Nothing exceeds the NaNs that fill the places up.
+    places = F.array(*[F.lit(float(p)) for p in points], *[F.lit(float("nan"))] * (2**bits - 1 - len(points)))
+    steps = F.array(*[F.lit(2**i) for i in reversed(range(bits))])
+    halved = lambda x: F.aggregate(steps, F.lit(0), lambda r, step: r + F.when(x > F.element_at(places, r + step), step).otherwise(F.lit(0)))
+    return F.element_at(F.transform(F.array(number), halved), 1)  # the transform names the number, else each halving made it anew
+
+
 def zorder_key(df: DataFrame, cuts: dict[str, list[float]], bits: int = ZORDER_BITS) -> Column:
     """The bits of the columns' range numbers interleaved, highest first: near keys are near in every column.
 
-    Comparisons and shifts only, so it stays inside generated code. Nulls belong to the first range.
+    A range number is searched for and its bits, spread out, are looked up among constants: comparing with every
+    cut point makes a generated method too long for the JVM to compile. Nulls belong to the first range.
     """
     key = F.lit(0).cast("long")
     for j, (c, points) in enumerate(cuts.items()):
-        number = order_number(df, c)
-        ranges = reduce(lambda a, b: a + b, [F.coalesce((number > p).cast("int"), F.lit(0)) for p in points], F.lit(0)).cast("long")
-        for i in range(bits):
-            key = key.bitwiseOR(F.shiftleft(F.shiftright(ranges, i).bitwiseAND(F.lit(1).cast("long")), i * len(cuts) + j))
+        spread = [sum((n >> i & 1) << (i * len(cuts) + j) for i in range(bits)) for n in range(2**bits)]
+        known = F.array(*[F.lit(x).cast("long") for x in spread])
+        key = key.bitwiseOR(F.element_at(known, range_number(order_number(df, c), points, bits) + 1))
     return key
 
 

@@ -12,6 +12,7 @@ from shelfguard import schemas
 from shelfguard.catalog import Medallion
 from shelfguard.functions import hourly
 from shelfguard.layout import Layout
+from shelfguard.operators import layout as layout_ops
 from shelfguard.operators import sampling
 from shelfguard.plans import bronze
 from shelfguard.session import SPLIT_BYTES, prepare, scratch_path, split_bytes
@@ -87,3 +88,42 @@ def test_latest_inputs_take_one_exchange_and_few_columns(spark):
     wide = {(r.store_id, r.product_id, r.dt): r.sale_amount for r in m.latest.collect()}
     assert {(r.store_id, r.product_id, r.dt): r.sale_amount for r in m.latest_inputs.collect()} == wide
     assert "dt=" not in " ".join(m.latest_inputs.inputFiles())  # not dealt to dates a second time
+
+
+def _lineitem(spark, source: str) -> None:
+    spark.range(200).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 7).alias("l_partkey"), (F.col("id") % 9).alias("l_suppkey"), (F.col("id") % 7 + 1).cast("int").alias("l_linenumber"),
+        F.lit(3.0).alias("l_quantity"), F.lit(0.05).alias("l_discount"), F.lit("N").alias("l_returnflag"), F.date_add(F.lit(date(1995, 1, 7)), F.col("id").cast("int") * 10).alias("l_shipdate"),
+    ).write.parquet(f"{source}/lineitem.parquet")
+
+
+def test_parsing_leaves_the_making_of_the_text_to_generated_code(spark, tmp_path):
+    _lineitem(spark, source := f"file:{tmp_path}/sf")
+    parsed = bronze.parse_raw_daily(fixture.raw_daily_feed(spark, source, restated=False))
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        steps = [line for line in _plan(parsed.select("*")).splitlines() if "from_json" in line]
+    assert steps and not any("StructsToJson" in line for line in steps)
+    broken = spark.createDataFrame([(None,), ("[1,2]",), ("[1,",), ("x",), ("",)], "t string")
+    got = broken.select(hourly.parse_hours_stock(F.col("t")).alias("a"), F.from_json("t", hourly.HOURS_STOCK_TYPE).alias("b")).collect()
+    assert all(r.a == r.b for r in got) and got[1].a == [1, 2] and got[0].a is None
+
+
+def test_stock_masks_of_any_hours(spark):
+    hours = [None, -3, 0, 1, 17, 21, 22, 23, 40, 2**40]
+    rows = spark.createDataFrame([(n,) for n in hours], "n long").select(hourly.hourly_stock_status(F.col("n")).alias("s")).collect()
+    assert [r.s for r in rows] == [[int(n is not None and 22 - n <= h <= 21) for h in range(24)] for n in hours]
+
+
+def test_a_rare_profile_is_the_same(spark):
+    df = spark.createDataFrame([(2.4,), (None,), (0.0,), (13.7,)], "x double")
+    assert all(r.a == r.b for r in df.select(hourly.hourly_profile(F.col("x")).alias("a"), hourly.hourly_profile(F.col("x"), rare=True).alias("b")).collect())
+
+
+def test_zorder_ranges_are_searched(spark):
+    points = [float(i * i) for i in range(40)]  # fewer than the 63 places
+    values = [None, float("nan"), float("-inf"), float("inf"), -1.0, 0.0, 0.5, 1.0, 900.0, 900.5, 1521.0, 1522.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    keyed = df.select("x", layout_ops.zorder_key(df, {"x": points}).alias("z"))
+    below = lambda v: 0 if v is None else 40 if v != v else sum(p < v for p in points)
+    assert [r.z for r in keyed.collect()] == [below(v) for v in values]
+    assert len(_plan(keyed)) < 5000  # not a comparison with every point for every bit

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 from pathlib import Path
 
 from helpers import raw_rows, session_conf
 from pyspark.sql import functions as F
 
+from shelfguard import config as C
 from shelfguard import schemas
 from shelfguard.catalog import Medallion
 from shelfguard.functions import hourly
 from shelfguard.layout import Layout
 from shelfguard.operators import layout as layout_ops
 from shelfguard.operators import sampling
-from shelfguard.plans import bronze
+from shelfguard.plans import bronze, replay
 from shelfguard.session import SPLIT_BYTES, prepare, scratch_path, split_bytes
 from shelfguard.sources import fixture, landing
 from shelfguard.streaming.ingest import land
@@ -97,6 +99,21 @@ def _lineitem(spark, source: str) -> None:
     ).write.parquet(f"{source}/lineitem.parquet")
 
 
+def _longest_method(df) -> int:
+    """Bytes of the longest generated method; the JVM leaves those above 8000 uncompiled."""
+    debug = getattr(getattr(df.sparkSession._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    return max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(df._jdf.queryExecution().executedPlan()))))
+
+
+def test_feeds_are_built_by_methods_that_the_jvm_compiles(spark, tmp_path):
+    _lineitem(spark, source := f"file:{tmp_path}/sf")
+    feed, base = fixture.raw_daily_feed(spark, source), fixture.raw_daily_feed(spark, source, restated=False)
+    batches = replay.replay_batches(base, C.FIXTURE_REPLAY, C.FIXTURE.days, "d", "s")
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        assert _longest_method(feed.select("*")) < 8000 and _longest_method(batches.select("*")) < 8000
+        assert "lambda" not in _plan(batches.select("dt", "batch_id", "stock_hour6_22_cnt"))
+
+
 def test_parsing_leaves_the_making_of_the_text_to_generated_code(spark, tmp_path):
     _lineitem(spark, source := f"file:{tmp_path}/sf")
     parsed = bronze.parse_raw_daily(fixture.raw_daily_feed(spark, source, restated=False))

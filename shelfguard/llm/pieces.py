@@ -47,7 +47,9 @@ MARK = "▁"
 #: Penalty below the lowest piece score for a character outside the vocabulary.
 UNKNOWN_LOSS = 10.0
 #: Chunks a worker remembers before it starts anew.
-CACHE = 200_000
+CACHE = 120_000
+#: Cells (position, chunk) searched together: what a search holds beside its results is some 100 bytes a cell.
+CELLS = 1 << 16
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -163,9 +165,9 @@ class Lattice:
         lengths = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
         order = np.argsort(lengths, kind="stable")
         parts, at = [], 0
-        while at < len(order):  # chunks of like length together; a block holds at most 2^18 cells
+        while at < len(order):  # chunks of like length together; a block holds at most CELLS cells
             widest = 2 * lengths[order[at]] + 4
-            end = min(np.searchsorted(lengths[order], widest, "right"), at + max(1, (1 << 18) // widest))
+            end = min(np.searchsorted(lengths[order], widest, "right"), at + max(1, CELLS // widest))
             block = order[at:end]
             parts.append(self._block([chunks[i] for i in block], int(lengths[block[-1]])))
             at = end

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import tracemalloc
 
 import numpy as np
@@ -118,3 +119,15 @@ def test_the_search_of_a_long_chunk_needs_memory_linear_in_its_length(lattice):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 4_000 * len(chunk)
+
+
+def test_a_search_holds_few_cells_at_once():
+    rng = random.Random(5)
+    chunks = [pieces.MARK + "".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 12))) for _ in range(30_000)]
+    lattice = pieces.Lattice.load(pieces.MODEL)
+    tracemalloc.start()
+    ids, lens, _, _ = lattice.viterbi(chunks)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(lens) == len(chunks) and lens.sum() == len(ids)
+    assert most < 12e6, most

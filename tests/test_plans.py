@@ -94,6 +94,14 @@ def test_small_sides_are_broadcast_by_their_size(spark):
     assert physical(final).count("BroadcastHashJoin") >= 3
 
 
+def test_facts_of_the_grain_are_never_broadcast(spark):
+    """However small their files are: their rows are as many as the mart's."""
+    plan = _static_plan(spark, _mart(spark, tag="plan-grain"))
+    assert len(_exchanges(plan)[1]) == 3, plan
+    assert len(re.findall(r"SortMergeJoin \[store_key#\d+, product_key#\d+, date_key#\d+\]", plan)) == 2, plan
+    assert plan.count("BroadcastHashJoin") == 3, plan
+
+
 def test_mart_splits_a_hot_store_date_when_nothing_is_broadcast(spark):
     # One store-date holds most rows (3000 products); seven others are thin.
     hot = [

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from shelfguard import expectations as X
 from shelfguard.functions import hourly
@@ -23,15 +24,19 @@ def _to_timestamp(c: str):
     return F.expr(f"try_to_timestamp({c})")
 
 
+def parse_daily_rows(landed: DataFrame) -> DataFrame:
+    """All but the hourly arrays, which stay text: no rule reads them."""
+    return landed.withColumns({"dt": _to_date("dt"), "ingested_at": _to_timestamp("ingested_at")})
+
+
+def parse_hours(rows: DataFrame) -> DataFrame:
+    """The hourly arrays of their text; arrays stay as they are."""
+    parsers = {"hours_sale": hourly.parse_hours_sale, "hours_stock_status": hourly.parse_hours_stock}
+    return rows.withColumns({c: parse(F.col(c)) for c, parse in parsers.items() if rows.schema[c].dataType == StringType()})
+
+
 def parse_raw_daily(landed: DataFrame) -> DataFrame:
-    return landed.withColumns(
-        {
-            "dt": _to_date("dt"),
-            "hours_sale": hourly.parse_hours_sale(F.col("hours_sale")),
-            "hours_stock_status": hourly.parse_hours_stock(F.col("hours_stock_status")),
-            "ingested_at": _to_timestamp("ingested_at"),
-        }
-    )
+    return parse_hours(parse_daily_rows(landed))
 
 
 def parse_store_master(landed: DataFrame) -> DataFrame:

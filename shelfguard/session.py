@@ -12,6 +12,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from py4j.protocol import Py4JJavaError
 from pyspark import SparkContext
@@ -32,6 +33,8 @@ BASE_CONF = {
 # aggregation before a shuffle holds a whole split, and spills all of it when splits are larger than this.
 SPLIT_BYTES = 16 * 2**20
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Folders made by this process, removed when it ends.
 _OWN_FOLDERS: list[str] = []
 
@@ -70,6 +73,20 @@ def split_bytes(spark: SparkSession) -> int:
     return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
 
 
+@contextlib.contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside are removed when each write ends, not when the driver collects its garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables."""
     root = spark.sparkContext.getCheckpointDir()

@@ -10,8 +10,9 @@ drops table and checkpoint together and reads everything again.
 Rows that fail a rule aren't lost: each run writes them, with the names of the rules
 they fail, to a folder of its own in the quarantine, and its counts (rows seen, rows kept, rows failing each
 rule) beside. A run that is repeated after a failure overwrites all three, so kept and
-quarantined rows always add up to what landed. A run's parsed rows stay on the executors' disks for
-both writes; what a lost executor held is parsed again.
+quarantined rows always add up to what landed. The landed text is read once for either write and no parsed
+row is kept in between; the hourly arrays, which no rule reads, are made of the rows to be written only, behind
+the exchange by date, since their text is smaller.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -29,7 +29,7 @@ from shelfguard import schemas
 from shelfguard.layout import CLUSTER_BY, PARTITION_BY, RUN_COLUMN, Layout, runs
 from shelfguard.operators.rules import Rule, all_hold, failed_rules, failure_columns, keep_valid
 from shelfguard.plans import bronze, compaction
-from shelfguard.session import delete_folder, observed
+from shelfguard.session import delete_folder, observed, released_shuffles
 from shelfguard.sources import landing
 
 
@@ -40,12 +40,13 @@ class BronzeFeed:
     schema: StructType
     parse: Callable[[DataFrame], DataFrame]
     rules: Sequence[Rule]
+    finish: Callable[[DataFrame], DataFrame] = lambda rows: rows  # what is left to parse of the rows that are written
 
 
 def feeds(raw_schema: StructType = schemas.RAW_DAILY) -> tuple[BronzeFeed, ...]:
     return (
-        BronzeFeed(landing.RAW_DAILY, "bronze_daily_observations", raw_schema, bronze.parse_raw_daily,
-                   X.BRONZE_RAW_DAILY),
+        BronzeFeed(landing.RAW_DAILY, "bronze_daily_observations", raw_schema, bronze.parse_daily_rows,
+                   X.BRONZE_RAW_DAILY, bronze.parse_hours),
         BronzeFeed(landing.STORE_MASTER, "bronze_store_master", schemas.STORE_MASTER,
                    bronze.parse_store_master, X.BRONZE_STORE_MASTER),
         BronzeFeed(landing.PRODUCT_MASTER, "bronze_product_master", schemas.PRODUCT_MASTER,
@@ -60,39 +61,37 @@ class IngestResult:
     rule_failures: dict[str, int] = field(default_factory=dict)
 
 
-def write_run(rows: DataFrame, table: str, path: str) -> None:
-    """One run's rows, sorted by the clustering columns; by date where the table asks for it."""
+def write_run(rows: DataFrame, table: str, path: str, finish: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
+    """One run's rows, sorted by the clustering columns; by date where the table asks for it.
+
+    ``finish`` is applied to the rows in their places, column by column.
+    """
     by = PARTITION_BY.get(table)
     if by is None:
-        rows.sortWithinPartitions(*CLUSTER_BY[table]).write.mode("overwrite").parquet(path)
+        finish(rows.sortWithinPartitions(*CLUSTER_BY[table])).write.mode("overwrite").parquet(path)
         return
     # Dealt by date, so a run writes few files per date; a large date is split at run time.
-    rows.hint("rebalance", by).sortWithinPartitions(*CLUSTER_BY[table]).write.mode("overwrite").option("compression", "zstd").partitionBy(by).parquet(path)
+    placed = finish(rows.hint("rebalance", by).sortWithinPartitions(*CLUSTER_BY[table]))
+    with released_shuffles(rows.sparkSession):
+        placed.write.mode("overwrite").option("compression", "zstd").partitionBy(by).parquet(path)
 
 
 def _split_run(rows: DataFrame, feed: BronzeFeed, layout: Layout, run: int) -> dict[str, int]:
     """Write a run's kept rows, its quarantine and its counts; returns the counts."""
-    rows = rows.persist(StorageLevel.DISK_ONLY)
-    try:
-        return _write_split(rows, feed, layout, f"{RUN_COLUMN}={run}")
-    finally:
-        rows.unpersist()
-
-
-def _write_split(rows: DataFrame, feed: BronzeFeed, layout: Layout, folder: str) -> dict[str, int]:
+    folder = f"{RUN_COLUMN}={run}"
     spark, table = rows.sparkSession, feed.table
     counted, path = Observation(), f"{layout.path(table)}/{folder}"
     measures = [F.count(F.lit(1)).alias("_rows_seen"), F.count_if(all_hold(feed.rules)).alias("_rows_kept"), *failure_columns(feed.rules)]
-    write_run(keep_valid(rows.observe(counted, *measures), feed.rules), table, path)
+    write_run(keep_valid(rows.observe(counted, *measures), feed.rules), table, path, feed.finish)
     counts = observed(counted) or rows.agg(*measures).first().asDict()
     if not counts["_rows_kept"] and table in PARTITION_BY:
         # A folder by date without dates has no file that tells its columns.
         by = PARTITION_BY[table]
-        rows.where(F.lit(False)).drop(by).write.mode("overwrite").parquet(f"{path}/{by}=__HIVE_DEFAULT_PARTITION__")
+        feed.finish(rows.where(F.lit(False))).drop(by).write.mode("overwrite").parquet(f"{path}/{by}=__HIVE_DEFAULT_PARTITION__")
     aside = f"{layout.quarantine(table)}/{folder}"
     if counts["_rows_kept"] < counts["_rows_seen"]:
-        failing = rows.where(~all_hold(feed.rules)).withColumn("failed_rules", failed_rules(feed.rules))
-        failing.write.mode("overwrite").parquet(aside)
+        failing = feed.finish(rows.where(~all_hold(feed.rules)))
+        failing.withColumn("failed_rules", failed_rules(feed.rules)).write.mode("overwrite").parquet(aside)
     else:
         delete_folder(spark._jvm, aside)
     long = spark.createDataFrame(list(counts.items()), "rule_name string, failed_rows long")
@@ -107,14 +106,13 @@ def ingest(spark: SparkSession, layout: Layout, feed: BronzeFeed) -> IngestResul
     result = IngestResult(feed.table)
 
     def write(rows: DataFrame, run: int) -> None:
-        counts = _split_run(rows, feed, layout, run)
+        counts = _split_run(feed.parse(rows), feed, layout, run)
         result.rows_read += counts["_rows_seen"]
         for rule in feed.rules:
             result.rule_failures[rule.name] = result.rule_failures.get(rule.name, 0) + counts[rule.name]
 
     query = (
-        feed.parse(stream)
-        .writeStream.foreachBatch(write)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", layout.checkpoint(feed.table))
         .trigger(availableNow=True)
         .queryName(f"ingest_{feed.table}_{abs(hash(layout.base)) % 10**8}")
@@ -150,5 +148,6 @@ def land(
     path = f"{landing.dataset_path(layout.landing, dataset)}/{delivery}"
     if schema is not None:
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    landing.write_csv(df, path, files=files)
+    with released_shuffles(df.sparkSession):
+        landing.write_csv(df, path, files=files)
     return path

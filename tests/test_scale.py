@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 from datetime import date
 from pathlib import Path
 
@@ -19,7 +20,7 @@ from shelfguard.operators import sampling
 from shelfguard.plans import bronze, replay
 from shelfguard.session import SPLIT_BYTES, prepare, scratch_path, split_bytes
 from shelfguard.sources import fixture, landing
-from shelfguard.streaming.ingest import land
+from shelfguard.streaming.ingest import feeds, ingest, land
 
 
 def _plan(df) -> str:
@@ -144,3 +145,38 @@ def test_zorder_ranges_are_searched(spark):
     below = lambda v: 0 if v is None else 40 if v != v else sum(p < v for p in points)
     assert [r.z for r in keyed.collect()] == [below(v) for v in values]
     assert len(_plan(keyed)) < 5000  # not a comparison with every point for every bit
+
+
+def _shuffle_files(spark) -> set[str]:
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (found.apply(i).getName() for i in range(found.size())) if n.startswith("shuffle_")}
+
+
+def test_landing_and_a_run_leave_nothing_on_the_local_disks(spark, tmp_path, monkeypatch):
+    """No parsed rows are kept between the writes of a run, and a write's shuffle files go when it ends."""
+    layout, feed = Layout(scratch_path(spark, "released")), feeds(schemas.RAW_DAILY_WITH_LINEAGE)[0]
+    kept, frame = [], type(spark.range(1))
+    monkeypatch.setattr(frame, "persist", lambda self, *a, f=frame.persist: kept.append(self) or f(self, *a))
+    _lineitem(spark, source := f"file:{tmp_path}/sf")
+    dealt = fixture.raw_daily_feed(spark, source, dealt=True)
+    landed, before = dealt.count(), _shuffle_files(spark)
+    land(dealt, layout, "daily_observations", "one", schemas.RAW_DAILY_WITH_LINEAGE)
+    result = ingest(spark, layout, feed)
+    assert result.rows_read == landed > sum(result.rule_failures.values()) > 0
+    for _ in range(100):
+        if not (left := {n for n in _shuffle_files(spark) - before if n.endswith(".data")}):
+            break
+        time.sleep(0.1)
+    assert not left and not kept
+
+
+def test_rows_travel_as_text_and_are_written_as_arrays(spark):
+    feed = feeds(schemas.RAW_DAILY_WITH_LINEAGE)[0]
+    raw = raw_rows(spark, [{"line_number": i, "sale_amount": i / 7.0, "stock_hour6_22_cnt": i} for i in range(5)] + [{"hours_sale": "[1,", "hours_stock_status": "x"}])
+    rows = feed.parse(raw)
+    assert {rows.schema[c].dataType.simpleString() for c in ("hours_sale", "hours_stock_status")} == {"string"}
+    whole = bronze.parse_raw_daily(raw)
+    done = feed.finish(rows)
+    assert done.schema == whole.schema == feed.finish(whole).schema
+    same = lambda df: sorted(map(str, df.drop("_loaded_at").collect()))
+    assert same(done) == same(whole) == same(feed.finish(whole))

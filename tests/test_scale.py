@@ -7,6 +7,7 @@ import time
 from datetime import date
 from pathlib import Path
 
+import pytest
 from helpers import raw_rows, session_conf
 from pyspark.sql import functions as F
 
@@ -180,3 +181,25 @@ def test_rows_travel_as_text_and_are_written_as_arrays(spark):
     assert done.schema == whole.schema == feed.finish(whole).schema
     same = lambda df: sorted(map(str, df.drop("_loaded_at").collect()))
     assert same(done) == same(whole) == same(feed.finish(whole))
+
+
+def test_a_delivery_deals_out_its_own_rows(spark, tmp_path):
+    """Rows of other deliveries are left out below the exchange; all deliveries together are the whole replay."""
+    _lineitem(spark, source := f"file:{tmp_path}/sf")
+    base, dealt = (fixture.raw_daily_feed(spark, source, restated=False, dealt=d) for d in (False, True))
+    cfg, rest = C.FIXTURE_REPLAY, (C.FIXTURE.days, "d", "s")
+    odd = base.limit(3).withColumn("dt", F.lit("no date"))
+    late = base.limit(4).withColumns({"store_id": F.lit(cfg.late_store).cast("long"), "dt": F.lit("1995-02-01")})
+    corrected = base.limit(2).withColumns({"store_id": F.lit(cfg.corrected_store).cast("long"), "product_id": F.lit(37).cast("long"), "dt": F.lit("1995-03-01")})
+    unknown = base.limit(2).withColumns({"store_id": F.lit(None).cast("long"), "dt": F.lit("2002-03-01")})
+    every = base.unionByName(odd).unionByName(late).unionByName(corrected).unionByName(unknown)
+    whole = sorted(map(str, replay.replay_batches(every, cfg, *rest).collect()))
+    parts = [sorted(map(str, replay.delivered(every, d, cfg, *rest).collect())) for d in cfg.deliveries]
+    assert sorted(sum(parts, [])) == whole and all(parts)
+    for d in cfg.deliveries:
+        with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+            plan = _plan(replay.delivered(dealt, d, cfg, *rest))
+        assert "datediff" in plan[plan.index("Exchange RoundRobin"):], plan
+        outside = base.limit(1).withColumn("dt", F.lit("2003-01-01"))
+        with pytest.raises(Exception, match="no delivery takes the rows of 2003-01-01"):
+            replay.delivered(outside, d, cfg, *rest).collect()
